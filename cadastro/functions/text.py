@@ -50,17 +50,36 @@ def _fold_tables():
 
 
 _FOLD_SRC, _FOLD_DST, _FOLD_MULTI = _fold_tables()
+# 'ß' is the only one-to-many letter common in the data this library sees; the others are rare, so
+# their replace chain only runs on the values still non-ASCII after translate and 'ß'.
+_COMMON_MULTI = tuple((ch, rep) for ch, rep in _FOLD_MULTI if ch == "ß")
+_RARE_MULTI = tuple((ch, rep) for ch, rep in _FOLD_MULTI if ch != "ß")
 
 
 def ascii_fold(c) -> Column:
     """Remove accents and spell Latin ligatures/symbols in ASCII: 'São João' -> 'Sao Joao', 'ß' -> 'ss'.
 
     Null stays null. Characters outside the table (other scripts) pass through unchanged.
+
+    Cost: a pure-ASCII value (byte length = character length, counted without copying) is returned as
+    is; otherwise one ``translate`` pass and one ``replace`` for 'ß'; the replace chain for rare
+    ligatures/symbols runs only on values that are still non-ASCII after that.
     """
-    out = F.translate(as_col(c), _FOLD_SRC, _FOLD_DST)
-    for ch, rep in _FOLD_MULTI:
+    c = as_col(c)
+    out = F.translate(c, _FOLD_SRC, _FOLD_DST)
+    for ch, rep in _COMMON_MULTI:
         out = F.replace(out, F.lit(ch), F.lit(rep))
-    return out
+    rare = out
+    for ch, rep in _RARE_MULTI:
+        rare = F.replace(rare, F.lit(ch), F.lit(rep))
+    # after translate and 'ß', only rare characters (or other scripts) can still be non-ASCII
+    folded = F.when(_is_ascii(out), out).otherwise(rare)
+    return F.when(_is_ascii(c), c).otherwise(folded)
+
+
+def _is_ascii(c: Column) -> Column:
+    """Byte length equals character length exactly when every character is ASCII (no copy, no regex)."""
+    return F.octet_length(c) == F.length(c)
 
 
 def clean_text(c) -> Column:

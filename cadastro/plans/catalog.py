@@ -30,7 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A benchmark table; a big table stored as one row group is spread over the task slots."""
+    return delimited.spread_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def derive(df: DataFrame, pairs) -> DataFrame:
@@ -408,8 +409,9 @@ def q_latest_release(spark, sf):
 
 def q_fetch_plan(spark, sf):
     manifest = table(spark, sf, "part").select(F.concat(F.lit("F"), F.col("p_partkey").cast("string"), F.lit(".zip")).alias("name"))
+    # files already on disk, one per shipped line: an archive (odd line numbers) or its unpacked folder
     existing = table(spark, sf, "lineitem").select(
-        F.concat(F.lit("F"), F.col("l_partkey").cast("string"),
+        F.concat(F.lit("F"), F.col("l_suppkey").cast("string"),
                  F.when(F.col("l_linenumber") % 2 == 1, F.lit(".zip")).otherwise(F.lit(""))).alias("name"))
     return ingest.fetch_plan(manifest, existing)
 

@@ -362,7 +362,7 @@ WHERE rn = 1"""
 
 SQL["fetch_plan"] = """
 SELECT m.name FROM (SELECT 'F' || CAST(p_partkey AS STRING) || '.zip' AS name FROM part) m
-WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE 'F' || CAST(l_partkey AS STRING) = regexp_replace(m.name, '\\.zip$', ''))"""
+WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE 'F' || CAST(l_suppkey AS STRING) = regexp_replace(m.name, '\\.zip$', ''))"""
 
 SQL["expand_archives"] = """
 SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS BIGINT) AS line_number, unnest(parts) AS line

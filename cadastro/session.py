@@ -22,6 +22,10 @@ LOCAL_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Wide registry tables generate codegen methods above the JVM's 8000-byte JIT limit; without this
+    # flag such a method runs in the bytecode interpreter. Set the same on executors of a cluster.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

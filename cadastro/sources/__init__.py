@@ -10,12 +10,13 @@ from .delimited import (
     read_headered,
     read_lookup_set,
     read_positional,
+    spread_small_scan,
     string_schema,
 )
 from .sinks import SAVE_MODES, Stage, stage, write_table
 
 __all__ = [
     "CODEBOOK_OPTIONS", "HEADERED_OPTIONS", "POSITIONAL_OPTIONS", "SAVE_MODES", "Stage", "ddl_schema",
-    "read_codebook", "read_data", "read_headered", "read_lookup_set", "read_positional", "stage",
+    "read_codebook", "read_data", "read_headered", "read_lookup_set", "read_positional", "spread_small_scan", "stage",
     "string_schema", "write_table",
 ]

@@ -33,6 +33,38 @@ def ddl_schema(columns: Iterable[str]) -> str:
     return ", ".join(f"`{c}` STRING" for c in columns)
 
 
+def spread_small_scan(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
+    """Round-robin a scan that cannot run in parallel by itself: fewer files than task slots.
+
+    A parquet row group is never split across tasks, so a big table stored as one file with one row
+    group is read (and, without a shuffle, transformed) by a single task. The scan's natural split count
+    is estimated as ``max(files, bytes / maxPartitionBytes)``; when that is below the session's default
+    parallelism and the table holds at least ``min_bytes``, the rows are spread with a round-robin
+    ``repartition``. The shuffle this adds is therefore bounded by ``slots * maxPartitionBytes``; a scan
+    over a large dump (many files or many splits) is returned untouched. Only file metadata is read.
+    """
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not files or len(files) >= slots:
+        return df
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    natural = max(len(files), total // max(split, 1))
+    return df.repartition(slots) if total >= min_bytes and natural < slots else df
+
+
+def _bytes(text: str) -> int:
+    text = str(text).strip().lower().removesuffix("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(float(text[:-1]) * units[text[-1]]) if text and text[-1] in units else int(text)
+
+
 def read_data(spark: SparkSession, path, fmt: str, schema=None, **options) -> DataFrame:
     """Generic reader: ``spark.read.format(fmt).options(**options).load(path, schema=schema)``."""
     reader = spark.read.format(fmt).options(**{k: str(v) if isinstance(v, bool) else v for k, v in options.items()})
