@@ -56,6 +56,26 @@ _COMMON_MULTI = tuple((ch, rep) for ch, rep in _FOLD_MULTI if ch == "ß")
 _RARE_MULTI = tuple((ch, rep) for ch, rep in _FOLD_MULTI if ch != "ß")
 
 
+def _sql_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def ascii_fold_sql(expr: str) -> str:
+    """The :func:`ascii_fold` expression as Spark SQL text over the SQL expression ``expr``."""
+    out = f"translate({expr}, {_sql_literal(_FOLD_SRC)}, {_sql_literal(_FOLD_DST)})"
+    for ch, rep in _COMMON_MULTI:
+        out = f"replace({out}, {_sql_literal(ch)}, {_sql_literal(rep)})"
+    rare = out
+    for ch, rep in _RARE_MULTI:
+        rare = f"replace({rare}, {_sql_literal(ch)}, {_sql_literal(rep)})"
+    return (f"CASE WHEN octet_length({expr}) = length({expr}) THEN {expr} "
+            f"WHEN octet_length({out}) = length({out}) THEN {out} ELSE {rare} END")
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ascii_fold(c) -> Column:
     """Remove accents and spell Latin ligatures/symbols in ASCII: 'São João' -> 'Sao Joao', 'ß' -> 'ss'.
 
@@ -65,7 +85,8 @@ def ascii_fold(c) -> Column:
     is; otherwise one ``translate`` pass and one ``replace`` for 'ß'; the replace chain for rare
     ligatures/symbols runs only on values that are still non-ASCII after that.
     """
-    c = as_col(c)
+    if isinstance(c, str):  # one parsed SQL expression instead of ~60 Column-building calls
+        return F.expr(ascii_fold_sql(_quoted(c)))
     out = F.translate(c, _FOLD_SRC, _FOLD_DST)
     for ch, rep in _COMMON_MULTI:
         out = F.replace(out, F.lit(ch), F.lit(rep))
@@ -84,6 +105,8 @@ def _is_ascii(c: Column) -> Column:
 
 def clean_text(c) -> Column:
     """Registry text normal form: ASCII fold -> trim blanks -> initcap (words split on blanks only)."""
+    if isinstance(c, str):
+        return F.expr(f"initcap(trim({ascii_fold_sql(_quoted(c))}))")
     return F.initcap(F.trim(ascii_fold(c)))
 
 

@@ -39,7 +39,7 @@ def clean_types(kinds: Mapping[str, str] | str, cols: str | Iterable[str] | None
     def _apply(df: DataFrame) -> DataFrame:
         if not kinds:
             return df
-        return df.withColumns({c: KINDS[k](F.col(c)) for c, k in kinds.items()})
+        return df.withColumns({c: KINDS[k](c) for c, k in kinds.items()})
 
     return _apply
 

@@ -118,7 +118,7 @@ def prepare_codebook(raw: DataFrame, name: str) -> DataFrame:
     if code not in raw.columns or label not in raw.columns:
         c0, c1 = raw.columns[:2]
         raw = raw.withColumnsRenamed({c0: code, c1: label})
-    return raw.select(F.col(code), clean_text(F.col(label)).alias(label))
+    return raw.select(F.col(code), clean_text(label).alias(label))
 
 
 def consolidate_flows(
