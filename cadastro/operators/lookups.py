@@ -6,9 +6,11 @@ rows sharing one key and an upper bound of its size in bytes. From that:
 
 * a duplicate key is rejected (it would silently multiply fact rows);
 * the dimension is broadcast only when its measured size is under ``spark.cadastro.broadcastMaxBytes``
-  (default 64 MiB); above it the join is a shuffle join on the key, where AQE's skew-join splitting
-  deals with a hot key on the fact side (a third of all rows on one code is normal in registry data:
-  one big city, one legal nature). The dimension side is unique per key, so no pair explosion.
+  (default 64 MiB); above it the join is a *salted* shuffle join: each fact row gets a salt in
+  ``[0, S)`` (``spark.cadastro.saltBuckets``, default 16) and the dimension is replicated once per salt,
+  so a hot key on the fact side (a third of all rows on one code is normal in registry data: one big
+  city, one legal nature) is spread over S reducers. Keys are unique, so every fact row still meets
+  exactly one dimension row: no pair explosion, no row lost. AQE's skew-join splitting stays on as well.
 
 The fact table is never collected, counted or sampled.
 """
@@ -86,18 +88,37 @@ def _check_unique(name: str, profile: DimensionProfile) -> None:
         )
 
 
-def _right_side(dim: DataFrame, profile: DimensionProfile | None, strategy: str) -> DataFrame:
-    if strategy == "broadcast":
-        return F.broadcast(dim)
-    if strategy == "shuffle":
-        return dim
+STRATEGIES = ("auto", "broadcast", "shuffle", "salted")
+
+
+def salt_buckets(spark) -> int:
+    return int(spark.conf.get("spark.cadastro.saltBuckets", "16"))
+
+
+def _choose(dim: DataFrame, profile: DimensionProfile | None, strategy: str) -> str:
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
     if strategy != "auto":
-        raise ValueError(f"strategy must be auto, broadcast or shuffle, not {strategy!r}")
-    spark = dim.sparkSession
-    if profile is not None and profile.broadcastable(broadcast_max_bytes(spark)):
-        return F.broadcast(dim)
-    log.info("lookup side of %s bytes is over the broadcast bound; using a shuffle join", profile and profile.size_bytes)
-    return dim
+        return strategy
+    if profile is not None and profile.broadcastable(broadcast_max_bytes(dim.sparkSession)):
+        return "broadcast"
+    log.info("lookup side of %s bytes is over the broadcast bound; using a salted shuffle join",
+             profile and profile.size_bytes)
+    return "salted" if salt_buckets(dim.sparkSession) > 1 else "shuffle"
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str, buckets: int) -> DataFrame:
+    """Shuffle join on ``(key, salt)`` with the unique-keyed ``dim`` replicated over ``buckets`` salts.
+
+    The fact salt is ``monotonically_increasing_id() % buckets``: rows of one input partition are dealt
+    round-robin over the salts, and the value is the same when a lost partition of a file scan is
+    recomputed (same file split, same row order), so shuffle retries stay consistent. Null keys keep
+    their row in a left join and never match, as without salting.
+    """
+    salt = "_cadastro_salt"
+    salted_fact = fact.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
+    replicated = dim.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
+    return salted_fact.join(replicated, [key, salt], how).drop(salt)
 
 
 def lookup(
@@ -121,7 +142,12 @@ def lookup(
         profile = profile_dimensions({name or key: (dim, key)})[name or key]
     if check_unique and profile is not None:
         _check_unique(name or key, profile)
-    return fact.join(_right_side(dim, profile, strategy), key, how)
+    chosen = _choose(dim, profile, strategy)
+    if chosen == "salted":
+        if not check_unique:
+            raise ValueError("a salted lookup needs unique dimension keys; keep check_unique=True")
+        return salted_join(fact, dim, key, how, salt_buckets(dim.sparkSession))
+    return fact.join(F.broadcast(dim) if chosen == "broadcast" else dim, key, how)
 
 
 def left_lookup(fact: DataFrame, dim: DataFrame, key: str, **kw) -> DataFrame:
@@ -137,7 +163,10 @@ def unmatched(fact: DataFrame, dim: DataFrame, key: str, strategy: str = "auto",
     keys = dim.select(key)
     if profile is None and strategy == "auto":
         profile = profile_dimensions({key: (dim, key)})[key]
-    return fact.join(_right_side(keys, profile, strategy), key, "left_anti")
+    chosen = _choose(keys, profile, strategy)
+    if chosen == "salted":
+        return salted_join(fact, keys, key, "left_anti", salt_buckets(dim.sparkSession))
+    return fact.join(F.broadcast(keys) if chosen == "broadcast" else keys, key, "left_anti")
 
 
 def with_role(dim: DataFrame, suffix: str) -> DataFrame:

@@ -72,13 +72,34 @@ def test_broadcast_only_under_the_bound(spark, fact, pais):
     spark.conf.set("spark.cadastro.broadcastMaxBytes", "10")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = left_lookup(fact, pais, "cod_pais")._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan
+        out = left_lookup(fact, pais, "cod_pais")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "_cadastro_salt" in plan
+        got = sorted(tuple(r) for r in out.select("id", "nome_pais").collect())
+        assert got == [(1, "Brasil"), (2, "Chile"), (3, None), (4, None), (5, "Brasil")]
     finally:
         spark.conf.unset("spark.cadastro.broadcastMaxBytes")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_salted_join_spreads_a_hot_key(spark, pais):
+    from cadastro.operators.lookups import salted_join
+
+    hot = spark.range(10_000).select(F.col("id").cast("int").alias("id"),
+                                     F.when(F.col("id") % 3 == 0, 99).otherwise(10).alias("cod_pais"))
+    out = salted_join(hot.repartition(8), pais, "cod_pais", "left", 8)
+    assert out.count() == 10_000
+    assert out.filter(F.col("nome_pais") == "Brasil").count() == 6_666
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        per_task = out.filter(F.col("cod_pais") == 10).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(per_task) > 1  # the hot key landed on more than one reducer
+    gone = salted_join(hot, pais, "cod_pais", "left_anti", 8)
+    assert gone.count() == 3_334 and gone.columns == ["cod_pais", "id"]  # same order as an unsalted USING join
+
+
 def test_profile_one_job_for_many(spark, pais):
     prof = profile_dimensions({"a": (pais, "cod_pais"), "b": (pais.limit(0), "cod_pais")})
     assert prof["a"].rows == 2 and prof["a"].max_rows_per_key == 1 and prof["a"].size_bytes > 0
