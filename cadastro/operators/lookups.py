@@ -7,8 +7,8 @@ rows sharing one key and an upper bound of its size in bytes. From that:
 * a duplicate key is rejected (it would silently multiply fact rows);
 * the dimension is broadcast only when its measured size is under ``spark.cadastro.broadcastMaxBytes``
   (default 64 MiB); above it the join is a *salted* shuffle join: each fact row gets a salt in
-  ``[0, S)`` (``spark.cadastro.saltBuckets``, default 16) and the dimension is replicated once per salt,
-  so a hot key on the fact side (a third of all rows on one code is normal in registry data: one big
+  ``[0, S)`` from a hash of the row (``spark.cadastro.saltBuckets``, default 16) and the dimension is
+  replicated once per salt, so a hot key on the fact side (a third of all rows on one code is normal in registry data: one big
   city, one legal nature) is spread over S reducers. Keys are unique, so every fact row still meets
   exactly one dimension row: no pair explosion, no row lost. AQE's skew-join splitting stays on as well.
 
@@ -110,13 +110,15 @@ def _choose(dim: DataFrame, profile: DimensionProfile | None, strategy: str) ->
 def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str, buckets: int) -> DataFrame:
     """Shuffle join on ``(key, salt)`` with the unique-keyed ``dim`` replicated over ``buckets`` salts.
 
-    The fact salt is ``monotonically_increasing_id() % buckets``: rows of one input partition are dealt
-    round-robin over the salts, and the value is the same when a lost partition of a file scan is
-    recomputed (same file split, same row order), so shuffle retries stay consistent. Null keys keep
-    their row in a left join and never match, as without salting.
+    The fact salt is a hash of the whole row modulo ``buckets``: it depends on the row's content only,
+    never on row order, so a map task recomputed after an executor loss sends every row to the same
+    reducer as before and shuffle retries stay exact. Rows that differ anywhere spread over the salts;
+    a hot group of *identical* copies hashes to one salt, and AQE's skew-join split (which cuts a
+    partition by map blocks, not by content) spreads that remainder. Null keys keep their row in a left
+    join and never match, as without salting.
     """
     salt = "_cadastro_salt"
-    salted_fact = fact.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(buckets)))
+    salted_fact = fact.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(buckets)))
     replicated = dim.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
     return salted_fact.join(replicated, [key, salt], how).drop(salt)
 

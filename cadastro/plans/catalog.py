@@ -472,6 +472,47 @@ def q_incremental_ingest(spark, sf):
     return spark.read.parquet(target)
 
 
+# ---- whole-source runs --------------------------------------------------------------------------------
+
+REGISTER_LOOKUP_SOURCES = {"CNAE": "part", "MUNIC": "nation", "NATJU": "nation", "PAIS": "region",
+                           "QUALS": "nation", "MOTI": "customer"}
+
+
+def q_register_run(spark, sf):
+    """The whole company register as dumps land: six lookup files and four table dumps (Latin-1, ';')
+    are consolidated in dependency order by the runner; the establishments output is returned."""
+    root = scratch_path(spark, "register_run")
+    raw_dir, out_dir = f"{root}/data/raw/cnpj", f"{root}/data/trusted/cnpj"
+    for file_id, src in REGISTER_LOOKUP_SOURCES.items():
+        _write_positional(raw_lookup(spark, sf, src, cr.LOOKUP_IDS[file_id]), f"{raw_dir}/F.K03200$Z.D40113.{file_id}CSV")
+    dumps = {"K3241.K03200Y0.D40113.SIMPLES.CSV.D40113": raw_regime(spark, sf),
+             "K3241.K03200Y0.D40113.SOCIOCSV": raw_partners(spark, sf),
+             "K3241.K03200Y0.D40113.EMPRECSV": raw_companies(spark, sf),
+             "K3241.K03200Y0.D40113.ESTABELE": raw_establishments(spark, sf)}
+    for name, df in dumps.items():
+        _write_positional(df, f"{raw_dir}/{name}")
+    from .runner import run_company_register
+
+    paths = run_company_register(spark, raw_dir, out_dir, mode="overwrite", with_full_id=True)
+    return spark.read.parquet(paths["df_estab"])
+
+
+def q_labour_run(spark, sf):
+    """Labour movements as they land: a headered UTF-8 dump plus one comma CSV codebook per code,
+    consolidated by the runner; the movements output is returned."""
+    root = scratch_path(spark, "labour_run")
+    level_dir = f"{root}/data/raw/caged/mov"
+    _write_positional(raw_movements(spark, sf), f"{level_dir}/CAGEDMOV202401.txt", encoding="UTF-8", header=True)
+    for name, (source, _) in fx.MOV_CODES.items():
+        book = derive(table(spark, sf, fx.codebook_table(source)), fx.codebook_rows(name, source))
+        _write_positional(book, f"{level_dir}/aux_tables/{name}.csv", encoding="UTF-8", header=True, sep=",")
+    from .runner import run_labour_flows
+
+    paths = run_labour_flows(spark, f"{root}/data/raw/caged", f"{root}/data/trusted/caged", levels=("mov",),
+                             mode="overwrite", strict_codebooks=True)
+    return spark.read.parquet(paths["movimentacoes"])
+
+
 QUERIES: dict[str, Query] = {
     name.removeprefix("q_"): fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -402,3 +402,5 @@ SELECT c_custkey, match_tier, {pick('lat')} AS lat, {pick('lng')} AS lng FROM t"
 
 SQL["tiered_match"] = _tiered_sql()
 SQL["incremental_ingest"] = _REGIME_SQL
+SQL["register_run"] = SQL["consolidate_establishments"]
+SQL["labour_run"] = SQL["consolidate_movements"]
