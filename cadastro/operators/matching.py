@@ -10,7 +10,7 @@ score; ties broken deterministically), and it is then accepted or not:
 3. ``zip``      - accepted whenever there is a result.
 
 The first accepted tier wins. Everything is joins: the best-candidate table is unique per key, each tier
-is one checked lookup join (broadcast when the gazetteer is small enough, shuffle otherwise), so an
+is one checked lookup join (broadcast when the gazetteer is small enough, salted shuffle otherwise), so an
 address table with one hot city does not multiply rows or pile up on one task.
 """
 
@@ -57,14 +57,23 @@ def _accepted(tier: str, city: Column) -> Column:
 
 
 def tiered_match(addresses: DataFrame, gazetteer: DataFrame, *, street: str, zip_code: str, district: str,
-                 city: str, state: str, strategy: str = "auto") -> DataFrame:
+                 city: str, state: str, strategy: str = "auto", materialize: bool = True) -> DataFrame:
     """Add ``match_tier``, ``lat``, ``lng`` to ``addresses`` (null when no tier accepts).
 
     ``gazetteer`` columns: ``grain`` (address/district/zip), ``key``, ``matched_address``, ``lat``,
     ``lng``, ``score``, ``quality``.
+
+    With ``materialize`` (default) the best-candidate table is computed once and checkpointed to the
+    shared ``spark.checkpoint.dir``, so the size profile and the three joins read it instead of
+    re-aggregating the gazetteer four times; the checkpoint also cuts lineage for executor-loss retries.
     """
     keys = address_keys(F.col(street), F.col(zip_code), F.col(district), F.col(city), F.col(state))
     best = best_candidates(gazetteer)
+    if materialize:
+        from ..session import checkpoint_root
+
+        checkpoint_root(best.sparkSession)  # make sure the session names a checkpoint folder
+        best = best.checkpoint(eager=True)
     tiers = {
         t: best.filter(F.col("grain") == t).select(
             F.col("key").alias(f"{t}_key"),
