@@ -29,20 +29,17 @@ from . import labour_flows as lf
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A benchmark table; a big table stored as one row group is spread over the task slots.
 
     One DataFrame per (session, path) is reused, so repeated reads of a small table do not each pay
-    for footer reading and schema resolution.
+    for footer reading and schema resolution. The cache lives on the session object, so it ends with it.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = delimited.spread_small_scan(spark.read.parquet(path))
-    return _TABLES[key]
+    cache = spark.__dict__.setdefault("_cadastro_tables", {})
+    if path not in cache:
+        cache[path] = delimited.spread_small_scan(spark.read.parquet(path))
+    return cache[path]
 
 
 def derive(df: DataFrame, pairs) -> DataFrame:
