@@ -3,6 +3,7 @@
 * :func:`extract_links`   - links out of HTML index pages (regex over the whole page, then explode)
 * :func:`parse_listing`   - directory-listing lines -> (release date, name)
 * :func:`latest_release`  - newest entry per folder (partial aggregate, no sort, no collect)
+* :func:`latest_path`     - newest year folder, then the newest month folder in it, ... (level by level)
 * :func:`fetch_plan`      - which files still need fetching (anti-join against what exists)
 * :func:`split_codebooks` - a long (sheet, code, description) table -> one codebook per known sheet
 """
@@ -41,10 +42,26 @@ def parse_listing(listing: DataFrame, line_col: str = "line", date_format: str =
     the name. A line whose first field is not a date gets a null ``release_date``.
     """
     parts = F.split(F.regexp_replace(F.trim(as_col(line_col)), " +", " "), " ")
-    return listing.withColumns({
-        "release_date": F.try_to_date(F.get(parts, 0), date_format),
-        "name": F.element_at(parts, -1),
-    })
+    first = F.get(parts, 0)
+    date = month_day_short_year(first) if date_format == "MM-dd-yy" else F.try_to_date(first, date_format)
+    return listing.withColumns({"release_date": date, "name": F.element_at(parts, -1)})
+
+
+# Fixed value: two-digit years from this value up are 19xx, below it 20xx (the POSIX strptime pivot).
+SHORT_YEAR_PIVOT = 69
+
+
+def month_day_short_year(c) -> F.Column:
+    """``'MM-dd-yy'`` -> date with the POSIX two-digit-year pivot ('99' -> 1999, '24' -> 2024).
+
+    Spark's own ``yy`` maps every two-digit year into 2000-2099, which would put a 1999 release after
+    every later one. Anything not shaped ``dd-dd-dd`` or not a real date gives null.
+    """
+    c = as_col(c)
+    yy = F.substring(c, 7, 2).try_cast("int")
+    year = F.when(yy >= SHORT_YEAR_PIVOT, yy + 1900).otherwise(yy + 2000)
+    iso = F.concat(year.cast("string"), F.lit("-"), F.substring(c, 1, 5))
+    return F.when(c.rlike(r"^[0-9]{2}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(iso, "yyyy-MM-dd"))
 
 
 def latest_release(parsed: DataFrame, folder_col: str = "folder") -> DataFrame:
@@ -62,6 +79,33 @@ def latest_release(parsed: DataFrame, folder_col: str = "folder") -> DataFrame:
     )
 
 
+def latest_path(levels, folder_col: str = "folder") -> DataFrame:
+    """Descend a folder tree by newest release: newest entry at level 0, then the newest entry inside
+    it at level 1, and so on (e.g. newest year folder, then newest month folder in that year).
+
+    ``levels`` are parsed listings (:func:`parse_listing`); the ``folder`` of an entry at level i+1 is the
+    name it sits in at level i. Each step is a partial aggregate plus a broadcast semi join against the
+    one row per folder chosen before, so no level is collected to the driver. Returns one row per root
+    folder: ``(root, path, name, release_date)``, ``path`` joining the chosen names with '/'.
+    """
+    from pyspark.sql import functions as F
+
+    chosen = latest_release(levels[0], folder_col).select(
+        F.col(folder_col).alias("root"), F.col("name").alias("path"), "name", "release_date")
+    for level in levels[1:]:
+        inside = level.join(F.broadcast(chosen.select(F.col("name").alias(folder_col), "root", "path")),
+                            folder_col, "inner")
+        best = F.max(F.struct(F.col("release_date"), F.col("name"))).alias("best")
+        chosen = (
+            inside.filter(F.col("release_date").isNotNull())
+            .groupBy("root", "path")
+            .agg(best)
+            .select("root", F.concat_ws("/", "path", "best.name").alias("path"), F.col("best.name").alias("name"),
+                    F.col("best.release_date").alias("release_date"))
+        )
+    return chosen
+
+
 def fetch_plan(manifest: DataFrame, existing: DataFrame, name_col: str = "name", archive_suffix: str = ".zip",
                overwrite: bool = False) -> DataFrame:
     """Files of ``manifest`` to fetch: those for which neither the archive nor its unpacked folder exists.

@@ -415,6 +415,14 @@ def q_latest_release(spark, sf):
     return ingest.latest_release(_listing(spark, sf))
 
 
+def q_latest_path(spark, sf):
+    """Newest year folder, then the newest month folder inside it (two-level release descent)."""
+    tree = fx.release_tree(fx.SPARK)
+    orders = table(spark, sf, "orders")
+    levels = [ingest.parse_listing(derive(orders, tree["years"])), ingest.parse_listing(derive(orders, tree["months"]))]
+    return ingest.latest_path(levels)
+
+
 def q_fetch_plan(spark, sf):
     manifest = table(spark, sf, "part").select(F.concat(F.lit("F"), F.col("p_partkey").cast("string"), F.lit(".zip")).alias("name"))
     # files already on disk, one per shipped line: an archive (odd line numbers) or its unpacked folder

@@ -268,6 +268,18 @@ def listing_lines(D: Dialect):
     ]
 
 
+def release_tree(D: Dialect):
+    """orders -> a two-level release tree: year folders listed at the root, month folders in each year.
+
+    The stamp of a folder is the date of an order in it; each order yields one line at each level."""
+    year, month = D.fmt("o_orderdate", "yyyy", "%Y"), D.fmt("o_orderdate", "MM", "%m")
+    stamp = D.listing_stamp("o_orderdate")
+    return {
+        "years": [("folder", "'root'"), ("line", f"{stamp} || '       <DIR>          ' || {year}")],
+        "months": [("folder", year), ("line", f"{stamp} || '       <DIR>          ' || {month}")],
+    }
+
+
 # The sheet names as they appear in the layout workbook (mixed case), plus two sheets
 # that are not codebooks.
 WORKBOOK_SHEETS = (

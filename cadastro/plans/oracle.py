@@ -404,3 +404,23 @@ SQL["tiered_match"] = _tiered_sql()
 SQL["incremental_ingest"] = _REGIME_SQL
 SQL["register_run"] = SQL["consolidate_establishments"]
 SQL["labour_run"] = SQL["consolidate_movements"]
+
+
+def _parsed(pairs, source: str) -> str:
+    return f"""SELECT folder, CAST(try_strptime(parts[1], '%m-%d-%y') AS DATE) AS release_date, parts[-1] AS name
+FROM (SELECT folder, string_split(regexp_replace(trim(line), ' +', ' ', 'g'), ' ') AS parts
+      FROM (SELECT {select(pairs)} FROM {source}))"""
+
+
+_TREE = fx.release_tree(D)
+SQL["latest_path"] = f"""
+WITH y AS ({_parsed(_TREE['years'], 'orders')}),
+  m AS ({_parsed(_TREE['months'], 'orders')}),
+  best_y AS (SELECT folder AS root, name, release_date FROM (
+      SELECT *, row_number() OVER (PARTITION BY folder ORDER BY release_date DESC, name DESC) AS rn
+      FROM y WHERE release_date IS NOT NULL) WHERE rn = 1),
+  best_m AS (SELECT root, path, name, release_date FROM (
+      SELECT best_y.root, best_y.name AS path, m.name, m.release_date,
+        row_number() OVER (PARTITION BY best_y.root ORDER BY m.release_date DESC, m.name DESC) AS rn
+      FROM m JOIN best_y ON m.folder = best_y.name WHERE m.release_date IS NOT NULL) WHERE rn = 1)
+SELECT root, path || '/' || name AS path, name, release_date FROM best_m"""

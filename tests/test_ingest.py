@@ -25,10 +25,13 @@ def test_listing_and_latest_release(spark):
              ("2022", "03-02-22  09:00AM       <DIR>          03"),
              ("2022", "03-02-22  09:00AM       <DIR>          02"),  # same date: larger name wins
              ("2021", "12-31-21  11:59PM       <DIR>          12"),
-             ("2021", "total 3")]
+             ("2021", "total 3"),
+             ("1999", "12-31-99  11:59PM       <DIR>          12"),  # two-digit year pivot: 1999, not 2099
+             ("1999", "02-30-99  11:59PM       <DIR>          02")]  # not a date
     parsed = ingest.parse_listing(spark.createDataFrame(lines, "folder string, line string"))
     latest = {r.folder: (r.name, r.release_date) for r in ingest.latest_release(parsed).collect()}
-    assert latest == {"2022": ("03", dt.date(2022, 3, 2)), "2021": ("12", dt.date(2021, 12, 31))}
+    assert latest == {"2022": ("03", dt.date(2022, 3, 2)), "2021": ("12", dt.date(2021, 12, 31)),
+                      "1999": ("12", dt.date(1999, 12, 31))}
 
 
 def test_fetch_plan(spark):
