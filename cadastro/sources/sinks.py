@@ -6,7 +6,8 @@ the plan, even runs the query once more just to count). Output file count is con
 * ``n_partitions=None`` (default): one file per task of the final stage, as the data comes;
 * ``n_partitions=n``: exactly ``n`` partitions by a round-robin ``repartition`` (a shuffle that keeps the
   upstream stages fully parallel, unlike ``coalesce``, which would run the whole job in ``n`` tasks);
-* ``rebalance=True``: the ``REBALANCE`` hint, so AQE cuts evenly sized output partitions;
+* ``rebalance=True``: the ``REBALANCE`` hint (by the ``partition_by`` columns when given), so AQE cuts
+  evenly sized output partitions and splits a skewed partition value over several tasks;
 * ``max_records_per_file`` bounds file size whatever the partitioning.
 """
 
@@ -47,17 +48,21 @@ def write_table(
         if dropped:
             log.debug("dropping text-only options %s for %s", dropped, fmt)
         options = {k: v for k, v in options.items() if k not in _TEXT_ONLY_OPTIONS}
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     if n_partitions:
         df = df.repartition(int(n_partitions))
     elif rebalance:
-        df = df.hint("rebalance")
+        # REBALANCE clusters rows by the partition columns (few files per output folder) and lets AQE
+        # split any partition over the advisory size, so one value holding a third of the rows is
+        # written by many tasks rather than one.
+        df = df.hint("rebalance", *cols) if cols else df.hint("rebalance")
     writer = df.write.format(fmt).mode(mode)
     if options:
         writer = writer.options(**{k: str(v) if isinstance(v, bool) else v for k, v in options.items()})
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
-    if partition_by:
-        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if cols:
+        writer = writer.partitionBy(*cols)
     writer.save(path)
 
 

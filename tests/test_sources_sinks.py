@@ -75,6 +75,8 @@ def test_partitioned_and_counted_writes(spark, tmp_dir):
     assert back.filter("g = '1'").count() == 33
     write_table(df, f"{tmp_dir}/n", mode="overwrite", n_partitions=4)
     assert len(glob.glob(f"{tmp_dir}/n/part-*.parquet")) == 4
+    write_table(df, f"{tmp_dir}/r", mode="overwrite", partition_by="g", rebalance=True)
+    assert spark.read.parquet(f"{tmp_dir}/r").count() == 100
 
 
 def test_stage_roundtrip_and_drop(spark, tmp_dir):
