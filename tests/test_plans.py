@@ -67,3 +67,14 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == list(cr.ESTAB_OUTPUT) + ["cnpj_completo"]
     assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("name", ["consolidate_regime", "consolidate_partners", "consolidate_companies",
+                                  "consolidate_establishments", "consolidate_movements", "consolidate_estab_flows"])
+def test_consolidations_have_no_python_and_no_fact_shuffle(spark, name):
+    plan = physical(catalog.QUERIES[name](spark, SF001))
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert plan.count("Exchange") == plan.count("BroadcastExchange")
