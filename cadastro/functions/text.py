@@ -1,9 +1,10 @@
 """Text normalisation as native column expressions (no Python UDF in the hot path).
 
 ``ascii_fold`` replaces a row-at-a-time transliteration UDF: one ``translate`` for every one-to-one
-letter mapping plus a short chain of ``replace`` calls for the one-to-many ones. The letter table is
-generated from a rule (Unicode compatibility decomposition with the combining marks removed) over the
-Latin blocks U+00C0..U+024F; the letters and symbols that have no decomposition are listed by hand.
+letter mapping (and the deletion of combining marks, so decomposed text folds too) plus a short chain
+of ``replace`` calls for the one-to-many ones. The letter table is generated from a rule (Unicode
+compatibility decomposition with the combining marks removed) over the Latin blocks U+00C0..U+024F and
+U+1E00..U+1EFF; the letters and symbols that have no decomposition are listed by hand.
 """
 
 from __future__ import annotations
@@ -16,16 +17,24 @@ from pyspark.sql import functions as F
 from .._cols import as_col
 
 
-def _decomposition_table(first: int = 0xC0, last: int = 0x24F):
+# Latin blocks whose precomposed letters are folded by rule: Latin-1 Supplement, Latin Extended-A/B,
+# Latin Extended Additional (Vietnamese and other stacked diacritics).
+LATIN_BLOCKS = ((0xC0, 0x24F), (0x1E00, 0x1EFF))
+# Combining diacritical marks: deleted, so decomposed (NFD) text folds like precomposed text.
+COMBINING_MARKS = (0x300, 0x36F)
+
+
+def _decomposition_table(blocks=LATIN_BLOCKS):
     """Letters whose NFKD form minus combining marks is plain ASCII, e.g. 'é' -> 'e', 'ǆ' -> 'dz'."""
     single, multi = {}, {}
-    for cp in range(first, last + 1):
-        ch = chr(cp)
-        if not unicodedata.category(ch).startswith("L"):
-            continue
-        base = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
-        if base and base != ch and base.isascii():
-            (single if len(base) == 1 else multi)[ch] = base
+    for first, last in blocks:
+        for cp in range(first, last + 1):
+            ch = chr(cp)
+            if not unicodedata.category(ch).startswith("L"):
+                continue
+            base = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
+            if base and base != ch and base.isascii():
+                (single if len(base) == 1 else multi)[ch] = base
     return single, multi
 
 
@@ -44,9 +53,11 @@ def _fold_tables():
     single, multi = _decomposition_table()
     for ch, rep in EXTRA_FOLDS.items():
         (single if len(rep) == 1 else multi)[ch] = rep
-    src = "".join(single)
-    dst = "".join(single[ch] for ch in src)
-    return src, dst, tuple(multi.items())
+    mapped = "".join(single)
+    marks = "".join(chr(cp) for cp in range(COMBINING_MARKS[0], COMBINING_MARKS[1] + 1)
+                    if unicodedata.combining(chr(cp)))
+    # translate deletes source characters past the end of the replacement string: the marks go last
+    return mapped + marks, "".join(single[ch] for ch in mapped), tuple(multi.items())
 
 
 _FOLD_SRC, _FOLD_DST, _FOLD_MULTI = _fold_tables()
