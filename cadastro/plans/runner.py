@@ -2,7 +2,8 @@
 
 Directory model: ``<root>/data/raw/<source>`` for dumps and ``<root>/data/trusted/<source>`` for tables;
 any Hadoop URI works. The company register runs its lookups first and the later tables read the
-*written* lookups back (small parquet, already cleaned), in whatever format they were written.
+*written* lookups back (small, already cleaned) when the output format keeps its schema (parquet, orc,
+avro, delta); with a text format they use the lookup frames computed in the same run.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ class Layout:
 
 
 COMPANY_TABLES = ("lookups", "simples", "socios", "empresas", "estab")
+SELF_DESCRIBING = ("parquet", "orc", "avro", "delta")
 # lookups each company table needs (by lookup name)
 COMPANY_NEEDS = {"simples": (), "socios": ("qual_socio", "pais"), "empresas": ("natju", "qual_socio"),
                  "estab": ("mun", "pais")}
@@ -67,12 +69,18 @@ def run_company_register(
         write_table(df, path, mode=mode, fmt=fmt, n_partitions=n_partitions, **write_options)
         written[name] = path
 
+    in_memory: dict[str, DataFrame] = {}
     if "lookups" in tables:
         for name, raw in read_lookup_set(spark, raw_dir, cr.LOOKUP_IDS).items():
-            out(cr.consolidate_lookup(raw, name), f"df_{name}")
+            in_memory[name] = cr.consolidate_lookup(raw, name)
+            out(in_memory[name], f"df_{name}")
 
     def dim(name: str) -> DataFrame:
-        return spark.read.format(fmt).load(f"{out_dir.rstrip('/')}/df_{name}")
+        # the written lookups are small, cleaned and typed: re-read them when the format keeps its schema;
+        # for text formats use the frames computed in this run
+        if fmt in SELF_DESCRIBING or name not in in_memory:
+            return spark.read.format(fmt).load(f"{out_dir.rstrip('/')}/df_{name}")
+        return in_memory[name]
 
     run_root = scratch_path(spark, "staging") if staged else None
     for key in ("simples", "socios", "empresas", "estab"):

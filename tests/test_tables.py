@@ -129,3 +129,10 @@ def test_labour_flows_end_to_end(spark, tmp_dir):
     assert got["Varre-sai"].salario == 1500.0
     with pytest.raises(FileNotFoundError):
         run_labour_flows(spark, raw, f"{tmp_dir}/out3", levels=("mov",), strict_codebooks=True)
+
+
+def test_runner_with_a_text_output_format(spark, tmp_dir, company_raw):
+    paths = run_company_register(spark, company_raw, f"{tmp_dir}/csv", mode="overwrite", fmt="csv",
+                                 tables=("lookups", "estab"), header="true")
+    back = spark.read.option("header", "true").csv(paths["df_estab"])
+    assert back.count() == 1 and back.first().nome_mun == "Sao Paulo"
