@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame
 
 
 def _norm(name: str) -> str:
-    return unicodedata.normalize("NFC", name).strip().lower()
+    """NFC, no byte-order mark (a UTF-8 file starting with one puts it in the first header), trimmed, lower."""
+    return unicodedata.normalize("NFC", name).replace("\ufeff", "").strip().lower()
 
 
 def rename_map(mapping: Mapping[str, str], strict: bool = False):
     """Return a ``DataFrame -> DataFrame`` applying ``old -> new`` renames in one projection.
 
-    Header names are matched after NFC normalisation and case folding, so ``'Competência'`` written in
-    decomposed form still matches ``'competência'``. A source column that is absent is skipped (as a
-    plain ``withColumnRenamed`` does) unless ``strict=True``, which raises listing the missing names.
+    Header names are matched after NFC normalisation, byte-order-mark removal and case folding, so
+    ``'Competência'`` written in decomposed form, or first in a file with a BOM, still matches
+    ``'competência'``. A source column that is absent is skipped (as a plain ``withColumnRenamed``
+    does) unless ``strict=True``, which raises listing the missing names.
     """
 
     def _apply(df: DataFrame) -> DataFrame:

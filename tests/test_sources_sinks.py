@@ -40,6 +40,9 @@ def test_headered_with_decomposed_accents(spark, tmp_dir):
     assert set(out.columns) == {"data", "cod_regiao", "extra"}
     with pytest.raises(ValueError):
         df.transform(rename_map({"ausente": "y"}, strict=True))
+    write_bytes(f"{tmp_dir}/bom/a.txt", "\ufeffcompetência;região\n202101;1\n".encode("utf-8"))
+    bom = read_headered(spark, f"{tmp_dir}/bom/*.txt").transform(rename_map({"competência": "data"}))
+    assert "data" in bom.columns and bom.first().data == "202101"
 
 
 def test_lookup_set_matches_by_suffix(spark, tmp_dir):
