@@ -1,11 +1,9 @@
-"""Zip archives as a Spark job: ``binaryFile`` scan -> ``mapInPandas`` unpack -> one row per text line.
+"""Zip archives as a Spark job: list archives -> spread members over tasks -> stream lines.
 
-Each archive is one row of the scan, so archives are spread over tasks; inside a task members are
-streamed line by line and emitted in bounded batches, so a member larger than memory never has to be
-held as one string. The lines can be parsed with ``from_csv`` or staged as parquet.
-
-Note: ``binaryFile`` loads one archive as one value (at most 2 GiB); bigger archives must be split
-before they land.
+Members are streamed line by line and emitted in bounded batches, so neither an archive nor a member is
+ever held whole in memory (streaming mode, see :func:`expand_archives`); the portable fallback reads each
+archive as one ``binaryFile`` value (at most 2 GiB). One member is one deflate stream and so one task.
+The lines can be parsed with ``from_csv`` or staged as parquet.
 """
 
 from __future__ import annotations
@@ -63,14 +61,91 @@ def _lines(text: io.TextIOWrapper):
             yield line
 
 
-def expand_archives(spark: SparkSession, path: str, encoding: str = "ISO-8859-1",
-                    batch_rows: int = 20_000) -> DataFrame:
+def _open_storage(uri: str):
+    """(pyarrow filesystem, path inside it) for a Spark file URI, or None when pyarrow cannot open it."""
+    from pyarrow import fs as pafs
+
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), uri
+    try:
+        return pafs.FileSystem.from_uri(uri)
+    except Exception:  # noqa: BLE001 - scheme or credentials not available to pyarrow
+        return None
+
+
+def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = []
+        for path in batch["path"]:
+            filesystem, inner = _open_storage(path)
+            with filesystem.open_input_file(inner) as fh, zipfile.ZipFile(fh) as zf:  # reads the directory only
+                rows += [(path, i.filename, i.file_size) for i in zf.infolist() if not i.is_dir()]
+        yield pd.DataFrame(rows, columns=["archive", "member", "size"])
+
+
+def _stream_members(encoding: str, batch_rows: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cols = {"archive": [], "member": [], "line_number": [], "line": []}
+
+        def flush():
+            out = pd.DataFrame(cols)
+            for v in cols.values():
+                v.clear()
+            return out
+
+        current, fh, zf = None, None, None  # members arrive sorted: one open archive at a time
+        try:
+            for batch in batches:
+                for archive, member in zip(batch["archive"], batch["member"]):
+                    if archive != current:
+                        if zf is not None:
+                            zf.close()
+                            fh.close()
+                        filesystem, inner = _open_storage(archive)
+                        fh = filesystem.open_input_file(inner)
+                        zf = zipfile.ZipFile(fh)
+                        current = archive
+                    with zf.open(member) as raw:
+                        for n, line in enumerate(_lines(io.TextIOWrapper(raw, encoding=encoding, newline=""))):
+                            cols["archive"].append(archive)
+                            cols["member"].append(member)
+                            cols["line_number"].append(n)
+                            cols["line"].append(line)
+                            if len(cols["line"]) >= batch_rows:
+                                yield flush()
+        finally:
+            if zf is not None:
+                zf.close()
+                fh.close()
+        if cols["line"]:
+            yield flush()
+
+    return run
+
+
+def expand_archives(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", batch_rows: int = 20_000,
+                    by_member: bool | None = None) -> DataFrame:
     """Every text line of every member of the zip archives at ``path`` (a glob or folder).
 
     Columns: ``archive`` (path), ``member`` (name inside), ``line_number`` (0-based), ``line``.
+
+    ``by_member=True`` never loads an archive whole: the archive list comes from ``binaryFile`` without
+    its content column, each zip's central directory is read through ``pyarrow.fs``, the (archive,
+    member) list is shuffled so members spread over tasks, and every task streams its member. That
+    needs ``pyarrow`` to reach the storage from the executors (local/NFS, S3, GCS, HDFS with libhdfs).
+    ``by_member=False`` reads each archive as one ``binaryFile`` value (any Hadoop filesystem, archives
+    up to 2 GiB). ``None`` picks streaming when the driver's ``pyarrow`` can open the path.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(_unpack(encoding, batch_rows), LINES_SCHEMA)
+    files = spark.read.format("binaryFile").load(path)
+    if by_member is None:
+        by_member = _open_storage(path) is not None
+    if not by_member:
+        return files.select("path", "content").mapInPandas(_unpack(encoding, batch_rows), LINES_SCHEMA)
+    members = files.select("path").mapInPandas(_list_members, "archive string, member string, size long")
+    spread = members.repartition(F.col("archive"), F.col("member")).sortWithinPartitions("archive", "member")
+    return spread.mapInPandas(_stream_members(encoding, batch_rows), LINES_SCHEMA)
 
 
 def lines_to_columns(lines: DataFrame, columns, sep: str = ";", line_col: str = "line", **options) -> DataFrame:

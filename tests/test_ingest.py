@@ -46,9 +46,11 @@ def test_archives_roundtrip_and_parse(spark, tmp_dir):
     df = spark.createDataFrame(rows, "member string, text string").repartition(2)
     archives.write_archives(df, f"{tmp_dir}/zips", "member", "text").collect()
     assert len(os.listdir(f"{tmp_dir}/zips")) == 2
+    expected = [("K1.ESTABELE", 0, '"1";"LOJA Ã"'), ("K1.ESTABELE", 1, '"2";"B"'), ("K2.ESTABELE", 0, '"3";"C"')]
+    for by_member in (True, False):
+        lines = archives.expand_archives(spark, f"{tmp_dir}/zips/*.zip", by_member=by_member)
+        assert sorted((r.member, r.line_number, r.line) for r in lines.collect()) == expected
     lines = archives.expand_archives(spark, f"{tmp_dir}/zips/*.zip")
-    got = sorted((r.member, r.line_number, r.line) for r in lines.collect())
-    assert got == [("K1.ESTABELE", 0, '"1";"LOJA Ã"'), ("K1.ESTABELE", 1, '"2";"B"'), ("K2.ESTABELE", 0, '"3";"C"')]
     parsed = archives.lines_to_columns(lines, ["a", "b"])
     assert sorted(tuple(r) for r in parsed.collect()) == [("1", "LOJA Ã"), ("2", "B"), ("3", "C")]
 
