@@ -102,3 +102,20 @@ def test_incremental_ingest_adds_only_new_files(spark, tmp_dir):
     ingest_new_files(spark, land, schema, out, ckpt, transform=cr.consolidate_regime)  # nothing new
     got = sorted((r.cnpj, r.data_inclusao_simples) for r in spark.read.parquet(out).collect())
     assert got == [("00000001", dt.date(2020, 1, 1)), ("00000002", dt.date(2020, 1, 2)), ("00000003", None)]
+
+
+def test_streaming_consolidation_with_lookups(spark, tmp_dir):
+    """The establishments spec (two broadcast lookups) on a stream: stream-static joins, no state."""
+    from cadastro.plans import catalog
+    from tests.conftest import SF001
+
+    land = f"{tmp_dir}/estab"
+    catalog._write_positional(catalog.raw_establishments(spark, SF001), f"{land}/drop1")
+    mun = catalog.lookup_dim(spark, SF001, "nation", "mun")
+    pais = catalog.lookup_dim(spark, SF001, "region", "pais")
+    ingest_new_files(spark, f"{land}/*", string_schema(cr.ESTAB_COLUMNS), f"{tmp_dir}/out", f"{tmp_dir}/ckpt",
+                     transform=lambda df: cr.consolidate_establishments(df, mun, pais))
+    batch = cr.consolidate_establishments(catalog.raw_establishments(spark, SF001), mun, pais)
+    streamed = spark.read.parquet(f"{tmp_dir}/out")
+    assert streamed.count() == batch.count() > 0
+    assert streamed.exceptAll(batch.select(streamed.columns)).count() == 0
