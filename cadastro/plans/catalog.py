@@ -365,7 +365,7 @@ def q_sink_modes(spark, sf):
     cust = table(spark, sf, "customer")
     sinks.write_table(cust, path, mode="error")
     sinks.write_table(cust, path, mode="append")
-    sinks.write_table(cust.limit(0), path, mode="ignore")  # path exists: nothing happens
+    sinks.write_table(cust, path, mode="ignore")  # path exists: nothing is written (the count proves it)
     try:
         sinks.write_table(cust, path, mode="error")
     except Exception:  # noqa: BLE001 - the expected "path already exists"

@@ -90,13 +90,12 @@ def consolidate(
         # not in the output is skipped. An inner join filters rows and is always kept.
         if how == "inner" or any(c in wanted for c in labels):
             needed.append((lk, dim, how))
-    profiles = (
-        profile_dimensions({f"{lk.dimension}{lk.suffix}": (dim, lk.key) for lk, dim, _ in needed})
-        if needed and (check_unique or strategy == "auto")
-        else {}
-    )
+    # one profile per base dimension: a role-playing copy has the same rows, bytes and key multiplicity
+    base = {lk.dimension: (dims[lk.dimension], lk.key.removesuffix(lk.suffix) if lk.suffix else lk.key)
+            for lk, _, _ in needed}
+    profiles = profile_dimensions(base) if needed and (check_unique or strategy == "auto") else {}
     for lk, dim, how in needed:
         name = f"{lk.dimension}{lk.suffix}"
         out = lookup(out, dim, lk.key, how, check_unique=check_unique, strategy=strategy,
-                     profile=profiles.get(name), name=name)
+                     profile=profiles.get(lk.dimension), name=name)
     return out.select(*spec.output_columns(*options))
