@@ -9,6 +9,7 @@ from .lookups import (
     lookup,
     profile_dimensions,
     role_lookup,
+    salted_join,
     star_lookup,
     unmatched,
     with_role,
@@ -18,5 +19,5 @@ from .rename import missing_columns, rename_map
 __all__ = [
     "KINDS", "DimensionProfile", "DuplicateKeyError", "clean_types", "columns_by_rule", "inner_lookup",
     "kinds_by_rule", "left_lookup", "lookup", "missing_columns", "profile_dimensions", "rename_map",
-    "role_lookup", "star_lookup", "unmatched", "with_role",
+    "role_lookup", "salted_join", "star_lookup", "unmatched", "with_role",
 ]

@@ -117,3 +117,19 @@ def test_spec_prunes_left_but_never_inner(spark):
     assert [tuple(r) for r in out.collect()] == [(1, 7)]  # inner join on b kept: row 2 dropped
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 30)), min_size=1, max_size=40))
+def test_left_lookup_preserves_rows_and_inner_is_left_minus_unmatched(spark, codes):
+    fact = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "id int, cod_pais int")
+    dim = spark.createDataFrame([(k, f"n{k}") for k in range(0, 31, 3)], "cod_pais int, nome_pais string")
+    left = left_lookup(fact, dim, "cod_pais")
+    assert left.count() == len(codes)
+    expected_inner = sum(1 for c in codes if c is not None and c % 3 == 0)
+    assert inner_lookup(fact, dim, "cod_pais").count() == expected_inner
+    assert unmatched(fact, dim, "cod_pais").count() == len(codes) - expected_inner

@@ -78,3 +78,15 @@ def test_consolidations_have_no_python_and_no_fact_shuffle(spark, name):
     plan = physical(catalog.QUERIES[name](spark, SF001))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert plan.count("Exchange") == plan.count("BroadcastExchange")
+
+
+def test_partition_pruning_on_a_partitioned_sink(spark, tmp_dir):
+    from cadastro.sources import write_table
+
+    orders = catalog.table(spark, SF001, "orders")
+    write_table(orders, f"{tmp_dir}/by_status", mode="overwrite", partition_by="o_orderstatus")
+    import re
+
+    plan = physical(spark.read.parquet(f"{tmp_dir}/by_status").filter(F.col("o_orderstatus") == "F"))
+    plan = re.sub(r"#\d+L?", "", plan)
+    assert "PartitionFilters: [isnotnull(o_orderstatus), (o_orderstatus = F)]" in plan
