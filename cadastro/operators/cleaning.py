@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from ..functions import clean_text, decimal_comma, lenient_date, lenient_double, lenient_int, year_month
 

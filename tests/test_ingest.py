@@ -3,12 +3,11 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
 
 from cadastro.operators import archives, ingest, matching
 from cadastro.plans import company_register as cr
 from cadastro.plans import labour_flows as lf
-from cadastro.sources import read_positional, string_schema
+from cadastro.sources import string_schema
 from cadastro.streaming import ingest_new_files
 
 
