@@ -48,15 +48,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     registered, so ``DataFrame.checkpoint()`` and this library agree on one place.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    context = _context(spark)
+    if not root and context is not None:
+        root = context.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="cadastro-checkpoint-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        if context is not None:
+            context.setCheckpointDir(root)
+            root = context.getCheckpointDir() or root
     return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None on a Spark Connect session (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect raises for sparkContext
+        return None
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path below the shared checkpoint folder: ``<root>/cadastro/<parts>/<uuid>``."""
     return "/".join([checkpoint_root(spark), "cadastro", *parts, uuid.uuid4().hex])

@@ -44,12 +44,16 @@ def spread_small_scan(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
     over a large dump (many files or many splits) is returned untouched. Only file metadata is read.
     """
     spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
+    try:
+        context = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no file metadata access from here, leave the scan
+        return df
+    slots = context.defaultParallelism
     files = df.inputFiles()
     if not files or len(files) >= slots:
         return df
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    jvm = context._jvm
+    conf = context._jsc.hadoopConfiguration()
     total = 0
     for f in files:
         p = jvm.org.apache.hadoop.fs.Path(f)
