@@ -167,8 +167,6 @@ def write_archives(df: DataFrame, root: str, name_col: str, text_col: str, encod
     import uuid
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs as pafs
-
         buf = io.BytesIO()
         n = 0
         with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
@@ -178,7 +176,10 @@ def write_archives(df: DataFrame, root: str, name_col: str, text_col: str, encod
                     n += 1
         if n == 0:
             return
-        filesystem, base = pafs.FileSystem.from_uri(root) if "://" in root else (pafs.LocalFileSystem(), root)
+        opened = _open_storage(root)
+        if opened is None:
+            raise OSError(f"pyarrow cannot open {root!r} for writing archives")
+        filesystem, base = opened
         filesystem.create_dir(base, recursive=True)
         target = f"{base.rstrip('/')}/{prefix}-{uuid.uuid4().hex}.zip"
         with filesystem.open_output_stream(target) as out:

@@ -434,9 +434,8 @@ def q_fetch_plan(spark, sf):
 
 def q_expand_archives(spark, sf):
     root = scratch_path(spark, "archives")
-    local_root = root.removeprefix("file:")
     docs = table(spark, sf, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("member"), "text")
-    archives.write_archives(docs, local_root, "member", "text").collect()  # one small row per archive written
+    archives.write_archives(docs, root, "member", "text").collect()  # one small row per archive written
     lines = archives.expand_archives(spark, f"{root}/*.zip")
     return lines.select(F.regexp_extract("member", r"^(\d+)\.txt$", 1).cast("long").alias("doc_id"),
                         "line_number", "line")
