@@ -59,15 +59,23 @@ def profile_dimensions(dims: Mapping[str, tuple[DataFrame, str]]) -> dict[str, D
     """
     if not dims:
         return {}
-    parts = []
+    # Dimensions whose profiling projection is the same plan (the same code table under other column
+    # names, as in a star of codebooks cut from one source) are profiled once.
+    groups: list[tuple[str, DataFrame, list[str]]] = []
     for name, (df, key) in dims.items():
-        parts.append(
-            df.select(
-                F.lit(name).alias("dim"),
-                F.col(key).cast("string").alias("k"),
-                F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))).cast("long").alias("b"),
-            )
+        proj = df.select(
+            F.col(key).cast("string").alias("k"),
+            F.octet_length(F.to_json(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)])))
+            .cast("long").alias("b"),
         )
+        digest = proj.semanticHash()
+        for rep_name, rep, members in groups:
+            if rep.semanticHash() == digest and rep.sameSemantics(proj):
+                members.append(name)
+                break
+        else:
+            groups.append((name, proj, [name]))
+    parts = [proj.select(F.lit(rep_name).alias("dim"), "k", "b") for rep_name, proj, _ in groups]
     rows = reduce(DataFrame.unionByName, parts)
     per_key = rows.groupBy("dim", "k").agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b"))
     summary = per_key.groupBy("dim").agg(
@@ -75,10 +83,9 @@ def profile_dimensions(dims: Mapping[str, tuple[DataFrame, str]]) -> dict[str, D
         F.max(F.when(F.col("k").isNotNull(), F.col("n"))).alias("max_n"),
         F.sum("b").alias("bytes"),
     )
-    out = {name: EMPTY_PROFILE for name in dims}
-    for r in summary.collect():
-        out[r["dim"]] = DimensionProfile(int(r["rows"] or 0), int(r["max_n"] or 0), int(r["bytes"] or 0))
-    return out
+    by_rep = {r["dim"]: DimensionProfile(int(r["rows"] or 0), int(r["max_n"] or 0), int(r["bytes"] or 0))
+              for r in summary.collect()}
+    return {name: by_rep.get(rep_name, EMPTY_PROFILE) for rep_name, _, members in groups for name in members}
 
 
 def _check_unique(name: str, profile: DimensionProfile) -> None:

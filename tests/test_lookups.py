@@ -101,9 +101,15 @@ def test_salted_join_spreads_a_hot_key(spark, pais):
 
 
 def test_profile_one_job_for_many(spark, pais):
-    prof = profile_dimensions({"a": (pais, "cod_pais"), "b": (pais.limit(0), "cod_pais")})
+    empty = pais.filter(F.col("cod_pais") < 0)
+    renamed = pais.select(F.col("cod_pais").alias("cod_x"), F.col("nome_pais").alias("x"))
+    dup = pais.union(pais.filter(F.col("cod_pais") == 10))
+    prof = profile_dimensions({"a": (pais, "cod_pais"), "b": (empty, "cod_pais"), "r": (renamed, "cod_x"),
+                               "d": (dup, "cod_pais")})
     assert prof["a"].rows == 2 and prof["a"].max_rows_per_key == 1 and prof["a"].size_bytes > 0
     assert prof["b"].rows == 0
+    assert prof["r"] == prof["a"]  # same table under other names: profiled once, same answer
+    assert prof["d"].rows == 3 and prof["d"].max_rows_per_key == 2
 
 
 def test_spec_prunes_left_but_never_inner(spark):
