@@ -70,11 +70,14 @@ def latest_release(parsed: DataFrame, folder_col: str = "folder") -> DataFrame:
     ``max`` over a struct is a partial aggregate: each task keeps one candidate per folder before the
     shuffle, so a folder holding most of the rows costs no more than any other.
     """
+    # Rows without a date are dropped *after* the aggregate: in a struct maximum a null date sorts below
+    # every date, so a folder's best row is dated whenever any of its rows is. (Filtering first would
+    # have Spark evaluate the whole line parse twice, once in the pushed-down filter.)
     best = F.max(F.struct(F.col("release_date"), F.col("name"))).alias("best")
     return (
-        parsed.filter(F.col("release_date").isNotNull())
-        .groupBy(folder_col)
+        parsed.groupBy(folder_col)
         .agg(best)
+        .filter(F.col("best.release_date").isNotNull())
         .select(folder_col, F.col("best.name").alias("name"), F.col("best.release_date").alias("release_date"))
     )
 
@@ -97,9 +100,9 @@ def latest_path(levels, folder_col: str = "folder") -> DataFrame:
                             folder_col, "inner")
         best = F.max(F.struct(F.col("release_date"), F.col("name"))).alias("best")
         chosen = (
-            inside.filter(F.col("release_date").isNotNull())
-            .groupBy("root", "path")
+            inside.groupBy("root", "path")
             .agg(best)
+            .filter(F.col("best.release_date").isNotNull())
             .select("root", F.concat_ws("/", "path", "best.name").alias("path"), F.col("best.name").alias("name"),
                     F.col("best.release_date").alias("release_date"))
         )
