@@ -329,11 +329,18 @@ def q_scan_headered(spark, sf):
 
 
 def q_scan_glob(spark, sf):
+    """A dump folder matched by the file glob, its part files in sub-folders; a decoy folder is skipped.
+
+    The raw rows are written once, split into sub-folders by order-key parity (every row lands in one);
+    reading the glob takes the whole folder, and the partition column it discovers is dropped by the
+    table's ordered output projection.
+    """
     raw = derive(table(spark, sf, "orders"), fx.raw_regime(fx.SPARK) + [("part", "o_orderkey % 2")])
     root = scratch_path(spark, "scan_glob")
     cols = [c for c, _ in fx.raw_regime(fx.SPARK)]
-    for part, name in ((0, "K3241.K03200Y0.D40113.SIMPLES.CSV.D40113"), (1, "K3241.K03200Y1.D40113.SIMPLES.CSV.D40114")):
-        _write_positional(raw.filter(F.col("part") == part).select(cols), f"{root}/{name}")
+    sinks.write_table(raw, f"{root}/K3241.K03200Y0.D40113.SIMPLES.CSV.D40113", mode="overwrite", fmt="csv",
+                      partition_by="part", sep=";", encoding="ISO-8859-1", quote='"', escape='"',
+                      ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
     _write_positional(raw.select(cols), f"{root}/K3241.K03200Y0.D40113.EMPRECSV")  # must not be read
     return cr.consolidate_regime(delimited.read_positional(spark, f"{root}/{cr.GLOBS['simples']}", cols))
 
@@ -461,7 +468,8 @@ def q_tiered_match(spark, sf):
 
 
 def q_incremental_ingest(spark, sf):
-    """Raw regime rows land in three drops; two availableNow runs (and an idle third) consolidate them."""
+    """Raw regime rows land in three drops (a row-hash split: every row lands in exactly one); two
+    availableNow runs and an idle third consolidate them, so the output must equal the whole table."""
     root = scratch_path(spark, "incremental")
     raw = raw_regime(spark, sf).withColumn("_drop", F.abs(F.xxhash64("cnpj", "data_inclusao_simples")) % 3)
     cols = [c for c, _ in fx.raw_regime(fx.SPARK)]
