@@ -136,3 +136,12 @@ def test_runner_with_a_text_output_format(spark, tmp_dir, company_raw):
                                  tables=("lookups", "estab"), header="true")
     back = spark.read.option("header", "true").csv(paths["df_estab"])
     assert back.count() == 1 and back.first().nome_mun == "Sao Paulo"
+
+
+def test_dropped_establishments_report(spark, company_raw):
+    from cadastro.sources import read_lookup_set, read_positional
+
+    raw = read_positional(spark, f"{company_raw}/{cr.GLOBS['estab']}", cr.ESTAB_COLUMNS)
+    mun = cr.consolidate_lookup(read_lookup_set(spark, company_raw, {"MUNIC": "mun"})["mun"], "mun")
+    dropped = cr.dropped_establishments(raw, mun)
+    assert [r.cnpj for r in dropped.collect()] == ["999"]  # the row with the unknown municipality 9999
