@@ -136,11 +136,15 @@ def expand_archives(spark: SparkSession, path: str, encoding: str = "ISO-8859-1"
     member) list is shuffled so members spread over tasks, and every task streams its member. That
     needs ``pyarrow`` to reach the storage from the executors (local/NFS, S3, GCS, HDFS with libhdfs).
     ``by_member=False`` reads each archive as one ``binaryFile`` value (any Hadoop filesystem, archives
-    up to 2 GiB). ``None`` picks streaming when the driver's ``pyarrow`` can open the path.
+    up to 2 GiB). ``None`` decides from file metadata alone (no content is read): whole archives when
+    the largest is at most ``spark.cadastro.archiveInMemoryBytes`` (default 256 MiB, a bounded load per
+    task), otherwise streaming when ``pyarrow`` can open the path.
     """
     files = spark.read.format("binaryFile").load(path)
     if by_member is None:
-        by_member = _open_storage(path) is not None
+        bound = int(spark.conf.get("spark.cadastro.archiveInMemoryBytes", str(256 << 20)))
+        largest = files.agg(F.max("length")).first()[0] or 0
+        by_member = largest > bound and _open_storage(path) is not None
     if not by_member:
         return files.select("path", "content").mapInPandas(_unpack(encoding, batch_rows), LINES_SCHEMA)
     members = files.select("path").mapInPandas(_list_members, "archive string, member string, size long")

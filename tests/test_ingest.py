@@ -49,7 +49,15 @@ def test_archives_roundtrip_and_parse(spark, tmp_dir):
     for by_member in (True, False):
         lines = archives.expand_archives(spark, f"{tmp_dir}/zips/*.zip", by_member=by_member)
         assert sorted((r.member, r.line_number, r.line) for r in lines.collect()) == expected
-    lines = archives.expand_archives(spark, f"{tmp_dir}/zips/*.zip")
+    spark.conf.set("spark.cadastro.archiveInMemoryBytes", "1")  # auto: every archive is "large" -> streaming
+    try:
+        streamed = archives.expand_archives(spark, f"{tmp_dir}/zips/*.zip")
+        assert streamed._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 2
+        assert streamed.count() == 3
+    finally:
+        spark.conf.unset("spark.cadastro.archiveInMemoryBytes")
+    lines = archives.expand_archives(spark, f"{tmp_dir}/zips/*.zip")  # small archives: loaded whole
+    assert lines._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 1
     parsed = archives.lines_to_columns(lines, ["a", "b"])
     assert sorted(tuple(r) for r in parsed.collect()) == [("1", "LOJA Ã"), ("2", "B"), ("3", "C")]
 
