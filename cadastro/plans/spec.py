@@ -66,6 +66,7 @@ def consolidate(
     *,
     options: tuple[str, ...] = (),
     how_overrides: Mapping[str, str] | None = None,
+    kind_overrides: Mapping[str, str] | None = None,
     check_unique: bool = True,
     strategy: str = "auto",
 ) -> DataFrame:
@@ -73,10 +74,11 @@ def consolidate(
 
     ``dims`` maps lookup names to frames. ``options`` switches on optional output columns
     (e.g. ``("full_id",)``). ``how_overrides`` changes a lookup's join type by dimension name
-    (e.g. ``{"mun": "left"}`` to keep establishments with an unknown municipality).
+    (e.g. ``{"mun": "left"}`` to keep establishments with an unknown municipality). ``kind_overrides``
+    changes a column's kind (e.g. ``{"capital_social": "decimal_comma"}`` for exact cents).
     """
     dims = dims or {}
-    out = raw.transform(clean_types(dict(spec.kinds)))
+    out = raw.transform(clean_types({**spec.kinds, **(kind_overrides or {})}))
     for stage in spec.rules:
         out = out.withColumns({c: rule() for c, rule in stage.items()})
 

@@ -145,3 +145,24 @@ def test_dropped_establishments_report(spark, company_raw):
     mun = cr.consolidate_lookup(read_lookup_set(spark, company_raw, {"MUNIC": "mun"})["mun"], "mun")
     dropped = cr.dropped_establishments(raw, mun)
     assert [r.cnpj for r in dropped.collect()] == ["999"]  # the row with the unknown municipality 9999
+
+
+
+def test_exact_capital_and_integer_codebook_keys(spark, company_raw, tmp_dir):
+    from cadastro.sources import read_positional
+
+    raw = read_positional(spark, f"{company_raw}/{cr.GLOBS['empresas']}", cr.EMPRESAS_COLUMNS)
+    natju = spark.createDataFrame([(2062, "Ltda")], "cod_natju int, nome_natju string")
+    quals = spark.createDataFrame([(49, "Socio")], "cod_qual_socio int, nome_qual_socio string")
+    exact = cr.consolidate_companies(raw, natju, quals, kind_overrides={"capital_social": "decimal_comma"})
+    assert str(exact.first().capital_social) == "1234567.89"  # B11: no float rounding
+
+    header = list(lf.RENAMES["estab"])
+    put(f"{tmp_dir}/k/estab/a.txt", [";".join(header), ";".join("01" if h == "região" else "3" for h in header)], "utf-8")
+    put(f"{tmp_dir}/k/estab/aux_tables/regiao.csv", ["cod_regiao,regiao", "1,NORTE"], "utf-8")
+    with pytest.warns(UserWarning):
+        text_keys = run_labour_flows(spark, f"{tmp_dir}/k", f"{tmp_dir}/k_out1", levels=("estab",))
+    with pytest.warns(UserWarning):
+        int_keys = run_labour_flows(spark, f"{tmp_dir}/k", f"{tmp_dir}/k_out2", levels=("estab",), key_as_int=True)
+    assert spark.read.parquet(text_keys["estabelecimentos"]).first().regiao is None  # '01' != '1' as text
+    assert spark.read.parquet(int_keys["estabelecimentos"]).first().regiao == "Norte"  # B7: compared as ints
