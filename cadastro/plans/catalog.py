@@ -247,6 +247,13 @@ def q_inner_lookup(spark, sf):
     return inner_lookup(_keyed_lineitem(spark, sf), lookup_dim(spark, sf, "nation", "pais"), "cod_pais")
 
 
+def q_lookup_unmatched(spark, sf):
+    """The rows an inner lookup drops (unknown or null code), as the report next to the inner join."""
+    from ..operators.lookups import unmatched
+
+    return unmatched(_keyed_lineitem(spark, sf), lookup_dim(spark, sf, "nation", "pais"), "cod_pais")
+
+
 def q_role_lookup(spark, sf):
     li = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber",

@@ -181,6 +181,11 @@ SQL["inner_lookup"] = f"""
 WITH {_KEYED_LI}, {lookup_cte('d', 'nation', 'pais')}
 SELECT f.l_orderkey, f.l_linenumber, f.cod_pais, d.nome_pais FROM f JOIN d ON f.cod_pais = d.cod_pais"""
 
+SQL["lookup_unmatched"] = f"""
+WITH {_KEYED_LI}, {lookup_cte('d', 'nation', 'pais')}
+SELECT f.l_orderkey, f.l_linenumber, f.cod_pais FROM f
+WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.cod_pais = f.cod_pais)"""
+
 SQL["role_lookup"] = f"""
 WITH f AS (SELECT l_orderkey, l_linenumber, CAST(l_suppkey % 25 AS INTEGER) AS cod_qual_socio,
     CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE CAST(l_partkey % 30 AS INTEGER) END AS cod_qual_socio_rep_legal
