@@ -87,3 +87,19 @@ def test_stage_roundtrip_and_drop(spark, tmp_dir):
     assert st.read().count() == 10
     st.drop()
     assert not path_exists(spark, st.path)
+
+
+def test_spread_small_scan_only_when_the_scan_cannot_parallelise(spark, tmp_dir):
+    from cadastro.sources import spread_small_scan
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+    one_big_file = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet")  # one file, one row group
+    assert exchanges(spread_small_scan(one_big_file)) == 1
+    slots = spark.sparkContext.defaultParallelism
+    write_table(one_big_file, f"{tmp_dir}/many", mode="overwrite", n_partitions=slots)
+    many_files = spark.read.parquet(f"{tmp_dir}/many")
+    assert spread_small_scan(many_files) is many_files  # already splits into enough tasks: untouched
+    tiny = spark.read.parquet("/root/testdata/sf0.1/nation.parquet")
+    assert spread_small_scan(tiny) is tiny  # below the size floor: not worth a shuffle
