@@ -28,3 +28,20 @@ def test_query_matches_oracle(spark, con, name):
     dh, dcols = digest(dcols, drows)
     assert scols == dcols
     assert sh == dh
+
+
+ANSI_SENSITIVE = ["lenient_int", "lenient_date", "code_label_text", "split_take", "consolidate_establishments",
+                  "consolidate_movements", "parse_listing"]
+
+
+@pytest.mark.parametrize("name", ANSI_SENSITIVE)
+def test_same_results_with_ansi_off(spark, con, name):
+    """The lenient forms are try_* expressions: results do not depend on the session's ANSI mode."""
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = entry.queries()[name](spark, SF01)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    res = con.execute(entry.oracle_sql()[name])
+    assert digest(df.columns, srows) == digest([d[0] for d in res.description], res.fetchall())
