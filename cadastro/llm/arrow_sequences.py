@@ -4,8 +4,8 @@ Layout of an output folder (one shard per task, shards in document order):
 
 * ``shard-00012.sequences.arrow``: Arrow IPC file; every record batch holds ``batch_sequences`` rows of
   ``ids`` (fixed-size list of ``seq_len`` unsigned ints, two bytes where the vocabulary fits, else four)
-  and ``mask`` (fixed-size list of ``seq_len`` uint8: 1 for an id, 0 for padding). The values of a batch
-  are one flat buffer, so sequence ``s`` of a memory-mapped file is a numpy view at row
+  and ``mask`` (fixed-size list of ``seq_len`` booleans, a bit each: true for an id, false for padding). The
+  values of a batch are one flat buffer, so sequence ``s`` of a memory-mapped file is a numpy view at row
   ``s % batch_sequences`` of batch ``s // batch_sequences``: nothing is parsed or copied.
 * ``shard-00012.documents.arrow``: Arrow IPC file with the documents of the shard in order: id, ``start``
   (ids of the shard before it) and ``n_tokens``.
@@ -63,7 +63,7 @@ class _Target:
 
 def _sequence_schema(dtype: np.dtype, seq_len: int) -> pa.Schema:
     return pa.schema([("ids", pa.list_(pa.field("item", pa.from_numpy_dtype(dtype)), seq_len)),
-                      ("mask", pa.list_(pa.field("item", pa.uint8()), seq_len))])
+                      ("mask", pa.list_(pa.field("item", pa.bool_()), seq_len))])
 
 
 class _ShardWriter:
@@ -96,8 +96,8 @@ class _ShardWriter:
     def _flush(self) -> None:
         rows = -(-self.filled // self.seq_len)
         values = self.buffer[:rows * self.seq_len]
-        mask = np.ones(len(values), np.uint8)
-        values[self.filled:], mask[self.filled:] = 0, 0
+        mask = np.ones(len(values), bool)
+        values[self.filled:], mask[self.filled:] = 0, False
         self.seqs.writer.write_batch(pa.RecordBatch.from_arrays(
             [pa.FixedSizeListArray.from_arrays(pa.array(x), self.seq_len) for x in (values, mask)], schema=self.seq_schema))
         self.n_sequences += rows
@@ -177,19 +177,19 @@ class SequenceReader:
         self.file = open_arrow(folder, name)
         self.seq_len = self.file.schema.field("ids").type.list_size
         self.batch_sequences = self.file.get_batch(0).num_rows if self.file.num_record_batches else 1
-        self.held: tuple[int, np.ndarray, np.ndarray] = (-1, np.empty(0), np.empty(0))
+        self.held: tuple[int, np.ndarray, pa.BooleanArray] = (-1, np.empty(0), pa.array([], pa.bool_()))
 
-    def _batch(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def _batch(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
         if self.held[0] != k:
             batch = self.file.get_batch(k)
-            self.held = (k, *(batch.column(c).flatten().to_numpy(zero_copy_only=True) for c in (0, 1)))
+            self.held = (k, batch.column(0).flatten().to_numpy(zero_copy_only=True), batch.column(1).flatten())
         return self.held[1:]
 
-    def sequence(self, s: int) -> tuple[np.ndarray, np.ndarray]:
+    def sequence(self, s: int) -> tuple[np.ndarray, pa.BooleanArray]:
         """(ids, mask) of sequence ``s`` as views of the file."""
         ids, mask = self._batch(s // self.batch_sequences)
         at = s % self.batch_sequences * self.seq_len
-        return ids[at:at + self.seq_len], mask[at:at + self.seq_len]
+        return ids[at:at + self.seq_len], mask.slice(at, self.seq_len)
 
     def stream(self, start: int, length: int):
         """Views that make up ids ``start`` to ``start + length`` of the shard, batch by batch."""
@@ -198,7 +198,7 @@ class SequenceReader:
             ids, mask = self._batch(start // room)
             at = start % room
             taken = min(length, room - at)
-            if not mask[at:at + taken].all():
+            if mask.slice(at, taken).true_count != taken:
                 raise ValueError("a document reaches into padding: the shard is damaged")
             yield ids[at:at + taken]
             start, length = start + taken, length - taken
