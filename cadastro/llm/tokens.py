@@ -13,6 +13,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -20,12 +22,12 @@ import numpy as np
 # Pieces of letters and ASCII signs for which Python's character classes are those of the tokenizer.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[ \n]?[!-~{_LETTER}]+")
+_LETTERS = re.compile(rf"[{_LETTER}]+")
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 _BYTE_LEVEL_SPLIT = re.compile(rf"{_CONTRACTIONS}| ?[{_LETTER}]+| ?[0-9]+| ?[^\s0-9{_LETTER}]+|\s")
 _WORD_SPLIT = re.compile(rf"{_CONTRACTIONS}|[{_LETTER}]+|[0-9]|[^0-9{_LETTER}]+")
-# Blanks other than single inner spaces and line feeds: such texts are not cut into pieces.
-_UNEVEN = re.compile("[^\\S \n]|[\x1c-\x1f᠎​﻿]|[ \n][ \n]|^[ \n]|[ \n]\\Z")
-_ODD_BLANK = re.compile("[^\\S \n\r\t]|[\x1c-\x1f᠎]")
+# Invisible characters that some Unicode tables count as blanks: texts with them are not cut into pieces.
+_DOUBTFUL = ("\u180e", "\u200b", "\ufeff")
 _SAFE_CUT = re.compile(r"(?<=[!-~])(?= [!-~])")
 
 SEGMENT_CHARS = 1 << 18
@@ -65,7 +67,7 @@ class Encoder:
     ``cache_pieces`` bounds each of the two cache generations; it changes speed, never ids.
     """
 
-    def __init__(self, tokenizer_json: str, cache_pieces: int = 250_000):
+    def __init__(self, tokenizer_json: str, cache_pieces: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -79,6 +81,8 @@ class Encoder:
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         chars = _byte_chars()
         self.mapping = {c: "".join(chars[b] for b in chr(c).encode()) for c in range(256)}
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
+        self.marks: dict[str, bytes] = {}
         make = {"byte_level": self._byte_level_piece, "words": self._word_piece}.get(self.kind)
         self.pieces = _Pieces(make, {}) if make else None
 
@@ -94,16 +98,25 @@ class Encoder:
     def _segment(self, text: str) -> bytes:
         if not self.kind or (self.special and self.special.search(text)):
             return self._whole(text)
+        # A text may start with a blank only where a longer text was cut before a space.
+        led = self.kind == "byte_level" and text[:1] == " "
+        body = text[1:] if led else text
+        words = body.split()
+        blanks = len(body) - sum(map(len, words))
+        if not body.isascii() and any(c in body for c in _DOUBTFUL):
+            return self._whole(text)
         if self.kind == "byte_level":
-            # A text may start with a blank only where a longer text was cut before a space.
-            rest = text[1:] if text[:1] == " " else text
-            if _UNEVEN.search(rest):
+            # Every blank a single inner space or line feed, else the cut might matter.
+            if (led and not body) or body and (blanks != len(words) - 1 or blanks != body.count(" ") + body.count("\n")):
                 return self._whole(text)
-            pieces = ((rest if rest is not text else "\r" + text).replace("\n", " \n")).split(" ")
+            pieces = words if "\n" not in body else body.replace("\n", " \n").split(" ")
+            if not led:
+                pieces = pieces or [""]
+                pieces[0] = "\r" + pieces[0]
         else:
-            if _ODD_BLANK.search(text):
+            if blanks != body.count(" ") + body.count("\n") + body.count("\t") + body.count("\r"):
                 return self._whole(text)
-            pieces = text.split()
+            pieces = words
         ids = b"".join(map(self.pieces.__getitem__, pieces))
         if len(self.pieces) > self.cache_pieces:
             self.pieces = _Pieces(self.pieces.encode, dict(self.pieces))
@@ -117,20 +130,40 @@ class Encoder:
         parts = _segments(text, 1 << 14) if self.kind and len(text) > 1 << 14 else [text]
         return b"".join(self._bytes(self.library.encode(p, add_special_tokens=False).ids) for p in parts)
 
-    def _model(self, pretokens: Iterable[str]) -> bytes:
-        tokenize, mapping = self.library.model.tokenize, self.mapping
-        return self._bytes(t.id for p in pretokens for t in tokenize(p.translate(mapping)))
+    def _pretoken(self, pretoken: str) -> bytes:
+        """Ids of one pre-token, by the library's model."""
+        mapped = pretoken.replace(" ", self.mapping[32]) if pretoken.isascii() and pretoken.isprintable() else pretoken.translate(self.mapping)
+        ids = array(self.code, [t.id for t in self.library.model.tokenize(mapped)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def _mark(self, pretoken: str) -> bytes:
+        """The same through a small cache, for the signs and digits around words."""
+        ids = self.marks.get(pretoken)
+        if ids is None:
+            if len(self.marks) > 50_000:
+                self.marks.clear()
+            ids = self.marks[pretoken] = self._pretoken(pretoken)
+        return ids
 
     def _byte_level_piece(self, piece: str) -> bytes:
         """``\\r`` marks the start of a text; a piece not after a line feed follows a space."""
+        if piece.isalpha() and (piece.isascii() or _LETTERS.fullmatch(piece)):
+            return self._pretoken(" " + piece)
         text = piece[1:] if piece[:1] == "\r" else piece if piece[:1] == "\n" else " " + piece
         if _PLAIN.fullmatch(text):
-            return self._model(_BYTE_LEVEL_SPLIT.findall(text))
+            parts = _BYTE_LEVEL_SPLIT.findall(text)
+            # A word led by a space is a piece of its own; it is cached as such.
+            return b"".join([self.pieces[p[1:]] if p[0] == " " and p[1:].isalpha() and len(parts) > 1 else self._mark(p) for p in parts])
         return self._bytes(self.library.encode(text, add_special_tokens=False).ids) if text else b""
 
     def _word_piece(self, piece: str) -> bytes:
+        if piece.isalpha() and (piece.isascii() or _LETTERS.fullmatch(piece)):
+            return self._pretoken(piece.lower())
         if _PLAIN.fullmatch(piece):
-            return self._model(_WORD_SPLIT.findall(piece.lower()))
+            parts = _WORD_SPLIT.findall(piece.lower())
+            return b"".join([self.pieces[p] if len(p) > 2 and p != piece and p.isalpha() else self._mark(p) for p in parts])
         return self._bytes(self.library.encode(piece, add_special_tokens=False).ids)
 
 
@@ -178,7 +211,7 @@ def id_width(tokenizer_json: str) -> int:
 _ENCODERS: dict[tuple[int, int], Encoder] = {}
 
 
-def encoder(tokenizer_json: str, cache_pieces: int = 250_000) -> Encoder:
+def encoder(tokenizer_json: str, cache_pieces: int = 600_000) -> Encoder:
     """The worker's encoder for a tokenizer: built once, its cache kept from task to task."""
     key = (hash(tokenizer_json), cache_pieces)
     if key not in _ENCODERS:
