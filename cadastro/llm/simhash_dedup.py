@@ -5,8 +5,8 @@
    before anything else, so thousands of exact copies are one row from here on.
 2. Candidates. The 64 bits are cut into ``blocks`` blocks. Two fingerprints that differ in at most
    ``max_distance`` bits agree in at least ``blocks - max_distance`` whole blocks, so every linked pair
-   meets in a bucket keyed by one choice of that many blocks: no link can be missed. The number of blocks
-   is the least for which random fingerprints would share a bucket with few others, from their count.
+   meets in a bucket keyed by one choice of that many blocks: no link can be missed. ``blocks`` (6: 15 keys
+   of 21 bits) trades keys for smaller buckets: 7 gives 35 keys of 27 bits, 8 gives 70 of 32.
 3. Pivot tables. A task holds, for the members of its buckets, a table of Hamming distances to many fixed
    reference fingerprints. As |d(a, p) - d(b, p)| <= d(a, b), a pair whose coordinates differ by more
    than ``max_distance`` anywhere is discarded. Only survivors are verified on their bits.
@@ -33,6 +33,7 @@ from ._common import append_columns, materialise
 SEED = 42
 WORDS = 4
 MAX_DISTANCE = 4
+BLOCKS = 6
 PIVOTS = 32
 _TILE = 1024
 
@@ -79,14 +80,6 @@ def block_masks(blocks: int, max_distance: int) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def choose_blocks(n: int, max_distance: int, expected: int = 16) -> int:
-    """The least number of blocks for which a bucket would hold ``expected`` of n random fingerprints."""
-    for blocks in range(max_distance + 1, max_distance + 6):
-        if n / 2 ** (64 * (blocks - max_distance) // blocks) <= expected:
-            return blocks
-    return max_distance + 5
-
-
 def _linked(bits: np.ndarray, table: np.ndarray, a: np.ndarray, b: np.ndarray, max_distance: int) -> np.ndarray:
     """Which of the candidate pairs (a[i], b[i]) are linked: pivot filter first, then the bits."""
     left = np.arange(len(a))
@@ -188,10 +181,10 @@ def _bucket_links(max_distance: int, n_pivots: int):
     return run
 
 
-def near_links(prints: DataFrame, *, max_distance: int = MAX_DISTANCE, n_pivots: int = PIVOTS, bucket_rows: int = 4096) -> DataFrame:
+def near_links(prints: DataFrame, *, max_distance: int = MAX_DISTANCE, blocks: int = BLOCKS, n_pivots: int = PIVOTS,
+               bucket_rows: int = 4096) -> DataFrame:
     """Links (u, v) with u > v that connect exactly the groups of ``prints`` (id, bits; bits distinct)."""
-    n = prints.count()
-    masks = block_masks(choose_blocks(n, max_distance), max_distance)
+    masks = block_masks(blocks, max_distance)
     keyed = prints.select(
         "id", "bits", F.explode(F.array(*[F.struct(F.lit(k).alias("choice"), F.col("bits").bitwiseAND(F.lit(m)).alias("key"))
                                           for k, m in enumerate(masks)])).alias("b")).select("b.choice", "b.key", "id", "bits")
