@@ -38,26 +38,31 @@ def _decomposition_table(blocks=LATIN_BLOCKS):
     return single, multi
 
 
-# Latin letters without a decomposition and common symbols, with their ASCII spelling.
+# Letters without a decomposition and the signs of Latin-1 (all of U+00A0 to U+00BF, and the
+# two operators), plus common punctuation beyond it, with their ASCII spelling.
 EXTRA_FOLDS = {
     "ß": "ss", "Æ": "AE", "æ": "ae", "Ð": "D", "ð": "d", "Ø": "O", "ø": "o", "Þ": "Th", "þ": "th",
     "Đ": "D", "đ": "d", "Ħ": "H", "ħ": "h", "ı": "i", "ĸ": "q", "Ŀ": "L", "ŀ": "l", "Ł": "L", "ł": "l",
     "Ŋ": "NG", "ŋ": "ng", "Œ": "OE", "œ": "oe", "Ŧ": "T", "ŧ": "t", "ƒ": "f",
-    " ": " ", "¡": "!", "¿": "?", "«": "<<", "»": ">>", "°": "deg", "©": "(c)", "®": "(r)",
-    "×": "x", "÷": "/", "¹": "1", "²": "2", "³": "3", "–": "-", "—": "--", "‘": "'", "’": "'",
-    "“": '"', "”": '"', "…": "...", "€": "EUR", "§": "SS",
+    "\u00a0": " ", "¡": "!", "¢": "C/", "£": "PS", "¤": "$?", "¥": "Y=", "¦": "|", "§": "SS",
+    "¨": '"', "©": "(c)", "ª": "a", "«": "<<", "¬": "!", "\u00ad": "", "®": "(r)", "¯": "-",
+    "°": "deg", "±": "+-", "²": "2", "³": "3", "´": "'", "µ": "u", "¶": "P", "·": "*",
+    "¸": ",", "¹": "1", "º": "o", "»": ">>", "¼": " 1/4 ", "½": " 1/2 ", "¾": " 3/4 ", "¿": "?",
+    "×": "x", "÷": "/", "–": "-", "—": "--", "‘": "'", "’": "'", "“": '"', "”": '"', "…": "...", "€": "EUR",
 }
 
 
 def _fold_tables():
     single, multi = _decomposition_table()
+    dropped = "".join(ch for ch, rep in EXTRA_FOLDS.items() if not rep)
     for ch, rep in EXTRA_FOLDS.items():
-        (single if len(rep) == 1 else multi)[ch] = rep
+        if rep:
+            (single if len(rep) == 1 else multi)[ch] = rep
     mapped = "".join(single)
     marks = "".join(chr(cp) for cp in range(COMBINING_MARKS[0], COMBINING_MARKS[1] + 1)
                     if unicodedata.combining(chr(cp)))
     # translate deletes source characters past the end of the replacement string: the marks go last
-    return mapped + marks, "".join(single[ch] for ch in mapped), tuple(multi.items())
+    return mapped + marks + dropped, "".join(single[ch] for ch in mapped), tuple(multi.items())
 
 
 _FOLD_SRC, _FOLD_DST, _FOLD_MULTI = _fold_tables()

@@ -120,3 +120,12 @@ def test_lenient_parsers_never_raise(spark, texts):
     df = one_col(spark, texts)
     df.select(cf.lenient_int("x"), cf.lenient_date("x"), cf.year_month("x"), cf.lenient_double("x"),
               cf.decimal_comma("x"), cf.clean_text("x")).collect()
+
+
+def test_every_printable_latin1_character_folds_to_ascii(spark):
+    chars = [chr(c) for c in range(0xA0, 0x100)]
+    got = [r[0] for r in one_col(spark, chars).select(cf.ascii_fold("x")).collect()]
+    assert all(s.isascii() for s in got)
+    assert "".join(got[0x0A:0x0B] + got[0x1A:0x1B]) == "ao"  # the ordinals of everyday addresses
+    row = one_col(spark, ["1º andar 2ª casa, D´Oeste ½"]).select(cf.clean_text("x")).first()[0]
+    assert row == "1o Andar 2a Casa, D'oeste  1/2"
