@@ -5,14 +5,16 @@ tables (never over the fact table) that returns, per dimension, its row count, t
 rows sharing one key and an upper bound of its size in bytes. From that:
 
 * a duplicate key is rejected (it would silently multiply fact rows);
-* the dimension is broadcast only when its measured size is under ``spark.cadastro.broadcastMaxBytes``
-  (default 64 MiB); above it the join is a *salted* shuffle join: each fact row gets a salt in
-  ``[0, S)`` from a hash of the row (``spark.cadastro.saltBuckets``, default 16) and the dimension is
-  replicated once per salt, so a hot key on the fact side (a third of all rows on one code is normal in registry data: one big
-  city, one legal nature) is spread over S reducers. Keys are unique, so every fact row still meets
+* the dimension is broadcast only when an upper bound of its size in memory is under
+  ``spark.cadastro.broadcastMaxBytes`` (default 64 MiB); a forced broadcast above the bound is an error.
+  Above it the join is a *salted* shuffle join. The keys that hold more than a 256th of the fact rows are
+  measured (one partial aggregate over the key column alone, at most 255 of them); only their rows get a
+  salt, from a hash of the row, over as many buckets as their share calls for, and only their dimension
+  rows are replicated. A key with a third of all rows (one big city, one legal nature) is thus spread over
+  86 reducers while the rest of the dimension moves once. Keys are unique, so every fact row still meets
   exactly one dimension row: no pair explosion, no row lost. AQE's skew-join splitting stays on as well.
 
-The fact table is never collected, counted or sampled.
+The fact table is never collected or sampled.
 """
 
 from __future__ import annotations
@@ -52,6 +54,28 @@ def broadcast_max_bytes(spark) -> int:
     return int(spark.conf.get("spark.cadastro.broadcastMaxBytes", str(DEFAULT_BROADCAST_MAX_BYTES)))
 
 
+# Upper bound of what a broadcast hash table adds to a row: pointer array slots (16 bytes at half load,
+# doubled while growing), the key copied beside the row, lengths and alignment.
+HASH_ROW_BYTES = 96
+
+
+def row_bytes(df: DataFrame) -> F.Column:
+    """Upper bound of the bytes a row of ``df`` takes in a broadcast hash table: a null-bit word per 64
+    columns, 8 bytes per column whether null or not, all variable-length data (padded to 8), the hash
+    table's own share. Nested columns count by their JSON text, 8 bytes per character."""
+    fixed = 8 * len(df.columns) + 8 * -(-len(df.columns) // 64) + HASH_ROW_BYTES
+    total = F.lit(fixed).cast("long")
+    for field in df.schema.fields:
+        kind, c = field.dataType.typeName(), F.col("`" + field.name.replace("`", "``") + "`")
+        if kind in ("string", "varchar", "char", "binary"):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        elif kind == "decimal":
+            total = total + 16
+        elif kind in ("array", "map", "struct", "variant"):
+            total = total + 8 * F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)) + 64
+    return total
+
+
 def profile_dimensions(dims: Mapping[str, tuple[DataFrame, str]]) -> dict[str, DimensionProfile]:
     """Profile several lookup tables in one job: ``{name: (dimension_df, key_column)}``.
 
@@ -63,11 +87,7 @@ def profile_dimensions(dims: Mapping[str, tuple[DataFrame, str]]) -> dict[str, D
     # names, as in a star of codebooks cut from one source) are profiled once.
     groups: list[tuple[str, DataFrame, list[str]]] = []
     for name, (df, key) in dims.items():
-        proj = df.select(
-            F.col(key).cast("string").alias("k"),
-            F.octet_length(F.to_json(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)])))
-            .cast("long").alias("b"),
-        )
+        proj = df.select(F.col(key).cast("string").alias("k"), row_bytes(df).alias("b"))
         digest = proj.semanticHash()
         for rep_name, rep, members in groups:
             if rep.semanticHash() == digest and rep.sameSemantics(proj):
@@ -98,35 +118,60 @@ def _check_unique(name: str, profile: DimensionProfile) -> None:
 STRATEGIES = ("auto", "broadcast", "shuffle", "salted")
 
 
-def salt_buckets(spark) -> int:
-    return int(spark.conf.get("spark.cadastro.saltBuckets", "16"))
+class BroadcastBoundError(ValueError):
+    """A broadcast was asked for a lookup side above the broadcast bound."""
 
 
 def _choose(dim: DataFrame, profile: DimensionProfile | None, strategy: str) -> str:
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
+    bound = broadcast_max_bytes(dim.sparkSession)
+    if strategy == "broadcast" and (profile is None or not profile.broadcastable(bound)):
+        raise BroadcastBoundError(f"lookup side of {profile and profile.size_bytes} bytes is over the bound of {bound}")
     if strategy != "auto":
         return strategy
-    if profile is not None and profile.broadcastable(broadcast_max_bytes(dim.sparkSession)):
+    if profile is not None and profile.broadcastable(bound):
         return "broadcast"
     log.info("lookup side of %s bytes is over the broadcast bound; using a salted shuffle join",
              profile and profile.size_bytes)
-    return "salted" if salt_buckets(dim.sparkSession) > 1 else "shuffle"
+    return "salted"
+
+
+# A key with more than 1/HOT_SHARE of the fact rows is salted, over one bucket per such share.
+HOT_SHARE = 256
+
+
+def hot_keys(fact: DataFrame, key: str, share: int = HOT_SHARE) -> dict:
+    """``{key value: buckets}`` of the keys that hold more than ``1/share`` of the rows: fewer than
+    ``share`` of them, whatever the data. Reads the key column only, with a partial aggregate."""
+    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = fact.count()
+    heavy = counts.where(F.col("n") * share > F.lit(total)).collect() if total else []
+    return {r[key]: -(-r["n"] * share // total) for r in heavy}
 
 
-def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str, buckets: int) -> DataFrame:
-    """Shuffle join on ``(key, salt)`` with the unique-keyed ``dim`` replicated over ``buckets`` salts.
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, how: str, hot: dict | None = None) -> DataFrame:
+    """Shuffle join on ``(key, salt)``: rows of hot keys get a salt, and their ``dim`` row is replicated.
 
-    The fact salt is a hash of the whole row modulo ``buckets``: it depends on the row's content only,
-    never on row order, so a map task recomputed after an executor loss sends every row to the same
-    reducer as before and shuffle retries stay exact. Rows that differ anywhere spread over the salts;
-    a hot group of *identical* copies hashes to one salt, and AQE's skew-join split (which cuts a
-    partition by map blocks, not by content) spreads that remainder. Null keys keep their row in a left
-    join and never match, as without salting.
+    ``hot`` maps a key to its number of salts (:func:`hot_keys`, measured when not given; a streaming fact
+    cannot be measured and is joined unsalted). The salt is a hash of the whole row modulo the key's
+    buckets: it depends on the row's content only, never on row order, so a map task recomputed after an
+    executor loss sends every row to the same reducer as before and shuffle retries stay exact. Copies of
+    one row hash to one salt; AQE's skew-join split, which cuts a partition by map blocks, spreads those.
+    Null keys keep their row in a left join and never match, as without salting.
     """
+    if hot is None:
+        hot = {} if fact.isStreaming else hot_keys(fact, key)
+    if not hot:
+        return fact.join(dim, key, how)
     salt = "_cadastro_salt"
-    salted_fact = fact.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(buckets)))
-    replicated = dim.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
+    buckets = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+    of = lambda c: F.coalesce(F.try_element_at(buckets, c), F.lit(1))
+    as_type = dict(fact.dtypes)[key]
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), of(F.col(key)))
+    salted_fact = fact.withColumn(salt, F.when(F.col(key).isNull(), F.lit(0)).otherwise(spread).cast("long"))
+    replicated = dim.withColumn(salt, F.explode(F.sequence(
+        F.lit(0).cast("long"), F.coalesce(of(F.col(key).cast(as_type)), F.lit(1)).cast("long") - 1)))
     return salted_fact.join(replicated, [key, salt], how).drop(salt)
 
 
@@ -147,7 +192,7 @@ def lookup(
     """
     if how not in ("left", "inner"):
         raise ValueError("lookup joins are 'left' or 'inner'")
-    if profile is None and (check_unique or strategy == "auto"):
+    if profile is None and (check_unique or strategy in ("auto", "broadcast")):
         profile = profile_dimensions({name or key: (dim, key)})[name or key]
     if check_unique and profile is not None:
         _check_unique(name or key, profile)
@@ -155,7 +200,7 @@ def lookup(
     if chosen == "salted":
         if not check_unique:
             raise ValueError("a salted lookup needs unique dimension keys; keep check_unique=True")
-        return salted_join(fact, dim, key, how, salt_buckets(dim.sparkSession))
+        return salted_join(fact, dim, key, how)
     return fact.join(F.broadcast(dim) if chosen == "broadcast" else dim, key, how)
 
 
@@ -170,11 +215,11 @@ def inner_lookup(fact: DataFrame, dim: DataFrame, key: str, **kw) -> DataFrame:
 def unmatched(fact: DataFrame, dim: DataFrame, key: str, strategy: str = "auto", profile=None) -> DataFrame:
     """Fact rows an inner lookup would drop (null or unknown key), as a lazy ``left_anti`` join."""
     keys = dim.select(key)
-    if profile is None and strategy == "auto":
-        profile = profile_dimensions({key: (dim, key)})[key]
+    if profile is None and strategy in ("auto", "broadcast"):
+        profile = profile_dimensions({key: (keys, key)})[key]
     chosen = _choose(keys, profile, strategy)
     if chosen == "salted":
-        return salted_join(fact, keys, key, "left_anti", salt_buckets(dim.sparkSession))
+        return salted_join(fact, keys, key, "left_anti")
     return fact.join(F.broadcast(keys) if chosen == "broadcast" else keys, key, "left_anti")
 
 
@@ -211,7 +256,7 @@ def star_lookup(
     absent = [n for n in wanted if codebooks.get(n) is None]
     if absent and missing == "error":
         raise KeyError(f"codebooks not available: {absent}")
-    profiles = profile_dimensions({n: (df, key_prefix + n) for n, df in present.items()}) if (check_unique or strategy == "auto") else {}
+    profiles = profile_dimensions({n: (df, key_prefix + n) for n, df in present.items()}) if (check_unique or strategy in ("auto", "broadcast")) else {}
     out = fact
     for name in wanted:
         key = key_prefix + name

@@ -81,7 +81,7 @@ def tiered_match(addresses: DataFrame, gazetteer: DataFrame, *, street: str, zip
         )
         for t in TIERS
     }
-    profiles = profile_dimensions({t: (d, f"{t}_key") for t, d in tiers.items()}) if strategy == "auto" else {}
+    profiles = profile_dimensions({t: (d, f"{t}_key") for t, d in tiers.items()}) if strategy in ("auto", "broadcast") else {}
     out = addresses.withColumns({f"{t}_key": k for t, k in keys.items()})
     for t in TIERS:
         out = lookup(out, tiers[t], f"{t}_key", "left", strategy=strategy, profile=profiles.get(t), name=t)

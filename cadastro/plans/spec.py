@@ -95,7 +95,7 @@ def consolidate(
     # one profile per base dimension: a role-playing copy has the same rows, bytes and key multiplicity
     base = {lk.dimension: (dims[lk.dimension], lk.key.removesuffix(lk.suffix) if lk.suffix else lk.key)
             for lk, _, _ in needed}
-    profiles = profile_dimensions(base) if needed and (check_unique or strategy == "auto") else {}
+    profiles = profile_dimensions(base) if needed and (check_unique or strategy in ("auto", "broadcast")) else {}
     for lk, dim, how in needed:
         name = f"{lk.dimension}{lk.suffix}"
         out = lookup(out, dim, lk.key, how, check_unique=check_unique, strategy=strategy,

@@ -87,7 +87,7 @@ def test_salted_join_spreads_a_hot_key(spark, pais):
 
     hot = spark.range(10_000).select(F.col("id").cast("int").alias("id"),
                                      F.when(F.col("id") % 3 == 0, 99).otherwise(10).alias("cod_pais"))
-    out = salted_join(hot.repartition(8), pais, "cod_pais", "left", 8)
+    out = salted_join(hot.repartition(8), pais, "cod_pais", "left")
     assert out.count() == 10_000
     assert out.filter(F.col("nome_pais") == "Brasil").count() == 6_666
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -96,7 +96,7 @@ def test_salted_join_spreads_a_hot_key(spark, pais):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(per_task) > 1  # the hot key landed on more than one reducer
-    gone = salted_join(hot, pais, "cod_pais", "left_anti", 8)
+    gone = salted_join(hot, pais, "cod_pais", "left_anti")
     assert gone.count() == 3_334 and gone.columns == ["cod_pais", "id"]  # same order as an unsalted USING join
 
 
@@ -139,3 +139,30 @@ def test_left_lookup_preserves_rows_and_inner_is_left_minus_unmatched(spark, cod
     expected_inner = sum(1 for c in codes if c is not None and c % 3 == 0)
     assert inner_lookup(fact, dim, "cod_pais").count() == expected_inner
     assert unmatched(fact, dim, "cod_pais").count() == len(codes) - expected_inner
+
+
+def test_size_bound_is_never_below_the_row_size(spark):
+    """Null-heavy, numeric and text-heavy dimensions against the rows Spark itself would broadcast."""
+    from cadastro.operators.lookups import BroadcastBoundError
+
+    nulls = spark.range(1000).select("id", *[F.lit(None).cast("long").alias(f"n{i}") for i in range(30)])
+    numbers = spark.range(1000).select("id", *[F.rand(i).alias(f"n{i}") for i in range(8)])
+    texts = spark.range(1000).select("id", F.repeat(F.lit("é"), 50).alias("t"))
+    prof = profile_dimensions({"a": (nulls, "id"), "b": (numbers, "id"), "c": (texts, "id")})
+    assert prof["a"].size_bytes >= 1000 * (8 + 31 * 8) and prof["b"].size_bytes >= 1000 * (8 + 9 * 8)
+    assert prof["c"].size_bytes >= 1000 * (8 + 2 * 8 + 104)
+    spark.conf.set("spark.cadastro.broadcastMaxBytes", "1000")
+    try:
+        with pytest.raises(BroadcastBoundError):
+            left_lookup(numbers.select("id"), numbers, "id", strategy="broadcast")
+    finally:
+        spark.conf.unset("spark.cadastro.broadcastMaxBytes")
+
+
+def test_only_hot_keys_are_salted(spark):
+    from cadastro.operators.lookups import hot_keys
+
+    fact = spark.range(30_000).select(F.expr("CASE WHEN id % 3 = 0 THEN -1 WHEN id % 7 = 1 THEN NULL ELSE id END").alias("k"))
+    hot = hot_keys(fact, "k")
+    assert set(hot) == {-1} and 80 <= hot[-1] <= 90
+    assert hot_keys(fact.limit(0), "k") == {}
