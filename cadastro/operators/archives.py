@@ -1,8 +1,8 @@
-"""Zip archives as a Spark job: list archives -> spread members over tasks -> stream lines.
+"""Zip archives as a Spark job: list archives -> deal members to tasks -> stream lines.
 
-Members are streamed line by line and emitted in bounded batches, so neither an archive nor a member is
-ever held whole in memory (streaming mode, see :func:`expand_archives`); the portable fallback reads each
-archive as one ``binaryFile`` value (at most 2 GiB). One member is one deflate stream and so one task.
+One path for archives of any size: the archive list comes from ``binaryFile`` without content, each zip's
+directory is read once, and every member (one deflate stream, so one task) is opened by its directory
+entry and streamed line by line in bounded batches. Neither an archive nor a member is ever held whole.
 The lines can be parsed with ``from_csv`` or staged as parquet.
 """
 
@@ -13,41 +13,14 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LINES_SCHEMA = "archive string, member string, line_number long, line string"
-
-
-def _unpack(encoding: str, batch_rows: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = {"archive": [], "member": [], "line_number": [], "line": []}
-
-        def flush():
-            out = pd.DataFrame(cols)
-            for v in cols.values():
-                v.clear()
-            return out
-
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    for info in zf.infolist():
-                        if info.is_dir():
-                            continue
-                        with zf.open(info) as raw:
-                            text = io.TextIOWrapper(raw, encoding=encoding, newline="")
-                            for n, line in enumerate(_lines(text)):
-                                cols["archive"].append(path)
-                                cols["member"].append(info.filename)
-                                cols["line_number"].append(n)
-                                cols["line"].append(line)
-                                if len(cols["line"]) >= batch_rows:
-                                    yield flush()
-        if cols["line"]:
-            yield flush()
-
-    return run
+MEMBERS_SCHEMA = "archive string, entry int, member string, size long"
+# Bytes of members dealt to a task, and tasks per slot at least, so unequal members even out.
+TASK_BYTES = 128 << 20
 
 
 def _lines(text: io.TextIOWrapper):
@@ -62,93 +35,66 @@ def _lines(text: io.TextIOWrapper):
 
 
 def _open_storage(uri: str):
-    """(pyarrow filesystem, path inside it) for a Spark file URI, or None when pyarrow cannot open it."""
+    """(pyarrow filesystem, path inside it) for a Spark file URI."""
     from pyarrow import fs as pafs
 
     if uri.startswith("file:"):
         return pafs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
     if "://" not in uri:
         return pafs.LocalFileSystem(), uri
-    try:
-        return pafs.FileSystem.from_uri(uri)
-    except Exception:  # noqa: BLE001 - scheme or credentials not available to pyarrow
-        return None
+    return pafs.FileSystem.from_uri(uri)
 
 
 def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = []
         for path in batch["path"]:
             filesystem, inner = _open_storage(path)
             with filesystem.open_input_file(inner) as fh, zipfile.ZipFile(fh) as zf:  # reads the directory only
-                rows += [(path, i.filename, i.file_size) for i in zf.infolist() if not i.is_dir()]
-        yield pd.DataFrame(rows, columns=["archive", "member", "size"])
+                rows = [(path, k, i.filename, i.file_size) for k, i in enumerate(zf.infolist()) if not i.is_dir()]
+            yield pd.DataFrame(rows, columns=["archive", "entry", "member", "size"])
 
 
 def _stream_members(encoding: str, batch_rows: int):
+    def lines_of(archive: str, entry: int):
+        filesystem, inner = _open_storage(archive)
+        with filesystem.open_input_file(inner) as fh, zipfile.ZipFile(fh) as zf:
+            info = zf.infolist()[entry]  # by entry: two members may share a name
+            with zf.open(info) as raw:
+                for n, line in enumerate(_lines(io.TextIOWrapper(raw, encoding=encoding, newline=""))):
+                    yield archive, info.filename, n, line
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = {"archive": [], "member": [], "line_number": [], "line": []}
+        held = []
+        for batch in batches:
+            for archive, entry in zip(batch["archive"], batch["entry"]):
+                for row in lines_of(archive, entry):
+                    held.append(row)
+                    if len(held) >= batch_rows:
+                        yield pd.DataFrame(held, columns=["archive", "member", "line_number", "line"])
+                        held = []
+        if held:
+            yield pd.DataFrame(held, columns=["archive", "member", "line_number", "line"])
 
-        def flush():
-            out = pd.DataFrame(cols)
-            for v in cols.values():
-                v.clear()
-            return out
+    return run
 
-        current, fh, zf = None, None, None  # members arrive sorted: one open archive at a time
-        try:
-            for batch in batches:
-                for archive, member in zip(batch["archive"], batch["member"]):
-                    if archive != current:
-                        if zf is not None:
-                            zf.close()
-                            fh.close()
-                        filesystem, inner = _open_storage(archive)
-                        fh = filesystem.open_input_file(inner)
-                        zf = zipfile.ZipFile(fh)
-                        current = archive
-                    with zf.open(member) as raw:
-                        for n, line in enumerate(_lines(io.TextIOWrapper(raw, encoding=encoding, newline=""))):
-                            cols["archive"].append(archive)
-                            cols["member"].append(member)
-                            cols["line_number"].append(n)
-                            cols["line"].append(line)
-                            if len(cols["line"]) >= batch_rows:
-                                yield flush()
-        finally:
-            if zf is not None:
-                zf.close()
-                fh.close()
-        if cols["line"]:
-            yield flush()
 
-    return run
+def list_members(spark: SparkSession, path: str) -> DataFrame:
+    """One row per member of the archives at ``path``: archive, entry (place in the directory), member, size."""
+    return spark.read.format("binaryFile").load(path).select("path").mapInPandas(_list_members, MEMBERS_SCHEMA)
 
 
-def expand_archives(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", batch_rows: int = 20_000,
-                    by_member: bool | None = None) -> DataFrame:
+def expand_archives(spark: SparkSession, path: str, encoding: str = "ISO-8859-1", batch_rows: int = 20_000) -> DataFrame:
     """Every text line of every member of the zip archives at ``path`` (a glob or folder).
 
-    Columns: ``archive`` (path), ``member`` (name inside), ``line_number`` (0-based), ``line``.
-
-    ``by_member=True`` never loads an archive whole: the archive list comes from ``binaryFile`` without
-    its content column, each zip's central directory is read through ``pyarrow.fs``, the (archive,
-    member) list is shuffled so members spread over tasks, and every task streams its member. That
-    needs ``pyarrow`` to reach the storage from the executors (local/NFS, S3, GCS, HDFS with libhdfs).
-    ``by_member=False`` reads each archive as one ``binaryFile`` value (any Hadoop filesystem, archives
-    up to 2 GiB). ``None`` decides from file metadata alone (no content is read): whole archives when
-    the largest is at most ``spark.cadastro.archiveInMemoryBytes`` (default 256 MiB, a bounded load per
-    task), otherwise streaming when ``pyarrow`` can open the path.
+    Columns: ``archive`` (path), ``member`` (name inside), ``line_number`` (0-based), ``line``. Members of
+    one name in one archive are both read. Members are dealt round-robin to a number of tasks set from their
+    count and bytes (several a slot), so large members rarely meet in one task. ``pyarrow`` must
+    reach the storage from the executors (local/NFS, S3, GCS, HDFS with libhdfs); if not, this raises.
     """
-    files = spark.read.format("binaryFile").load(path)
-    if by_member is None:
-        bound = int(spark.conf.get("spark.cadastro.archiveInMemoryBytes", str(256 << 20)))
-        largest = files.agg(F.max("length")).first()[0] or 0
-        by_member = largest > bound and _open_storage(path) is not None
-    if not by_member:
-        return files.select("path", "content").mapInPandas(_unpack(encoding, batch_rows), LINES_SCHEMA)
-    members = files.select("path").mapInPandas(_list_members, "archive string, member string, size long")
-    spread = members.repartition(F.col("archive"), F.col("member")).sortWithinPartitions("archive", "member")
+    members = list_members(spark, path)
+    count, size = members.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    tasks = max(1, min(count, max(4 * spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))))
+    spread = members.repartition(tasks)  # round-robin, and an explicit count is never coalesced
     return spread.mapInPandas(_stream_members(encoding, batch_rows), LINES_SCHEMA)
 
 
@@ -166,28 +112,26 @@ def write_archives(df: DataFrame, root: str, name_col: str, text_col: str, encod
     """Fixture writer: each task writes one zip under ``root`` with a member ``<name>`` per row.
 
     Uses ``pyarrow.fs`` so ``root`` may be a local path or any URI pyarrow can open (shared storage);
-    returns a frame of the archives written (one row per task that had rows).
+    returns a frame of the archives written (one row per task that had rows). The archive is named after
+    the task's partition and renamed into place when complete, so a task that runs again replaces it.
+    Characters outside ``encoding`` are an error.
     """
-    import uuid
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        buf = io.BytesIO()
-        n = 0
-        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        context, n = TaskContext.get(), 0
+        filesystem, base = _open_storage(root)
+        target = f"{base.rstrip('/')}/{prefix}-{context.partitionId():05d}.zip"
+        part = f"{target}.{context.taskAttemptId()}.tmp"
+        filesystem.create_dir(base, recursive=True)
+        with filesystem.open_output_stream(part) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
             for batch in batches:
                 for name, text in zip(batch[name_col], batch[text_col]):
-                    zf.writestr(str(name), (text or "").encode(encoding, errors="replace"))
+                    zf.writestr(str(name), (text or "").encode(encoding))
                     n += 1
         if n == 0:
+            filesystem.delete_file(part)
             return
-        opened = _open_storage(root)
-        if opened is None:
-            raise OSError(f"pyarrow cannot open {root!r} for writing archives")
-        filesystem, base = opened
-        filesystem.create_dir(base, recursive=True)
-        target = f"{base.rstrip('/')}/{prefix}-{uuid.uuid4().hex}.zip"
-        with filesystem.open_output_stream(target) as out:
-            out.write(buf.getvalue())
+        filesystem.move(part, target)
         yield pd.DataFrame({"archive": [target], "members": [n]})
 
     return df.select(name_col, text_col).mapInPandas(run, "archive string, members long")

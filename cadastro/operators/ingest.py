@@ -18,18 +18,29 @@ from pyspark.sql import functions as F
 from .._cols import as_col
 from ..operators.lookups import lookup
 
-# An <a ...> tag's href value, double or single quoted (case-insensitive tag/attribute names).
-ANCHOR_HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+# An <a ...> tag's href value: double quoted, single quoted or bare (case-insensitive names).
+ANCHOR_HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+# The character references that occur in URLs, with '&' itself decoded last.
+HREF_ENTITIES = (("&quot;", '"'), ("&#34;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"),
+                 ("&#38;", "&"), ("&amp;", "&"))
 
 
 def extract_links(pages: DataFrame, html_col: str = "html", suffix: str | None = None, keep=("page_id",)) -> DataFrame:
-    """One row per ``<a href>`` in each page: ``(*keep, link)``, ``&amp;`` decoded.
+    """One row per ``<a href>`` in each page: ``(*keep, link)``, character references decoded.
 
     ``suffix`` keeps only links that end with it (``'.zip'`` for an archive index). Whole pages are
-    scanned; nothing is truncated.
+    scanned; nothing is truncated. Values may be in double quotes, single quotes or none.
     """
-    links = F.explode(F.regexp_extract_all(F.col(html_col), F.lit(ANCHOR_HREF), 1)).alias("link")
-    out = pages.select(*keep, links).withColumn("link", F.replace(F.col("link"), F.lit("&amp;"), F.lit("&")))
+    html = F.col(html_col)
+    # The three groups exclude each other: of each match exactly one is not empty (or the value is empty).
+    quoted, single, bare = (F.regexp_extract_all(html, F.lit(ANCHOR_HREF), F.lit(g)) for g in (1, 2, 3))
+    value = F.transform(F.arrays_zip(quoted.alias("a"), single.alias("b"), bare.alias("c")),
+                        lambda m: F.concat(m["a"], m["b"], m["c"]))
+    out = pages.select(*keep, F.explode(value).alias("link"))
+    link = F.col("link")
+    for entity, char in HREF_ENTITIES:
+        link = F.replace(link, F.lit(entity), F.lit(char))
+    out = out.withColumn("link", link)
     if suffix:
         out = out.filter(F.col("link").endswith(suffix))
     return out
@@ -82,25 +93,30 @@ def latest_release(parsed: DataFrame, folder_col: str = "folder") -> DataFrame:
     )
 
 
+def _inside(level: DataFrame, chosen: DataFrame, folder_col: str) -> DataFrame:
+    """Entries of ``level`` that lie in a chosen folder. Folders are compared by full path (root and all),
+    so equal names below different roots stay apart; the chosen side has one row per folder and goes
+    through the checked lookup: broadcast under the measured bound, a salted join above it."""
+    keyed = chosen.select(F.concat_ws("/", "root", "path").alias(folder_col), "root", "path")
+    return lookup(level, keyed, folder_col, "inner", name="chosen folders")
+
+
 def latest_path(levels, folder_col: str = "folder") -> DataFrame:
     """Descend a folder tree by newest release: newest entry at level 0, then the newest entry inside
     it at level 1, and so on (e.g. newest year folder, then newest month folder in that year).
 
-    ``levels`` are parsed listings (:func:`parse_listing`); the ``folder`` of an entry at level i+1 is the
-    name it sits in at level i. Each step is a partial aggregate plus a broadcast semi join against the
-    one row per folder chosen before, so no level is collected to the driver. Returns one row per root
-    folder: ``(root, path, name, release_date)``, ``path`` joining the chosen names with '/'.
+    ``levels`` are parsed listings (:func:`parse_listing`); the ``folder`` of an entry is the full path of
+    the folder it sits in: a root at level 0, ``root/name`` at level 1, ``root/name/name`` at level 2. Each
+    step is a partial aggregate plus a checked lookup of the one row per folder chosen before, so no level
+    is collected to the driver. Returns one row per root: ``(root, path, name, release_date)``, ``path``
+    joining the chosen names with '/'.
     """
-    from pyspark.sql import functions as F
-
     chosen = latest_release(levels[0], folder_col).select(
         F.col(folder_col).alias("root"), F.col("name").alias("path"), "name", "release_date")
     for level in levels[1:]:
-        inside = level.join(F.broadcast(chosen.select(F.col("name").alias(folder_col), "root", "path")),
-                            folder_col, "inner")
         best = F.max(F.struct(F.col("release_date"), F.col("name"))).alias("best")
         chosen = (
-            inside.groupBy("root", "path")
+            _inside(level, chosen, folder_col).groupBy("root", "path")
             .agg(best)
             .filter(F.col("best.release_date").isNotNull())
             .select("root", F.concat_ws("/", "path", "best.name").alias("path"), F.col("best.name").alias("name"),
@@ -109,6 +125,15 @@ def latest_path(levels, folder_col: str = "folder") -> DataFrame:
     return chosen
 
 
+def release_files(levels, files: DataFrame, folder_col: str = "folder") -> DataFrame:
+    """Every entry listed in the newest release folder of each root: ``(root, path, name)``.
+
+    ``levels`` are as in :func:`latest_path`; ``files`` is the parsed listing one level below, its
+    ``folder`` the full path of the folder a file lies in. The result is what :func:`fetch_plan` takes.
+    """
+    return _inside(files, latest_path(levels, folder_col), folder_col).select("root", "path", "name")
+
+
 def fetch_plan(manifest: DataFrame, existing: DataFrame, name_col: str = "name", archive_suffix: str = ".zip",
                overwrite: bool = False) -> DataFrame:
     """Files of ``manifest`` to fetch: those for which neither the archive nor its unpacked folder exists.

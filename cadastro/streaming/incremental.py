@@ -18,6 +18,8 @@ from pyspark.sql.types import StructType
 
 from ..sources.delimited import POSITIONAL_OPTIONS
 
+NO_FILE_IS_TOO_OLD = "36500d"
+
 
 def ingest_new_files(
     spark: SparkSession,
@@ -30,12 +32,15 @@ def ingest_new_files(
     options: dict | None = None,
     max_files_per_trigger: int | None = None,
     sink_format: str = "parquet",
-) -> int:
-    """Run one availableNow pass from ``source`` into ``target``; returns the number of micro-batches run.
+) -> None:
+    """Run one availableNow pass from ``source`` into ``target``.
 
-    ``options`` default to the positional registry reader options for CSV.
+    ``options`` default to the positional registry reader options for CSV. Which files are new is decided
+    by the checkpoint alone: no file is too old to be read (dumps are often copied with their old
+    modification times, and the file source would by default drop those a week older than its newest).
     """
     opts = dict(POSITIONAL_OPTIONS if fmt == "csv" else {})
+    opts["maxFileAge"] = NO_FILE_IS_TOO_OLD
     opts.update(options or {})
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
@@ -53,4 +58,3 @@ def ingest_new_files(
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return len(query.recentProgress)

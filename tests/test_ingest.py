@@ -3,6 +3,9 @@
 import datetime as dt
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 
 from cadastro.operators import archives, ingest, matching
 from cadastro.plans import company_register as cr
@@ -46,18 +49,14 @@ def test_archives_roundtrip_and_parse(spark, tmp_dir):
     archives.write_archives(df, f"{tmp_dir}/zips", "member", "text").collect()
     assert len(os.listdir(f"{tmp_dir}/zips")) == 2
     expected = [("K1.ESTABELE", 0, '"1";"LOJA Ã"'), ("K1.ESTABELE", 1, '"2";"B"'), ("K2.ESTABELE", 0, '"3";"C"')]
-    for by_member in (True, False):
-        lines = archives.expand_archives(spark, f"{tmp_dir}/zips/*.zip", by_member=by_member)
-        assert sorted((r.member, r.line_number, r.line) for r in lines.collect()) == expected
-    spark.conf.set("spark.cadastro.archiveInMemoryBytes", "1")  # auto: every archive is "large" -> streaming
-    try:
-        streamed = archives.expand_archives(spark, f"{tmp_dir}/zips/*.zip")
-        assert streamed._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 2
-        assert streamed.count() == 3
-    finally:
-        spark.conf.unset("spark.cadastro.archiveInMemoryBytes")
-    lines = archives.expand_archives(spark, f"{tmp_dir}/zips/*.zip")  # small archives: loaded whole
-    assert lines._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 1
+    lines = archives.expand_archives(spark, f"{tmp_dir}/zips/*.zip")
+    assert sorted((r.member, r.line_number, r.line) for r in lines.collect()) == expected
+    # written again (as by a task that runs twice): the same files, not more
+    archives.write_archives(df, f"{tmp_dir}/zips", "member", "text").collect()
+    assert len(os.listdir(f"{tmp_dir}/zips")) == 2
+    bad = spark.createDataFrame([("m", "日本")], "member string, text string")
+    with pytest.raises(Exception, match="codec can't encode"):
+        archives.write_archives(bad, f"{tmp_dir}/bad", "member", "text").collect()
     parsed = archives.lines_to_columns(lines, ["a", "b"])
     assert sorted(tuple(r) for r in parsed.collect()) == [("1", "LOJA Ã"), ("2", "B"), ("3", "C")]
 
@@ -126,3 +125,56 @@ def test_streaming_consolidation_with_lookups(spark, tmp_dir):
     streamed = spark.read.parquet(f"{tmp_dir}/out")
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch.select(streamed.columns)).count() == 0
+
+
+def test_archive_members_are_read_by_entry_in_many_tasks(spark, tmp_dir):
+    import warnings
+    import zipfile
+
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # the duplicate name
+        for a in range(4):
+            with zipfile.ZipFile(f"{tmp_dir}/a{a}.zip", "w") as zf:
+                for m in range(15):
+                    zf.writestr(f"m{m}", f"{a} {m}\nend")
+                zf.writestr("m0", "second m0")
+    lines = archives.expand_archives(spark, f"{tmp_dir}/*.zip")
+    got = [(r.archive[-6:], r.member, r.line_number, r.line) for r in lines.collect()]
+    assert len(got) == 4 * 31 and sum(line == "second m0" for *_, line in got) == 4
+    assert ("a2.zip", "m0", 0, "2 0") in got
+    assert lines.select(F.spark_partition_id()).distinct().count() > 8
+
+
+def test_releases_of_roots_with_equal_folder_names(spark):
+    def listing(rows):
+        return ingest.parse_listing(spark.createDataFrame(rows, "folder string, line string"))
+
+    years = listing([("A", "01-01-24 10:00AM 2024"), ("B", "01-01-24 10:00AM 2024"), ("A", "01-01-23 10:00AM 2023")])
+    months = listing([("A/2024", "02-01-24 10:00AM jan"), ("B/2024", "03-01-24 10:00AM mar"), ("A/2023", "09-01-24 10:00AM x")])
+    files = listing([("A/2024/jan", "02-01-24 10:00AM 1 f.zip"), ("A/2024/jan", "02-01-24 10:00AM 1 g.zip"),
+                     ("B/2024/mar", "03-01-24 10:00AM 1 h.zip"), ("B/2024/jan", "03-01-24 10:00AM 1 no.zip")])
+    got = {(r.root, r.path) for r in ingest.latest_path([years, months]).collect()}
+    assert got == {("A", "2024/jan"), ("B", "2024/mar")}
+    found = {(r.root, r.path, r["name"]) for r in ingest.release_files([years, months], files).collect()}
+    assert found == {("A", "2024/jan", "f.zip"), ("A", "2024/jan", "g.zip"), ("B", "2024/mar", "h.zip")}
+
+
+def test_links_in_every_quote_style(spark):
+    html = """<a href="it's.zip">x</a> <A class=c HREF='b&quot;q.zip'>y</A> <a href=bare.zip?x=1&amp;y=2>z</a> <a data-href="no" href="">"""
+    pages = spark.createDataFrame([(1, html)], "page_id int, html string")
+    links = [r.link for r in ingest.extract_links(pages).collect()]
+    assert links == ["it's.zip", 'b"q.zip', "bare.zip?x=1&y=2", ""]
+    assert [r.link for r in ingest.extract_links(pages, suffix=".zip").collect()] == ["it's.zip", 'b"q.zip']
+
+
+def test_files_older_than_a_week_are_read(spark, tmp_dir):
+    cols = list(cr.SIMPLES_COLUMNS)
+    out, ckpt = f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    for k, age in enumerate((0, 30, 400)):
+        os.makedirs(f"{tmp_dir}/land/d{k}")
+        with open(f"{tmp_dir}/land/d{k}/x.csv", "w") as f:
+            f.write(";".join([str(k)] * len(cols)) + "\n")
+        old = os.path.getmtime(f"{tmp_dir}/land/d{k}/x.csv") - age * 86_400
+        os.utime(f"{tmp_dir}/land/d{k}/x.csv", (old, old))
+        assert ingest_new_files(spark, f"{tmp_dir}/land/*", string_schema(cols), out, ckpt, transform=cr.consolidate_regime) is None
+        assert spark.read.parquet(out).count() == k + 1
