@@ -5,9 +5,12 @@ Files are read line by line (``multiLine`` off), so an uncompressed dump is spli
 
 from __future__ import annotations
 
+import csv
 import logging
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -33,42 +36,6 @@ def ddl_schema(columns: Iterable[str]) -> str:
     return ", ".join(f"`{c}` STRING" for c in columns)
 
 
-def spread_small_scan(df: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
-    """Round-robin a scan that cannot run in parallel by itself: fewer files than task slots.
-
-    A parquet row group is never split across tasks, so a big table stored as one file with one row
-    group is read (and, without a shuffle, transformed) by a single task. The scan's natural split count
-    is estimated as ``max(files, bytes / maxPartitionBytes)``; when that is below the session's default
-    parallelism and the table holds at least ``min_bytes``, the rows are spread with a round-robin
-    ``repartition``. The shuffle this adds is therefore bounded by ``slots * maxPartitionBytes``; a scan
-    over a large dump (many files or many splits) is returned untouched. Only file metadata is read.
-    """
-    spark = df.sparkSession
-    try:
-        context = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: no file metadata access from here, leave the scan
-        return df
-    slots = context.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= slots:
-        return df
-    jvm = context._jvm
-    conf = context._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    natural = max(len(files), total // max(split, 1))
-    return df.repartition(slots) if total >= min_bytes and natural < slots else df
-
-
-def _bytes(text: str) -> int:
-    text = str(text).strip().lower().removesuffix("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    return int(float(text[:-1]) * units[text[-1]]) if text and text[-1] in units else int(text)
-
-
 def read_data(spark: SparkSession, path, fmt: str, schema=None, **options) -> DataFrame:
     """Generic reader: ``spark.read.format(fmt).options(**options).load(path, schema=schema)``."""
     reader = spark.read.format(fmt).options(**{k: str(v) if isinstance(v, bool) else v for k, v in options.items()})
@@ -83,22 +50,48 @@ def read_positional(spark: SparkSession, path, columns: Iterable[str], **options
     return read_data(spark, path, "csv", string_schema(columns), **opts)
 
 
+def headers_of(spark: SparkSession, path, sep: str, encoding: str) -> dict[tuple[str, ...], list[str]]:
+    """Header (tuple of names) -> the files that start with it, for every file below ``path``.
+
+    Only the first line of each file is read, through the session's own file system.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found: dict[tuple[str, ...], list[str]] = {}
+    for name in spark.read.format("text").load(path).inputFiles():
+        hpath = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream = hpath.getFileSystem(conf).open(hpath)
+        try:
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding)).readLine()
+        finally:
+            stream.close()
+        if line is not None:
+            names = next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep))
+            found.setdefault(tuple(names), []).append(name)
+    return found
+
+
 def read_headered(spark: SparkSession, path, expected: Iterable[str] | None = None, strict: bool = False,
                   **options) -> DataFrame:
-    """Headered delimited text; names come from the header, every column a string.
+    """Headered delimited text; names come from each file's own header, every column a string.
 
-    ``expected`` lists header names the caller will use; absent ones are logged (or raise when strict).
-    Checking the header reads only the first line of one file.
+    Files with the same columns in another order are read by name, one scan per distinct header; a column
+    that only some files have is null in the others. ``expected`` lists header names the caller will use;
+    a name that a header lacks, or has beyond them, is logged (or raises when strict).
     """
     opts = {**HEADERED_OPTIONS, **options}
-    df = read_data(spark, path, "csv", None, inferSchema="false", **opts)
+    groups = headers_of(spark, path, opts["sep"], opts.get("encoding", "UTF-8"))
+    if not groups:
+        return read_data(spark, path, "csv", string_schema(expected or []), **opts)
+    parts = [read_data(spark, files, "csv", string_schema(names), **opts) for names, files in sorted(groups.items())]
     if expected is not None:
-        gone = missing_columns(df, expected)
-        if gone:
-            if strict:
-                raise ValueError(f"header lacks {gone}")
-            log.warning("header lacks %s", gone)
-    return df
+        for part in parts:
+            gone = missing_columns(part, expected)
+            more = missing_columns(part.sparkSession.createDataFrame([], string_schema(expected)), part.columns)
+            if strict and (gone or more):
+                raise ValueError(f"header lacks {gone}, has unknown {more}")
+            if gone:
+                log.warning("header lacks %s", gone)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_codebook(spark: SparkSession, path, **options) -> DataFrame:
@@ -120,7 +113,9 @@ def read_lookup_set(spark: SparkSession, root: str, names: Mapping[str, str], su
         try:
             df = read_positional(spark, pattern, [f"cod_{name}", f"nome_{name}"], **options)
             df.schema  # resolves the glob: raises when nothing matches
-        except Exception as exc:  # pyspark raises AnalysisException subclasses for a missing path
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise  # anything but a missing file (access denied, say) is the caller's to see
             if strict:
                 raise FileNotFoundError(f"no lookup file for {file_id!r} at {pattern}") from exc
             log.warning("no lookup file for %s at %s", file_id, pattern)

@@ -4,10 +4,12 @@
 the plan, even runs the query once more just to count). Output file count is controlled declaratively:
 
 * ``n_partitions=None`` (default): one file per task of the final stage, as the data comes;
-* ``n_partitions=n``: exactly ``n`` partitions by a round-robin ``repartition`` (a shuffle that keeps the
-  upstream stages fully parallel, unlike ``coalesce``, which would run the whole job in ``n`` tasks);
-* ``rebalance=True``: the ``REBALANCE`` hint (by the ``partition_by`` columns when given), so AQE cuts
-  evenly sized output partitions and splits a skewed partition value over several tasks;
+* ``n_partitions=n``: exactly ``n`` partitions by a ``repartition`` (round-robin, or by the ``partition_by``
+  columns; a shuffle that keeps the upstream stages fully parallel, unlike ``coalesce``, which would run
+  the whole job in ``n`` tasks);
+* ``rebalance=True`` (the default with ``partition_by``): the ``REBALANCE`` hint (by the ``partition_by``
+  columns when given), so AQE cuts evenly sized output partitions and splits a skewed partition value over
+  several tasks;
 * ``max_records_per_file`` bounds file size whatever the partitioning.
 """
 
@@ -35,11 +37,16 @@ def write_table(
     fmt: str | None = None,
     partition_by: str | list[str] | None = None,
     n_partitions: int | None = None,
-    rebalance: bool = False,
+    rebalance: bool | None = None,
     max_records_per_file: int | None = None,
     **options,
 ) -> None:
-    """Write ``df`` to ``path`` (any Hadoop URI). ``mode``: append, overwrite, ignore, error."""
+    """Write ``df`` to ``path`` (any Hadoop URI). ``mode``: append, overwrite, ignore, error.
+
+    With ``partition_by`` the rows are rebalanced by those columns unless ``rebalance=False``: otherwise
+    every task would write a file into every output folder. ``n_partitions`` and ``rebalance=True``
+    exclude each other.
+    """
     if mode not in SAVE_MODES:
         raise ValueError(f"mode must be one of {SAVE_MODES}")
     fmt = fmt or df.sparkSession.conf.get("spark.sql.sources.default", "parquet")
@@ -49,9 +56,11 @@ def write_table(
             log.debug("dropping text-only options %s for %s", dropped, fmt)
         options = {k: v for k, v in options.items() if k not in _TEXT_ONLY_OPTIONS}
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    if n_partitions and rebalance:
+        raise ValueError("n_partitions and rebalance=True exclude each other")
     if n_partitions:
-        df = df.repartition(int(n_partitions))
-    elif rebalance:
+        df = df.repartition(int(n_partitions), *cols)
+    elif rebalance or (rebalance is None and cols):
         # REBALANCE clusters rows by the partition columns (few files per output folder) and lets AQE
         # split any partition over the advisory size, so one value holding a third of the rows is
         # written by many tasks rather than one.

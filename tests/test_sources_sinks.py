@@ -89,17 +89,25 @@ def test_stage_roundtrip_and_drop(spark, tmp_dir):
     assert not path_exists(spark, st.path)
 
 
-def test_spread_small_scan_only_when_the_scan_cannot_parallelise(spark, tmp_dir):
-    from cadastro.sources import spread_small_scan
-
-    def exchanges(df):
-        return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
-
-    one_big_file = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet")  # one file, one row group
-    assert exchanges(spread_small_scan(one_big_file)) == 1
-    slots = spark.sparkContext.defaultParallelism
-    write_table(one_big_file, f"{tmp_dir}/many", mode="overwrite", n_partitions=slots)
-    many_files = spark.read.parquet(f"{tmp_dir}/many")
-    assert spread_small_scan(many_files) is many_files  # already splits into enough tasks: untouched
-    tiny = spark.read.parquet("/root/testdata/sf0.1/nation.parquet")
-    assert spread_small_scan(tiny) is tiny  # below the size floor: not worth a shuffle
+def test_headers_in_different_orders_are_read_by_name(spark, tmp_dir):
+    for name, text in (("a", "x;y\n1;2\n"), ("b", "y;x\n20;10\n"), ("c", "\ufeffx;y;z\n5;6;7\n")):
+        with open(f"{tmp_dir}/{name}.txt", "w", encoding="utf-8") as f:
+            f.write(text)
+    ab = read_headered(spark, f"{tmp_dir}/[ab].txt", expected=["x", "y"], strict=True)
+    assert {(r.x, r.y) for r in ab.collect()} == {("1", "2"), ("10", "20")}
+    every = read_headered(spark, f"{tmp_dir}/*.txt", expected=["x", "y"])
+    assert {(r.x, r.y, r.z) for r in every.collect()} == {("1", "2", None), ("10", "20", None), ("5", "6", "7")}
+    with pytest.raises(ValueError, match="unknown"):
+        read_headered(spark, f"{tmp_dir}/*.txt", expected=["x", "y"], strict=True)
+    with pytest.raises(ValueError, match="lacks"):
+        read_headered(spark, f"{tmp_dir}/a.txt", expected=["x", "q"], strict=True)
+
+
+def test_partitioned_writes_cluster_their_rows(spark, tmp_dir):
+    df = spark.range(0, 4000, 1, 8).selectExpr("id", "id % 5 AS p")
+    write_table(df, f"{tmp_dir}/clustered", partition_by="p")
+    write_table(df, f"{tmp_dir}/loose", partition_by="p", rebalance=False)
+    files = {n: sum(f.endswith(".parquet") for _, _, fs in os.walk(f"{tmp_dir}/{n}") for f in fs) for n in ("clustered", "loose")}
+    assert files["clustered"] <= 10 < files["loose"] == 40
+    with pytest.raises(ValueError):
+        write_table(df, f"{tmp_dir}/both", n_partitions=2, rebalance=True)
