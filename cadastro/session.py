@@ -7,7 +7,9 @@ setting it relies on is ``spark.checkpoint.dir``: every table this library write
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,18 +46,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session first. Only when the session has none (local tests) a folder is made and
-    registered, so ``DataFrame.checkpoint()`` and this library agree on one place.
+    Read from the session first. A ``local[...]`` session without one (tests) gets a temporary folder,
+    registered with the session so ``DataFrame.checkpoint()`` and this library agree on one place, and
+    removed when the process ends. On a cluster a folder of one machine would be seen by that machine
+    only, so a cluster session without the setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     context = _context(spark)
     if not root and context is not None:
         root = context.getCheckpointDir()
     if not root:
+        if context is None or not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="cadastro-checkpoint-")
-        if context is not None:
-            context.setCheckpointDir(root)
-            root = context.getCheckpointDir() or root
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        context.setCheckpointDir(root)
+        root = context.getCheckpointDir() or root
     return root.rstrip("/")
 
 
@@ -80,6 +86,15 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True))
 
 
+def set_modified(spark: SparkSession, path: str, epoch_ms: int) -> None:
+    """Set the modification time of every file directly in the folder ``path``."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(hpath):
+        fs.setTimes(status.getPath(), epoch_ms, -1)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
