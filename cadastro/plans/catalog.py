@@ -8,6 +8,7 @@ job, then return the frame that reads it back.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -19,7 +20,7 @@ from ..operators import archives, ingest, matching
 from ..operators.cleaning import clean_types, kinds_by_rule
 from ..operators.lookups import inner_lookup, left_lookup, role_lookup, star_lookup
 from ..operators.rename import rename_map
-from ..session import scratch_path
+from ..session import scratch_path, set_modified
 from ..sources import delimited, sinks
 from ..streaming import ingest_new_files
 from . import company_register as cr
@@ -30,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table; a big table stored as one row group is spread over the task slots.
+    """A benchmark table.
 
     One DataFrame per (session, path) is reused, so repeated reads of a small table do not each pay
     for footer reading and schema resolution. The cache lives on the session object, so it ends with it.
@@ -38,7 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     cache = spark.__dict__.setdefault("_cadastro_tables", {})
     if path not in cache:
-        cache[path] = delimited.spread_small_scan(spark.read.parquet(path))
+        cache[path] = spark.read.parquet(path)
     return cache[path]
 
 
@@ -100,6 +101,12 @@ def q_ascii_fold(spark, sf):
     return table(spark, sf, "documents").select("doc_id", cf.ascii_fold("text").alias("folded"))
 
 
+def q_ascii_fold_latin1(spark, sf):
+    """The signs of Latin-1 (U+00A0 to U+00BF and all letters) planted one per part name."""
+    df = table(spark, sf, "part").select("p_partkey", F.expr("p_name || chr(int(160 + p_partkey % 96)) || 'x'").alias("raw"))
+    return df.select("p_partkey", cf.ascii_fold("raw").alias("folded"))
+
+
 def q_clean_text(spark, sf):
     return table(spark, sf, "documents").select("doc_id", cf.clean_text("text").alias("cleaned"))
 
@@ -254,6 +261,31 @@ def q_lookup_unmatched(spark, sf):
     return unmatched(_keyed_lineitem(spark, sf), lookup_dim(spark, sf, "nation", "pais"), "cod_pais")
 
 
+def _skewed_lineitem(spark, sf):
+    """lineitem with a third of all rows on one code, and unknown and null codes."""
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.expr(
+        "CASE WHEN l_orderkey % 3 = 0 THEN 7 WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 9 = 1 THEN 99 "
+        "ELSE CAST(l_suppkey % 25 AS INT) END").alias("cod_pais"))
+
+
+def q_left_lookup_salted(spark, sf):
+    """The way a lookup side above the broadcast bound is joined: hot keys salted."""
+    return left_lookup(_skewed_lineitem(spark, sf), lookup_dim(spark, sf, "nation", "pais"), "cod_pais", strategy="salted")
+
+
+def q_lookup_unmatched_salted(spark, sf):
+    from ..operators.lookups import unmatched
+
+    return unmatched(_skewed_lineitem(spark, sf), lookup_dim(spark, sf, "nation", "pais"), "cod_pais", strategy="salted")
+
+
+def q_star_lookup_salted(spark, sf):
+    ev = table(spark, sf, "events").select(
+        "event_id", F.expr("CASE WHEN event_id % 3 = 0 THEN '1' ELSE CAST(user_id % 7 AS STRING) END").alias("cod_regiao"),
+        F.expr("CASE WHEN event_id % 2 = 0 THEN '4' ELSE CAST(event_id % 30 AS STRING) END").alias("cod_uf"))
+    return star_lookup(ev, codebooks_for(spark, sf, {"regiao": ("region", ""), "uf": ("nation", "")}), strategy="salted")
+
+
 def q_role_lookup(spark, sf):
     li = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber",
@@ -280,7 +312,7 @@ def q_star_lookup(spark, sf):
 # ---- whole tables -------------------------------------------------------------------------------------
 
 def q_consolidate_lookups(spark, sf):
-    sources = {"mun": "nation", "pais": "region", "cnae": "part", "natju": "supplier", "motivo": "customer"}
+    sources = {"mun": "nation", "pais": "region", "cnae": "part", "natju": "supplier", "motivo": "customer", "qual_socio": "nation"}
     parts = [lookup_dim(spark, sf, src, name).toDF("code", "name").withColumn("lookup", F.lit(name))
              for name, src in sources.items()]
     return reduce(DataFrame.unionByName, parts)
@@ -321,17 +353,24 @@ def _write_positional(df: DataFrame, path: str, encoding: str = "ISO-8859-1", he
 
 
 def q_scan_positional(spark, sf):
-    raw = derive(table(spark, sf, "documents"), fx.documents_first_line(fx.SPARK))
+    pairs = fx.documents_positional(fx.SPARK)
     path = scratch_path(spark, "scan_positional")
-    _write_positional(raw, path)
-    return delimited.read_positional(spark, path, [c for c, _ in fx.documents_first_line(fx.SPARK)])
+    _write_positional(derive(table(spark, sf, "documents"), pairs), path)
+    read = delimited.read_positional(spark, path, [c for c, _ in pairs])
+    # The line breaks of the text, undone: pairs of backslashes are set aside first.
+    aside = F.replace("texto", F.lit("\\\\"), F.lit("\x01"))
+    breaks = F.replace(F.replace(aside, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    return read.withColumn("texto", F.replace(breaks, F.lit("\x01"), F.lit("\\")))
 
 
 def q_scan_headered(spark, sf):
-    raw = derive(table(spark, sf, "events"), [("event_id", "CAST(event_id AS STRING)")] + fx.raw_movements(fx.SPARK)[:4])
-    path = scratch_path(spark, "scan_headered")
-    _write_positional(raw, path, encoding="UTF-8", header=True)
-    df = delimited.read_headered(spark, path, expected=["competência", "região", "uf", "município"])
+    """The whole layout, in files of two column orders."""
+    pairs = [("event_id", "CAST(event_id AS STRING)")] + fx.raw_movements(fx.SPARK)
+    raw = derive(table(spark, sf, "events"), [*pairs, ("_odd", "event_id % 2")])
+    names, path = [c for c, _ in pairs], scratch_path(spark, "scan_headered")
+    _write_positional(raw.filter("_odd = 0").select(names), f"{path}/a.txt", encoding="UTF-8", header=True)
+    _write_positional(raw.filter("_odd = 1").select(names[::-1]), f"{path}/b.txt", encoding="UTF-8", header=True)
+    df = delimited.read_headered(spark, f"{path}/*.txt", expected=names, strict=True)
     return df.transform(rename_map(lf.RENAMES["mov"]))
 
 
@@ -417,6 +456,10 @@ def q_extract_links(spark, sf):
     return ingest.extract_links(table(spark, sf, "pages"))
 
 
+def q_extract_links_suffix(spark, sf):
+    return ingest.extract_links(table(spark, sf, "pages"), suffix="e")
+
+
 def _listing(spark, sf):
     return ingest.parse_listing(derive(table(spark, sf, "events"), fx.listing_lines(fx.SPARK)))
 
@@ -429,12 +472,20 @@ def q_latest_release(spark, sf):
     return ingest.latest_release(_listing(spark, sf))
 
 
+def _release_levels(spark, sf):
+    tree, orders = fx.release_tree(fx.SPARK), table(spark, sf, "orders")
+    return [ingest.parse_listing(derive(orders, tree[level])) for level in ("years", "months", "files")]
+
+
 def q_latest_path(spark, sf):
-    """Newest year folder, then the newest month folder inside it (two-level release descent)."""
-    tree = fx.release_tree(fx.SPARK)
-    orders = table(spark, sf, "orders")
-    levels = [ingest.parse_listing(derive(orders, tree["years"])), ingest.parse_listing(derive(orders, tree["months"]))]
-    return ingest.latest_path(levels)
+    """Newest year folder, then the newest month folder inside it, for several roots with equal names."""
+    return ingest.latest_path(_release_levels(spark, sf)[:2])
+
+
+def q_release_files(spark, sf):
+    """All files of the newest month folder of each root."""
+    years, months, files = _release_levels(spark, sf)
+    return ingest.release_files([years, months], files)
 
 
 def q_fetch_plan(spark, sf):
@@ -449,8 +500,8 @@ def q_fetch_plan(spark, sf):
 def q_expand_archives(spark, sf):
     root = scratch_path(spark, "archives")
     docs = table(spark, sf, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("member"), "text")
-    archives.write_archives(docs, root, "member", "text").collect()  # one small row per archive written
-    lines = archives.expand_archives(spark, f"{root}/*.zip")
+    archives.write_archives(docs, root, "member", "text", encoding="UTF-8").write.format("noop").mode("overwrite").save()
+    lines = archives.expand_archives(spark, f"{root}/*.zip", encoding="UTF-8")
     return lines.select(F.regexp_extract("member", r"^(\d+)\.txt$", 1).cast("long").alias("doc_id"),
                         "line_number", "line")
 
@@ -476,7 +527,8 @@ def q_tiered_match(spark, sf):
 
 def q_incremental_ingest(spark, sf):
     """Raw regime rows land in three drops (a row-hash split: every row lands in exactly one); two
-    availableNow runs and an idle third consolidate them, so the output must equal the whole table."""
+    availableNow runs and an idle third consolidate them, so the output must equal the whole table. The
+    second drop's files carry modification times thirty days before the first's, as copied dumps do."""
     root = scratch_path(spark, "incremental")
     raw = raw_regime(spark, sf).withColumn("_drop", F.abs(F.xxhash64("cnpj", "data_inclusao_simples")) % 3)
     cols = [c for c, _ in fx.raw_regime(fx.SPARK)]
@@ -485,6 +537,7 @@ def q_incremental_ingest(spark, sf):
     _write_positional(raw.filter(F.col("_drop") == 0).select(cols), f"{root}/landing/drop0")
     ingest_new_files(spark, f"{root}/landing/*", schema, target, ckpt, transform=cr.consolidate_regime)
     _write_positional(raw.filter(F.col("_drop") == 1).select(cols), f"{root}/landing/drop1")
+    set_modified(spark, f"{root}/landing/drop1", int(time.time() * 1000) - 30 * 86_400_000)
     _write_positional(raw.filter(F.col("_drop") == 2).select(cols), f"{root}/landing/drop2")
     ingest_new_files(spark, f"{root}/landing/*", schema, target, ckpt, transform=cr.consolidate_regime)
     ingest_new_files(spark, f"{root}/landing/*", schema, target, ckpt, transform=cr.consolidate_regime)
@@ -497,41 +550,62 @@ REGISTER_LOOKUP_SOURCES = {"CNAE": "part", "MUNIC": "nation", "NATJU": "nation",
                            "QUALS": "nation", "MOTI": "customer"}
 
 
+def _register_run(spark, sf, output: str) -> DataFrame:
+    """The whole company register as dumps land: six lookup files and four table dumps (Latin-1, ';') are
+    staged and consolidated in dependency order by the runner; the named output is read back. One run per
+    session and folder serves the queries of all ten outputs."""
+    runs = spark.__dict__.setdefault("_cadastro_register_runs", {})
+    if sf not in runs:
+        root = scratch_path(spark, "register_run")
+        raw_dir, out_dir = f"{root}/data/raw/cnpj", f"{root}/data/trusted/cnpj"
+        for file_id, src in REGISTER_LOOKUP_SOURCES.items():
+            _write_positional(raw_lookup(spark, sf, src, cr.LOOKUP_IDS[file_id]), f"{raw_dir}/F.K03200$Z.D40113.{file_id}CSV")
+        dumps = {"K3241.K03200Y0.D40113.SIMPLES.CSV.D40113": raw_regime(spark, sf),
+                 "K3241.K03200Y0.D40113.SOCIOCSV": raw_partners(spark, sf),
+                 "K3241.K03200Y0.D40113.EMPRECSV": raw_companies(spark, sf),
+                 "K3241.K03200Y0.D40113.ESTABELE": raw_establishments(spark, sf)}
+        for name, df in dumps.items():
+            _write_positional(df, f"{raw_dir}/{name}")
+        from .runner import run_company_register
+
+        runs[sf] = run_company_register(spark, raw_dir, out_dir, mode="overwrite", staged=True, with_full_id=True)
+    return spark.read.parquet(runs[sf][output])
+
+
 def q_register_run(spark, sf):
-    """The whole company register as dumps land: six lookup files and four table dumps (Latin-1, ';')
-    are consolidated in dependency order by the runner; the establishments output is returned."""
-    root = scratch_path(spark, "register_run")
-    raw_dir, out_dir = f"{root}/data/raw/cnpj", f"{root}/data/trusted/cnpj"
-    for file_id, src in REGISTER_LOOKUP_SOURCES.items():
-        _write_positional(raw_lookup(spark, sf, src, cr.LOOKUP_IDS[file_id]), f"{raw_dir}/F.K03200$Z.D40113.{file_id}CSV")
-    dumps = {"K3241.K03200Y0.D40113.SIMPLES.CSV.D40113": raw_regime(spark, sf),
-             "K3241.K03200Y0.D40113.SOCIOCSV": raw_partners(spark, sf),
-             "K3241.K03200Y0.D40113.EMPRECSV": raw_companies(spark, sf),
-             "K3241.K03200Y0.D40113.ESTABELE": raw_establishments(spark, sf)}
-    for name, df in dumps.items():
-        _write_positional(df, f"{raw_dir}/{name}")
-    from .runner import run_company_register
-
-    paths = run_company_register(spark, raw_dir, out_dir, mode="overwrite", with_full_id=True)
-    return spark.read.parquet(paths["df_estab"])
+    """The establishments output of the register run."""
+    return _register_run(spark, sf, "df_estab")
 
 
-def q_labour_run(spark, sf):
-    """Labour movements as they land: a headered UTF-8 dump plus one comma CSV codebook per code,
-    consolidated by the runner; the movements output is returned."""
+def _labour_run(spark, sf, level: str) -> DataFrame:
+    """A labour level as it lands: a headered UTF-8 dump plus one comma CSV codebook per code,
+    consolidated by the runner; the level's output is returned."""
+    raw, codes = {"mov": (raw_movements, fx.MOV_CODES), "estab": (raw_estab_flows, fx.ESTAB_FLOW_CODES)}[level]
     root = scratch_path(spark, "labour_run")
-    level_dir = f"{root}/data/raw/caged/mov"
-    _write_positional(raw_movements(spark, sf), f"{level_dir}/CAGEDMOV202401.txt", encoding="UTF-8", header=True)
-    for name, (source, _) in fx.MOV_CODES.items():
+    level_dir = f"{root}/data/raw/caged/{level}"
+    _write_positional(raw(spark, sf), f"{level_dir}/CAGED202401.txt", encoding="UTF-8", header=True)
+    for name, (source, _) in codes.items():
         book = derive(table(spark, sf, fx.codebook_table(source)), fx.codebook_rows(name, source))
         _write_positional(book, f"{level_dir}/aux_tables/{name}.csv", encoding="UTF-8", header=True, sep=",")
     from .runner import run_labour_flows
 
-    paths = run_labour_flows(spark, f"{root}/data/raw/caged", f"{root}/data/trusted/caged", levels=("mov",),
+    paths = run_labour_flows(spark, f"{root}/data/raw/caged", f"{root}/data/trusted/caged", levels=(level,),
                              mode="overwrite", strict_codebooks=True)
-    return spark.read.parquet(paths["movimentacoes"])
+    return spark.read.parquet(paths[lf.OUTPUT_NAMES[level]])
+
+
+def q_labour_run(spark, sf):
+    return _labour_run(spark, sf, "mov")
+
+
+def q_labour_run_estab(spark, sf):
+    return _labour_run(spark, sf, "estab")
 
 
 QUERIES: dict[str, Query] = {
     name.removeprefix("q_"): fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
+QUERIES |= {
+    f"register_run_{name}": (lambda spark, sf, output=f"df_{name}": _register_run(spark, sf, output))
+    for name in (*cr.LOOKUP_IDS.values(), "simples", "socios", "empresas")
+}

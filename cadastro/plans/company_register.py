@@ -18,7 +18,7 @@ from ..functions import (
     upper_trim,
     zero_pad,
 )
-from ..operators.cleaning import clean_types
+from ..operators.cleaning import clean_types, kinds_by_rule
 from .spec import Lookup, TableSpec, consolidate
 
 # Lookup file ids (file names end in '<ID>CSV') and the table name each one feeds.
@@ -65,26 +65,13 @@ EMPRESAS_OUTPUT = (
 ESTAB_OUTPUT = ESTAB_COLUMNS + ("nome_mun", "nome_pais")
 
 
-def _kinds(columns, rules, extra=()):
-    """{col: kind} by the register's naming rules: prefix ``cod`` -> int, prefix ``nome`` -> text,
-    ``data`` in the name -> date; ``extra`` pairs are added on top."""
-    kinds = {}
-    for c in columns:
-        for kind, test in rules:
-            if test(c):
-                kinds[c] = kind
-    kinds.update(dict(extra))
-    return kinds
-
-
-_IS_COD = ("int", lambda c: c.startswith("cod"))
-_IS_NOME = ("text", lambda c: c.startswith("nome"))
-_IS_DATA = ("date", lambda c: "data" in c)
+# The register's naming rules (prefix "cod" int, prefix "nome" text, "data" in the name date).
+COD, NOME, DATA = {"int": {"prefix": "cod"}}, {"text": {"prefix": "nome"}}, {"date": {"contains": "data"}}
 
 SIMPLES = TableSpec(
     name="df_simples",
     raw_columns=SIMPLES_COLUMNS,
-    kinds=_kinds(SIMPLES_COLUMNS, [_IS_DATA]),
+    kinds=kinds_by_rule(SIMPLES_COLUMNS, DATA),
     rules=({"cnpj": lambda: zero_pad("cnpj", 8)},),
     source_glob=GLOBS["simples"],
 )
@@ -92,7 +79,7 @@ SIMPLES = TableSpec(
 SOCIOS = TableSpec(
     name="df_socios",
     raw_columns=SOCIOS_COLUMNS,
-    kinds=_kinds(SOCIOS_COLUMNS, [_IS_COD, _IS_NOME, _IS_DATA], [("id_socio", "int"), ("faixa_etaria", "int")]),
+    kinds=kinds_by_rule(SOCIOS_COLUMNS, COD | NOME | DATA, {"id_socio": "int", "faixa_etaria": "int"}),
     rules=({
         "cnpj_empresa": lambda: zero_pad("cnpj_empresa", 8),
         "id_socio": lambda: code_label("id_socio", PARTNER_KINDS),
@@ -110,9 +97,9 @@ SOCIOS = TableSpec(
 EMPRESAS = TableSpec(
     name="df_empresas",
     raw_columns=EMPRESAS_COLUMNS,
-    kinds=_kinds(EMPRESAS_COLUMNS, [_IS_COD],
-                 [("porte", "int"), ("razao_social", "text"), ("ente_fed_resp", "text"),
-                  ("capital_social", "float_comma")]),
+    kinds=kinds_by_rule(EMPRESAS_COLUMNS, COD,
+                        {"porte": "int", "razao_social": "text", "ente_fed_resp": "text",
+                         "capital_social": "float_comma"}),
     rules=({
         "cnpj": lambda: zero_pad("cnpj", 8),
         "nome_porte": lambda: code_label("porte", COMPANY_SIZES),
@@ -125,10 +112,10 @@ EMPRESAS = TableSpec(
 ESTAB = TableSpec(
     name="df_estab",
     raw_columns=ESTAB_COLUMNS,
-    kinds=_kinds(
-        ESTAB_COLUMNS, [_IS_COD, _IS_NOME, _IS_DATA],
-        [("situacao_cadastral", "int"), ("motivo_situacao_cadastral", "int"), ("tipo_logradouro", "text"),
-         ("logradouro", "text"), ("complemento", "text"), ("bairro", "text")],
+    kinds=kinds_by_rule(
+        ESTAB_COLUMNS, COD | NOME | DATA,
+        {"situacao_cadastral": "int", "motivo_situacao_cadastral": "int", "tipo_logradouro": "text",
+         "logradouro": "text", "complemento": "text", "bairro": "text"},
     ),
     rules=(
         {

@@ -269,14 +269,17 @@ def listing_lines(D: Dialect):
 
 
 def release_tree(D: Dialect):
-    """orders -> a two-level release tree: year folders listed at the root, month folders in each year.
+    """orders -> release trees: year folders listed at each root, month folders in each year, files in each month.
 
     The stamp of a folder is the date of an order in it; each order yields one line at each level."""
     year, month = D.fmt("o_orderdate", "yyyy", "%Y"), D.fmt("o_orderdate", "MM", "%m")
     stamp = D.listing_stamp("o_orderdate")
+    # One root per order priority: the same year and month names lie below each of them.
+    root = "'ftp/' || replace(o_orderpriority, ' ', '_')"
     return {
-        "years": [("folder", "'root'"), ("line", f"{stamp} || '       <DIR>          ' || {year}")],
-        "months": [("folder", year), ("line", f"{stamp} || '       <DIR>          ' || {month}")],
+        "years": [("folder", root), ("line", f"{stamp} || '       <DIR>          ' || {year}")],
+        "months": [("folder", f"{root} || '/' || {year}"), ("line", f"{stamp} || '       <DIR>          ' || {month}")],
+        "files": [("folder", f"{root} || '/' || {year} || '/' || {month}"), ("line", f"{stamp} || '       ' || {_s('o_orderkey % 9')} || ' F' || {_s('o_orderkey')} || '.zip'")],
     }
 
 
@@ -335,12 +338,13 @@ def gazetteer(D: Dialect):
     }
 
 
-def documents_first_line(D: Dialect):
-    """documents -> positional rows with Latin-1 text (first line of each document)."""
-    first = "split_part(text, chr(10), 1)" if D.name == "duckdb" else "substring_index(text, chr(10), 1)"
+def documents_positional(D: Dialect):
+    """documents -> positional rows with the whole text, its line breaks written as ``\\n`` and ``\\r``
+    (and a backslash as two), so that a row is a line of the file and nothing is lost."""
+    escaped = "replace(replace(replace(text, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r')"
     return [
         ("doc_id", _s("doc_id")),
-        ("titulo", first),
+        ("texto", escaped),
         ("lang", "lang"),
         ("source", "source"),
         ("n_chars", _s("n_chars")),

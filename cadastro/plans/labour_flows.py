@@ -96,6 +96,7 @@ CODEBOOK_FILES = {
     },
 }
 
+# Integer columns and output table of each level.
 INT_COLUMNS = {"mov": ("horas_contrato", "idade", "saldo_movimentacao"),
                "estab": ("admitidos", "desligados", "saldo_movimentacao")}
 OUTPUT_NAMES = {"mov": "movimentacoes", "estab": "estabelecimentos"}

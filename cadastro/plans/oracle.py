@@ -1,7 +1,8 @@
 """DuckDB SQL for every query in :mod:`cadastro.plans.catalog` (the correctness oracle).
 
-The raw-layout derivations are shared text (:mod:`cadastro.plans.fixtures`); the operator semantics are
-re-stated here in DuckDB's own functions, independently of the Spark implementation:
+The raw-layout derivations of the test data are shared text (:mod:`cadastro.plans.fixtures`); everything
+else is stated here on its own, in DuckDB's functions and in literal lists, and imports nothing from the
+code under test:
 
 * ASCII fold on the test text: ``strip_accents`` plus ``ß -> ss`` (the only letters present);
 * ``initcap`` (words split on blanks only): split on ' ', upper-case the first letter of each word;
@@ -11,11 +12,68 @@ re-stated here in DuckDB's own functions, independently of the Spark implementat
 
 from __future__ import annotations
 
-from . import company_register as cr
 from . import fixtures as fx
-from . import labour_flows as lf
-from ..functions import AGE_BANDS, COMPANY_SIZES, HEAD_OFFICE, PARTNER_KINDS
-from ..operators.ingest import ANCHOR_HREF
+
+# Fixed values of the registry: labels, file ids, layouts and header names, as published.
+AGE_BANDS = {
+    0: "Nao se aplica", 1: "0 a 12 anos", 2: "13 a 20 anos", 3: "21 a 30 anos", 4: "31 a 40 anos",
+    5: "41 a 50 anos", 6: "51 a 60 anos", 7: "61 a 70 anos", 8: "71 a 80 anos", 9: "Mais de 80 anos",
+}
+COMPANY_SIZES = {
+    1: "Nao Informado", 2: "Micro Empresa", 3: "Empresa de Pequeno Porte", 5: "Demais",
+}
+HEAD_OFFICE = {
+    1: "Matriz", 2: "Filial",
+}
+PARTNER_KINDS = {
+    1: "PJ", 2: "PF", 3: "Estrangeiro",
+}
+LOOKUP_IDS = {
+    "CNAE": "cnae", "MUNIC": "mun", "NATJU": "natju", "PAIS": "pais", "QUALS": "qual_socio", "MOTI": "motivo",
+}
+ESTAB_COLUMNS = (
+    "cnpj", "cnpj_ordem", "cnpj_dv", "id_matriz", "nome_fantasia", "situacao_cadastral",
+    "data_situacao_cadastral", "motivo_situacao_cadastral", "nome_cidade_ext", "cod_pais",
+    "data_inicio_atividades", "cnae_primario", "cnae_secundario", "tipo_logradouro", "logradouro", "numero",
+    "complemento", "bairro", "cep", "uf", "cod_mun", "ddd_1", "telefone_1", "ddd_2", "telefone_2", "ddd_fax",
+    "fax", "correio_eletronico", "situacao_especial", "data_situacao_especial",
+)
+MOV_HEADERS = {
+    "competência": "data", "região": "cod_regiao", "uf": "cod_uf", "município": "cod_municipio",
+    "seção": "cod_secao", "subclasse": "cod_subclasse", "saldomovimentação": "saldo_movimentacao",
+    "cbo2002ocupação": "cod_cbo_ocupacao", "categoria": "cod_categoria",
+    "graudeinstrução": "cod_grau_instrucao", "idade": "idade", "horascontratuais": "horas_contrato",
+    "raçacor": "cod_raca", "sexo": "cod_sexo", "tipoempregador": "cod_tipo_empregador",
+    "tipoestabelecimento": "cod_tipo_estab", "tipomovimentação": "cod_tipo_mov",
+    "tipodedeficiência": "cod_tipo_deficiencia", "indtrabintermitente": "cod_ind_trab_intermitente",
+    "indtrabparcial": "cod_ind_trab_parcial", "salário": "salario", "tamestabjan": "cod_tamanho_estab",
+    "indicadoraprendiz": "cod_ind_aprendiz", "fonte": "cod_fonte",
+}
+ESTAB_FLOW_HEADERS = {
+    "competência": "data", "região": "cod_regiao", "uf": "cod_uf", "município": "cod_municipio",
+    "seção": "cod_secao", "subclasse": "cod_subclasse", "admitidos": "admitidos", "desligados": "desligados",
+    "saldomovimentação": "saldo_movimentacao", "tipoempregador": "cod_tipo_empregador",
+    "tipoestabelecimento": "cod_tipo_estab", "tamestabjan": "cod_tamanho_estab", "fonte_desl": "cod_fonte",
+}
+HEADERS = {"mov": MOV_HEADERS, "estab": ESTAB_FLOW_HEADERS}
+INTEGERS = {"mov": ("horas_contrato", "idade", "saldo_movimentacao"),
+            "estab": ("admitidos", "desligados", "saldo_movimentacao")}
+MOV_SHEETS = {
+    "região": "regiao.csv", "uf": "uf.csv", "município": "municipio.csv", "seção": "secao.csv",
+    "subclasse": "subclasse.csv", "fonte_desl": "fonte.csv", "categoria": "categoria.csv",
+    "cbo2002ocupação": "cbo_ocupacao.csv", "graudeinstrução": "grau_instrucao.csv", "sexo": "sexo.csv",
+    "tipoempregador": "tipo_empregador.csv", "tipoestabelecimento": "tipo_estab.csv",
+    "tipomovimentação": "tipo_mov.csv", "indtrabparcial": "ind_trab_parcial.csv",
+    "indtrabintermitente": "ind_trab_intermitente.csv", "tipodedeficiência": "tipo_deficiencia.csv",
+    "raçacor": "raca.csv", "indicadoraprendiz": "ind_aprendiz.csv", "tamestabjan": "tamanho_estab.csv",
+}
+UNKNOWN_MUNICIPALITY = "Nao Identificado"
+# ASCII spelling of the signs U+00A0 to U+00BF in order, and of the letters without accents.
+LATIN1_SIGNS = [
+    " ", "!", "C/", "PS", "$?", "Y=", "|", "SS", '"', "(c)", "a", "<<", "!", "", "(r)", "-",
+    "deg", "+-", "2", "3", "'", "u", "P", "*", ",", "1", "o", ">>", " 1/4 ", " 1/2 ", " 3/4 ", "?",
+]
+LATIN1_LETTERS = {"Æ": "AE", "Ð": "D", "×": "x", "Ø": "O", "Þ": "Th", "ß": "ss", "æ": "ae", "ð": "d", "÷": "/", "ø": "o", "þ": "th"}
 
 D = fx.DUCK
 
@@ -68,6 +126,18 @@ def lookup_cte(cte: str, source: str, name: str) -> str:
 SQL: dict[str, str] = {}
 
 SQL["ascii_fold"] = f"SELECT doc_id, {fold('text')} AS folded FROM documents"
+
+
+def latin1_fold(x: str) -> str:
+    for k, ascii_text in enumerate(LATIN1_SIGNS):
+        x = f"replace({x}, chr({160 + k}), '{ascii_text.replace(chr(39), chr(39) * 2)}')"
+    for letter, ascii_text in LATIN1_LETTERS.items():
+        x = f"replace({x}, '{letter}', '{ascii_text}')"
+    return f"strip_accents({x})"
+
+
+SQL["ascii_fold_latin1"] = f"""
+SELECT p_partkey, {latin1_fold("p_name || chr(CAST(160 + p_partkey % 96 AS INTEGER)) || 'x'")} AS folded FROM part"""
 SQL["clean_text"] = f"SELECT doc_id, {clean('text')} AS cleaned FROM documents"
 
 SQL["lenient_int"] = f"""
@@ -145,7 +215,7 @@ SELECT c_custkey, CASE WHEN raw IN ('S/N', 'S/N B') THEN '' ELSE raw END AS nume
     ELSE CAST(c_custkey AS STRING) END AS raw
   FROM customer)"""
 
-_UNKNOWN = lf.UNKNOWN_MUNICIPALITY
+_UNKNOWN = UNKNOWN_MUNICIPALITY
 SQL["split_take"] = f"""
 SELECT c_custkey,
   {initcap(f"coalesce(string_split(raw, '-')[2], '{_UNKNOWN}')")} AS municipio,
@@ -186,6 +256,27 @@ WITH {_KEYED_LI}, {lookup_cte('d', 'nation', 'pais')}
 SELECT f.l_orderkey, f.l_linenumber, f.cod_pais FROM f
 WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.cod_pais = f.cod_pais)"""
 
+_SKEWED_LI = """f AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 7
+  WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 9 = 1 THEN 99
+  ELSE CAST(l_suppkey % 25 AS INTEGER) END AS cod_pais FROM lineitem)"""
+
+SQL["left_lookup_salted"] = f"""
+WITH {_SKEWED_LI}, {lookup_cte('d', 'nation', 'pais')}
+SELECT f.l_orderkey, f.l_linenumber, f.cod_pais, d.nome_pais FROM f LEFT JOIN d ON f.cod_pais = d.cod_pais"""
+
+SQL["lookup_unmatched_salted"] = f"""
+WITH {_SKEWED_LI}, {lookup_cte('d', 'nation', 'pais')}
+SELECT f.l_orderkey, f.l_linenumber, f.cod_pais FROM f
+WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.cod_pais = f.cod_pais)"""
+
+SQL["star_lookup_salted"] = f"""
+WITH f AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '1' ELSE CAST(user_id % 7 AS STRING) END AS cod_regiao,
+    CASE WHEN event_id % 2 = 0 THEN '4' ELSE CAST(event_id % 30 AS STRING) END AS cod_uf FROM events),
+  r AS (SELECT CAST(r_regionkey AS STRING) AS k, {clean('r_name')} AS v FROM region),
+  n AS (SELECT CAST(n_nationkey AS STRING) AS k, {clean('n_name')} AS v FROM nation)
+SELECT f.event_id, r.v AS regiao, n.v AS uf
+FROM f LEFT JOIN r ON f.cod_regiao = r.k LEFT JOIN n ON f.cod_uf = n.k"""
+
 SQL["role_lookup"] = f"""
 WITH f AS (SELECT l_orderkey, l_linenumber, CAST(l_suppkey % 25 AS INTEGER) AS cod_qual_socio,
     CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE CAST(l_partkey % 30 AS INTEGER) END AS cod_qual_socio_rep_legal
@@ -205,7 +296,8 @@ FROM f LEFT JOIN r ON f.cod_regiao = r.k LEFT JOIN n n1 ON f.cod_uf = n1.k LEFT
 
 # ---- whole tables -------------------------------------------------------------------------------------
 
-_LOOKUP_SOURCES = {"mun": "nation", "pais": "region", "cnae": "part", "natju": "supplier", "motivo": "customer"}
+_LOOKUP_SOURCES = {"mun": "nation", "pais": "region", "cnae": "part", "natju": "supplier", "motivo": "customer",
+                   "qual_socio": "nation"}
 
 
 def _lookup_union(sources: dict) -> str:
@@ -279,8 +371,8 @@ _ESTAB_TYPED = {
 
 
 def _estab_sql() -> str:
-    typed = ", ".join(f"{_ESTAB_TYPED.get(c, c)} AS {c}" for c in cr.ESTAB_COLUMNS)
-    out = ", ".join(f"t.{c}" for c in cr.ESTAB_COLUMNS)
+    typed = ", ".join(f"{_ESTAB_TYPED.get(c, c)} AS {c}" for c in ESTAB_COLUMNS)
+    out = ", ".join(f"t.{c}" for c in ESTAB_COLUMNS)
     return f"""
 WITH raw AS (SELECT {select(fx.raw_establishments(D))}
              FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey),
@@ -295,7 +387,7 @@ SQL["consolidate_establishments"] = _estab_sql()
 
 def _flows_sql(level: str, codes: dict, raw_pairs, source: str) -> str:
     ctes, joins, labels = [], [], {}
-    raw_names = {v: k for k, v in lf.RENAMES[level].items()}  # cod_x -> header
+    raw_names = {v: k for k, v in HEADERS[level].items()}  # cod_x -> header
     for name, (src, _) in codes.items():
         (_, code_e), (_, label_e) = fx.codebook_rows(name, src)
         ctes.append(f"cb_{name} AS (SELECT {code_e} AS k, {clean(label_e)} AS v FROM {fx.codebook_table(src)})")
@@ -303,11 +395,11 @@ def _flows_sql(level: str, codes: dict, raw_pairs, source: str) -> str:
         labels[name] = f"cb_{name}.v"
     labels["municipio"] = initcap(f"coalesce(string_split({labels['municipio']}, '-')[2], '{_UNKNOWN}')")
     cols = []
-    for header, target in lf.RENAMES[level].items():
+    for header, target in HEADERS[level].items():
         out = target.removeprefix("cod_")
         if target == "data":
             e = to_date(f"raw.{q(header)}", "%Y%m")
-        elif target in lf.INT_COLUMNS[level]:
+        elif target in INTEGERS[level]:
             e = to_int(f"raw.{q(header)}")
         elif target == "salario":
             e = f"TRY_CAST(raw.{q(header)} AS DOUBLE)"
@@ -327,16 +419,18 @@ SQL["consolidate_estab_flows"] = _flows_sql("estab", fx.ESTAB_FLOW_CODES, fx.raw
 # ---- scans and sinks ----------------------------------------------------------------------------------
 
 # a text value written to CSV and read back: '' and null both come back as null
-SQL["scan_positional"] = "SELECT " + ", ".join(
-    f"NULLIF({e}, '') AS {c}" for c, e in fx.documents_first_line(D)) + " FROM documents"
+SQL["scan_positional"] = """
+SELECT CAST(doc_id AS STRING) AS doc_id, NULLIF(text, '') AS texto, NULLIF(lang, '') AS lang, NULLIF(source, '') AS source,
+  CAST(n_chars AS STRING) AS n_chars
+FROM documents"""
 
 SQL["scan_headered"] = "SELECT CAST(event_id AS STRING) AS event_id, " + ", ".join(
-    f"{e} AS {lf.RENAMES['mov'][c]}" for c, e in fx.raw_movements(D)[:4]) + " FROM events"
+    f"{e} AS {q(MOV_HEADERS.get(c, c))}" for c, e in fx.raw_movements(D)) + " FROM events"
 
 SQL["scan_glob"] = _REGIME_SQL
 
 SQL["scan_lookup_set"] = _lookup_union({
-    cr.LOOKUP_IDS[i]: src for i, src in
+    LOOKUP_IDS[i]: src for i, src in
     {"CNAE": "part", "MUNIC": "nation", "NATJU": "supplier", "PAIS": "region", "QUALS": "nation", "MOTI": "customer"}.items()
 })
 
@@ -348,10 +442,11 @@ SQL["staged_consolidation"] = SQL["consolidate_establishments"]
 
 # ---- ingestion ----------------------------------------------------------------------------------------
 
-_HREF = ANCHOR_HREF.replace("'", "''")
-SQL["extract_links"] = f"""
+# The pages hold double-quoted values only (the other forms are covered by unit tests).
+SQL["extract_links"] = """
 SELECT page_id, replace(link, '&amp;', '&') AS link
-FROM (SELECT page_id, unnest(regexp_extract_all(html, '{_HREF}', 1)) AS link FROM pages)"""
+FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS link FROM pages)"""
+SQL["extract_links_suffix"] = f"SELECT * FROM ({SQL['extract_links']}) WHERE link LIKE '%e'"
 
 _PARSED = f"""
 SELECT event_id, folder, CAST(try_strptime(parts[1], '%m-%d-%y') AS DATE) AS release_date, parts[-1] AS name
@@ -373,7 +468,7 @@ SQL["expand_archives"] = """
 SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS BIGINT) AS line_number, unnest(parts) AS line
 FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)"""
 
-_SHEETS = ", ".join(f"('{s.lower()}', '{f.removesuffix('.csv')}')" for s, f in lf.CODEBOOK_FILES["mov"].items())
+_SHEETS = ", ".join(f"('{s.lower()}', '{f.removesuffix('.csv')}')" for s, f in MOV_SHEETS.items())
 SQL["split_codebooks"] = f"""
 WITH long AS (SELECT {select(fx.long_codebook(D))} FROM customer),
   names(sheet_key, codebook) AS (VALUES {_SHEETS})
@@ -427,5 +522,18 @@ WITH y AS ({_parsed(_TREE['years'], 'orders')}),
   best_m AS (SELECT root, path, name, release_date FROM (
       SELECT best_y.root, best_y.name AS path, m.name, m.release_date,
         row_number() OVER (PARTITION BY best_y.root ORDER BY m.release_date DESC, m.name DESC) AS rn
-      FROM m JOIN best_y ON m.folder = best_y.name WHERE m.release_date IS NOT NULL) WHERE rn = 1)
+      FROM m JOIN best_y ON m.folder = best_y.root || '/' || best_y.name WHERE m.release_date IS NOT NULL) WHERE rn = 1)
 SELECT root, path || '/' || name AS path, name, release_date FROM best_m"""
+SQL["release_files"] = f"""
+WITH newest AS ({SQL["latest_path"]}), files AS ({_parsed(_TREE['files'], 'orders')})
+SELECT n.root, n.path, f.name FROM files f JOIN newest n ON f.folder = n.root || '/' || n.path"""
+
+_REGISTER_LOOKUPS = {"mun": "nation", "pais": "region", "cnae": "part", "natju": "nation", "motivo": "customer", "qual_socio": "nation"}
+for _name, _source in _REGISTER_LOOKUPS.items():
+    SQL[f"register_run_{_name}"] = f"WITH {lookup_cte('d', _source, _name)} SELECT * FROM d"
+SQL["register_run_simples"] = _REGIME_SQL
+SQL["register_run_socios"] = SQL["consolidate_partners"]
+# The run's dumps share one nation-based lookup for qual_socio, the single-table query a region-based one.
+SQL["register_run_empresas"] = SQL["consolidate_companies"].replace(
+    lookup_cte("qs", "region", "qual_socio"), lookup_cte("qs", "nation", "qual_socio"))
+SQL["labour_run_estab"] = SQL["consolidate_estab_flows"]

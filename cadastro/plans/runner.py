@@ -1,20 +1,19 @@
 """Whole-source runs: read raw dumps, consolidate every table in dependency order, write the outputs.
 
 Directory model: ``<root>/data/raw/<source>`` for dumps and ``<root>/data/trusted/<source>`` for tables;
-any Hadoop URI works. The company register runs its lookups first and the later tables read the
-*written* lookups back (small, already cleaned) when the output format keeps its schema (parquet, orc,
-avro, delta); with a text format they use the lookup frames computed in the same run.
+any Hadoop URI works. The company register runs its lookups first; the later tables join
+the lookups of the same run.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import path_exists, scratch_path
+from ..session import delete_path, path_exists, scratch_path
 from ..sources import read_codebook, read_headered, read_lookup_set, read_positional, stage, write_table
 from . import company_register as cr
 from . import labour_flows as lf
@@ -35,7 +34,6 @@ class Layout:
 
 
 COMPANY_TABLES = ("lookups", "simples", "socios", "empresas", "estab")
-SELF_DESCRIBING = ("parquet", "orc", "avro", "delta")
 # lookups each company table needs (by lookup name)
 COMPANY_NEEDS = {"simples": (), "socios": ("qual_socio", "pais"), "empresas": ("natju", "qual_socio"),
                  "estab": ("mun", "pais")}
@@ -53,50 +51,55 @@ def run_company_register(
     staged: bool = False,
     with_full_id: bool = False,
     keep_unknown_municipality: bool = False,
+    kind_overrides: Mapping[str, str] | None = None,
+    strategy: str = "auto",
     **write_options,
 ) -> dict[str, str]:
     """Consolidate the company register; returns ``{table name: output path}``.
 
     ``staged=True`` first rewrites each raw dump as parquet below the shared checkpoint folder (one
-    fresh folder per run and table) and drops it once the table is written.
+    fresh folder per run) and drops it when the run ends, well or not. ``kind_overrides`` and ``strategy``
+    go to :func:`consolidate`; further options to :func:`write_table`. Tables join the lookups of this
+    run; a run without the ``lookups`` step reads those an earlier run wrote. ``mode="append"`` adds a
+    run's rows to every table, lookups included.
     """
     tables = list(tables)
     written: dict[str, str] = {}
-    fmt = fmt or spark.conf.get("spark.sql.sources.default", "parquet")
 
     def out(df: DataFrame, name: str):
         path = f"{out_dir.rstrip('/')}/{name}"
         write_table(df, path, mode=mode, fmt=fmt, n_partitions=n_partitions, **write_options)
         written[name] = path
 
-    in_memory: dict[str, DataFrame] = {}
+    # The run's own lookups: what an earlier run wrote may be appended to, or older.
+    dims: dict[str, DataFrame] = {}
     if "lookups" in tables:
         for name, raw in read_lookup_set(spark, raw_dir, cr.LOOKUP_IDS).items():
-            in_memory[name] = cr.consolidate_lookup(raw, name)
-            out(in_memory[name], f"df_{name}")
+            dims[name] = cr.consolidate_lookup(raw, name)
+            out(dims[name], f"df_{name}")
 
     def dim(name: str) -> DataFrame:
-        # the written lookups are small, cleaned and typed: re-read them when the format keeps its schema;
-        # for text formats use the frames computed in this run
-        if fmt in SELF_DESCRIBING or name not in in_memory:
-            return spark.read.format(fmt).load(f"{out_dir.rstrip('/')}/df_{name}")
-        return in_memory[name]
+        if name not in dims:
+            dims[name] = spark.read.format(fmt or "parquet").load(f"{out_dir.rstrip('/')}/df_{name}")
+        return dims[name]
 
     run_root = scratch_path(spark, "staging") if staged else None
-    for key in ("simples", "socios", "empresas", "estab"):
-        if key not in tables:
-            continue
-        spec = cr.TABLES[key]
-        raw = read_positional(spark, f"{raw_dir.rstrip('/')}/{spec.source_glob}", spec.raw_columns)
-        st = stage(raw, spec.name, root=run_root) if staged else None
-        if st is not None:
-            raw = st.read()
-        dims = {n: dim(n) for n in COMPANY_NEEDS[key]}
-        options = ("full_id",) if (key == "estab" and with_full_id) else ()
-        overrides = {"mun": "left"} if (key == "estab" and keep_unknown_municipality) else None
-        out(consolidate(raw, spec, dims, options=options, how_overrides=overrides), spec.name)
-        if st is not None:
-            st.drop()
+    try:
+        for key in ("simples", "socios", "empresas", "estab"):
+            if key not in tables:
+                continue
+            spec = cr.TABLES[key]
+            raw = read_positional(spark, f"{raw_dir.rstrip('/')}/{spec.source_glob}", spec.raw_columns)
+            if staged:
+                raw = stage(raw, spec.name, root=run_root).read()
+            options = ("full_id",) if (key == "estab" and with_full_id) else ()
+            overrides = {"mun": "left"} if (key == "estab" and keep_unknown_municipality) else None
+            kinds = {c: k for c, k in (kind_overrides or {}).items() if c in spec.raw_columns}
+            out(consolidate(raw, spec, {n: dim(n) for n in COMPANY_NEEDS[key]}, options=options,
+                            how_overrides=overrides, kind_overrides=kinds, strategy=strategy), spec.name)
+    finally:
+        if run_root is not None:
+            delete_path(spark, run_root)
     return written
 
 
@@ -126,16 +129,25 @@ def run_labour_flows(
     n_partitions: int | None = None,
     partition_by: str | None = None,
     strict_codebooks: bool = False,
-    **flow_options,
+    salary_decimal_comma: bool = False,
+    keep_rest: bool = False,
+    key_as_int: bool = False,
+    strategy: str = "auto",
+    **write_options,
 ) -> dict[str, str]:
-    """Consolidate the labour-flow levels found in ``<raw_dir>/<level>/*.txt``."""
+    """Consolidate the labour-flow levels found in ``<raw_dir>/<level>/*.txt``.
+
+    ``salary_decimal_comma``, ``keep_rest``, ``key_as_int`` and ``strategy`` go to :func:`consolidate_flows`,
+    further options (``rebalance``, ``max_records_per_file``, format options) to :func:`write_table`.
+    """
     written = {}
     for level in levels:
         level_dir = f"{raw_dir.rstrip('/')}/{level}"
         raw = read_headered(spark, f"{level_dir}/*.txt", expected=list(lf.RENAMES[level]))
         books = read_codebooks(spark, level_dir, level, strict=strict_codebooks)
-        df = lf.consolidate_flows(raw, level, books, missing="error" if strict_codebooks else "null", **flow_options)
+        df = lf.consolidate_flows(raw, level, books, missing="error" if strict_codebooks else "null", keep_rest=keep_rest,
+                                  salary_decimal_comma=salary_decimal_comma, key_as_int=key_as_int, strategy=strategy)
         path = f"{out_dir.rstrip('/')}/{lf.OUTPUT_NAMES[level]}"
-        write_table(df, path, mode=mode, fmt=fmt, partition_by=partition_by, n_partitions=n_partitions)
+        write_table(df, path, mode=mode, fmt=fmt, partition_by=partition_by, n_partitions=n_partitions, **write_options)
         written[lf.OUTPUT_NAMES[level]] = path
     return written

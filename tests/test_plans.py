@@ -66,7 +66,8 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns == list(cr.ESTAB_OUTPUT) + ["cnpj_completo"]
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(catalog.QUERIES) <= set(entry.oracle_sql())
 
 
 import pytest  # noqa: E402

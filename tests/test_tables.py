@@ -166,3 +166,25 @@ def test_exact_capital_and_integer_codebook_keys(spark, company_raw, tmp_dir):
         int_keys = run_labour_flows(spark, f"{tmp_dir}/k", f"{tmp_dir}/k_out2", levels=("estab",), key_as_int=True)
     assert spark.read.parquet(text_keys["estabelecimentos"]).first().regiao is None  # '01' != '1' as text
     assert spark.read.parquet(int_keys["estabelecimentos"]).first().regiao == "Norte"  # B7: compared as ints
+
+
+def test_a_second_append_run_uses_its_own_lookups(spark, company_raw, tmp_dir):
+    from cadastro.plans.runner import run_company_register
+
+    out = f"{tmp_dir}/appended"
+    for n in (1, 2):
+        paths = run_company_register(spark, company_raw, out, mode="append", staged=True, kind_overrides={"capital_social": "decimal_comma"})
+        companies = spark.read.parquet(paths["df_empresas"])
+        assert companies.count() % n == 0 and dict(companies.dtypes)["capital_social"].startswith("decimal")
+        counts = {t: spark.read.parquet(p).count() for t, p in paths.items()}
+        first = counts if n == 1 else first  # noqa: F821
+    assert counts == {t: 2 * c for t, c in first.items()}
+
+
+def test_labour_run_passes_writer_options(spark, tmp_dir):
+    header = list(lf.RENAMES["estab"])
+    put(f"{tmp_dir}/w/estab/a.txt", [";".join(header)] + [";".join("3" for _ in header)] * 10, "utf-8")
+    with pytest.warns(UserWarning):
+        paths = run_labour_flows(spark, f"{tmp_dir}/w", f"{tmp_dir}/w_out", levels=("estab",), max_records_per_file=3)
+    parts = [f for f in os.listdir(paths["estabelecimentos"]) if f.endswith(".parquet")]
+    assert len(parts) >= 4
