@@ -104,6 +104,8 @@ def fit_tilts(sizes: DataFrame, targets: DataFrame, *, max_copies: int = 3, tole
         inside = (F.col("old") - F.col("step") > F.col("low")) & (F.col("old") - F.col("step") < F.col("high"))
         tilt = F.when(F.col("miss") <= tolerance, F.col("old")).when(inside, F.col("old") - F.col("step")).otherwise(
             (F.col("low") + F.col("high")) / 2)
+        # Sums of doubles depend on the order of their parts in the last digits; rounded, reruns agree.
+        tilt = F.round(tilt, 12)
         state = materialise(moved.select("source", "source_size", "target", "scale", "full", tilt.alias("tilt"), "low", "high", "miss"), "mix_state")
         if (state.agg(F.max("miss")).first()[0] or 0.0) <= tolerance:
             break
