@@ -88,5 +88,18 @@ def append_columns(
     return base.mapInArrow(run, schema)
 
 
+# Rows and bytes of an Arrow batch between Spark and a Python worker. The defaults (10,000 rows, 64 MB) hold
+# tens of MB of texts at once, in the executor and in the worker, for every running task.
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch limits to ``BATCH_CONF``: texts are large rows."""
+    for key, value in BATCH_CONF.items():
+        spark.conf.set(key, value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder, in a session with batch limits fit for texts."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -167,8 +167,8 @@ def plan_packing(counts: dict[int, int], capacity: int) -> Plan:
 def cut_pieces(
     docs: DataFrame, tokenizer_json: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 0,
 ) -> DataFrame:
-    """Encoded documents cut into pieces: id, piece, start, length, ids (little-endian bytes, two or four
-    an id), and the task and rank that ``pack`` counts by.
+    """Encoded documents cut into pieces: id, piece, start, length, ids (little-endian unsigned 32-bit
+    integers as bytes), and the task and rank that ``pack`` counts by.
 
     Only documents longer than ``capacity`` are cut; all their pieces but the last are full.
     """
@@ -181,14 +181,13 @@ def cut_pieces(
     ])
 
     def run(batches):
-        encode = encoder(shipped.value)
-        width = encode.dtype.itemsize
-        end, task, seen = np.array([end_id], encode.dtype).tobytes(), TaskContext.get().partitionId(), [0] * (capacity + 1)
+        encode, width = encoder(shipped.value), 4
+        end, task, seen = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), [0] * (capacity + 1)
         for batch in batches:
             for start, texts in slices(batch, 1):
                 owner, piece, begin, length, ids, rank = [], [], [], [], [], []
                 for row, text in enumerate(texts):
-                    whole = encode.encode(text) + end
+                    whole = np.frombuffer(encode.encode(text), encode.dtype).astype("<u4").tobytes() + end
                     for k, at in enumerate(range(0, len(whole), capacity * width)):
                         part = whole[at:at + capacity * width]
                         size = len(part) // width

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +11,7 @@ from . import (
     arrow_sequences, chat_format, fingerprints, language_id, packing, quality, simhash_dedup, source_mix, token_counts, topk_search,
 )
 from ._common import table
-from .tokens import id_width, read_tokenizer
+from .tokens import read_tokenizer
 
 
 def tokenizer(name: str) -> str:
@@ -48,21 +44,12 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack ``documents`` into sequences of at most 2048 tokens."""
-    spec = tokenizer("word_bpe_49k.json")
-    return with_crc32(packing.pack(table(spark, sf_dir, "documents"), spec), id_width(spec))
+    return with_crc32(packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
 
 
-def with_crc32(packed: DataFrame, width: int) -> DataFrame:
+def with_crc32(packed: DataFrame) -> DataFrame:
     """Packed pieces with the crc32 of their ids (as 32-bit integers) in place of the ids."""
-
-    def run(batches):
-        for batch in batches:
-            sums = [zlib.crc32(np.frombuffer(x, f"<u{width}").astype("<u4").tobytes()) for x in batch.column("ids").to_pylist()]
-            at = batch.schema.get_field_index("ids")
-            yield batch.set_column(at, "ids_crc32", pa.array(sums, pa.int64()))
-
-    fields = ", ".join(f"{'ids_crc32 long' if f.name == 'ids' else f'`{f.name}` {f.dataType.simpleString()}'}" for f in packed.schema.fields)
-    return packed.mapInArrow(run, fields)
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

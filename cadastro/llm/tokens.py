@@ -67,7 +67,7 @@ class Encoder:
     ``cache_pieces`` bounds each of the two cache generations; it changes speed, never ids.
     """
 
-    def __init__(self, tokenizer_json: str, cache_pieces: int = 600_000):
+    def __init__(self, tokenizer_json: str, cache_pieces: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -211,7 +211,7 @@ def id_width(tokenizer_json: str) -> int:
 _ENCODERS: dict[tuple[int, int], Encoder] = {}
 
 
-def encoder(tokenizer_json: str, cache_pieces: int = 600_000) -> Encoder:
+def encoder(tokenizer_json: str, cache_pieces: int = 200_000) -> Encoder:
     """The worker's encoder for a tokenizer: built once, its cache kept from task to task."""
     key = (hash(tokenizer_json), cache_pieces)
     if key not in _ENCODERS:

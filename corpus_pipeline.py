@@ -12,22 +12,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cadastro.llm import language_id, packing, quality, queries, simhash_dedup, source_mix
-from cadastro.llm.tokens import id_width
+from cadastro.llm._common import small_batches
 from cadastro.session import scratch_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the quality classifier accepts; it learns from all labels of these documents."""
+    small_batches(spark)
     return quality.keep_good(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose language is known."""
+    small_batches(spark)
     return language_id.keep_known_languages(docs, language_id.learn(docs))
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates."""
+    small_batches(spark)
     return simhash_dedup.drop_near_duplicates(docs)
 
 
@@ -38,8 +41,8 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack every row (copies of a document are rows of their own) into sequences of at most 2048 tokens."""
-    spec = queries.tokenizer("word_bpe_49k.json")
-    return queries.with_crc32(packing.pack(docs, spec), id_width(spec))
+    small_batches(spark)
+    return queries.with_crc32(packing.pack(docs, queries.tokenizer("word_bpe_49k.json")))
 
 
 STAGES = [
