@@ -75,8 +75,9 @@ import pytest  # noqa: E402
 
 @pytest.mark.parametrize("name", ["consolidate_regime", "consolidate_partners", "consolidate_companies",
                                   "consolidate_establishments", "consolidate_movements", "consolidate_estab_flows"])
-def test_consolidations_have_no_python_and_no_fact_shuffle(spark, name):
-    plan = physical(catalog.QUERIES[name](spark, SF001))
+@pytest.mark.parametrize("sf", [SF001, "/root/testdata/sf0.1"])
+def test_consolidations_have_no_python_and_no_fact_shuffle(spark, name, sf):
+    plan = physical(catalog.QUERIES[name](spark, sf))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert plan.count("Exchange") == plan.count("BroadcastExchange")
 

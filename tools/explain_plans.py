@@ -14,8 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 NOTES = {
     "consolidate_establishments": "30 raw columns typed in one projection, two broadcast lookups (inner municipality, "
-                                  "left country); the only exchanges are broadcasts (at sf0.1 a round-robin spread of the "
-                                  "single-row-group benchmark file is added in front).",
+                                  "left country); the only exchanges are broadcasts.",
     "consolidate_movements": "19 broadcast left lookups in one stage (star), no fact shuffle.",
     "tiered_match": "best candidate per (grain, key) aggregated once and checkpointed; three broadcast lookups.",
     "latest_release": "partial max over a struct before the shuffle: one candidate per folder and task. It runs as "
