@@ -31,6 +31,9 @@ from pyspark.sql import types as T
 from ._common import materialise, slices
 from .tokens import encoder
 
+# A table is broadcast only below this size, by a bound on its rows.
+BROADCAST_BYTES = 16 << 20
+
 
 @dataclass
 class _Group:
@@ -223,6 +226,9 @@ def pack(
     plan = docs.sparkSession.sparkContext.broadcast(plan_packing(totals, capacity))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_task.select("task", "length", F.coalesce(F.sum("count").over(before), F.lit(0)).cast("long").alias("base"))
+    # One row per task and length: broadcast while few (a row takes under 64 bytes), else a sorted join.
+    bounded = by_task.count() * 64 <= BROADCAST_BYTES
+    bases = F.broadcast(bases) if bounded else bases.hint("merge")
     ranked = pieces.join(bases, ["task", "length"]).select(
         id_col, "piece", "start", "length", "ids", (F.col("base") + F.col("rank")).alias("rank"))
     schema = T.StructType([*ranked.schema.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])

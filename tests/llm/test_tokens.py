@@ -150,3 +150,13 @@ def test_pack_round_trip(spark, odd_docs, no_docs):
         parts = sorted((x for x in rows if x.sequence_id == s), key=lambda x: x.offset)
         assert r.ids == b"".join(bytes(x.ids) for x in parts) and r.length <= 256
     assert packing.pack(no_docs, spec).count() == 0
+
+
+def test_pack_without_a_broadcast(odd_docs, monkeypatch):
+    spec = SPEC[FILES[1]]
+    places = [sorted(packing.pack(odd_docs, spec, capacity=256).select("doc_id", "piece", "length", "sequence_id", "offset").collect())]
+    monkeypatch.setattr(packing, "BROADCAST_BYTES", 0)
+    merged = packing.pack(odd_docs, spec, capacity=256)
+    assert "BroadcastHashJoin" not in merged._jdf.queryExecution().executedPlan().toString()
+    places.append(sorted(merged.select("doc_id", "piece", "length", "sequence_id", "offset").collect()))
+    assert places[0] == places[1]
