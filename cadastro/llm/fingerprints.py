@@ -118,12 +118,13 @@ def edited(text: str, following: str) -> str:
 def _row(text: str, own: bytes, following: str, next_print: bytes) -> list:
     changed = edited(text, following)
     changed_print = fingerprint(shingle_hashes(changed))
-    return [len(text), hashlib.sha256(changed.encode()).hexdigest(), own.hex(), changed_print.hex(),
+    return [len(text), hashlib.sha256(changed.encode()).digest(), own, changed_print,
             likeness(own, changed_print), likeness(own, next_print)]
 
 
-RESULT = [("n_chars", T.LongType()), ("edited_sha256", T.StringType()), ("fingerprint", T.StringType()),
-          ("edited_fingerprint", T.StringType()), ("near_edited", T.DoubleType()), ("near_next", T.DoubleType())]
+# Hashes stay bytes until the result, which spells them in hex: half the size on disk.
+RESULT = [("n_chars", T.LongType()), ("edited_sha256", T.BinaryType()), ("fingerprint", T.BinaryType()),
+          ("edited_fingerprint", T.BinaryType()), ("near_edited", T.DoubleType()), ("near_next", T.DoubleType())]
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,7 +165,7 @@ def compare_with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     def run(batches):
         task, held, ready = TaskContext.get().partitionId(), None, []
         columns = [pa.field(f.name, t) for f, t in zip(schema.fields, [
-            pa.int32(), pa.string(), None, pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()],
+            pa.int32(), pa.string(), None, pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64()],
             strict=True) if t is not None]
 
         def out(rows, id_type):
@@ -178,14 +179,14 @@ def compare_with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                 for key, text in zip(batch.column(0).slice(start, len(texts)).to_pylist(), texts, strict=True):
                     own = fingerprint(shingle_hashes(text))
                     if held is None:
-                        ready.append([task, "first", key, text, None, None, own.hex(), None, None, None])
+                        ready.append([task, "first", key, text, None, None, own, None, None, None])
                     else:
                         ready.append([task, None, held[0], None, *_row(held[1], held[2], text, own)])
                     held = key, text, own
                 yield out(ready, id_type)
                 ready = []
         if held is not None:
-            yield out([[task, "last", held[0], held[1], None, None, held[2].hex(), None, None, None]], id_type)
+            yield out([[task, "last", held[0], held[1], None, None, held[2], None, None, None]], id_type)
 
     done = materialise(dealt.mapInArrow(run, schema), "fingerprints")
     names = [n for n, _ in RESULT]
@@ -205,8 +206,9 @@ def compare_with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         for batch in batches:
             for k in range(batch.num_rows):
                 _, text, own, following_text, next_print = (c[k].as_py() for c in batch.columns)
-                values = _row(text, bytes.fromhex(own), following_text, bytes.fromhex(next_print))
+                values = _row(text, own, following_text, next_print)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(k, 1), *(pa.array([v]) for v in values)], names=edge_schema.names)
 
-    return inner.unionByName(pairs.mapInArrow(close, edge_schema).withColumnRenamed("id", id_col))
+    both = inner.unionByName(pairs.mapInArrow(close, edge_schema).withColumnRenamed("id", id_col))
+    return both.select(id_col, *[F.lower(F.hex(n)).alias(n) if isinstance(t, T.BinaryType) else n for n, t in RESULT])
