@@ -1,9 +1,10 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a random vector of +1 and -1. A trigram ``abc`` is the product (binding) of its letters'
-vectors, each rotated (permuted) by its place: ``rot2(a) * rot1(b) * c``. The sum (bundling) of a text's
-trigram vectors is its profile; the sum of a language's texts is the language's prototype. A text gets
-the language whose prototype has the largest cosine with its profile.
+Every letter of every alphabet has a random vector of +1 and -1, hashed from its code point. A trigram
+``abc`` is the product (binding) of its letters' vectors, each rotated (permuted) by its place:
+``rot2(a) * rot1(b) * c``. The sum (bundling) of a text's trigram vectors is its profile; the sum of a
+language's texts is the language's prototype. A text gets the language whose prototype has the largest
+cosine with its profile.
 
 Learning is one pass: each task bundles its texts by language and sends one vector of integers per
 language; their sum does not depend on the order, so reruns give the same prototypes. The driver holds
@@ -25,8 +26,6 @@ from pyspark.sql import types as T
 from ._common import append_columns, fresh, slices
 
 UNDETERMINED = "und"
-# Symbols: 0 a word border, 1 to 26 a-z, then the lower-case letters of Latin-1, then 5 shared classes.
-SYMBOLS = 64
 _BLOCK_CHARS = 1 << 20
 _MATRIX_CELLS = 1 << 22
 _NON_LETTER = re.compile(r"[\W\d_]")
@@ -34,29 +33,62 @@ _NON_LETTER = re.compile(r"[\W\d_]")
 
 @lru_cache(maxsize=1)
 def _symbol_of() -> np.ndarray:
-    """Symbol by code point. A letter beyond Latin-1 falls into one of the shared classes."""
-    table = np.zeros(0x110000, np.uint8)
-    letters = np.fromiter((chr(c).isalpha() for c in range(len(table))), bool, len(table))
-    points = np.flatnonzero(letters)
-    table[points] = SYMBOLS - 5 + points % 5
-    own = [*range(ord("a"), ord("z") + 1), *(c for c in range(0xDF, 0x100) if c != 0xF7)]
-    table[own] = np.arange(1, len(own) + 1)
-    return table
-
-
-@lru_cache(maxsize=2)
-def _letter_vectors(dim: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbol by code point: 0, a word border, for what is no letter; a letter is its own symbol."""
+    points = np.arange(0x110000, dtype=np.int32)
+    letters = np.fromiter((chr(c).isalpha() for c in range(len(points))), bool, len(points))
+    return np.where(letters, points, 0).astype(np.int32)
+
+
+@dataclass(frozen=True)
+class _Vectors:
+    """Vectors by symbol, rotated by ``turn``: +1 and -1 from a hash of seed, symbol and place.
+
+    No alphabet is fixed and nothing is kept: a symbol's vector is the same in every task and run.
+    """
+
+    dim: int
+    seed: int
+    turn: int
+
+    def __getitem__(self, symbols) -> np.ndarray:
+        symbols = np.asarray(symbols, np.uint64)
+        z = symbols[..., None] << np.uint64(32) | np.arange(-(-self.dim // 64), dtype=np.uint64)
+        for salt in (self.seed, 0):  # splitmix64, twice
+            z = z + np.uint64((salt + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+            z = (z ^ z >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+            z = (z ^ z >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+            z = z ^ z >> np.uint64(31)
+        bits = np.unpackbits(z.astype("<u8").view(np.uint8), axis=-1, count=self.dim)
+        return np.roll(bits.view(np.int8) * np.int8(2) - np.int8(1), self.turn, axis=-1)
+
+
+def _letter_vectors(dim: int, seed: int) -> tuple[_Vectors, _Vectors, _Vectors]:
     """Vectors of the symbols in first, second and third place (rotated by 2, 1 and 0)."""
-    base = np.random.default_rng(seed).integers(0, 2, (SYMBOLS, dim), np.int8) * 2 - 1
-    return np.roll(base, 2, axis=1), np.roll(base, 1, axis=1), base
+    return _Vectors(dim, seed, 2), _Vectors(dim, seed, 1), _Vectors(dim, seed, 0)
 
 
-def _trigram_vectors(trigrams: np.ndarray, dim: int, seed: int) -> np.ndarray:
-    first, second, third = _letter_vectors(dim, seed)
-    bound = first[trigrams // SYMBOLS**2] * second[trigrams // SYMBOLS % SYMBOLS] * third[trigrams % SYMBOLS]
+def _trigram_vectors(trigrams: np.ndarray, letters: list[np.ndarray]) -> np.ndarray:
+    """Vectors of trigrams, numbers of three digits that are places in the tables of ``letters``."""
+    first, second, third = letters
+    n = len(first)
+    bound = first[trigrams // n**2]
+    bound *= second[trigrams // n % n]
+    bound *= third[trigrams % n]
     return bound.astype(np.float32)
 
 
+def _numbered(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values, place of each value among them) of whole numbers below ``size``."""
+    if size > 4 * len(values):
+        return np.unique(values, return_inverse=True)
+    seen = np.zeros(size, bool)
+    seen[values] = True
+    present = np.flatnonzero(seen)
+    place = np.zeros(size, np.int64)
+    place[present] = np.arange(len(present))
+    return present, place[values]
+
+
 def _blocks(texts: list[str | None]):
     """(rows, parts) of bounded size. A long text is cut after a non-letter, where no trigram crosses."""
     rows, parts, size = [], [], 0
@@ -76,49 +108,55 @@ def _blocks(texts: list[str | None]):
         yield rows, parts
 
 
-def _trigrams(rows: list[int], parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(row, trigram) of every trigram of the parts; a trigram never spans two words."""
+def _trigrams(rows: list[int], parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, trigram) of every trigram of the parts, and the parts' symbols; a trigram never spans two words.
+
+    A trigram is a number of three digits, each the place of a letter among the n symbols (base n).
+    """
     lowered = [p.lower() for p in parts]
     points = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4")
-    symbols = np.concatenate([[0], _symbol_of()[points], [0]]).astype(np.int64)
+    symbols = np.concatenate([[0], _symbol_of()[points], [0]])
     owner = np.repeat(np.array(rows, np.int64), [len(p) + 1 for p in lowered])
     owner = np.concatenate([owner[:1], owner])
     keep = np.ones(len(symbols), bool)
     keep[1:] = (symbols[1:] != 0) | (symbols[:-1] != 0)
-    symbols, owner = symbols[keep], owner[:len(keep)][keep]
-    inner = symbols[1:-1] != 0
-    grams = symbols[:-2] * SYMBOLS**2 + symbols[1:-1] * SYMBOLS + symbols[2:]
-    return owner[1:-1][inner], grams[inner]
+    names, digits = _numbered(symbols[keep], 0x110000)
+    owner, n = owner[:len(keep)][keep], len(names)
+    inner = names[digits[1:-1]] != 0
+    grams = (digits[:-2] * n + digits[1:-1]) * n + digits[2:]
+    return owner[1:-1][inner], grams[inner], names
 
 
 def bundle(texts: list[str | None], groups: np.ndarray, n_groups: int, dim: int, seed: int) -> np.ndarray:
     """Sum of the trigram vectors of all texts by group (one group per text gives the texts' profiles).
 
-    Sums are exact integers in float32 up to 2^24 trigrams a block and group, and added as float64.
+    Sums are exact integers in float32 up to 2^24 trigrams a block and group, and added as float64. Counts
+    are a matrix where groups share most trigrams, and pairs (group, trigram) where they do not.
     """
     total = np.zeros((n_groups, dim), np.float64)
+    step = max(1, _MATRIX_CELLS // dim)
     for rows, parts in _blocks(texts):
-        row, gram = _trigrams(rows, parts)
+        row, gram, symbols = _trigrams(rows, parts)
         if not len(gram):
             continue
-        seen = np.zeros(SYMBOLS**3, bool)
-        seen[gram] = True
-        present = np.flatnonzero(seen)
-        column_of = np.zeros(SYMBOLS**3, np.int64)
-        column_of[present] = np.arange(len(present))
-        group, column = groups[row], column_of[gram]
-        order = np.argsort(group, kind="stable") if (np.diff(group) < 0).any() else slice(None)
-        group, column = group[order], column[order]
-        names, first = np.unique(group, return_index=True)
-        bounds = [*first, len(group)]
-        step = max(1, _MATRIX_CELLS // len(present))
-        vectors = _trigram_vectors(present, dim, seed)
-        for lo in range(0, len(names), step):
-            some = names[lo:lo + step]
-            part = slice(bounds[lo], bounds[min(lo + step, len(names))])
-            local = np.searchsorted(some, group[part])
-            counts = np.bincount(local * len(present) + column[part], minlength=len(some) * len(present))
-            total[some] += counts.reshape(len(some), -1).astype(np.float32) @ vectors
+        present, column = _numbered(gram, len(symbols) ** 3)
+        letters = [vectors[symbols] for vectors in _letter_vectors(dim, seed)]
+        names, local = _numbered(groups[row], n_groups)
+        cell, n_cells = local * len(present) + column, len(names) * len(present)
+        if n_cells <= 16 * len(gram):
+            counts = np.zeros(n_cells, np.float32)
+            np.add.at(counts, cell, np.float32(1))
+            counts = counts.reshape(len(names), -1)
+            for lo in range(0, len(present), step):
+                total[names] += counts[:, lo:lo + step] @ _trigram_vectors(present[lo:lo + step], letters)
+        else:
+            pairs, counts = np.unique(cell, return_counts=True)
+            for lo in range(0, len(pairs), step):
+                at, which = np.divmod(pairs[lo:lo + step], len(present))
+                vectors, weights = _trigram_vectors(present[which], letters), counts[lo:lo + step].astype(np.float32)
+                some, starts = np.unique(at, return_index=True)
+                for name, start, end in zip(names[some], starts, [*starts[1:], len(at)], strict=True):
+                    total[name] += weights[start:end] @ vectors[start:end]
     return total
 
 

@@ -53,6 +53,27 @@ def test_long_text_is_bundled_in_parts(monkeypatch):
     assert (language_id.bundle([text], np.array([0]), 1, 64, 3) == whole).all()
 
 
+def test_letters_of_every_alphabet_have_their_own_vectors():
+    """The same words in Latin, Cyrillic, Armenian and CJK letters; letters that were one class mod 5 differ."""
+    words = "the quick brown fox jumps over a lazy dog while some small birds sing " * 3
+    for first in (0x430, 0x561, 0x4E00):
+        text = words.translate({97 + k: first + k for k in range(26)})
+        table = language_id._symbol_of()
+        assert len({int(table[first + k]) for k in range(26)}) == 26 and 0 not in table[first:first + 26]
+        other = text.translate({first + k: first + k + 5 for k in range(26)})
+        profiles = language_id.bundle([text, other, words], np.arange(3), 3, 1024, 20)
+        norms = np.linalg.norm(profiles, axis=1)
+        assert np.allclose(norms, norms[2], rtol=0.1) and abs(profiles[0] @ profiles[1]) < 0.2 * norms[0] * norms[1]
+
+
+def test_pairs_and_matrix_give_the_same_bundles():
+    rng = np.random.default_rng(6)
+    texts = ["".join(chr(c) for c in rng.integers(0x4E00, 0x4E00 + 3000, 200)) + " same end" for _ in range(40)]
+    together = language_id.bundle(texts, np.arange(40), 40, 128, 3)
+    assert (together == np.concatenate([language_id.bundle([t], np.array([0]), 1, 128, 3) for t in texts])).all()
+    assert (language_id.bundle(texts, np.zeros(40, int), 1, 128, 3)[0] == together.sum(axis=0)).all()
+
+
 def test_quality_of_held_out_documents(spark):
     labels = spark.read.parquet(f"{SF01}/labels.parquet").select("doc_id", "quality")
     rows = queries.op8_quality_classifier(spark, SF01).join(labels, "doc_id").where("held_out").collect()
