@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import append_columns, materialise
+from ._common import append_columns, fresh, materialise
 
 SEED = 42
 WORDS = 4
@@ -264,8 +264,9 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     Rows with a null id are kept. If an id occurs more than once, one of its rows stays.
     """
     groups = near_duplicates(docs, id_col=id_col, text_col=text_col, words=words, max_distance=max_distance)
-    counts = materialise(groups.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("kept")).count(), "simhash_kept")
-    kept = docs.join(counts.select("kept"), docs[id_col] == F.col("kept"), "left_semi")
+    name = fresh("kept", docs)
+    counts = materialise(groups.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias(name)).count(), "simhash_kept")
+    kept = docs.join(counts.select(name), docs[id_col] == F.col(name), "left_semi")
     if counts.where("count > 1").limit(1).count():
         kept = kept.dropDuplicates([id_col])
     return kept.unionByName(docs.where(F.col(id_col).isNull()))

@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import materialise, without
+from ._common import _col, materialise, without
 
 WORD = r"[^\x20\x09-\x0D]+"
 BINS = 4096
@@ -222,10 +222,16 @@ def mix_table(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: Sequence[float] = (5.0, 2.0, 1.0), max_copies: int = 3) -> DataFrame:
-    """The mixed corpus: rows of ``docs`` (same columns), each as often as the mix takes it (0 to max_copies)."""
+    """The mixed corpus: rows of ``docs`` (same columns), each as often as the mix takes it (0 to max_copies).
+
+    Columns named as in ``helpers`` below (in any case) are not returned.
+    """
     helpers = ["_id", "_source", "_size", "_rate", "_base", "_slack", "_copies"]
-    base = without(docs, helpers)
+    names = without(docs, helpers).columns
     _, plan = plan_mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, weights=weights, max_copies=max_copies)
-    rows = base.withColumns({"_id": F.col(id_col), "_source": F.col(source_col), "_size": word_count(F.col(text_col))})
+    # The columns go by their places, so that none meets a column of the plan.
+    rows = docs.select(*[_col(c).alias(f"column{i}") for i, c in enumerate(names)], F.col(id_col).alias("_id"),
+                       F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_size"))
     copies = _with_copies(rows, plan, max_copies).where(F.col("_copies") > 0)
-    return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*base.columns)
+    return copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
+        *[F.col(f"column{i}").alias(c) for i, c in enumerate(names)])

@@ -108,6 +108,14 @@ def test_near_duplicates_of_odd_documents(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
 
 
+def test_dropping_near_duplicates_keeps_a_column_named_kept(odd_docs):
+    clash = odd_docs.withColumn("KEPT", F.col("doc_id") * 2).withColumn("count", F.lit("x"))
+    got = simhash_dedup.drop_near_duplicates(clash)
+    assert got.columns == clash.columns
+    want = sorted(r.doc_id for r in simhash_dedup.drop_near_duplicates(odd_docs).collect())
+    assert sorted((r.doc_id, r.KEPT, r["count"]) for r in got.collect()) == [(i, 2 * i, "x") for i in want]
+
+
 @pytest.mark.parametrize("bucket_rows", [4096, 16])
 def test_links_find_every_class(spark, bucket_rows):
     """Random fingerprints, clusters and chains; small buckets force the chunked path."""

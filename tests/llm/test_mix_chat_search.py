@@ -64,6 +64,14 @@ def test_mix_meets_its_targets(spark):
         assert np.allclose(odds, odds[0], rtol=1e-4, atol=1e-9)
 
 
+def test_mix_returns_columns_named_as_those_of_the_plan(odd_docs):
+    clash = odd_docs.withColumns({c: F.col("doc_id") for c in ("_tilt", "_FULL", "_scale", "_target", "_copy", "_fine", "_s", "e")})
+    got, want = source_mix.mix(clash), source_mix.mix(odd_docs)
+    assert got.columns == clash.columns
+    assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in want.collect())
+    assert all(r._tilt == r._FULL == r._copy == r._s == r.doc_id for r in got.collect())
+
+
 def test_mix_edge_cases(spark, odd_docs, no_docs):
     clash = odd_docs.withColumn("_SIZE", F.lit("x")).withColumn("copies", F.lit(9))
     table = source_mix.mix_table(clash).collect()
