@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 from ._common import append_columns, fresh, slices
 
 UNDETERMINED = "und"
+# Standard deviations (1 / sqrt(dimensions) each) that the cosine of a clean text may fall short by chance.
+CHANCE = 4.5
 _BLOCK_CHARS = 1 << 20
 _MATRIX_CELLS = 1 << 22
 _NON_LETTER = re.compile(r"[\W\d_]")
@@ -133,13 +135,19 @@ def bundle(texts: list[str | None], groups: np.ndarray, n_groups: int, dim: int,
     Sums are exact integers in float32 up to 2^24 trigrams a block and group, and added as float64. Counts
     are a matrix where groups share most trigrams, and pairs (group, trigram) where they do not.
     """
-    total = np.zeros((n_groups, dim), np.float64)
+    return _bundle(texts, groups, n_groups, dim, seed)[0]
+
+
+def _bundle(texts: list[str | None], groups: np.ndarray, n_groups: int, dim: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """``bundle`` and the number of trigrams by group."""
+    total, sizes = np.zeros((n_groups, dim), np.float64), np.zeros(n_groups, np.int64)
     step = max(1, _MATRIX_CELLS // dim)
     for rows, parts in _blocks(texts):
         row, gram, symbols = _trigrams(rows, parts)
         if not len(gram):
             continue
         present, column = _numbered(gram, len(symbols) ** 3)
+        sizes += np.bincount(groups[row], minlength=n_groups)
         letters = [vectors[symbols] for vectors in _letter_vectors(dim, seed)]
         names, local = _numbered(groups[row], n_groups)
         cell, n_cells = local * len(present) + column, len(names) * len(present)
@@ -157,18 +165,33 @@ def bundle(texts: list[str | None], groups: np.ndarray, n_groups: int, dim: int,
                 some, starts = np.unique(at, return_index=True)
                 for name, start, end in zip(names[some], starts, [*starts[1:], len(at)], strict=True):
                     total[name] += weights[start:end] @ vectors[start:end]
-    return total
+    return total, sizes
 
 
 @dataclass
 class Profiles:
-    """Unit-length language prototypes: ``languages[i]`` has row ``i`` of ``matrix``."""
+    """Unit-length language prototypes: ``languages[i]`` has row ``i`` of ``matrix``.
+
+    ``weights[i]`` is the mean cosine of one trigram of the language with its prototype, estimated for texts
+    not learned: all learned trigrams together, less what each adds to its own prototype.
+    """
 
     languages: list[str]
     matrix: np.ndarray
+    weights: np.ndarray
     dim: int
     seed: int
 
+    def level(self, best: np.ndarray, sizes: np.ndarray, norms: np.ndarray) -> np.ndarray:
+        """Cosine below which a text of ``sizes`` trigrams and profile length ``norms`` is not in language ``best``.
+
+        A text whose trigrams count as n different ones has a cosine of about weight * sqrt(n) if it is in the
+        language. The level is half of that (at most 0.4), less ``CHANCE`` standard deviations of the cosine
+        of unrelated vectors: a text of a word or a few, or one that repeats a word, has level 0.
+        """
+        different = sizes * np.sqrt(self.dim) / np.maximum(norms, 1e-12)
+        return np.maximum(np.minimum(self.weights[best] * different, 0.8) / 2 - CHANCE / np.sqrt(self.dim), 0)
+
 
 def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", dim: int = 1024, seed: int = 20) -> Profiles:
     """Prototypes of the languages of ``docs``; rows with a null language or no letter teach nothing."""
@@ -181,23 +204,26 @@ def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", di
                 langs = batch.column(1).slice(start, len(texts)).to_pylist()
                 names = sorted(set(langs))
                 groups = np.array([names.index(x) for x in langs])
-                for name, vector in zip(names, bundle(texts, groups, len(names), dim, seed), strict=True):
+                for name, vector, size in zip(names, *_bundle(texts, groups, len(names), dim, seed), strict=True):
                     if vector.any():
-                        sums[name] = sums.get(name, 0) + vector
+                        sums[name] = sums.get(name, 0) + np.append(vector, size)
         if sums:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sums)), pa.array([v.astype(np.int64) for v in sums.values()], pa.list_(pa.int64()))],
                 names=["lang", "vector"])
 
-    # One row per language and dimension comes back, however many tasks there were.
+    # One row per language and dimension, and one with its number of trigrams, comes back, however many tasks there were.
     rows = (narrow.mapInArrow(run, "lang string, vector array<long>").select("lang", F.posexplode("vector"))
             .groupBy("lang", "pos").agg(F.sum("col").alias("n")).collect())
     languages = sorted({r["lang"] for r in rows})
-    matrix = np.zeros((len(languages), dim))
+    sums = np.zeros((len(languages), dim + 1))
     for r in rows:
-        matrix[languages.index(r["lang"]), r["pos"]] = r["n"]
-    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
-    return Profiles(languages, matrix, dim, seed)
+        sums[languages.index(r["lang"]), r["pos"]] = r["n"]
+    matrix, sizes = sums[:, :dim], sums[:, dim]
+    norms = np.maximum(np.linalg.norm(matrix, axis=1), 1e-12)
+    lengths = norms / np.sqrt(dim)
+    weights = np.maximum(lengths**2 - sizes, 0) / (np.maximum(sizes - 1, 1) * lengths)
+    return Profiles(languages, matrix / norms[:, None], weights, dim, seed)
 
 
 def predict(docs: DataFrame, profiles: Profiles, *, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
@@ -207,25 +233,31 @@ def predict(docs: DataFrame, profiles: Profiles, *, text_col: str = "text", lang
     cosines go to the first language in code point order. Every text is read whole; repeated rows get
     equal results; input columns with the output names are replaced; an empty table stays empty.
     """
+    return _marked(docs, profiles, text_col, [(lang_out, T.StringType()), (score_out, T.DoubleType())])
+
+
+def _marked(docs: DataFrame, profiles: Profiles, text_col: str, fields: list[tuple[str, T.DataType]]) -> DataFrame:
+    """``docs`` plus language, cosine and, if ``fields`` has a third, the level for the cosine."""
     shipped = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def make():
         known = shipped.value
 
         def compute(texts):
-            langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+            langs, scores, levels = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
             if known.languages:
-                vectors = bundle(texts, np.arange(len(texts)), len(texts), known.dim, known.seed)
+                vectors, sizes = _bundle(texts, np.arange(len(texts)), len(texts), known.dim, known.seed)
                 norms = np.linalg.norm(vectors, axis=1)
                 cosines = vectors @ known.matrix.T / np.maximum(norms, 1e-12)[:, None]
                 best = cosines.argmax(axis=1)
+                levels = known.level(best, sizes, norms)
                 for i in np.flatnonzero(norms):
                     langs[i], scores[i] = known.languages[best[i]], min(1.0, max(0.0, cosines[i, best[i]]))
-            return [pa.array(langs, pa.string()), pa.array(scores)]
+            return [pa.array(langs, pa.string()), pa.array(scores), pa.array(levels)][:len(fields)]
 
         return compute
 
-    return append_columns(docs, make, [(lang_out, T.StringType()), (score_out, T.DoubleType())], text_col)
+    return append_columns(docs, make, fields, text_col)
 
 
 def fold(id_col: str, folds: int) -> Column:
@@ -234,10 +266,13 @@ def fold(id_col: str, folds: int) -> Column:
 
 
 def keep_known_languages(docs: DataFrame, profiles: Profiles, *, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
-    """Rows of ``docs`` (same columns) whose text has a language: not ``und``, and a cosine above ``min_score``.
+    """Rows of ``docs`` (same columns) whose text has a language: not ``und``, and a cosine of at least
+    ``min_score`` and the level that its trigrams allow (``Profiles.level``, set from all learned texts).
 
-    The default rejects only what is no nearer to any language than chance, as a clean text may be one word.
+    Gibberish and languages never learned go. A text too short to tell from chance (level 0) stays, as a
+    clean text may be one word; so does one in a language of which too little was learned to set a level.
     """
-    lang, score = fresh("lang_pred", docs), fresh("score", docs)
-    marked = predict(docs, profiles, text_col=text_col, lang_out=lang, score_out=score)
-    return marked.where((F.col(lang) != UNDETERMINED) & (F.col(score) > min_score)).drop(lang, score)
+    lang, score, level = fresh("lang_pred", docs), fresh("score", docs), fresh("level", docs)
+    marked = _marked(docs, profiles, text_col, [(lang, T.StringType()), (score, T.DoubleType()), (level, T.DoubleType())])
+    known = (F.col(lang) != UNDETERMINED) & (F.col(score) >= min_score) & (F.col(score) >= F.col(level))
+    return marked.where(known).drop(lang, score, level)

@@ -1,5 +1,9 @@
 """Language and quality models: held-out accuracy and edge cases."""
 
+import base64
+import random
+import string
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +36,27 @@ def test_language_edge_cases(odd_docs, no_docs):
     assert kept.columns == clash.columns and kept.where("text is null").count() == 0
 
 
+def test_gibberish_and_unknown_languages_go_and_short_clean_texts_stay(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("text", "lang")
+    profiles = language_id.learn(docs)
+    rng = random.Random(7)
+
+    def words(letters, n):
+        return " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(n))
+
+    latin, cyrillic, han = string.ascii_lowercase, [chr(c) for c in range(0x430, 0x450)], [chr(c) for c in range(0x4E00, 0x5E00)]
+    bad = [words(letters, n) for letters in (latin, cyrillic, han) for n in (25, 100, 1000) for _ in range(50)]
+    bad += [base64.b64encode(rng.randbytes(600)).decode() for _ in range(50)] + [rng.randbytes(2000).hex() for _ in range(50)]
+    known = [r.text for r in docs.collect() if r.text]
+    bad += [t.lower().translate({97 + k: 0x561 + k for k in range(26)}) for t in known if len(t) > 1000][:50]
+    short = [" ".join(t.split()[:n]) for t in known for n in (1, 2, 5, 10)]
+    clean = [t for t in known + short + ["yes yes yes " * 40] if any(c.isalpha() for c in t)]
+    texts = spark.createDataFrame([("bad", t) for t in bad] + [("clean", t) for t in clean], "level string, text string")
+    kept = language_id.keep_known_languages(texts, profiles)
+    found = dict(kept.groupBy("level").count().collect())
+    assert found.get("bad", 0) <= 0.02 * len(bad) and found["clean"] >= 0.999 * len(clean)
+
+
 def test_bundle_is_the_sum_over_trigrams():
     texts = ["abc ab", "b", None, "éa abc"]
     got = language_id.bundle(texts, np.arange(4), 4, 64, 3)
