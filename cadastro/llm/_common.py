@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadastro.operators.lookups import broadcast_max_bytes, profile_dimensions, salted_join
 from cadastro.session import scratch_path
 
 # Rows that a task turns into Python objects at once: a batch is cut by rows and by characters.
@@ -28,6 +30,30 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def checked_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``fact`` joined with ``dim`` on ``key``: by a broadcast if a bound of ``dim``'s measured size allows
+    it, else by a shuffle in which the hot keys of ``fact`` are salted. Keys of ``dim`` need not be unique.
+
+    Both sides are read more than once; they should be tables or cheap to read.
+    """
+    profile = profile_dimensions({key: (dim, key)})[key]
+    if profile.broadcastable(broadcast_max_bytes(dim.sparkSession)):
+        return fact.join(F.broadcast(dim), key, how)
+    return salted_join(fact, dim, key, how)
+
+
+def byte_parts(data: bytes, breaks: re.Pattern, size: int = 1 << 20) -> Iterator[bytes]:
+    """``data`` in parts of about ``size`` bytes, cut only before a byte that matches ``breaks``."""
+    start = 0
+    while len(data) - start > size:
+        cut = breaks.search(data, start + size)
+        if cut is None:
+            break
+        yield data[start:cut.start()]
+        start = cut.start()
+    yield data[start:] if start else data
+
+
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` less every column whose name equals one of ``names`` ignoring case (output names win)."""
     low = {n.lower() for n in names}

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from cadastro.session import scratch_path
 
 from . import (
-    arrow_sequences, chat_format, fingerprints, language_id, packing, quality, simhash_dedup, source_mix, token_counts, topk_search,
+    arrow_sequences, chat_format, fingerprints, language_id, packing, quality, simhash_dedup, source_divergence, source_mix, token_counts,
+    topk_search,
 )
 from ._common import table
 from .tokens import read_tokenizer
@@ -92,11 +93,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, tokenizer("byte_bpe_50k.json")).drop("text")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language differ, pair by pair, and by which terms."""
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_arrow_sequences, op2_language_id, op3_source_mix, op4_best_fit_packing, op5_fingerprints, op6_exact_topk, op7_simhash_near_dedup,
-    op8_quality_classifier, op9_chat_format, op10_token_counts)}
+    op8_quality_classifier, op9_chat_format, op10_token_counts, op11_source_divergence)}
 
 SQL = {
+    "op11_source_divergence": source_divergence.SQL,
     "op6_exact_topk": """
 WITH whole AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
