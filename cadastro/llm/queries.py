@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from cadastro.session import scratch_path
 
 from . import (
-    arrow_sequences, chat_format, fingerprints, language_id, packing, quality, simhash_dedup, source_divergence, source_mix, token_counts,
-    topk_search,
+    arrow_sequences, chat_format, collocations, fingerprints, language_id, packing, quality, simhash_dedup, source_divergence, source_mix,
+    token_counts, topk_search,
 )
 from ._common import table
 from .tokens import read_tokenizer
@@ -98,11 +98,18 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of two and three words of each language."""
+    return collocations.mine(table(spark, sf_dir, "documents")).drop("doc_id", "word")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_arrow_sequences, op2_language_id, op3_source_mix, op4_best_fit_packing, op5_fingerprints, op6_exact_topk, op7_simhash_near_dedup,
-    op8_quality_classifier, op9_chat_format, op10_token_counts, op11_source_divergence)}
+    op8_quality_classifier, op9_chat_format, op10_token_counts, op11_source_divergence,
+    op12_collocations)}
 
 SQL = {
+    "op12_collocations": collocations.SQL,
     "op11_source_divergence": source_divergence.SQL,
     "op6_exact_topk": """
 WITH whole AS (
