@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from cadastro.session import scratch_path
 
 from . import (
-    arrow_sequences, chat_format, collocations, fingerprints, language_id, packing, quality, simhash_dedup, source_divergence, source_mix,
-    token_counts, topk_search,
+    arrow_sequences, chat_format, collocations, fingerprints, language_id, packing, pii, quality, simhash_dedup, source_divergence,
+    source_mix, token_counts, topk_search,
 )
 from ._common import table
 from .tokens import read_tokenizer
@@ -103,10 +103,15 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents")).drop("doc_id", "word")
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: base matches and what the field adds."""
+    return pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_arrow_sequences, op2_language_id, op3_source_mix, op4_best_fit_packing, op5_fingerprints, op6_exact_topk, op7_simhash_near_dedup,
     op8_quality_classifier, op9_chat_format, op10_token_counts, op11_source_divergence,
-    op12_collocations)}
+    op12_collocations, op13_pii)}
 
 SQL = {
     "op12_collocations": collocations.SQL,
