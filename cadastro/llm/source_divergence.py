@@ -136,46 +136,47 @@ def merge(spilled: DataFrame, min_df: int = MIN_DF) -> DataFrame:
     """One stripe a term of at least ``min_df`` documents in its language (the term '' always stays)."""
 
     def run(batches):
-        key, held, out = None, None, []
-
-        def close():
-            if held is not None and (held[0] >= min_df or key[1] == ""):
-                names = sorted(held[1])
-                out.append((key[0], key[1].encode(), held[0], names, [held[1][s] for s in names]))
-
+        held = None  # the last term's stripe so far: it may go on in the next batch
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lang, term = batch.column(0), batch.column(1)
-            fresh = np.ones(batch.num_rows, bool)
-            for c in (lang, term):
-                same = pc.equal(c.slice(1), c.slice(0, len(c) - 1)).to_numpy(zero_copy_only=False)
-                fresh[1:] = ~same if c is lang else fresh[1:] | ~same
-            starts = np.flatnonzero(fresh)
-            df = np.add.reduceat(batch.column(2).to_numpy(), starts)
-            # A run at either end may go on in the next batch; every other run is whole.
-            wanted = df >= min_df
-            wanted |= pc.equal(term.take(pa.array(starts)), "").to_numpy(zero_copy_only=False)
-            wanted[0] = wanted[-1] = True
-            run_of = np.cumsum(fresh) - 1
-            for row in batch.filter(pa.array(wanted[run_of])).to_pylist():
-                if key != (row["lang"], row["term"]):
-                    close()
-                    key, held = (row["lang"], row["term"]), [0, {}]
-                held[0] += row["df"]
-                mine = held[1]
-                for s, n in zip(row["sources"], row["counts"], strict=True):
-                    mine[s] = mine.get(s, 0) + n
-            if len(out) >= _ROWS:
-                yield _batch(out)
-                out.clear()
-        close()
-        if out:
-            yield _batch(out)
+            merged = _merged(batch if held is None else pa.concat_batches([held, batch]), min_df)
+            held = merged.slice(merged.num_rows - 1)
+            yield merged.slice(0, merged.num_rows - 1)
+        if held is not None and (held.column(2)[0].as_py() >= min_df or held.column(1)[0].as_py() == ""):
+            yield held
 
     return spilled.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(run, _FIELDS)
 
 
+def _merged(batch: pa.RecordBatch, min_df: int) -> pa.RecordBatch:
+    """Stripes sorted by key -> one a key, less those of too few documents (the last key stays, it may be cut off)."""
+    lang, term = batch.column(0), batch.column(1)
+    fresh = np.ones(batch.num_rows, bool)
+    fresh[1:] = pc.or_(*(pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)) for c in (lang, term))).to_numpy(zero_copy_only=False)
+    starts = np.flatnonzero(fresh)
+    df = np.add.reduceat(batch.column(2).to_numpy(), starts)
+    wanted = df >= min_df
+    wanted |= pc.equal(term.take(pa.array(starts)), "").to_numpy(zero_copy_only=False)
+    wanted[-1] = True
+    rows = wanted[np.cumsum(fresh) - 1]
+    part = batch.filter(pa.array(rows))
+    stripe = np.cumsum(fresh[rows]) - 1
+    names = part.column(3).flatten().dictionary_encode()
+    code = names.indices.to_numpy().astype(np.int64)
+    key = np.repeat(stripe, pc.list_value_length(part.column(3)).to_numpy()) * len(names.dictionary) + code
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.diff(key[order], prepend=-1))
+    counts = np.add.reduceat(part.column(4).flatten().to_numpy()[order], first)
+    found = key[order][first]
+    offsets = pa.array(np.searchsorted(found, np.arange(len(df[wanted]) + 1) * len(names.dictionary)).astype(np.int32))
+    keys = pa.array(starts[wanted])
+    return pa.RecordBatch.from_arrays(
+        [lang.take(keys), term.take(keys), pa.array(df[wanted]),
+         pa.ListArray.from_arrays(offsets, names.dictionary.take(pa.array(found % len(names.dictionary)))),
+         pa.ListArray.from_arrays(offsets, pa.array(counts))], names=["lang", "term", "df", "sources", "counts"])
+
+
 def share(count: Column, total: Column) -> Column:
     """1 + floor(10^9 (count + 2) / total) by long division, so that no product passes 64 bits."""
     whole, rest = _div(count + 2, total), (count + 2) % total
