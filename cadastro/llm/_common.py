@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadastro.operators.lookups import broadcast_max_bytes, profile_dimensions, salted_join
-from cadastro.session import scratch_path
+from cadastro.session import delete_path, scratch_path
 
 # Rows that a task turns into Python objects at once: a batch is cut by rows and by characters.
 SLICE_ROWS = 256
@@ -27,7 +28,49 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cadastro_scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` that no later plan reads."""
+    for df in tables:
+        delete_path(df.sparkSession, df._cadastro_scratch)
+
+
+_CHUNK = 1 << 16
+
+
+def key_filter(keys: DataFrame, filter_bits: int) -> np.ndarray:
+    """A bitmap with a bit set for each 64-bit hash of ``keys`` (one column): packed in the tasks, and of
+    2^filter_bits bits on the driver whatever the size of the table."""
+    slots = keys.select(F.shiftrightunsigned(keys.columns[0], 64 - filter_bits).alias("slot"))
+
+    def run(batches):
+        chunks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            slot = batch.column(1).to_numpy()
+            for c in np.unique(slot // _CHUNK).tolist():
+                bits = chunks.setdefault(c, np.zeros(_CHUNK, np.uint8))
+                bits[slot[slot // _CHUNK == c] % _CHUNK] = 1
+        for c, bits in chunks.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c], pa.int64()), pa.array([np.packbits(bits, bitorder="little").tobytes()])], names=["chunk", "bits"])
+
+    packed = slots.select(F.expr(f"slot div {_CHUNK}").alias("c"), "slot").repartition("c").sortWithinPartitions("c")
+    out = np.zeros((1 << filter_bits) // 8, np.uint8)
+    for row in packed.mapInArrow(run, "chunk long, bits binary").toLocalIterator():
+        at = row["chunk"] * _CHUNK // 8
+        part = np.frombuffer(bytes(row["bits"]), np.uint8)[:len(out) - at]
+        out[at:at + len(part)] |= part
+    return out
+
+
+def in_filter(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes (unsigned 64-bit) have their bit set: all that were put in, and a few others by chance."""
+    slot = hashes >> np.uint64(64 - (len(bitmap) * 8).bit_length() + 1)
+    return (bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
 def checked_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from cadastro.operators.lookups import salted_join
 
-from ._common import materialise
+from ._common import in_filter, key_filter, materialise
 
 MAX_WORDS = 3
 MIN_COUNT = 10
@@ -41,7 +41,6 @@ FILTER_BITS = 27
 # Bytes of text in a buffer, and entries a task holds before it passes them on.
 BUFFER = 1 << 22
 MAX_ENTRIES = 1 << 20
-_CHUNK = 1 << 16
 _WORDS = 1 << 40  # more than any document has
 
 _BYTES = np.random.default_rng(11).integers(1, 1 << 63, 256, np.uint64)
@@ -117,7 +116,7 @@ class Buffer:
         at = self.grams(n)
         if n > 1:
             for inner in (0, 1):
-                at = at[_has(filters[n - 2], self.prints(at + inner, n - 1))]
+                at = at[in_filter(filters[n - 2], self.prints(at + inner, n - 1))]
         return at, self.prints(at, n)
 
     def word_ids(self) -> tuple[np.ndarray, np.ndarray]:
@@ -169,35 +168,6 @@ def _long(text: bytes, lang: str, doc, max_words: int):
         start = end
 
 
-def _has(bitmap: np.ndarray, prints: np.ndarray) -> np.ndarray:
-    slot = prints >> np.uint64(64 - (len(bitmap) * 8).bit_length() + 1)
-    return (bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-def _bitmap(prints: DataFrame, filter_bits: int) -> np.ndarray:
-    """A bit per fingerprint: packed in tasks, 2^filter_bits bits on the driver whatever the table's size."""
-    slots = prints.select(F.shiftrightunsigned("fp", 64 - filter_bits).alias("slot"))
-
-    def run(batches):
-        chunks: dict[int, np.ndarray] = {}
-        for batch in batches:
-            slot = batch.column(1).to_numpy()
-            for c in np.unique(slot // _CHUNK).tolist():
-                bits = chunks.setdefault(c, np.zeros(_CHUNK, np.uint8))
-                bits[slot[slot // _CHUNK == c] % _CHUNK] = 1
-        for c, bits in chunks.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c], pa.int64()), pa.array([np.packbits(bits, bitorder="little").tobytes()])], names=["chunk", "bits"])
-
-    packed = slots.select(F.expr(f"slot div {_CHUNK}").alias("c"), "slot").repartition("c").sortWithinPartitions("c")
-    out = np.zeros((1 << filter_bits) // 8, np.uint8)
-    for row in packed.mapInArrow(run, "chunk long, bits binary").toLocalIterator():
-        at = row["chunk"] * _CHUNK // 8
-        part = np.frombuffer(bytes(row["bits"]), np.uint8)[:len(out) - at]
-        out[at:at + len(part)] |= part
-    return out
-
-
 def _narrow(docs: DataFrame, text_col: str, lang_col: str, id_col: str) -> DataFrame:
     return docs.select(F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.col(id_col).cast("long").alias("doc"))
@@ -263,7 +233,7 @@ def _materialise(buffer: Buffer, bitmaps: list[np.ndarray], max_words: int):
          pa.array([""] * len(counted)), pa.array(counted), none, none], schema=_ARROW)
     for n in range(1, max_words + 1):
         at, fp = buffer.counted(n, bitmaps)
-        found = _has(bitmaps[n - 1], fp)
+        found = in_filter(bitmaps[n - 1], fp)
         at, fp = at[found], fp[found]
         if repeated:
             order = np.lexsort((at - opens[buffer.owner[at]], name[buffer.owner[at]]))
@@ -293,7 +263,7 @@ def phrase_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "l
     filters = []
     for n in range(1, max_words + 1):
         prints = materialise(frequent_prints(narrow, n, filters, min_count, max_words), "collocation_prints")
-        filters.append(spark.sparkContext.broadcast(_bitmap(prints, filter_bits)))
+        filters.append(spark.sparkContext.broadcast(key_filter(prints, filter_bits)))
 
     def run(batches):
         bitmaps = [f.value for f in filters]

@@ -1,20 +1,24 @@
 """Near duplicates by SimHash, found with pivot distance tables.
 
 1. Fingerprints. Every four-word shingle is hashed (XXH64); bit b of a text's fingerprint is set if bit b
-   is set in over half of its shingle hashes. Equal fingerprints are collapsed to their smallest document
-   before anything else, so thousands of exact copies are one row from here on.
-2. Candidates. The 64 bits are cut into ``blocks`` blocks. Two fingerprints that differ in at most
+   is set in over half of its shingle hashes. Equal fingerprints are one row from here on, however many
+   documents share one.
+2. Pivot tables. Each distinct fingerprint's Hamming distances to many fixed reference fingerprints are
+   computed once and stored with it. As |d(a, p) - d(b, p)| <= d(a, b), a pair whose coordinates differ by
+   more than ``max_distance`` anywhere is discarded; only survivors are verified on their bits.
+3. Candidates. The 64 bits are cut into ``blocks`` blocks. Two fingerprints that differ in at most
    ``max_distance`` bits agree in at least ``blocks - max_distance`` whole blocks, so every linked pair
    meets in a bucket keyed by one choice of that many blocks: no link can be missed. ``blocks`` (6: 15 keys
    of 21 bits) trades keys for smaller buckets: 7 gives 35 keys of 27 bits, 8 gives 70 of 32.
-3. Pivot tables. A task holds, for the members of its buckets, a table of Hamming distances to many fixed
-   reference fingerprints. As |d(a, p) - d(b, p)| <= d(a, b), a pair whose coordinates differ by more
-   than ``max_distance`` anywhere is discarded. Only survivors are verified on their bits.
+   A bucket is sorted by the first coordinate of its members' tables, so a large one is searched along it
+   in a window.
 4. Links leave a task as a spanning forest (each member with the smallest of its local group), never as
    all pairs. Buckets with more than ``bucket_rows`` members are dealt to several tasks as pairs of
    chunks, all chunk pairs covered, so a hot bucket is neither cut nor left to one task.
 5. Components come from alternating large-star and small-star rounds on the remaining links, each round
-   written to the shared scratch folder.
+   written to the shared scratch folder. Fingerprints are the nodes, so ids may be null or repeat.
+6. Dropping copies moves no text but a few: the rows to drop are known by (id, text hash), and two bitmaps
+   of bounded size tell, where the texts lie, which rows stay, which go, and which few need an exact join.
 """
 
 from __future__ import annotations
@@ -24,11 +28,13 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import append_columns, fresh, materialise
+from cadastro.operators.lookups import HOT_SHARE, salted_join
+
+from ._common import append_columns, discard, fresh, in_filter, key_filter, materialise
 
 SEED = 42
 WORDS = 4
@@ -128,12 +134,11 @@ def _smallest(n: int, a: np.ndarray, b: np.ndarray, name: np.ndarray) -> np.ndar
         label = new
 
 
-def _bucket_links(max_distance: int, n_pivots: int):
-    """mapInArrow function: rows (key parts, side, id, bits) sorted by key -> (id, smallest local id)."""
-    reference = pivots(n_pivots)
+def _bucket_links(max_distance: int):
+    """mapInArrow function: rows (key parts, side, bits, table) sorted by key and first coordinate -> links."""
 
-    def solve(keys: np.ndarray, side: np.ndarray, ids: np.ndarray, bits: np.ndarray):
-        table = np.bitwise_count(bits[:, None] ^ reference[None, :])
+    def solve(keys: np.ndarray, side: np.ndarray, signed: np.ndarray, table: np.ndarray):
+        bits = signed.view(np.uint64)
         starts = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))
         sizes = np.diff(np.concatenate([starts, [len(keys)]]))
         run = np.repeat(np.arange(len(starts)), sizes)
@@ -153,16 +158,21 @@ def _bucket_links(max_distance: int, n_pivots: int):
         if not found_a:
             return None
         a, b = np.concatenate(found_a), np.concatenate(found_b)
-        label = _smallest(len(ids), a, b, ids)
-        hit = label < ids
-        pairs = np.unique(np.stack([ids[hit], label[hit]], axis=1), axis=0)
+        label = _smallest(len(signed), a, b, signed)
+        hit = label < signed
+        pairs = np.unique(np.stack([signed[hit], label[hit]], axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
 
     def run(batches):
         held = None
         for batch in batches:
-            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            cols = [np.stack(cols[:4], axis=1), *cols[4:]]
+            if not batch.num_rows:
+                continue
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:6]]
+            stored = batch.column(6).cast(pa.large_binary())
+            ends = np.frombuffer(stored.buffers()[1], np.int64)[stored.offset:stored.offset + batch.num_rows + 1]
+            table = np.frombuffer(stored.buffers()[2], np.uint8)[ends[0]:ends[-1]].reshape(batch.num_rows, -1)
+            cols = [np.stack(cols[:4], axis=1), *cols[4:], table]
             if held is not None:
                 cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
             keys = cols[0]
@@ -170,58 +180,73 @@ def _bucket_links(max_distance: int, n_pivots: int):
             cut = len(keys) - int(np.argmax((keys[::-1] != keys[-1]).any(axis=1))) if (keys != keys[-1]).any() else 0
             held = [c[cut:] for c in cols]
             if cut:
-                out = solve(cols[0][:cut], cols[1][:cut], cols[2][:cut], cols[3][:cut].view(np.uint64))
+                out = solve(*(c[:cut] for c in cols))
                 if out is not None and out.num_rows:
                     yield out
         if held is not None and len(held[0]) > 1:
-            out = solve(held[0], held[1], held[2], held[3].view(np.uint64))
+            out = solve(*held)
             if out is not None and out.num_rows:
                 yield out
 
     return run
 
 
+def with_pivots(prints: DataFrame, n_pivots: int = PIVOTS) -> DataFrame:
+    """``prints`` (bits) plus its pivot table: a byte for the distance to each reference fingerprint."""
+
+    def run(batches):
+        reference = pivots(n_pivots)
+        for batch in batches:
+            bits = batch.column(0).to_numpy().view(np.uint64)
+            table = np.bitwise_count(bits[:, None] ^ reference[None, :]).astype(np.uint8)
+            stored = pa.FixedSizeBinaryArray.from_buffers(pa.binary(n_pivots), len(table), [None, pa.py_buffer(table.tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column(0), stored.cast(pa.binary())], names=["bits", "pivots"])
+
+    return prints.select("bits").mapInArrow(run, "bits long, pivots binary")
+
+
 def near_links(prints: DataFrame, *, max_distance: int = MAX_DISTANCE, blocks: int = BLOCKS, n_pivots: int = PIVOTS,
                bucket_rows: int = 4096) -> DataFrame:
-    """Links (u, v) with u > v that connect exactly the groups of ``prints`` (id, bits; bits distinct)."""
+    """Links (u, v) with u > v, as signed integers, that connect exactly the groups of ``prints`` (bits, distinct)."""
     masks = block_masks(blocks, max_distance)
-    keyed = prints.select(
-        "id", "bits", F.explode(F.array(*[F.struct(F.lit(k).alias("choice"), F.col("bits").bitwiseAND(F.lit(m)).alias("key"))
-                                          for k, m in enumerate(masks)])).alias("b")).select("b.choice", "b.key", "id", "bits")
+    stored = materialise(with_pivots(prints, n_pivots), "simhash_pivots")
+    keyed = stored.select(
+        "bits", "pivots", F.explode(F.array(*[F.struct(F.lit(k).alias("choice"), F.col("bits").bitwiseAND(F.lit(m)).alias("key"))
+                                              for k, m in enumerate(masks)])).alias("b")).select("b.choice", "b.key", "bits", "pivots")
     # Large buckets only: each member goes to chunk c and meets every chunk once, as (c, j) or (j, c).
     chunk_rows = bucket_rows // 2
     hot = materialise(keyed.groupBy("choice", "key").count().where(F.col("count") > bucket_rows)
                       .withColumn("chunks", F.ceil(F.col("count") / chunk_rows).cast("int")).drop("count"), "simhash_hot")
     joined = keyed.join(hot, ["choice", "key"], "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    chunk = F.pmod(F.xxhash64("bits"), F.col("chunks")).cast("int")
     dealt = joined.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
         "choice", "key", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
         # Members of two different chunks are compared across them only; -1: all with all.
-        F.when(F.col("chunk") == F.col("other"), -1).otherwise(F.col("chunk")).alias("side"), "id", "bits")
-    grouped = dealt.repartition("choice", "key", "low", "high").sortWithinPartitions("choice", "key", "low", "high", "id")
-    links = grouped.mapInArrow(_bucket_links(max_distance, n_pivots), "u long, v long")
+        F.when(F.col("chunk") == F.col("other"), -1).otherwise(F.col("chunk")).alias("side"), "bits", "pivots")
+    grouped = dealt.repartition("choice", "key", "low", "high").sortWithinPartitions("choice", "key", "low", "high", "pivots")
+    links = grouped.mapInArrow(_bucket_links(max_distance), "u long, v long")
     return links.distinct()
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, component): the smallest id reachable over the links (u, v), for every id in a link.
 
-    Alternating large-star and small-star rounds until nothing changes. A hub with very many neighbours
-    is only ever an aggregate's key or the skewed side of a join with unique keys, which Spark splits.
+    Alternating large-star and small-star rounds until nothing changes. An id with more than a 256th of the
+    links is measured in each round, and its side of the join is salted over several tasks.
     """
     edges = materialise(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "component_edges")
     mark = _mark(edges)
     for _ in range(max_rounds):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = materialise(large, "component_edges")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(
+        large = materialise(_with_least(both, 2 * mark[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(),
+                            "component_edges")
+        small = _with_least(large, large.count()).select(F.explode(F.array(
             F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select(
             "e.u", "e.v").where("u <> v").distinct()
+        old = edges
         edges, before = materialise(small, "component_edges"), mark
         mark = _mark(edges)
+        discard(old, large)
         if mark == before:
             break
     else:
@@ -230,12 +255,36 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
+def _with_least(edges: DataFrame, total: int) -> DataFrame:
+    """``edges`` (u, v) plus m, the least of u and all its v."""
+    least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+    hot = {r["u"]: -(-r["n"] * HOT_SHARE // total) for r in least.where(F.col("n") * HOT_SHARE > total).select("u", "n").collect()}
+    return salted_join(edges, least.select("u", "m"), "u", "inner", hot)
+
+
 def _mark(edges: DataFrame) -> tuple:
     """Equal for equal edge sets: their count, and the sum and xor of the edges' hashes."""
     h = F.xxhash64("u", "v")
     return tuple(edges.agg(F.count("*"), F.bit_xor(h), F.sum(h % (1 << 31))).first())
 
 
+def _classes(docs: DataFrame, id_col: str, text_col: str, words: int, max_distance: int) -> DataFrame:
+    """A row per row of ``docs``: id, h (the text's hash), bits and first, the component's first document
+    (smallest id, null last, then h) as a struct (nameless, id, h)."""
+    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    marked = materialise(with_simhash(narrow, out="bits", words=words).drop("text"), "simhash")
+    prints = materialise(marked.groupBy("bits").agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "h")).alias("first")),
+                         "simhash_prints")
+    groups = materialise(components(near_links(prints, max_distance=max_distance)), "simhash_groups")
+    # Fingerprints without a link are components of their own.
+    known = prints.join(groups.withColumnRenamed("id", "bits"), "bits", "left").withColumn("component", F.coalesce("component", "bits"))
+    known = materialise(known, "simhash_components")
+    firsts = known.groupBy("component").agg(F.min("first").alias("first"))
+    classes = materialise(salted_join(known.select("bits", "component"), firsts, "component", "inner").drop("component"), "simhash_classes")
+    discard(prints, groups, known)
+    return salted_join(marked, classes, "bits", "inner")
+
+
 def near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, max_distance: int = MAX_DISTANCE,
 ) -> DataFrame:
@@ -243,30 +292,57 @@ def near_duplicates(
 
     Texts of a component are chained by links of at most ``max_distance`` differing bits; its id is its
     smallest document id. Null text and text without a word have fingerprint zero and are linked like any
-    other. Repeated rows each get their row; rows with a null id get a fingerprint and, if nothing else
-    shares it, a null component; an empty table gives an empty one; extra columns are not read. Ids are
-    integers.
+    other. Repeated rows each get their row, and unlike texts that share an id stay apart; a component of
+    null ids has a null id; an empty table gives an empty one; extra columns are not read. Ids are integers.
     """
-    narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    marked = materialise(with_simhash(narrow, out="bits", words=words).drop("text"), "simhash")
-    prints = materialise(marked.groupBy("bits").agg(F.min("id").alias("id")), "simhash_prints")
-    known = prints.where(F.col("id").isNotNull())
-    groups = components(near_links(known, max_distance=max_distance))
-    classes = prints.join(groups, "id", "left").select("bits", F.coalesce("component", "id").alias("component_id"))
-    return marked.join(classes, "bits").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+    return _classes(docs, id_col, text_col, words, max_distance).select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), F.col("first.id").alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                         max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """Rows of ``docs`` (same columns), one for each component: that of the smallest document id.
+# Bits per row to drop, and the most bits a filter has (64 MiB).
+_FILTER_SHARE, MAX_FILTER_BITS = 16, 29
 
-    Rows with a null id are kept. If an id occurs more than once, one of its rows stays.
+
+def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                         max_distance: int = MAX_DISTANCE, max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
+    """Rows of ``docs`` (same columns), exactly one for each component: that of the smallest document id,
+    null ids last, and of the smallest text hash among unlike texts with one id. Of rows with one id and one text
+    the one whose columns have the smallest hash stays.
+
+    Texts stay where they are. The rows to drop are worked out on (id, text hash) alone and put into a
+    bitmap; a second bitmap holds the rows to keep that hit the first by chance. A row outside the first stays, a
+    row inside the first and outside the second goes, and only the rows inside both are joined with the
+    exact list. With more rows to drop than the bitmaps' bound (33 million for 64 MiB) more rows take that
+    join; the result is the same.
     """
-    groups = near_duplicates(docs, id_col=id_col, text_col=text_col, words=words, max_distance=max_distance)
-    name = fresh("kept", docs)
-    counts = materialise(groups.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias(name)).count(), "simhash_kept")
-    kept = docs.join(counts.select(name), docs[id_col] == F.col(name), "left_semi")
-    if counts.where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    spark, key = docs.sparkSession, ["id", "h"]
+    rows = _classes(docs, id_col, text_col, words, max_distance)
+    decided = materialise(rows.select(*key, F.xxhash64(*key).alias("k"), (
+        F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h"))).alias("keep")), "simhash_decided")
+    again = materialise(decided.where("keep").groupBy("k", *key).count().where("count > 1").select("k"), "simhash_again")
+    dropped = decided.where("not keep").select("k")
+    bits = min(max_filter_bits, max(16, (dropped.count() * _FILTER_SHARE).bit_length()))
+    first = spark.sparkContext.broadcast(key_filter(dropped.union(again), bits))
+
+    def where(test):
+        def run(batches):
+            for batch in batches:
+                yield batch.filter(pa.array(test(batch.column(batch.num_columns - 1).to_numpy().view(np.uint64))))
+        return run
+
+    chance = decided.where("keep").select("k").mapInArrow(where(lambda k: in_filter(first.value, k)), "k long")
+    second = spark.sparkContext.broadcast(key_filter(chance.union(again), bits))
+
+    def doubtful(k):
+        return in_filter(first.value, k) & in_filter(second.value, k)
+
+    i, h, k = (fresh(f"_{n}", docs) for n in ("id", "hash", "key"))
+    named = docs.withColumns({i: F.col(id_col).cast("long"), h: F.xxhash64(text_col)}).withColumn(k, F.xxhash64(i, h))
+    certain = named.mapInArrow(where(lambda x: ~in_filter(first.value, x)), named.schema)
+    doubt = named.mapInArrow(where(doubtful), named.schema)
+    kept = decided.where("keep").select(*key, "k").mapInArrow(where(doubtful), "id long, h long, k long").distinct()
+    content = Window.partitionBy(i, h).orderBy(F.xxhash64(*docs.columns))
+    once = fresh("_rank", named)
+    single = doubt.withColumn(once, F.row_number().over(content)).where(F.col(once) == 1)
+    exact = single.join(kept.hint("merge"), single[i].eqNullSafe(kept["id"]) & (single[h] == kept["h"]), "left_semi")
+    return certain.select(docs.columns).unionByName(exact.select(docs.columns))

@@ -127,8 +127,8 @@ def test_links_find_every_class(spark, bucket_rows):
     for step in range(20):  # each link flips three other bits
         bits.add(chain)
         chain ^= 0b111 << (3 * step)
-    items = [(10 + i, b) for i, b in enumerate(sorted(bits))]
-    rows = spark.createDataFrame([(i, b - (1 << 64) if b >> 63 else b) for i, b in items], "id long, bits long")
+    items = [(signed(b), b) for b in sorted(bits)]
+    rows = spark.createDataFrame([(i,) for i, _ in items], "bits long")
     links = simhash_dedup.near_links(rows, bucket_rows=bucket_rows)
     found = {r.id: r.component for r in simhash_dedup.components(links).collect()}
     want = classes(items)
@@ -136,6 +136,70 @@ def test_links_find_every_class(spark, bucket_rows):
     assert links.count() < 15 * len(items)
 
 
+def signed(bits):
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+def test_components_of_a_hub(spark):
+    """A star whose centre is neither end of the order, a second star on one of its leaves, a chain."""
+    edges = [(500, i) for i in range(1000) if i != 500] + [(700, 2000 + i) for i in range(500)] + [(9000 + i, 9001 + i) for i in range(40)]
+    got = {r.id: r.component for r in simhash_dedup.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {**dict.fromkeys([*range(1000), *range(2000, 2500)], 0), **dict.fromkeys(range(9000, 9041), 9000)}
+
+
+REPEATED = [
+    (1, "alpha one two three four five"), (2, "beta six seven eight nine ten"), (2, "gamma a b c d e f g"), (3, "gamma a b c d e f g"),
+    (None, "delta x y z w v u"), (None, "delta x y z w v u"), (None, "epsilon k l m n o p"), (9, "epsilon k l m n o p"), (7, None), (5, ""),
+    (4, "zeta q w e r t y"), (4, "zeta q w e r t y"), (4, "zeta q w e r t y"),
+]
+
+
+@pytest.mark.parametrize("bits", [simhash_dedup.MAX_FILTER_BITS, 4])
+def test_one_row_of_each_component_whatever_the_ids(spark, bits):
+    """Repeated ids with unlike texts, null ids, repeated rows; a filter of 16 bits sends every row to the exact join."""
+    docs = spark.createDataFrame([(i, t, None, "s", k) for k, (i, t) in enumerate(REPEATED)], DOCS).repartition(3)
+    got = simhash_dedup.drop_near_duplicates(docs, max_filter_bits=bits).collect()
+    # Nodes are fingerprints: name each by a number, link them, and take one row a class.
+    prints = sorted({simhash(t) for _, t in REPEATED})
+    label = classes(list(enumerate(prints)))
+    want = {}
+    for i, t in REPEATED:
+        of = label[prints.index(simhash(t))]
+        want[of] = min(want.get(of, (True, 0)), (i is None, i or 0))
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == sorted(want.values())
+    assert sorted(label[prints.index(simhash(r.text))] for r in got) == sorted(want)
+    again = simhash_dedup.drop_near_duplicates(docs.repartition(5), max_filter_bits=bits).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    component = {(r.doc_id, r.fingerprint): r.component_id for r in simhash_dedup.near_duplicates(docs).collect()}
+    for i, t in REPEATED:
+        nameless, first = want[label[prints.index(simhash(t))]]
+        assert component[i, f"{simhash(t):016x}"] == (None if nameless else first)
+
+
+def test_random_rows_against_brute_force(spark):
+    rng = random.Random(12)
+    bases = [" ".join(rng.choice("abcdefghij") * 3 + str(rng.randrange(50)) for _ in range(60)) for _ in range(40)]
+    rows = [(rng.randrange(60) if rng.random() < 0.9 else None, rng.choice(bases) + rng.choice(["", "", " tail", " other"])) for _ in range(400)]
+    docs = spark.createDataFrame([(i, t, None, "s", 0) for i, t in rows], DOCS).repartition(4)
+    got = simhash_dedup.drop_near_duplicates(docs).collect()
+    prints = sorted({simhash(t) for _, t in rows})
+    label = classes(list(enumerate(prints)))
+    want = {}
+    for i, t in rows:
+        of = label[prints.index(simhash(t))]
+        want[of] = min(want.get(of, (True, 0)), (i is None, i or 0))
+    assert sorted((label[prints.index(simhash(r.text))], r.doc_id) for r in got) == sorted((k, None if n else i) for k, (n, i) in want.items())
+
+
+def test_texts_are_not_shuffled_to_drop_copies(spark):
+    """No exchange of the plan carries a text but on the way of the doubtful rows, which the bitmaps thin out."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    plan = simhash_dedup.drop_near_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") >= 2 and "SortMergeJoin" in plan
+    kept = plan.split("Union")[1].split("MapInArrow")[0]
+    assert "Exchange" not in kept
+
+
 def test_every_near_pair_shares_a_bucket():
     masks = [m % (1 << 64) for m in simhash_dedup.block_masks(6, 4)]
     rng = random.Random(2)
