@@ -33,6 +33,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def materialise_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``materialise``, in buckets of ``key``: a join on ``key`` then reads the table where it lies.
+
+    The number of buckets is that of shuffle partitions, so the other side of the join is dealt alike. The
+    files belong to the scratch folder; the session's catalog only names them.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "llm", name)
+    table_name = f"cadastro_{name}_{path.rsplit('/', 1)[1]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(table_name)
+    return spark.table(table_name)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of ``materialise`` that no later plan reads."""
     for df in tables:

@@ -13,7 +13,8 @@ the only thing that reaches the driver) and says how many sequences of each make
 
 The pieces then claim their places in parallel: the r-th piece of a length takes the r-th place the plan
 has for that length. r comes from a two-level count (pieces before it in its task, tasks before its
-own), so no length, however common, is gathered in one task.
+own), so no length, however common, is gathered in one task. The pieces are written in buckets of their
+task, so each meets its task's one row of counts where it lies: token ids are never shuffled.
 """
 
 from __future__ import annotations
@@ -28,12 +29,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import materialise, slices
+from ._common import materialise, materialise_bucketed, slices
 from .tokens import encoder
 
-# A table is broadcast only below this size, by a bound on its rows.
-BROADCAST_BYTES = 16 << 20
-
 
 @dataclass
 class _Group:
@@ -219,18 +217,17 @@ def pack(
     pieces; extra columns are not read. The encoded pieces are written once to the shared scratch folder
     and reread, so texts are encoded once and ranks stay fixed when tasks run again.
     """
-    pieces = materialise(cut_pieces(docs, tokenizer_json, id_col=id_col, text_col=text_col, capacity=capacity, end_id=end_id), "pieces")
+    pieces = materialise_bucketed(
+        cut_pieces(docs, tokenizer_json, id_col=id_col, text_col=text_col, capacity=capacity, end_id=end_id), "pieces", "task")
     by_task = materialise(pieces.groupBy("task", "length").count(), "piece_counts")
     # At most ``capacity`` rows reach the driver, whatever the size of the corpus.
     totals = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     plan = docs.sparkSession.sparkContext.broadcast(plan_packing(totals, capacity))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_task.select("task", "length", F.coalesce(F.sum("count").over(before), F.lit(0)).cast("long").alias("base"))
-    # One row per task and length: broadcast while few (a row takes under 64 bytes), else a sorted join.
-    bounded = by_task.count() * 64 <= BROADCAST_BYTES
-    bases = F.broadcast(bases) if bounded else bases.hint("merge")
-    ranked = pieces.join(bases, ["task", "length"]).select(
-        id_col, "piece", "start", "length", "ids", (F.col("base") + F.col("rank")).alias("rank"))
+    # The hint keeps one plan at every size: the pieces stay in their buckets, the tasks' rows come to them.
+    ranked = pieces.join(_by_task(bases, capacity).hint("shuffle_hash"), "task").select(
+        id_col, "piece", "start", "length", "ids", (F.get("bases", F.col("length").cast("int")) + F.col("rank")).alias("rank"))
     schema = T.StructType([*ranked.schema.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def run(batches):
@@ -241,6 +238,27 @@ def pack(
     return ranked.mapInArrow(run, schema)
 
 
+def _by_task(bases: DataFrame, capacity: int) -> DataFrame:
+    """Rows (task, length, base) -> one row a task: the bases of all lengths as an array."""
+
+    def run(batches):
+        task, held = None, None
+        for batch in batches:
+            for t, length, base in zip(*(c.to_numpy() for c in batch.columns), strict=True):
+                if t != task:
+                    if held is not None:
+                        yield out(task, held)
+                    task, held = t, np.zeros(capacity + 1, np.int64)
+                held[length] = base
+        if held is not None:
+            yield out(task, held)
+
+    def out(task, held):
+        return pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([held], pa.list_(pa.int64()))], names=["task", "bases"])
+
+    return bases.repartition("task").sortWithinPartitions("task").mapInArrow(run, "task int, bases array<long>")
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """One row per sequence: its ids joined in order of offset, and its length (at most the capacity)."""
     parts = F.sort_array(F.collect_list(F.struct("offset", "ids", "length")))

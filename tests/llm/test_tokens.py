@@ -152,11 +152,10 @@ def test_pack_round_trip(spark, odd_docs, no_docs):
     assert packing.pack(no_docs, spec).count() == 0
 
 
-def test_pack_without_a_broadcast(odd_docs, monkeypatch):
-    spec = SPEC[FILES[1]]
-    places = [sorted(packing.pack(odd_docs, spec, capacity=256).select("doc_id", "piece", "length", "sequence_id", "offset").collect())]
-    monkeypatch.setattr(packing, "BROADCAST_BYTES", 0)
-    merged = packing.pack(odd_docs, spec, capacity=256)
-    assert "BroadcastHashJoin" not in merged._jdf.queryExecution().executedPlan().toString()
-    places.append(sorted(merged.select("doc_id", "piece", "length", "sequence_id", "offset").collect()))
-    assert places[0] == places[1]
+def test_token_ids_are_never_shuffled(odd_docs):
+    """The scan of the pieces meets the tasks' rows in its own buckets, whatever their number."""
+    packed = packing.pack(odd_docs, SPEC[FILES[1]], capacity=256)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    side = plan.split("ShuffledHashJoin")[1].split("+- Exchange")[0]
+    assert "Bucketed: true" in side and "ids" in side and "Exchange" not in side
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" not in plan
