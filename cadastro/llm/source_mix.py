@@ -22,12 +22,15 @@ so reruns agree, and no group is gathered or sorted in one task.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import _col, materialise, without
+from ._common import _col, materialise
+
+log = logging.getLogger(__name__)
 
 WORD = r"[^\x20\x09-\x0D]+"
 BINS = 4096
@@ -75,7 +78,7 @@ def fit_tilts(sizes: DataFrame, targets: DataFrame, *, max_copies: int = 3, tole
 
     Newton iterations on the dual, all sources in one aggregate each. The step is kept inside a bracket
     of the root; where it would leave it, the bracket is halved. Iterations end when every source meets
-    its target to ``tolerance`` (or after ``max_iterations``; the rounding then makes up the rest).
+    its target to ``tolerance``, or after ``max_iterations`` with a warning (the rounding then makes up the rest).
     """
     m = max_copies
     mean = sizes.where(F.col("size") > 0).groupBy("source").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("scale"))
@@ -107,8 +110,11 @@ def fit_tilts(sizes: DataFrame, targets: DataFrame, *, max_copies: int = 3, tole
         # Sums of doubles depend on the order of their parts in the last digits; rounded, reruns agree.
         tilt = F.round(tilt, 12)
         state = materialise(moved.select("source", "source_size", "target", "scale", "full", tilt.alias("tilt"), "low", "high", "miss"), "mix_state")
-        if (state.agg(F.max("miss")).first()[0] or 0.0) <= tolerance:
+        worst = state.agg(F.max("miss")).first()[0] or 0.0
+        if worst <= tolerance:
             break
+    else:
+        log.warning("after %d iterations the rates of a source still miss its target by a share of %.2g", max_iterations, worst)
     return state.select("source", "source_size", "target", "scale", "tilt", "full")
 
 
@@ -222,12 +228,9 @@ def mix_table(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: Sequence[float] = (5.0, 2.0, 1.0), max_copies: int = 3) -> DataFrame:
-    """The mixed corpus: rows of ``docs`` (same columns), each as often as the mix takes it (0 to max_copies).
-
-    Columns named as in ``helpers`` below (in any case) are not returned.
-    """
-    helpers = ["_id", "_source", "_size", "_rate", "_base", "_slack", "_copies"]
-    names = without(docs, helpers).columns
+    """The mixed corpus: rows of ``docs`` (same columns, whatever their names), each as often as the mix takes
+    it (0 to max_copies)."""
+    names = docs.columns
     _, plan = plan_mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, weights=weights, max_copies=max_copies)
     # The columns go by their places, so that none meets a column of the plan.
     rows = docs.select(*[_col(c).alias(f"column{i}") for i, c in enumerate(names)], F.col(id_col).alias("_id"),
