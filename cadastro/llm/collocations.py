@@ -5,17 +5,19 @@ A batch of texts is one byte buffer. numpy marks its words, and prefix sums of b
 whatever its length. Mixed with the language, that is the n-gram's fingerprint.
 
 1. Fingerprints of n words are counted, one length after the other: folded in the task, then shuffled
-   and summed. Nothing but 16 bytes of an n-gram moves. An n-gram can only be frequent if both n-grams
+   and summed. Nothing but 40 bits of the fingerprint and its count moves; as sums only decide what the last
+   pass looks at, two fingerprints that share these bits cost a look and no error. An n-gram can only be frequent if both n-grams
    inside it are, so from two words on those alone are counted whose parts are in a bitmap of the
    frequent fingerprints. The bitmap has a fixed size (``filter_bits``) whatever the corpus; where it
    fills up, more n-grams are counted than needed, and none is missed.
 2. A last pass materialises what the bitmaps call frequent, and nothing else. In a batch every
    fingerprint has a pointer to its first occurrence. The words behind equal hashes are compared byte by
    byte with the word at the pointer; if any differ, the batch goes by the words themselves. A phrase's
-   text is cut out once, at its pointer, and shuffled with its fingerprint, count and pointer (document
-   and word number). Sums go by fingerprint and text, so colliding phrases part and counts are exact.
+   text is cut out once, at its pointer, and shuffled with its count and pointer (document and word number).
+   Sums go by the text, so colliding phrases part and counts are exact.
 3. Scores join each cut of a phrase with the counts of its two parts; parts that begin very many phrases
-   are salted.
+   are salted. A histogram of the scores finds the level above which a language's best lie, and only
+   those are sorted.
 """
 
 from __future__ import annotations
@@ -32,12 +34,13 @@ from pyspark.sql import types as T
 
 from cadastro.operators.lookups import salted_join
 
-from ._common import in_filter, key_filter, materialise
+from ._common import checked_join, in_filter, key_filter, materialise
 
 MAX_WORDS = 3
 MIN_COUNT = 10
 TOP = 2000
 FILTER_BITS = 27
+PRINT_BITS = 40
 # Bytes of text in a buffer, and entries a task holds before it passes them on.
 BUFFER = 1 << 22
 MAX_ENTRIES = 1 << 20
@@ -174,7 +177,8 @@ def _narrow(docs: DataFrame, text_col: str, lang_col: str, id_col: str) -> DataF
 
 
 def frequent_prints(narrow: DataFrame, n: int, filters: list, min_count: int, max_words: int) -> DataFrame:
-    """Fingerprints (fp) of the n-grams with at least ``min_count`` occurrences in their language."""
+    """Leading bits of the fingerprints (fp) that come at least ``min_count`` times: all n-grams as frequent as
+    that in their language, and a few others."""
 
     def run(batches):
         held, size = [], 0
@@ -189,7 +193,8 @@ def frequent_prints(narrow: DataFrame, n: int, filters: list, min_count: int, ma
         bitmaps = [f.value for f in filters]
         for batch in batches:
             for buffer in buffers(batch, max_words):
-                held.append(np.unique(buffer.counted(n, bitmaps)[1], return_counts=True))
+                prints = buffer.counted(n, bitmaps)[1] >> np.uint64(64 - PRINT_BITS)
+                held.append(np.unique(prints, return_counts=True))
                 size += len(held[-1][0])
                 if size > 2 * MAX_ENTRIES:
                     held = [merged()]
@@ -201,17 +206,18 @@ def frequent_prints(narrow: DataFrame, n: int, filters: list, min_count: int, ma
             yield from _print_batches(*merged())
 
     counted = narrow.mapInArrow(run, "fp long, n long")
-    return counted.groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("fp")
+    frequent = counted.groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    return frequent.select(F.shiftleft("fp", 64 - PRINT_BITS).alias("fp"))
 
 
 def _print_batches(fp: np.ndarray, n: np.ndarray):
     for at in range(0, len(fp), 1 << 16):
         yield pa.RecordBatch.from_arrays(
-            [pa.array(fp[at:at + (1 << 16)].view(np.int64)), pa.array(n[at:at + (1 << 16)].astype(np.int64))], names=["fp", "n"])
+            [pa.array(fp[at:at + (1 << 16)].astype(np.int64)), pa.array(n[at:at + (1 << 16)].astype(np.int64))], names=["fp", "n"])
 
 
 _PHRASE = T.StructType([
-    T.StructField("lang", T.StringType()), T.StructField("words", T.IntegerType()), T.StructField("fp", T.LongType()),
+    T.StructField("lang", T.StringType()), T.StructField("words", T.IntegerType()),
     T.StructField("phrase", T.StringType()), T.StructField("f", T.LongType()), T.StructField("doc", T.LongType()),
     T.StructField("word", T.LongType())])
 
@@ -229,29 +235,28 @@ def _materialise(buffer: Buffer, bitmaps: list[np.ndarray], max_words: int):
     counted = np.bincount(of_owner[buffer.owner[buffer.lead:]], minlength=len(lang_of[0])).astype(np.int64)
     none = pa.nulls(len(counted), pa.int64())
     yield pa.RecordBatch.from_arrays(
-        [pa.array(lang_of[0].tolist()), pa.array(np.zeros(len(counted), np.int32)), pa.array(np.zeros(len(counted), np.int64)),
+        [pa.array(lang_of[0].tolist()), pa.array(np.zeros(len(counted), np.int32)),
          pa.array([""] * len(counted)), pa.array(counted), none, none], schema=_ARROW)
     for n in range(1, max_words + 1):
         at, fp = buffer.counted(n, bitmaps)
-        found = in_filter(bitmaps[n - 1], fp)
-        at, fp = at[found], fp[found]
+        at = at[in_filter(bitmaps[n - 1], fp)]
         if repeated:
             order = np.lexsort((at - opens[buffer.owner[at]], name[buffer.owner[at]]))
-            at, fp = at[order], fp[order]
+            at = at[order]
         key = of_owner[buffer.owner[at]].astype(np.int64)
-        for k in range(n):  # exact: language and word ids, never the fingerprint
+        for k in range(n):  # exact: language and word ids, not the fingerprint
             key = np.unique(key * (len(words) + 1) + ids[at + k], return_inverse=True)[1].astype(np.int64)
         _, pointer, count = np.unique(key, return_index=True, return_counts=True)
-        at, fp = at[pointer], fp[pointer]
+        at = at[pointer]
         parts = [words.take(pa.array(ids[at + k])) for k in range(n)]
         owner = buffer.owner[at]
         yield pa.RecordBatch.from_arrays(
             [pa.array(lang_of[0].tolist()).take(pa.array(of_owner[owner])), pa.array(np.full(len(at), n, np.int32)),
-             pa.array(fp.view(np.int64)), pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0],
+             pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0],
              pa.array(count.astype(np.int64)), docs.take(pa.array(owner)), pa.array(at - opens[owner] + buffer.base)], schema=_ARROW)
 
 
-_ARROW = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("fp", pa.int64()), ("phrase", pa.string()), ("f", pa.int64()),
+_ARROW = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("f", pa.int64()),
                     ("doc", pa.int64()), ("word", pa.int64())])
 
 
@@ -273,7 +278,7 @@ def phrase_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "l
 
     # A pointer as one number, as a struct's minimum would need a sort of all rows.
     at = F.col("doc").cast("decimal(20,0)") * F.lit(_WORDS).cast("decimal(14,0)") + F.col("word")
-    found = narrow.mapInArrow(run, _PHRASE).withColumn("at", at).groupBy("lang", "words", "fp", "phrase").agg(
+    found = narrow.mapInArrow(run, _PHRASE).withColumn("at", at).groupBy("lang", "words", "phrase").agg(
         F.sum("f").alias("f"), F.min("at").alias("at"))
     return found.where((F.col("words") == 0) | (F.col("f") >= min_count)).withColumn("word", F.pmod("at", F.lit(_WORDS)).cast("long")).select(
         "lang", "words", "phrase", "f", F.call_function("div", F.col("at") - F.col("word"), F.lit(_WORDS)).alias("doc"), "word")
@@ -320,10 +325,16 @@ def mine(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_
         "lang", "w", "a", "n", F.explode(F.sequence(F.lit(1), F.col("words") - F.col("n") + 1)).alias("i")).select(
         "lang", F.array_join(F.slice("w", F.col("i"), F.col("n")), " ").alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     totals = counts.where(F.col("words") == 0).select("lang", F.col("f").alias("n"))
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     whole = candidates.drop("w", "words").join(scored, ["lang", "phrase"]).join(inner, ["lang", "phrase"], "left")
-    best = whole.where(F.col("longer").isNull() | (100 * F.col("longer") < inside_percent * F.col("a"))).select(
-        "lang", "phrase", "a", "cut.l", "cut.r", "cut.score", F.col("doc").alias("doc_id"), "word").withColumn(
+    level = F.floor(F.log2(F.col("score") + 1) * 64).cast("int")
+    kept = materialise(whole.where(F.col("longer").isNull() | (100 * F.col("longer") < inside_percent * F.col("a"))).select(
+        "lang", "phrase", "a", "cut.l", "cut.r", "cut.score", F.col("doc").alias("doc_id"), "word").withColumn("level", level), "collocation_scores")
+    above = Window.partitionBy("lang").orderBy(F.col("level").desc())
+    # At most 1,300 levels a language: the first by which ``top`` phrases are reached, or the last.
+    reached = kept.groupBy("lang", "level").count().withColumn("n", F.sum("count").over(above))
+    floor = reached.groupBy("lang").agg(F.coalesce(F.max(F.when(F.col("n") >= top, F.col("level"))), F.min("level")).alias("floor"))
+    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
+    best = checked_join(kept, materialise(floor, "collocation_floors"), "lang").where("level >= floor").withColumn(
         "rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score", "doc_id", "word")
 
