@@ -7,14 +7,18 @@ from __future__ import annotations
 
 import csv
 import logging
+import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.rename import missing_columns
+from ..session import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -50,23 +54,80 @@ def read_positional(spark: SparkSession, path, columns: Iterable[str], **options
     return read_data(spark, path, "csv", string_schema(columns), **opts)
 
 
-def headers_of(spark: SparkSession, path, sep: str, encoding: str) -> dict[tuple[str, ...], list[str]]:
-    """Header (tuple of names) -> the files that start with it, for every file below ``path``.
+# A file up to this size costs no more to read through than to open (Spark's own estimate of an opening).
+OPEN_COST = "spark.sql.files.openCostInBytes"
+PARTITION_BYTES = "spark.sql.files.maxPartitionBytes"
 
-    Only the first line of each file is read, through the session's own file system.
+
+def first_lines(spark: SparkSession, path) -> DataFrame:
+    """(file, line): the first line of every file below ``path`` that has one, as raw bytes, by Spark tasks.
+
+    Files go through Spark's text reader, so any storage and codec it knows will do. Small ones share
+    tasks and are read through; a file above Spark's cost of an opening is a task of its own, which stops
+    after the first lines. The result is a table in the scratch folder.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    limit = int(_bytes(spark.conf.get(OPEN_COST)))
+    lines = spark.read.format("text").load(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("start"), F.col("value").cast("binary").alias("line"))
+    out = scratch_path(spark, "first_lines")
+    schema = "file string, line binary"
+    small = lines.where(F.col("size") <= limit).mapInArrow(_heads(stop=False), schema)
+    small.write.parquet(out)
+    before = {key: spark.conf.get(key) for key in (OPEN_COST, PARTITION_BYTES)}
+    try:
+        for key in before:  # one split a file, one file a task
+            spark.conf.set(key, str(_WHOLE_FILE))
+        alone = all(spark.conf.get(key) == str(_WHOLE_FILE) for key in before)
+        lines.where(F.col("size") > limit).mapInArrow(_heads(stop=alone), schema).write.mode("append").parquet(out)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    return spark.read.schema(schema).parquet(out)
+
+
+_WHOLE_FILE = 1 << 50
+
+
+def _bytes(text: str) -> int:
+    """A size as Spark's settings spell it: ``4194304``, ``4194304b``, ``4m``, ``4MB``."""
+    number, unit = re.fullmatch(r"([0-9]+)\s*([a-z]*)", text.strip().lower()).groups()
+    return int(number) << {"": 0, "b": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}[unit.removesuffix("b").removesuffix("i") or "b"]
+
+
+def _heads(stop: bool):
+    """mapInArrow function: lines in file order -> the first line of each file whose start the task reads."""
+
+    def run(batches):
+        seen = None
+        for batch in batches:
+            files, starts = batch.column(0), batch.column(2)
+            at = [i for i in range(batch.num_rows) if i == 0 or files[i] != files[i - 1]] if batch.num_rows else []
+            at = [i for i in at if files[i].as_py() != seen and starts[i].as_py() == 0]
+            yield pa.RecordBatch.from_arrays([files.take(pa.array(at, pa.int64())), batch.column(3).take(pa.array(at, pa.int64()))],
+                                             names=["file", "line"])
+            if batch.num_rows:
+                seen = files[batch.num_rows - 1].as_py()
+                if stop:
+                    return
+
+    return run
+
+
+def headers_of(spark: SparkSession, path, sep: str, encoding: str) -> dict[tuple[str, ...], list[str] | None]:
+    """Header (tuple of names) -> the files that start with it; None for all files, if they share one header.
+
+    Only distinct headers reach the driver, and the files of each header only if there are several
+    (a scan needs its list of files there). Files without a line have no header and no rows.
+    """
+    first = first_lines(spark, path)
+    raw = [bytes(r.line) for r in first.select("line").distinct().collect()]
+    names = {line: tuple(next(csv.reader([line.decode(encoding).removeprefix("\ufeff").rstrip("\r")], delimiter=sep), [])) for line in raw}
+    if len(set(names.values())) == 1:
+        return {names[raw[0]]: None}
     found: dict[tuple[str, ...], list[str]] = {}
-    for name in spark.read.format("text").load(path).inputFiles():
-        hpath = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
-        stream = hpath.getFileSystem(conf).open(hpath)
-        try:
-            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding)).readLine()
-        finally:
-            stream.close()
-        if line is not None:
-            names = next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep))
-            found.setdefault(tuple(names), []).append(name)
+    for row in first.groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files")).collect():
+        found.setdefault(names[bytes(row.line)], []).extend(row.files)
     return found
 
 
@@ -76,13 +137,14 @@ def read_headered(spark: SparkSession, path, expected: Iterable[str] | None = No
 
     Files with the same columns in another order are read by name, one scan per distinct header; a column
     that only some files have is null in the others. ``expected`` lists header names the caller will use;
-    a name that a header lacks, or has beyond them, is logged (or raises when strict).
+    a name that a header lacks, or has beyond them, is logged (or raises when strict). Compressed files
+    (``.gz`` and what else Spark's text reader opens) are read like plain ones.
     """
     opts = {**HEADERED_OPTIONS, **options}
     groups = headers_of(spark, path, opts["sep"], opts.get("encoding", "UTF-8"))
     if not groups:
         return read_data(spark, path, "csv", string_schema(expected or []), **opts)
-    parts = [read_data(spark, files, "csv", string_schema(names), **opts) for names, files in sorted(groups.items())]
+    parts = [read_data(spark, files or path, "csv", string_schema(names), **opts) for names, files in sorted(groups.items())]
     if expected is not None:
         for part in parts:
             gone = missing_columns(part, expected)

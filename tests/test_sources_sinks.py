@@ -1,12 +1,14 @@
 """Raw-file scans (positional, headered, glob, lookup sets) and sinks (modes, partitions, staging)."""
 
 import glob
+import gzip
 import os
 import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
+from cadastro.sources.delimited import headers_of
 from cadastro.sources import read_headered, read_lookup_set, read_positional, stage, write_table
 from cadastro.session import path_exists
 
@@ -103,6 +105,35 @@ def test_headers_in_different_orders_are_read_by_name(spark, tmp_dir):
         read_headered(spark, f"{tmp_dir}/a.txt", expected=["x", "q"], strict=True)
 
 
+def test_headers_of_compressed_and_large_files(spark, tmp_dir):
+    """A compressed dump, one above the cost of an opening (read by a task of its own, which stops early), a BOM,
+    an empty file and one without a line end."""
+    with gzip.open(f"{tmp_dir}/a.txt.gz", "wt", encoding="utf-8") as f:
+        f.write("ação;x\n1;2\n")
+    for name, text in (("big", "x;ação\n" + "8;9\n" * 1_300_000), ("bom", "\ufeffação;x\r\n3;4\r\n"), ("empty", ""), ("short", "ação;x")):
+        with open(f"{tmp_dir}/{name}.txt", "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+    assert {k: sorted(os.path.basename(p) for p in v) for k, v in headers_of(spark, tmp_dir, ";", "UTF-8").items()} == {
+        ("ação", "x"): ["a.txt.gz", "bom.txt", "short.txt"], ("x", "ação"): ["big.txt"]}
+    got = read_headered(spark, tmp_dir, expected=["x", "ação"], strict=True).groupBy("x", "ação").count().collect()
+    assert {(r.x, r["ação"], r["count"]) for r in got} == {("2", "1", 1), ("8", "9", 1_300_000), ("4", "3", 1)}
+
+
+def test_headers_of_ten_thousand_files(spark, tmp_dir, monkeypatch):
+    for k in range(10_000):
+        with open(f"{tmp_dir}/f{k:05}.txt", "w", encoding="latin-1") as f:
+            f.write(f"código;y\n{k};1\n")
+    assert headers_of(spark, f"{tmp_dir}/*.txt", ";", "ISO-8859-1") == {("código", "y"): None}
+    df = read_headered(spark, f"{tmp_dir}/*.txt", encoding="ISO-8859-1")
+    assert df.columns == ["código", "y"] and df.selectExpr("sum(int(`código`))").first()[0] == 9999 * 5000
+
+
+def test_headers_of_nothing(spark, tmp_dir):
+    open(f"{tmp_dir}/empty.txt", "w").close()
+    assert headers_of(spark, tmp_dir, ";", "UTF-8") == {}
+    assert read_headered(spark, tmp_dir, expected=["a"]).collect() == []
+
+
 def test_partitioned_writes_cluster_their_rows(spark, tmp_dir):
     df = spark.range(0, 4000, 1, 8).selectExpr("id", "id % 5 AS p")
     write_table(df, f"{tmp_dir}/clustered", partition_by="p")
