@@ -1,9 +1,8 @@
 """Source divergence audit: how far the sources of a language differ in the terms they use.
 
-1. In-mapper stripes. A task folds whole documents into a hash table term -> stripe, a stripe being the
-   term's document frequency and its count per source. The table is bounded: when it is full, the
-   stripes of few documents are spilled and the common ones stay, so a very common term leaves a task
-   a few times, not once per spill.
+1. In-mapper stripes. A task folds whole documents into hash stripes, a stripe being a term's document
+   frequency and its count per source. Terms get numbers from a hash table, and stripes are summed on
+   the numbers in numpy. The table is bounded: when it is full, all its stripes are spilled.
 2. Spilled stripes are shuffled and sorted by (language, term) and merged one term at a time. Terms in
    fewer than ``min_df`` documents of their language end here.
 3. The merged stripes emit the divergences. With p a term's smoothed share in a group (scaled to 10^9)
@@ -21,7 +20,6 @@ All arithmetic is on integers and exact while a language has fewer than 9 * 10^1
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -37,81 +35,110 @@ TOP_TERMS = 10
 # Letters and everything beyond ASCII; upper-case ASCII is gone by the time this is applied.
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _BREAK = re.compile(rb"[^A-Za-z\x80-\xff]")
-# (term, source) entries and bytes of terms that a task holds before it spills.
-MAX_ENTRIES = 400_000
-MAX_BYTES = 32 << 20
+# Terms, their bytes, and (term, group) entries that a task holds before it spills.
+MAX_TERMS = 1 << 20
+MAX_BYTES = 64 << 20
+MAX_ENTRIES = 1 << 21
 _PAIRS = 1 << 20
 _ROWS = 20_000
 
 
+class _Numbers(dict):
+    """Hash table: key -> number, in order of arrival; ``size``: the keys' lengths."""
+
+    size = 0
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        self.size += len(key)
+        return n
+
+
 class Stripes:
-    """A task's table: language -> term -> {None: document frequency, source: count}."""
-
-    def __init__(self, max_entries: int = MAX_ENTRIES, max_bytes: int = MAX_BYTES):
-        self.max_entries, self.max_bytes = max_entries, max_bytes
-        self.table: dict[str, dict[bytes, dict]] = {}
-        self.entries = self.bytes = 0
-
-    def fold(self, lang: str, source: str, text: str | None) -> None:
-        """Add a document. The empty term counts the documents themselves."""
-        counts = Counter()
-        for part in byte_parts((text or "").encode(), _BREAK):
-            counts.update(_TERM.findall(part.lower()))
-        counts[b""] = 1
-        mine = self.table.setdefault(lang, {})
-        for term, n in counts.items():
-            stripe = mine.get(term)
-            if stripe is None:
-                mine[term] = {None: 1, source: n}
-                self.entries += 2
-                self.bytes += len(term)
-            else:
-                stripe[None] += 1
-                if source in stripe:
-                    stripe[source] += n
-                else:
-                    stripe[source] = n
-                    self.entries += 1
+    """A task's table: stripes as parallel arrays (group << 32 | term, count, documents), summed now and then."""
+
+    def __init__(self, max_terms: int = MAX_TERMS):
+        self.max_terms = max_terms
+        self._clear()
+
+    def _clear(self) -> None:
+        self.terms, self.groups = _Numbers({b"": 0}), _Numbers()
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.entries = 0
+
+    def fold(self, groups: list[tuple[str, str]], texts: list[str | None]) -> None:
+        """Add some documents of (language, source) groups. The empty term counts the documents themselves."""
+        numbers, sizes = [], []
+        of = self.terms.__getitem__
+        for text in texts:
+            size = 1
+            numbers.append(np.zeros(1, np.int64))
+            for part in byte_parts((text or "").encode(), _BREAK):
+                found = _TERM.findall(part.lower())
+                numbers.append(np.fromiter(map(of, found), np.int64, len(found)))
+                size += len(found)
+            sizes.append(size)
+        group = np.fromiter(map(self.groups.__getitem__, groups), np.int64, len(groups))
+        term = np.concatenate(numbers)
+        # A document's occurrences of a term become one entry, then the entries of a group.
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        pair, count = np.unique(owner * len(self.terms) + term, return_counts=True)
+        owner, term = np.divmod(pair, len(self.terms))
+        self._hold(*_summed(group[owner] << 32 | term, count.astype(np.int64), np.ones(len(pair), np.int64)))
+
+    def _hold(self, key: np.ndarray, count: np.ndarray, docs: np.ndarray) -> None:
+        self.held.append((key, count, docs))
+        self.entries += len(key)
+        if self.entries > 2 * MAX_ENTRIES:
+            self.held = [_summed(*(np.concatenate(x) for x in zip(*self.held, strict=True)))]
+            self.entries = len(self.held[0][0])
 
     @property
     def full(self) -> bool:
-        return self.entries > self.max_entries or self.bytes > self.max_bytes
-
-    def spill(self, everything: bool = False):
-        """Batches of stripes: all, or those of the fewest documents till the table is at most half full."""
-        limit = 1
-        while self.table and (everything or self.entries * 2 > self.max_entries or self.bytes * 2 > self.max_bytes):
-            rows = []
-            for lang, mine in self.table.items():
-                gone = [t for t, s in mine.items() if everything or s[None] <= limit]
-                for term in gone:
-                    stripe = mine.pop(term)
-                    self.entries -= len(stripe)
-                    self.bytes -= len(term)
-                    df = stripe.pop(None)
-                    rows.append((lang, term, df, list(stripe), list(stripe.values())))
-                    if len(rows) >= _ROWS:
-                        yield _batch(rows)
-                        rows = []
-            if rows:
-                yield _batch(rows)
-            self.table = {lang: mine for lang, mine in self.table.items() if mine}
-            limit *= 4
+        return len(self.terms) > self.max_terms or self.terms.size > MAX_BYTES or len(self.groups) > self.max_terms or self.entries > MAX_ENTRIES
+
+    def spill(self):
+        """All stripes as batches; the table is empty afterwards."""
+        if self.held:
+            key, count, docs = _summed(*(np.concatenate(x) for x in zip(*self.held, strict=True)))
+            names = list(self.groups)
+            langs = _Numbers()
+            lang_of = np.array([langs[lang] for lang, _ in names], np.int64)
+            group, term = key >> 32, key & 0xFFFFFFFF
+            order = np.lexsort((term, lang_of[group]))
+            group, term, count, docs = (x[order] for x in (group, term, count, docs))
+            lang = lang_of[group]
+            starts = np.flatnonzero(np.diff(term, prepend=-1).astype(bool) | np.diff(lang, prepend=-1).astype(bool))
+            df = np.add.reduceat(docs, starts)
+            edges = np.append(starts, len(term))
+            terms = pa.array(list(self.terms), pa.binary()).cast(pa.string())
+            sources, langs = pa.array([s for _, s in names], pa.string()), pa.array(list(langs), pa.string())
+            for lo in range(0, len(starts), _ROWS):
+                at = starts[lo:lo + _ROWS]
+                ends = edges[lo:lo + _ROWS + 1]
+                offsets = pa.array((ends - ends[0]).astype(np.int32))
+                inside = slice(int(ends[0]), int(ends[-1]))
+                yield pa.RecordBatch.from_arrays(
+                    [langs.take(pa.array(lang[at])), terms.take(pa.array(term[at])), pa.array(df[lo:lo + _ROWS]),
+                     pa.ListArray.from_arrays(offsets, sources.take(pa.array(group[inside]))),
+                     pa.ListArray.from_arrays(offsets, pa.array(count[inside]))], names=_NAMES)
+        self._clear()
 
 
-_FIELDS = "lang string, term string, df long, sources array<string>, counts array<long>"
+def _summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys, sorted, with the sums of their values."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    return (key[first], *(np.add.reduceat(v[order], first) for v in values))
 
 
-def _batch(rows: list) -> pa.RecordBatch:
-    lang, term, df, sources, counts = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(lang, pa.string()), pa.array(term, pa.binary()).cast(pa.string()), pa.array(df, pa.int64()),
-         pa.array(sources, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64()))],
-        names=["lang", "term", "df", "sources", "counts"])
+_FIELDS = "lang string, term string, df long, sources array<string>, counts array<long>"
+_NAMES = ["lang", "term", "df", "sources", "counts"]
 
 
 def stripes(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-            max_entries: int = MAX_ENTRIES) -> DataFrame:
+            max_terms: int = MAX_TERMS) -> DataFrame:
     """Unmerged stripes of all documents: lang, term, df, sources, counts. The term '' counts documents."""
     def text_of(c: str) -> Column:
         return F.coalesce(F.col(c).cast("string"), F.lit(""))
@@ -119,15 +146,14 @@ def stripes(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     narrow = docs.select(text_of(lang_col).alias("lang"), text_of(source_col).alias("source"), text_of(text_col).alias("text"))
 
     def run(batches):
-        table = Stripes(max_entries)
+        table = Stripes(max_terms)
         for batch in batches:
             for start, texts in slices(batch, 2):
                 langs, sources = (batch.column(i).slice(start, len(texts)).to_pylist() for i in (0, 1))
-                for lang, source, text in zip(langs, sources, texts, strict=True):
-                    table.fold(lang, source, text)
-                    if table.full:
-                        yield from table.spill()
-        yield from table.spill(everything=True)
+                table.fold(list(zip(langs, sources, strict=True)), texts)
+                if table.full:
+                    yield from table.spill()
+        yield from table.spill()
 
     return narrow.mapInArrow(run, _FIELDS)
 
@@ -230,7 +256,7 @@ def _shared_pairs(batches):
 
 
 def audit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_df: int = MIN_DF,
-          top_terms: int = TOP_TERMS, max_entries: int = MAX_ENTRIES) -> DataFrame:
+          top_terms: int = TOP_TERMS, max_terms: int = MAX_TERMS) -> DataFrame:
     """Rows (lang, source, part, item, value, rank) for every (lang, source) that occurs.
 
     Part ``pair``: item is each other source of the language, value their divergence over all kept
@@ -244,7 +270,7 @@ def audit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", so
     A stripe holds at most one count per source. The list of groups is joined by a broadcast only below a
     measured size, else by a salted shuffle.
     """
-    kept = materialise(merge(stripes(docs, text_col=text_col, lang_col=lang_col, source_col=source_col, max_entries=max_entries), min_df),
+    kept = materialise(merge(stripes(docs, text_col=text_col, lang_col=lang_col, source_col=source_col, max_terms=max_terms), min_df),
                        "stripes")
     is_term = F.col("term") != ""
     entries = kept.select("lang", "term", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("lang_count"),

@@ -45,8 +45,8 @@ def got(df):
     return sorted((r.lang, r.source, r.part, r.item, r.value, r["rank"]) for r in df.collect())
 
 
-@pytest.mark.parametrize("entries", [400_000, 60])
-def test_audit_equals_brute_force(spark, entries):
+@pytest.mark.parametrize("terms", [source_divergence.MAX_TERMS, 20])
+def test_audit_equals_brute_force(spark, terms):
     """Sources of very different size, a term in every document, groups without a kept term; a small
     table forces many spills."""
     rng = random.Random(3)
@@ -58,7 +58,7 @@ def test_audit_equals_brute_force(spark, entries):
         rows.append((text, rng.choice(["en", "fr", None]), source))
     rows += [(None, "en", None), ("", "en", "void"), ("rare only here", "de", "one"), ("", "de", "two"), ("12 34", "it", "alone")]
     docs = spark.createDataFrame([(i, t, lang, s, 0) for i, (t, lang, s) in enumerate(rows)], DOCS).repartition(5)
-    assert got(source_divergence.audit(docs, max_entries=entries)) == brute(rows)
+    assert got(source_divergence.audit(docs, max_terms=terms)) == brute(rows)
 
 
 def test_audit_of_odd_documents(spark, odd_docs, no_docs):
