@@ -19,6 +19,8 @@ from .. import functions as cf
 from ..operators import archives, ingest, matching
 from ..operators.cleaning import clean_types, kinds_by_rule
 from ..operators.lookups import inner_lookup, left_lookup, role_lookup, star_lookup
+from ..operators.losses import Losses
+from ..operators.losses import report as losses_report
 from ..operators.rename import rename_map
 from ..session import scratch_path, set_modified
 from ..sources import delimited, sinks
@@ -345,6 +347,15 @@ def q_consolidate_estab_flows(spark, sf):
     return lf.consolidate_flows(raw_estab_flows(spark, sf), "estab", codebooks_for(spark, sf, fx.ESTAB_FLOW_CODES))
 
 
+def q_loss_report(spark, sf):
+    """What the establishments consolidation loses, counted by the one job that writes it."""
+    losses = Losses("df_estab")
+    path = scratch_path(spark, "loss_report")
+    sinks.write_table(cr.consolidate_establishments(raw_establishments(spark, sf), lookup_dim(spark, sf, "nation", "mun"),
+                                                    lookup_dim(spark, sf, "region", "pais"), losses=losses), path)
+    return losses_report(spark, [losses])
+
+
 # ---- scans --------------------------------------------------------------------------------------------
 
 def _write_positional(df: DataFrame, path: str, encoding: str = "ISO-8859-1", header: bool = False, sep: str = ";"):
@@ -363,6 +374,17 @@ def q_scan_positional(spark, sf):
     return read.withColumn("texto", F.replace(breaks, F.lit("\x01"), F.lit("\\")))
 
 
+def q_scan_rejects(spark, sf):
+    """A dump with short, long and broken rows among good ones (some with separators and quotes inside quoted
+    fields), split in one write; both parts read back."""
+    root = scratch_path(spark, "scan_rejects")
+    derive(table(spark, sf, "orders"), fx.order_lines(fx.SPARK)).write.text(f"{root}/dump")
+    rows = delimited.read_checked(spark, f"{root}/dump", ["o_orderkey", "priority", "status", "day"], encoding="UTF-8")
+    good, bad = sinks.write_split(rows, f"{root}/split", delimited.ROW_STATUS)
+    return good.drop(delimited.RAW_LINE).withColumn("row_status", F.lit("ok")).withColumn("line", F.lit(None).cast("string")).unionByName(
+        bad.select("o_orderkey", "priority", "status", "day", F.col(delimited.ROW_STATUS).alias("row_status"), F.col(delimited.RAW_LINE).alias("line")))
+
+
 def q_scan_headered(spark, sf):
     """The whole layout, in files of two column orders."""
     pairs = [("event_id", "CAST(event_id AS STRING)")] + fx.raw_movements(fx.SPARK)

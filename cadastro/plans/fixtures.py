@@ -349,3 +349,17 @@ def documents_positional(D: Dialect):
         ("source", "source"),
         ("n_chars", _s("n_chars")),
     ]
+
+
+def order_lines(D: Dialect):
+    """orders -> lines of a dump of four columns: every tenth row short, long or broken, some with quoted separators."""
+    key, day = _s("o_orderkey"), D.ymd("o_orderdate")
+    rows = {
+        0: "{key} || ';' || o_orderpriority",
+        1: "{key} || ';' || o_orderpriority || ';' || o_orderstatus || ';' || {day} || ';more;'",
+        2: "{key} || ';\"' || o_orderpriority || ';' || o_orderstatus || ';' || {day}",
+        3: "{key} || ';\"a;b \"\"' || o_orderpriority || '\"\"\";' || o_orderstatus || ';' || {day}",
+        4: "{key} || ';5\" of it;' || o_orderstatus || ';'",
+    }
+    whens = " ".join(f"WHEN {k} THEN {row.format(key=key, day=day)}" for k, row in rows.items())
+    return [("value", f"CASE o_orderkey % 10 {whens} ELSE {key} || ';' || o_orderpriority || ';' || o_orderstatus || ';' || {day} END")]

@@ -537,3 +537,40 @@ SQL["register_run_socios"] = SQL["consolidate_partners"]
 SQL["register_run_empresas"] = SQL["consolidate_companies"].replace(
     lookup_cte("qs", "region", "qual_socio"), lookup_cte("qs", "nation", "qual_socio"))
 SQL["labour_run_estab"] = SQL["consolidate_estab_flows"]
+
+# ---- what is lost and what is rejected ---------------------------------------------------------------
+
+
+def _loss_sql() -> str:
+    ints = ("situacao_cadastral", "motivo_situacao_cadastral", "cod_pais", "cod_mun")
+    dates = ("data_situacao_cadastral", "data_inicio_atividades", "data_situacao_especial")
+    filled = "{c} IS NOT NULL AND trim({c}) <> ''"
+    tests = {c: f"{filled.format(c=c)} AND {to_int(c)} IS NULL" for c in ints}
+    tests |= {c: f"{filled.format(c=c)} AND NOT regexp_matches({c}, '^[0 ]*$') AND {to_date(c)} IS NULL" for c in dates}
+    typing = " UNION ALL ".join(f"SELECT 'typing' AS step, '{c}' AS column_name, count(*) FILTER ({t}) AS lost, count(*) AS seen FROM raw"
+                                for c, t in tests.items())
+    return f"""
+WITH raw AS (SELECT {select(fx.raw_establishments(D))}
+             FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey),
+  {lookup_cte('mu', 'nation', 'mun')}, {lookup_cte('pa', 'region', 'pais')},
+  known AS (SELECT *, {to_int('cod_mun')} IN (SELECT cod_mun FROM mu) AS hit FROM raw)
+SELECT 'df_estab' AS table_name, * FROM (
+  {typing}
+  UNION ALL SELECT 'inner lookup', 'cod_mun', count(*) FILTER (hit IS NOT TRUE), count(*) FROM known
+  UNION ALL SELECT 'left lookup', 'cod_pais',
+    count(*) FILTER ({to_int('cod_pais')} IS NOT NULL AND {to_int('cod_pais')} NOT IN (SELECT cod_pais FROM pa)), count(*)
+    FROM known WHERE hit)"""
+
+
+SQL["loss_report"] = _loss_sql()
+
+SQL["scan_rejects"] = f"""
+WITH raw AS (SELECT o_orderkey % 10 AS k, CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority, o_orderstatus AS status,
+               {D.ymd('o_orderdate')} AS day, {fx.order_lines(D)[0][1]} AS line FROM orders),
+  judged AS (SELECT *, CASE k WHEN 0 THEN 'short' WHEN 1 THEN 'long' WHEN 2 THEN 'broken' ELSE 'ok' END AS row_status FROM raw)
+SELECT CASE WHEN row_status = 'ok' THEN o_orderkey END AS o_orderkey,
+  CASE WHEN row_status = 'ok' THEN CASE k WHEN 3 THEN 'a;b "' || o_orderpriority || '"' WHEN 4 THEN '5" of it' ELSE o_orderpriority END END AS priority,
+  CASE WHEN row_status = 'ok' THEN status END AS status,
+  CASE WHEN row_status = 'ok' AND k <> 4 THEN day END AS day,
+  row_status, CASE WHEN row_status <> 'ok' THEN line END AS line
+FROM judged"""

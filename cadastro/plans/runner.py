@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.losses import Losses, report
 from ..session import delete_path, path_exists, scratch_path
 from ..sources import read_codebook, read_headered, read_lookup_set, read_positional, stage, write_table
 from . import company_register as cr
@@ -53,6 +54,7 @@ def run_company_register(
     keep_unknown_municipality: bool = False,
     kind_overrides: Mapping[str, str] | None = None,
     strategy: str = "auto",
+    report_losses: bool = False,
     **write_options,
 ) -> dict[str, str]:
     """Consolidate the company register; returns ``{table name: output path}``.
@@ -61,7 +63,8 @@ def run_company_register(
     fresh folder per run) and drops it when the run ends, well or not. ``kind_overrides`` and ``strategy``
     go to :func:`consolidate`; further options to :func:`write_table`. Tables join the lookups of this
     run; a run without the ``lookups`` step reads those an earlier run wrote. ``mode="append"`` adds a
-    run's rows to every table, lookups included.
+    run's rows to every table, lookups included. ``report_losses`` adds a table ``df_losses``: the values that
+    typing and the rows or labels that lookups lost in each table, counted while it was written.
     """
     tables = list(tables)
     written: dict[str, str] = {}
@@ -84,6 +87,7 @@ def run_company_register(
         return dims[name]
 
     run_root = scratch_path(spark, "staging") if staged else None
+    counted: list[Losses] = []
     try:
         for key in ("simples", "socios", "empresas", "estab"):
             if key not in tables:
@@ -95,8 +99,14 @@ def run_company_register(
             options = ("full_id",) if (key == "estab" and with_full_id) else ()
             overrides = {"mun": "left"} if (key == "estab" and keep_unknown_municipality) else None
             kinds = {c: k for c, k in (kind_overrides or {}).items() if c in spec.raw_columns}
-            out(consolidate(raw, spec, {n: dim(n) for n in COMPANY_NEEDS[key]}, options=options,
-                            how_overrides=overrides, kind_overrides=kinds, strategy=strategy), spec.name)
+            # A table that mode "ignore" leaves as it is runs no job, so it has no counts.
+            kept = mode == "ignore" and path_exists(spark, f"{out_dir.rstrip('/')}/{spec.name}")
+            losses = Losses(spec.name) if report_losses and not kept else None
+            out(consolidate(raw, spec, {n: dim(n) for n in COMPANY_NEEDS[key]}, options=options, how_overrides=overrides,
+                            kind_overrides=kinds, strategy=strategy, losses=losses), spec.name)
+            counted += [losses] if losses else []
+        if report_losses:
+            out(report(spark, counted), "df_losses")
     finally:
         if run_root is not None:
             delete_path(spark, run_root)

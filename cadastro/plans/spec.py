@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 
 from ..operators.cleaning import clean_types
 from ..operators.lookups import lookup, profile_dimensions, with_role
+from ..operators.losses import Losses
 
 Rule = Callable[[], Column]
 
@@ -69,16 +70,19 @@ def consolidate(
     kind_overrides: Mapping[str, str] | None = None,
     check_unique: bool = True,
     strategy: str = "auto",
+    losses: Losses | None = None,
 ) -> DataFrame:
     """Raw string frame -> consolidated table per ``spec``.
 
     ``dims`` maps lookup names to frames. ``options`` switches on optional output columns
     (e.g. ``("full_id",)``). ``how_overrides`` changes a lookup's join type by dimension name
     (e.g. ``{"mun": "left"}`` to keep establishments with an unknown municipality). ``kind_overrides``
-    changes a column's kind (e.g. ``{"capital_social": "decimal_comma"}`` for exact cents).
+    changes a column's kind (e.g. ``{"capital_social": "decimal_comma"}`` for exact cents). ``losses``
+    counts, while the table is written, what typing and the lookups lose.
     """
     dims = dims or {}
-    out = raw.transform(clean_types({**spec.kinds, **(kind_overrides or {})}))
+    kinds = {**spec.kinds, **(kind_overrides or {})}
+    out = losses.typing(raw, kinds) if losses else raw.transform(clean_types(kinds))
     for stage in spec.rules:
         out = out.withColumns({c: rule() for c, rule in stage.items()})
 
@@ -98,6 +102,7 @@ def consolidate(
     profiles = profile_dimensions(base) if needed and (check_unique or strategy in ("auto", "broadcast")) else {}
     for lk, dim, how in needed:
         name = f"{lk.dimension}{lk.suffix}"
-        out = lookup(out, dim, lk.key, how, check_unique=check_unique, strategy=strategy,
-                     profile=profiles.get(lk.dimension), name=name)
+        join = losses.lookup if losses else lookup
+        out = join(out, dim, lk.key, how, check_unique=check_unique, strategy=strategy,
+                   profile=profiles.get(lk.dimension), name=name)
     return out.select(*spec.output_columns(*options))

@@ -59,6 +59,38 @@ OPEN_COST = "spark.sql.files.openCostInBytes"
 PARTITION_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
+# Outcome of a raw row, and the column that keeps its line.
+ROW_STATUS, RAW_LINE = "_row_status", "_raw_line"
+
+
+def read_checked(spark: SparkSession, path, columns: Iterable[str], **options) -> DataFrame:
+    """:func:`read_positional` that hides nothing: every row with its ``_row_status`` and its ``_raw_line``.
+
+    ``ok``: as many fields as columns. ``short``, ``long``: fewer or more (``read_positional`` pads and drops).
+    ``broken``: a quoted field that is not closed on its line, or a row that the CSV parser
+    rejects. Rows that are not ok have null columns. Blank lines are skipped, as by the CSV reader.
+    """
+    names = list(columns)
+    opts = {**POSITIONAL_OPTIONS, **options}
+    sep, encoding = opts["sep"], opts.pop("encoding", "UTF-8")
+    for name in ("header", "multiLine"):
+        if str(opts.pop(name, "false")).lower() != "false":
+            raise ValueError(f"rows are checked line by line; {name} is not supported")
+    raw = F.decode(F.col("value").cast("binary"), encoding)
+    lines = spark.read.format("text").load(path).select(F.regexp_replace(raw, "\r$", "").alias(RAW_LINE)).where(F.trim(RAW_LINE) != "")
+    cut = re.escape(sep)
+    # What is left once every closed quoted field (quotes inside are doubled) is taken out.
+    bare = F.regexp_replace(RAW_LINE, f'(^|{cut})"(?:[^"]|"")*"(?={cut}|$)', "$1")
+    fields = F.size(F.split(bare, cut, -1))
+    corrupt = "_cadastro_corrupt"
+    parsed = F.from_csv(F.col(RAW_LINE), ddl_schema([*names, corrupt]), {**{k: str(v) for k, v in opts.items()}, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    status = (F.when(bare.rlike(f'(^|{cut})"'), "broken").when(fields < len(names), "short").when(fields > len(names), "long")
+              .when(F.col(f"_row.{corrupt}").isNotNull(), "broken").otherwise("ok"))
+    checked = lines.withColumn("_row", parsed).withColumn(ROW_STATUS, status)
+    good = F.col(ROW_STATUS) == "ok"
+    return checked.select(*[F.when(good, F.col("_row").getField(c)).alias(c) for c in names], ROW_STATUS, RAW_LINE)
+
+
 def first_lines(spark: SparkSession, path) -> DataFrame:
     """(file, line): the first line of every file below ``path`` that has one, as raw bytes, by Spark tasks.
 

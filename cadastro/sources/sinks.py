@@ -19,6 +19,8 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import delete_path, scratch_path
 
@@ -75,6 +77,18 @@ def write_table(
     writer.save(path)
 
 
+def write_split(df: DataFrame, path: str, status_col: str, ok: str = "ok", mode: str = "error") -> tuple[DataFrame, DataFrame]:
+    """Write ``df`` once, a folder per value of ``status_col``; return (accepted, rejected) frames of what was written.
+
+    One job and no shuffle: every task writes its accepted rows and its rejected ones side by side. The
+    accepted frame has the rows with ``ok`` and not the status column; both read only their own folders.
+    """
+    write_table(df, path, mode=mode, fmt="parquet", partition_by=status_col, rebalance=False)
+    schema = StructType([f for f in df.schema.fields if f.name != status_col] + [df.schema[status_col]])
+    written = df.sparkSession.read.schema(schema).parquet(path)
+    return written.where(F.col(status_col) == ok).drop(status_col), written.where(F.col(status_col) != ok)
+
+
 @dataclass
 class Stage:
     """A materialised intermediate table below the shared checkpoint folder."""

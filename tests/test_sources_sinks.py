@@ -8,8 +8,8 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from cadastro.sources.delimited import headers_of
-from cadastro.sources import read_headered, read_lookup_set, read_positional, stage, write_table
+from cadastro.sources import read_checked, read_headered, read_lookup_set, read_positional, stage, write_split, write_table
+from cadastro.sources.delimited import RAW_LINE, ROW_STATUS, headers_of
 from cadastro.session import path_exists
 
 
@@ -142,3 +142,28 @@ def test_partitioned_writes_cluster_their_rows(spark, tmp_dir):
     assert files["clustered"] <= 10 < files["loose"] == 40
     with pytest.raises(ValueError):
         write_table(df, f"{tmp_dir}/both", n_partitions=2, rebalance=True)
+
+
+def test_rows_are_judged_and_split_in_one_write(spark, tmp_dir):
+    lines = ['1;"a;b";x', "2;y", "3;a;b;c", '4;"open;x', '5;"say ""hi"";";z', '"6";"";""', "", "  ", "7;;", ';"q"r;s', "8;ção;x\r"]
+    os.makedirs(f"{tmp_dir}/in")
+    write_bytes(f"{tmp_dir}/in/a.csv", "\n".join(lines).encode("latin-1"))
+    rows = read_checked(spark, f"{tmp_dir}/in", ["a", "b", "c"])
+    got = {r[RAW_LINE]: (r[ROW_STATUS], r.a, r.b, r.c) for r in rows.collect()}
+    assert got['1;"a;b";x'] == ("ok", "1", "a;b", "x") and got['5;"say ""hi"";";z'] == ("ok", "5", 'say "hi";', "z")
+    assert got["2;y"] == ("short", None, None, None) and got["3;a;b;c"][0] == "long" and got['4;"open;x'][0] == "broken"
+    assert got["8;ção;x"] == ("ok", "8", "ção", "x") and got["7;;"] == ("ok", "7", None, None) and len(got) == 9
+    good, bad = write_split(rows, f"{tmp_dir}/out", ROW_STATUS)
+    assert good.columns == ["a", "b", "c", RAW_LINE] and good.count() + bad.count() == 9
+    assert {r[RAW_LINE] for r in bad.collect()} == {k for k, v in got.items() if v[0] != "ok"}
+    assert all("_row_status=" in f for f in good.inputFiles())
+    with pytest.raises(ValueError, match="multiLine"):
+        read_checked(spark, f"{tmp_dir}/in", ["a"], multiLine=True)
+
+
+def test_good_rows_are_read_as_without_the_check(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/in")
+    write_bytes(f"{tmp_dir}/in/a.csv", '1;"a;b";x\n5;"say ""hi""";z\n7;;\n"8" ; y ;"z"\n'.encode())
+    names = ["a", "b", "c"]
+    checked = read_checked(spark, f"{tmp_dir}/in", names).where(f"{ROW_STATUS} = 'ok'").select(names)
+    assert sorted(map(tuple, checked.collect()), key=str)[:3] == sorted(map(tuple, read_positional(spark, f"{tmp_dir}/in", names).collect()), key=str)[:3]
