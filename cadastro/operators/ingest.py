@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .._cols import as_col
-from ..operators.lookups import lookup
+from ..operators.lookups import lookup, profile_dimensions
+from ..session import checkpoint_root
 
 # An <a ...> tag's href value: double quoted, single quoted or bare (case-insensitive names).
 ANCHOR_HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
@@ -32,10 +33,9 @@ def extract_links(pages: DataFrame, html_col: str = "html", suffix: str | None =
     scanned; nothing is truncated. Values may be in double quotes, single quotes or none.
     """
     html = F.col(html_col)
-    # The three groups exclude each other: of each match exactly one is not empty (or the value is empty).
-    quoted, single, bare = (F.regexp_extract_all(html, F.lit(ANCHOR_HREF), F.lit(g)) for g in (1, 2, 3))
-    value = F.transform(F.arrays_zip(quoted.alias("a"), single.alias("b"), bare.alias("c")),
-                        lambda m: F.concat(m["a"], m["b"], m["c"]))
+    # The page is searched once for whole tags; of a tag's three groups exactly one is set (or the value is empty).
+    tags = F.regexp_extract_all(html, F.lit(ANCHOR_HREF), F.lit(0))
+    value = F.transform(tags, lambda tag: F.regexp_replace(tag, ANCHOR_HREF, "$1$2$3"))
     out = pages.select(*keep, F.explode(value).alias("link"))
     link = F.col("link")
     for entity, char in HREF_ENTITIES:
@@ -109,11 +109,12 @@ def latest_path(levels, folder_col: str = "folder") -> DataFrame:
     the folder it sits in: a root at level 0, ``root/name`` at level 1, ``root/name/name`` at level 2. Each
     step is a partial aggregate plus a checked lookup of the one row per folder chosen before, so no level
     is collected to the driver. Returns one row per root: ``(root, path, name, release_date)``, ``path``
-    joining the chosen names with '/'.
+    joining the chosen names with '/'. Each level's choice is checkpointed, so every listing is read once.
     """
     chosen = latest_release(levels[0], folder_col).select(
         F.col(folder_col).alias("root"), F.col("name").alias("path"), "name", "release_date")
     for level in levels[1:]:
+        chosen = _kept(chosen)
         best = F.max(F.struct(F.col("release_date"), F.col("name"))).alias("best")
         chosen = (
             _inside(level, chosen, folder_col).groupBy("root", "path")
@@ -131,7 +132,45 @@ def release_files(levels, files: DataFrame, folder_col: str = "folder") -> DataF
     ``levels`` are as in :func:`latest_path`; ``files`` is the parsed listing one level below, its
     ``folder`` the full path of the folder a file lies in. The result is what :func:`fetch_plan` takes.
     """
-    return _inside(files, latest_path(levels, folder_col), folder_col).select("root", "path", "name")
+    return _inside(files, _kept(latest_path(levels, folder_col)), folder_col).select("root", "path", "name")
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed to the shared folder: what a profile and a join both read is worked out once."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint()
+
+
+def newest_paths(listing: DataFrame, folder_col: str = "folder", is_folder: str = "is_folder", max_depth: int = 1000) -> DataFrame:
+    """Descend from every root by newest sub-folder, as deep as folders go: (root, path, name, release_date, depth).
+
+    ``listing`` holds the parsed lines (:func:`parse_listing`) of all folders in one table, ``is_folder`` telling
+    which entries are folders; an entry's ``folder`` is the full path it sits in. A root is a folder that is no
+    entry of another. The listing is read once, for one row per folder (its newest sub-folder); the descent
+    follows those rows, all roots a level a step, until none goes on. Roots without a dated sub-folder give no
+    row; a tree deeper than ``max_depth`` is an error (links that lead back up would never end).
+    """
+    folders = listing.where(F.col(is_folder)).select(F.col(folder_col).alias("folder"), "name", "release_date")
+    inside = F.concat_ws("/", "folder", "name")
+    best = F.max(F.struct("release_date", "name")).alias("best")
+    newest = _kept(folders.groupBy("folder").agg(best).where(F.col("best.release_date").isNotNull()).select(
+        "folder", F.col("best.name").alias("next"), F.col("best.release_date").alias("next_date")))
+    below = folders.select(inside.alias("folder")).distinct()
+    roots = newest.select("folder").join(below, "folder", "left_anti")
+    at = _kept(roots.select(F.col("folder").alias("root"), "folder", F.lit("").alias("path"), F.lit(None).cast("string").alias("name"),
+                            F.lit(None).cast("date").alias("release_date"), F.lit(0).alias("depth")))
+    profile = profile_dimensions({"folder": (newest, "folder")})["folder"]
+    done = at.limit(0)
+    while at.limit(1).count():
+        if at.agg(F.max("depth")).first()[0] > max_depth:
+            raise RuntimeError(f"folders nest deeper than {max_depth}")
+        step = _kept(lookup(at, newest, "folder", "left", profile=profile, name="newest sub-folders"))
+        done = done.unionByName(step.where(F.col("next").isNull()).drop("next", "next_date"))
+        at = step.where(F.col("next").isNotNull()).select(
+            "root", F.concat_ws("/", "folder", "next").alias("folder"),
+            F.when(F.col("path") == "", F.col("next")).otherwise(F.concat_ws("/", "path", "next")).alias("path"),
+            F.col("next").alias("name"), F.col("next_date").alias("release_date"), (F.col("depth") + 1).alias("depth"))
+    return done.select("root", "path", "name", "release_date", "depth")
 
 
 def fetch_plan(manifest: DataFrame, existing: DataFrame, name_col: str = "name", archive_suffix: str = ".zip",

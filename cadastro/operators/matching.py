@@ -9,6 +9,9 @@ score; ties broken deterministically), and it is then accepted or not:
 2. ``district`` - accepted when the result mentions the city and score >= 80;
 3. ``zip``      - accepted whenever there is a result.
 
+Keys are compared as they are, with the gazetteer's own scores; or, with ``min_score``, by the words they
+share (:mod:`cadastro.operators.fuzzy`), with the score computed from those.
+
 The first accepted tier wins. Everything is joins: the best-candidate table is unique per key, each tier
 is one checked lookup join (broadcast when the gazetteer is small enough, salted shuffle otherwise), so an
 address table with one hot city does not multiply rows or pile up on one task.
@@ -19,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+from .fuzzy import similar_keys
 from .lookups import lookup, profile_dimensions
 
 TIERS = ("address", "district", "zip")
@@ -46,6 +51,19 @@ def best_candidates(gazetteer: DataFrame) -> DataFrame:
     )
 
 
+def similar_candidates(keys: DataFrame, gazetteer: DataFrame, min_score: int = 80) -> DataFrame:
+    """One row per ``(grain, key)`` of ``keys``: the gazetteer row whose key is most like it, with the computed
+    ``score`` (at least ``min_score``) in place of its own. Ties as in :func:`best_candidates`."""
+    best = F.max(F.struct("lat", "lng", "matched_address", "quality")).alias("b")
+    rows = gazetteer.groupBy("grain", "key").agg(best).checkpoint()  # one row a key: its rows score alike
+    pairs = similar_keys(keys.withColumnRenamed("grain", "kind"), rows.select(F.col("grain").alias("kind"), "key"), min_score)
+    named = pairs.withColumn("found", F.concat_ws(":", "kind", "key")).drop("key")
+    found = lookup(named, rows.select(F.concat_ws(":", "grain", "key").alias("found"), "b"), "found", "inner", name="gazetteer")
+    top = F.max(F.struct("score", "b.lat", "b.lng", "b.matched_address", "b.quality")).alias("t")
+    return found.groupBy("kind", "query").agg(top).select(
+        F.col("kind").alias("grain"), F.col("query").alias("key"), "t.matched_address", "t.lat", "t.lng", "t.score", "t.quality")
+
+
 def _accepted(tier: str, city: Column) -> Column:
     hit = F.col(f"{tier}_matched_address").contains(city)
     score = F.col(f"{tier}_score")
@@ -57,7 +75,8 @@ def _accepted(tier: str, city: Column) -> Column:
 
 
 def tiered_match(addresses: DataFrame, gazetteer: DataFrame, *, street: str, zip_code: str, district: str,
-                 city: str, state: str, strategy: str = "auto", materialize: bool = True) -> DataFrame:
+                 city: str, state: str, strategy: str = "auto", materialize: bool = True,
+                 min_score: int | None = None) -> DataFrame:
     """Add ``match_tier``, ``lat``, ``lng`` to ``addresses`` (null when no tier accepts).
 
     ``gazetteer`` columns: ``grain`` (address/district/zip), ``key``, ``matched_address``, ``lat``,
@@ -66,13 +85,19 @@ def tiered_match(addresses: DataFrame, gazetteer: DataFrame, *, street: str, zip
     With ``materialize`` (default) the best-candidate table is computed once and checkpointed to the
     shared ``spark.checkpoint.dir``, so the size profile and the three joins read it instead of
     re-aggregating the gazetteer four times; the checkpoint also cuts lineage for executor-loss retries.
+
+    ``min_score`` (1 to 100) matches keys that are not spelled alike: candidates are the gazetteer keys that
+    share enough words, scored by how many, and the gazetteer's own scores are not read.
     """
     keys = address_keys(F.col(street), F.col(zip_code), F.col(district), F.col(city), F.col(state))
-    best = best_candidates(gazetteer)
+    if materialize or min_score:
+        checkpoint_root(addresses.sparkSession)  # make sure the session names a checkpoint folder
+    if min_score:
+        asked = addresses.select(F.explode(F.array(*[F.struct(F.lit(t).alias("grain"), k.alias("key")) for t, k in keys.items()])).alias("k"))
+        best = similar_candidates(asked.select("k.*"), gazetteer, min_score)
+    else:
+        best = best_candidates(gazetteer)
     if materialize:
-        from ..session import checkpoint_root
-
-        checkpoint_root(best.sparkSession)  # make sure the session names a checkpoint folder
         best = best.checkpoint(eager=True)
     tiers = {
         t: best.filter(F.col("grain") == t).select(

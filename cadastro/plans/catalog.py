@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as cf
-from ..operators import archives, ingest, matching
+from ..operators import archives, ingest, links, matching
 from ..operators.cleaning import clean_types, kinds_by_rule
 from ..operators.lookups import inner_lookup, left_lookup, role_lookup, star_lookup
 from ..operators.losses import Losses
@@ -504,6 +504,29 @@ def q_latest_path(spark, sf):
     return ingest.latest_path(_release_levels(spark, sf)[:2])
 
 
+def q_latest_path_deep(spark, sf):
+    """Newest path from every root of one listing, in trees of one to five levels of folders."""
+    listing = derive(table(spark, sf, "orders"), fx.deep_listing(fx.SPARK)).select("folder", F.explode("lines").alias("e")).where("e.line IS NOT NULL").select(
+        F.concat_ws("/", "folder", "e.below").alias("folder"), F.col("e.line").alias("line"))
+    parsed = ingest.parse_listing(listing).withColumn("is_folder", F.col("line").contains("<DIR>"))
+    return ingest.newest_paths(parsed)
+
+
+def q_resolved_links(spark, sf):
+    """The links of every page against its URL, with references of all kinds planted."""
+    pages = table(spark, sf, "pages")
+    found = ingest.extract_links(pages, keep=("page_id", "url"))
+    planted = pages.select("page_id", "url", F.explode(F.array(*[F.lit(x) for x in fx.REFERENCES])).alias("link"))
+    return links.resolved_links(found.unionByName(planted))
+
+
+def q_link_manifest(spark, sf):
+    """The files that any page links to, once each, as the fetch plan takes them."""
+    pages = table(spark, sf, "pages").select("page_id", "url", F.expr("array('f' || page_id % 9 || '.zip?v=' || page_id % 2, "
+                                                                    "'../d/./f' || page_id % 7 || '.zip#x', '/g.txt')").alias("links"))
+    return links.link_manifest(links.resolved_links(pages.select("page_id", "url", F.explode("links").alias("link"))))
+
+
 def q_release_files(spark, sf):
     """All files of the newest month folder of each root."""
     years, months, files = _release_levels(spark, sf)
@@ -537,13 +560,22 @@ def q_split_codebooks(spark, sf):
 
 
 def q_tiered_match(spark, sf):
+    return _matched(spark, sf, fx.addresses(fx.SPARK))
+
+
+def q_tiered_match_fuzzy(spark, sf):
+    """Addresses that are not spelled as in the gazetteer, matched by the words they share."""
+    return _matched(spark, sf, fx.misspelt_addresses(fx.SPARK), min_score=80)
+
+
+def _matched(spark, sf, addresses, **options):
     n, r = table(spark, sf, "nation"), table(spark, sf, "region")
     c, s = table(spark, sf, "customer"), table(spark, sf, "supplier")
     geo = n.join(r, n.n_regionkey == r.r_regionkey)
-    addrs = derive(c.join(geo, c.c_nationkey == geo.n_nationkey), fx.addresses(fx.SPARK))
+    addrs = derive(c.join(geo, c.c_nationkey == geo.n_nationkey), addresses)
     supp = s.join(geo, s.s_nationkey == geo.n_nationkey)
     gaz = reduce(DataFrame.unionByName, [derive(supp, pairs) for pairs in fx.gazetteer(fx.SPARK).values()])
-    out = matching.tiered_match(addrs, gaz, street="rua", zip_code="cep", district="bairro", city="municipio", state="uf")
+    out = matching.tiered_match(addrs, gaz, street="rua", zip_code="cep", district="bairro", city="municipio", state="uf", **options)
     return out.select("c_custkey", "match_tier", "lat", "lng")
 
 

@@ -34,6 +34,13 @@ class Dialect:
         return self.fmt(e, "MM-dd-yy  hh:mma", "%m-%d-%y  %I:%M%p")
 
 
+    def structs(self, rows: list[tuple[str, str]]) -> str:
+        """An array of structs (below, line)."""
+        if self.name == "spark":
+            return "array(" + ", ".join(f"named_struct('below', {a}, 'line', {b})" for a, b in rows) + ")"
+        return "[" + ", ".join(f"{{'below': {a}, 'line': {b}}}" for a, b in rows) + "]"
+
+
 SPARK = Dialect("spark")
 DUCK = Dialect("duckdb")
 Q = "chr(39)"  # a single quote, spelled the same way in both dialects
@@ -283,6 +290,30 @@ def release_tree(D: Dialect):
     }
 
 
+def deep_listing(D: Dialect):
+    """orders -> folder ``root`` and entries (below, line): trees as deep as the root's number, one to five.
+
+    Every order lists a folder at each level of its tree and a file in the lowest one; the stamp is the order's
+    date shifted by the level, so levels have newest entries of their own."""
+    depth = "(o_orderkey % 5 + 1)"
+    names = [D.fmt("o_orderdate", "yyyy", "%Y"), D.fmt("o_orderdate", "MM", "%m"), D.fmt("o_orderdate", "dd", "%d"),
+             _s("o_orderkey % 3"), _s("o_custkey % 4")]
+    entries = []
+    for level, name in enumerate(names):
+        below = " || '/' || ".join(names[:level]) or NULL_TEXT
+        stamp = D.listing_stamp("o_orderdate")
+        line = f"CASE WHEN {level} < {depth} THEN {stamp} || '   <DIR>   ' || {name} WHEN {level} = {depth} THEN {stamp} || '  12 file.zip' END"
+        entries.append((below, line))
+    return [("folder", f"'deep/' || {_s('o_orderkey % 5')}"), ("lines", D.structs(entries))]
+
+
+# References of every kind: relative, rooted, with dots, without a path, of another host, scheme or case.
+REFERENCES = (
+    "a/../b/./c.zip", "../../../up.zip", "./", "..", "/rooted/../x", "?page=3", "#part", "", "//Other.Example.com:80/a/..", "g;x=1/./y",
+    "HTTP://User@EXAMPLE.com:80", "https://example.com:443/%7euser/%c3%a9?q=%41", "mailto:A@b.c/../d", " für/ein text.zip ", "%zz%2f%2E", "x?y=/../z#/../w",
+)
+
+
 # The sheet names as they appear in the layout workbook (mixed case), plus two sheets
 # that are not codebooks.
 WORKBOOK_SHEETS = (
@@ -315,6 +346,15 @@ def addresses(D: Dialect):
     ]
 
 
+def misspelt_addresses(D: Dialect):
+    """The same addresses as people write them: other case and signs, a word more, a word less."""
+    rows = dict(addresses(D))
+    rows["rua"] = (f"CASE c_custkey % 4 WHEN 0 THEN 'Rua ' || {_s('c_custkey % 40')} WHEN 1 THEN 'RÚA - ' || {_s('c_custkey % 40')} || '.' "
+                   f"WHEN 2 THEN 'Rua ' || {_s('c_custkey % 40')} || ' fundos' ELSE {_s('c_custkey % 40')} END")
+    rows["bairro"] = f"CASE WHEN c_custkey % 3 = 0 THEN {_s('c_custkey % 10')} || ' bairro' ELSE 'Bairro ' || {_s('c_custkey % 10')} END"
+    return list(rows.items())
+
+
 def gazetteer(D: Dialect):
     """supplier JOIN nation JOIN region -> candidates at three grains (one SELECT per grain)."""
     city = "n_name || ', ' || r_name"

@@ -501,6 +501,34 @@ SELECT c_custkey, match_tier, {pick('lat')} AS lat, {pick('lng')} AS lng FROM t"
 
 
 SQL["tiered_match"] = _tiered_sql()
+
+
+def _fuzzy_sql() -> str:
+    """Every address key against every gazetteer key."""
+    gaz = " UNION ALL ".join(f"SELECT {select(pairs)} FROM supp" for pairs in fx.gazetteer(D).values())
+    keys = {"address": "concat_ws(', ', rua, bairro, municipio, uf)", "district": "concat_ws(', ', bairro, municipio, uf)",
+            "zip": "concat_ws(', ', cep, municipio, uf)"}
+    asked = " UNION ALL ".join(f"SELECT c_custkey, '{t}' AS grain, municipio, {k} AS key FROM addrs" for t, k in keys.items())
+    words = ("list_distinct(list_filter(string_split(regexp_replace(lower(" + fold("key")
+             + "), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> ''))")
+    return f"""
+WITH geo AS (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey),
+  addrs AS (SELECT {select(fx.misspelt_addresses(D))} FROM customer JOIN geo ON c_nationkey = n_nationkey),
+  supp AS (SELECT * FROM supplier JOIN geo ON s_nationkey = n_nationkey),
+  gaz AS (SELECT *, {words} AS w FROM ({gaz})),
+  asked AS (SELECT *, {words} AS w FROM ({asked})),
+  scored AS (SELECT a.c_custkey, a.municipio, grain, lat, lng, matched_address, quality,
+      200 * len(list_intersect(a.w, g.w)) // (len(a.w) + len(g.w)) AS score FROM asked a JOIN gaz g USING (grain)),
+  best AS (SELECT * FROM scored WHERE score >= 80 QUALIFY row_number() OVER (PARTITION BY c_custkey, grain
+      ORDER BY score DESC, lat DESC, lng DESC, matched_address DESC, quality DESC) = 1),
+  good AS (SELECT *, CASE grain WHEN 'address' THEN 1 WHEN 'district' THEN 2 ELSE 3 END AS turn FROM best WHERE
+      CASE grain WHEN 'address' THEN contains(matched_address, municipio) AND (score = 100 OR quality IN ('PointAddress', 'StreetAddress'))
+        WHEN 'district' THEN contains(matched_address, municipio) ELSE true END
+      QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY turn) = 1)
+SELECT addrs.c_custkey, grain AS match_tier, lat, lng FROM addrs LEFT JOIN good USING (c_custkey)"""
+
+
+SQL["tiered_match_fuzzy"] = _fuzzy_sql()
 SQL["incremental_ingest"] = _REGIME_SQL
 SQL["register_run"] = SQL["consolidate_establishments"]
 SQL["labour_run"] = SQL["consolidate_movements"]
@@ -574,3 +602,70 @@ SELECT CASE WHEN row_status = 'ok' THEN o_orderkey END AS o_orderkey,
   CASE WHEN row_status = 'ok' AND k <> 4 THEN day END AS day,
   row_status, CASE WHEN row_status <> 'ok' THEN line END AS line
 FROM judged"""
+
+# ---- deep trees and links ----------------------------------------------------------------------------
+
+SQL["latest_path_deep"] = f"""
+WITH RECURSIVE entries AS (
+    SELECT concat_ws('/', folder, e.below) AS folder, e.line AS line
+    FROM (SELECT folder, unnest(lines) AS e FROM (SELECT {select(fx.deep_listing(D))} FROM orders)) WHERE e.line LIKE '%<DIR>%'
+), dated AS ({_parsed([("folder", "folder"), ("line", "line")], "entries")}),
+newest AS (SELECT folder, name, release_date FROM dated WHERE release_date IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY folder ORDER BY release_date DESC, name DESC) = 1),
+walk AS (
+    SELECT folder AS root, name AS path, name, release_date, 1 AS depth FROM newest WHERE NOT contains(substr(folder, 6), '/')
+    UNION ALL
+    SELECT w.root, w.path || '/' || n.name, n.name, n.release_date, w.depth + 1 FROM walk w JOIN newest n ON n.folder = w.root || '/' || w.path
+)
+SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY root ORDER BY depth DESC) = 1"""
+
+
+def _url(x: str, name: str) -> str:
+    """Columns name_s, name_a, name_p, name_q of the parts of a reference, from the front to the back."""
+    scheme = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
+    rest = f"regexp_replace(regexp_replace({x}, '{scheme}', ''), '#.*$', '', 's')"
+    path = f"split_part({rest}, '?', 1)"
+    return f"""nullif(lower(regexp_extract({x}, '^([A-Za-z][A-Za-z0-9+.\\-]*):', 1)), '') AS {name}_s,
+      CASE WHEN {path} LIKE '//%' THEN regexp_extract({path}, '^//([^/]*)', 1) END AS {name}_a,
+      CASE WHEN {path} LIKE '//%' THEN regexp_replace({path}, '^//[^/]*', '') ELSE {path} END AS {name}_p,
+      CASE WHEN contains({rest}, '?') THEN substr({rest}, strpos({rest}, '?') + 1) END AS {name}_q"""
+
+
+def _percent(x: str) -> str:
+    char = "chr(CAST('0x' || p[1:2] AS INTEGER))"
+    encoded = (f"array_to_string(list_transform(string_split({x}, ''), lambda ch: CASE WHEN regexp_matches(ch, '[^!-~]') "
+               f"THEN regexp_replace(hex(encode(ch)), '(..)', '%\\1', 'g') ELSE ch END), '')")
+    return (f"array_to_string(list_transform(list_zip(string_split({encoded}, '%'), range(1 + len(string_split({encoded}, '%')))), lambda z: "
+            f"CASE WHEN z[2] = 0 THEN z[1] WHEN regexp_matches(z[1], '^[0-9A-Fa-f]{{2}}') THEN "
+            f"CASE WHEN regexp_matches({char.replace('p[', 'z[1][')}, '^[A-Za-z0-9\\-._~]$') THEN {char.replace('p[', 'z[1][')} "
+            f"ELSE '%' || upper(z[1][1:2]) END || z[1][3:] ELSE '%' || z[1] END), '')")
+
+
+def _resolved_sql(links: str) -> str:
+    """``links`` (page_id, url, link) with the link's target."""
+    fold = ("list_reduce(list_prepend('', string_split(path[2:], '/')), lambda kept, s: CASE s WHEN '.' THEN kept "
+            "WHEN '..' THEN regexp_replace(kept, '/[^/]*$', '') ELSE kept || '/' || s END)")
+    return f"""
+WITH found AS ({links}),
+  parts AS (SELECT *, {_url("trim(link)", "r")}, {_url("url", "b")} FROM found),
+  aimed AS (SELECT page_id, url, link, coalesce(r_s, b_s) AS scheme,
+      CASE WHEN r_s IS NOT NULL OR r_a IS NOT NULL THEN r_a ELSE b_a END AS authority,
+      CASE WHEN r_s IS NOT NULL OR r_a IS NOT NULL OR r_p LIKE '/%' THEN r_p WHEN r_p = '' THEN b_p
+        WHEN b_p = '' THEN '/' || r_p ELSE regexp_replace(b_p, '[^/]*$', '') || r_p END AS path,
+      CASE WHEN r_s IS NOT NULL OR r_a IS NOT NULL OR r_p <> '' THEN r_q ELSE coalesce(r_q, b_q) END AS query FROM parts),
+  folded AS (SELECT * EXCLUDE (path, authority), CASE WHEN path LIKE '/%' THEN {fold} || CASE WHEN regexp_matches(path, '(^|/)\\.\\.?$') THEN '/' ELSE '' END
+        ELSE path END AS path,
+      regexp_extract(authority, '^(.*@)?', 1) || lower(regexp_replace(regexp_replace(regexp_replace(authority, '^.*@', ''),
+        CASE scheme WHEN 'http' THEN ':80$' WHEN 'https' THEN ':443$' WHEN 'ftp' THEN ':21$' ELSE '^$' END, ''), ':$', '')) AS authority FROM aimed)
+SELECT page_id, url, link, coalesce(scheme || ':', '') || coalesce('//' || authority, '')
+    || CASE WHEN authority IS NOT NULL AND path = '' THEN '/' ELSE {_percent("path")} END || CASE WHEN query IS NULL THEN '' ELSE '?' || {_percent("query")} END AS target
+FROM folded"""
+
+
+_REFERENCES = ", ".join(f"'{x}'" for x in fx.REFERENCES)
+SQL["resolved_links"] = _resolved_sql(f"""
+    SELECT page_id, url, replace(link, '&amp;', '&') AS link
+    FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS link FROM pages)
+    UNION ALL SELECT page_id, url, unnest([{_REFERENCES}]) AS link FROM pages""")
+_FILES = _resolved_sql("SELECT page_id, url, unnest(['f' || page_id % 9 || '.zip?v=' || page_id % 2, '../d/./f' || page_id % 7 || '.zip#x', '/g.txt']) AS link FROM pages")
+SQL["link_manifest"] = f"SELECT DISTINCT regexp_extract(target, '([^/]*\\.zip)(\\?.*)?$', 1) AS name, target FROM ({_FILES}) WHERE target LIKE '%.zip' OR target LIKE '%.zip?%'"

@@ -178,3 +178,21 @@ def test_files_older_than_a_week_are_read(spark, tmp_dir):
         os.utime(f"{tmp_dir}/land/d{k}/x.csv", (old, old))
         assert ingest_new_files(spark, f"{tmp_dir}/land/*", string_schema(cols), out, ckpt, transform=cr.consolidate_regime) is None
         assert spark.read.parquet(out).count() == k + 1
+
+
+def test_newest_paths_to_any_depth(spark):
+    """Trees of unlike depth in one listing; a branch that is not the newest goes deeper; undated and file entries."""
+    rows = [("a", "2023", "2023-05-01", True), ("a", "2024", "2024-01-01", True), ("a/2023", "12", "2023-12-01", True),
+            ("a/2024", "01", "2024-01-05", True), ("a/2024", "02", "2024-02-05", True), ("a/2024/02", "x", "2024-02-06", True),
+            ("a/2024/02/x", "f.zip", "2024-02-07", False), ("b", "only", "2020-01-01", True), ("c", "f.zip", "2020-01-01", False),
+            ("d", "undated", None, True), ("e", "s", "2021-01-01", True), ("e", "t", "2021-01-01", True)]
+    df = spark.createDataFrame(rows, "folder string, name string, d string, is_folder boolean").selectExpr(
+        "folder", "name", "CAST(d AS DATE) AS release_date", "is_folder").repartition(3)
+    got = {r.root: (r.path, r.name, r.depth) for r in ingest.newest_paths(df).collect()}
+    assert got == {"a": ("2024/02/x", "x", 3), "b": ("only", "only", 1), "e": ("t", "t", 1)}
+    assert ingest.newest_paths(df.where("false")).count() == 0
+    deep = spark.createDataFrame([("/".join(["r", *map(str, range(i))]), str(i), True) for i in range(40)], "folder string, name string, is_folder boolean")
+    deep = deep.selectExpr("folder", "name", "DATE'2024-01-01' AS release_date", "is_folder")
+    assert ingest.newest_paths(deep).first().depth == 40
+    with pytest.raises(RuntimeError, match="nest deeper"):
+        ingest.newest_paths(deep, max_depth=10)
