@@ -1,7 +1,7 @@
 """Zip archives as a Spark job: list archives -> deal members to tasks -> stream lines.
 
 One path for archives of any size: the archive list comes from ``binaryFile`` without content, each zip's
-directory is read once, and every member (one deflate stream, so one task) is opened by its directory
+directory is read once a task, and every member (one deflate stream, so one task) is opened by its directory
 entry and streamed line by line in bounded batches. Neither an archive nor a member is ever held whole.
 The lines can be parsed with ``from_csv`` or staged as parquet.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from itertools import groupby, islice
 
 import pandas as pd
 from pyspark import TaskContext
@@ -55,24 +56,20 @@ def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _stream_members(encoding: str, batch_rows: int):
-    def lines_of(archive: str, entry: int):
-        filesystem, inner = _open_storage(archive)
-        with filesystem.open_input_file(inner) as fh, zipfile.ZipFile(fh) as zf:
-            info = zf.infolist()[entry]  # by entry: two members may share a name
-            with zf.open(info) as raw:
-                for n, line in enumerate(_lines(io.TextIOWrapper(raw, encoding=encoding, newline=""))):
-                    yield archive, info.filename, n, line
+    """mapInPandas function: (archive, entry) sorted -> lines. An archive is opened, and its directory read, once."""
+    def lines_of(members):
+        for archive, entries in groupby(members, key=lambda m: m[0]):
+            filesystem, inner = _open_storage(archive)
+            with filesystem.open_input_file(inner) as fh, zipfile.ZipFile(fh) as zf:
+                directory = zf.infolist()
+                for _, entry in entries:  # by entry: two members may share a name
+                    with zf.open(directory[entry]) as raw:
+                        for n, line in enumerate(_lines(io.TextIOWrapper(raw, encoding=encoding, newline=""))):
+                            yield archive, directory[entry].filename, n, line
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = []
-        for batch in batches:
-            for archive, entry in zip(batch["archive"], batch["entry"]):
-                for row in lines_of(archive, entry):
-                    held.append(row)
-                    if len(held) >= batch_rows:
-                        yield pd.DataFrame(held, columns=["archive", "member", "line_number", "line"])
-                        held = []
-        if held:
+        lines = lines_of(m for batch in batches for m in zip(batch["archive"], batch["entry"]))
+        while held := list(islice(lines, batch_rows)):
             yield pd.DataFrame(held, columns=["archive", "member", "line_number", "line"])
 
     return run
@@ -94,7 +91,8 @@ def expand_archives(spark: SparkSession, path: str, encoding: str = "ISO-8859-1"
     members = list_members(spark, path)
     count, size = members.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     tasks = max(1, min(count, max(4 * spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))))
-    spread = members.repartition(tasks)  # round-robin, and an explicit count is never coalesced
+    # Round-robin, and an explicit count is never coalesced; sorted, so that a task opens each archive once.
+    spread = members.repartition(tasks).sortWithinPartitions("archive", "entry")
     return spread.mapInPandas(_stream_members(encoding, batch_rows), LINES_SCHEMA)
 
 

@@ -33,16 +33,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table.
-
-    One DataFrame per (session, path) is reused, so repeated reads of a small table do not each pay
-    for footer reading and schema resolution. The cache lives on the session object, so it ends with it.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    cache = spark.__dict__.setdefault("_cadastro_tables", {})
-    if path not in cache:
-        cache[path] = spark.read.parquet(path)
-    return cache[path]
+    """A benchmark table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def derive(df: DataFrame, pairs) -> DataFrame:
@@ -604,31 +596,61 @@ REGISTER_LOOKUP_SOURCES = {"CNAE": "part", "MUNIC": "nation", "NATJU": "nation",
                            "QUALS": "nation", "MOTI": "customer"}
 
 
-def _register_run(spark, sf, output: str) -> DataFrame:
-    """The whole company register as dumps land: six lookup files and four table dumps (Latin-1, ';') are
-    staged and consolidated in dependency order by the runner; the named output is read back. One run per
-    session and folder serves the queries of all ten outputs."""
-    runs = spark.__dict__.setdefault("_cadastro_register_runs", {})
-    if sf not in runs:
-        root = scratch_path(spark, "register_run")
-        raw_dir, out_dir = f"{root}/data/raw/cnpj", f"{root}/data/trusted/cnpj"
+# Output -> the tables of a run that has it.
+REGISTER_RUNS = {"simples": ("simples",), "socios": ("lookups", "socios"), "empresas": ("lookups", "empresas"), "estab": ("lookups", "estab")}
+
+
+def _register_dumps(spark, sf, raw_dir: str, tables) -> None:
+    """The dumps that these tables of the register are made of, as they land (Latin-1, ';')."""
+    if "lookups" in tables:
         for file_id, src in REGISTER_LOOKUP_SOURCES.items():
             _write_positional(raw_lookup(spark, sf, src, cr.LOOKUP_IDS[file_id]), f"{raw_dir}/F.K03200$Z.D40113.{file_id}CSV")
-        dumps = {"K3241.K03200Y0.D40113.SIMPLES.CSV.D40113": raw_regime(spark, sf),
-                 "K3241.K03200Y0.D40113.SOCIOCSV": raw_partners(spark, sf),
-                 "K3241.K03200Y0.D40113.EMPRECSV": raw_companies(spark, sf),
-                 "K3241.K03200Y0.D40113.ESTABELE": raw_establishments(spark, sf)}
-        for name, df in dumps.items():
-            _write_positional(df, f"{raw_dir}/{name}")
-        from .runner import run_company_register
+    dumps = {"simples": ("K3241.K03200Y0.D40113.SIMPLES.CSV.D40113", raw_regime), "socios": ("K3241.K03200Y0.D40113.SOCIOCSV", raw_partners),
+             "empresas": ("K3241.K03200Y0.D40113.EMPRECSV", raw_companies), "estab": ("K3241.K03200Y0.D40113.ESTABELE", raw_establishments)}
+    for key, (name, raw) in dumps.items():
+        if key in tables:
+            _write_positional(raw(spark, sf), f"{raw_dir}/{name}")
+
+
+def _register_run(spark, sf, output: str) -> DataFrame:
+    """One output of a run of the company register: the dumps it needs are written, staged and
+    consolidated in dependency order by the runner, and the named output is read back."""
+    from .runner import run_company_register
 
-        runs[sf] = run_company_register(spark, raw_dir, out_dir, mode="overwrite", staged=True, with_full_id=True)
-    return spark.read.parquet(runs[sf][output])
+    root, tables = scratch_path(spark, "register_run"), REGISTER_RUNS.get(output, ("lookups",))
+    _register_dumps(spark, sf, f"{root}/data/raw/cnpj", tables)
+    written = run_company_register(spark, f"{root}/data/raw/cnpj", f"{root}/data/trusted/cnpj", tables=tables, mode="overwrite", staged=True,
+                                   with_full_id=True)
+    return spark.read.parquet(written[f"df_{output}"])
 
 
 def q_register_run(spark, sf):
     """The establishments output of the register run."""
-    return _register_run(spark, sf, "df_estab")
+    return _register_run(spark, sf, "estab")
+
+
+def q_register_publish(spark, sf):
+    """Two whole runs of the register published one after the other, the second cut short by a dump that is
+    not there: what readers see is the first, all ten tables of it, as rows (table, key, content)."""
+    from .runner import publish_company_register, read_published
+
+    root = scratch_path(spark, "register_publish")
+    _register_dumps(spark, sf, f"{root}/raw", ("lookups", *REGISTER_RUNS))
+    _register_dumps(spark, sf, f"{root}/later", ("lookups", "simples"))
+    publish_company_register(spark, f"{root}/raw", f"{root}/out", with_full_id=True)
+    try:
+        publish_company_register(spark, f"{root}/later", f"{root}/out", with_full_id=True)
+    except Exception:  # noqa: BLE001 - the expected missing dump
+        pass
+    else:
+        raise AssertionError("a run without its dumps was published")
+    names = ["simples", "socios", "empresas", "estab", *cr.LOOKUP_IDS.values()]
+    parts = []
+    for name in names:
+        df = read_published(spark, f"{root}/out", f"df_{name}")
+        texts = [F.col(c).cast("string") for c in df.columns if c != "capital_social"]
+        parts.append(df.select(F.lit(name).alias("table_name"), F.concat_ws("|", *texts).alias("content")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _labour_run(spark, sf, level: str) -> DataFrame:
@@ -660,6 +682,6 @@ QUERIES: dict[str, Query] = {
     name.removeprefix("q_"): fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
 QUERIES |= {
-    f"register_run_{name}": (lambda spark, sf, output=f"df_{name}": _register_run(spark, sf, output))
+    f"register_run_{name}": (lambda spark, sf, output=name: _register_run(spark, sf, output))
     for name in (*cr.LOOKUP_IDS.values(), "simples", "socios", "empresas")
 }

@@ -669,3 +669,9 @@ SQL["resolved_links"] = _resolved_sql(f"""
     UNION ALL SELECT page_id, url, unnest([{_REFERENCES}]) AS link FROM pages""")
 _FILES = _resolved_sql("SELECT page_id, url, unnest(['f' || page_id % 9 || '.zip?v=' || page_id % 2, '../d/./f' || page_id % 7 || '.zip#x', '/g.txt']) AS link FROM pages")
 SQL["link_manifest"] = f"SELECT DISTINCT regexp_extract(target, '([^/]*\\.zip)(\\?.*)?$', 1) AS name, target FROM ({_FILES}) WHERE target LIKE '%.zip' OR target LIKE '%.zip?%'"
+
+_PUBLISHED = {name: SQL[f"register_run_{name}"] for name in ("simples", "socios", "empresas", *LOOKUP_IDS.values())} | {
+    "estab": SQL["register_run"]}
+SQL["register_publish"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, concat_ws('|', *COLUMNS(*{' EXCLUDE (capital_social)' if name == 'empresas' else ''})) AS content FROM ({sql})"
+    for name, sql in _PUBLISHED.items())

@@ -8,13 +8,14 @@ the lookups of the same run.
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.losses import Losses, report
-from ..session import delete_path, path_exists, scratch_path
+from ..session import delete_path, list_folders, path_exists, read_text, replace_text, scratch_path
 from ..sources import read_codebook, read_headered, read_lookup_set, read_positional, stage, write_table
 from . import company_register as cr
 from . import labour_flows as lf
@@ -113,6 +114,40 @@ def run_company_register(
     return written
 
 
+# The file below a published folder that names its current version.
+CURRENT = "_CURRENT"
+
+
+def publish_company_register(spark: SparkSession, raw_dir: str, out_dir: str, *, keep: int = 2, **options) -> str:
+    """A run of :func:`run_company_register` that becomes visible as a whole, or not at all.
+
+    The run writes a new folder ``<out_dir>/version=<id>``; when every table of it is written, the small file
+    ``<out_dir>/_CURRENT`` is replaced by one that names it. Readers (:func:`read_published`) follow that file, so
+    they see the old tables until the new ones are all there; a run that fails leaves the old ones current and
+    removes its own folder. The ``keep`` newest versions stay, for readers that have opened an older one.
+    Returns the version's id. Runs into one folder must not overlap.
+    """
+    version = f"{time.time_ns():020d}"
+    folder = f"{out_dir.rstrip('/')}/version={version}"
+    try:
+        written = run_company_register(spark, raw_dir, folder, mode="error", **options)
+    except BaseException:
+        delete_path(spark, folder)
+        raise
+    replace_text(spark, f"{out_dir.rstrip('/')}/{CURRENT}", "\n".join([version, *sorted(written)]))
+    for old in sorted(v for v in list_folders(spark, out_dir) if v.startswith("version="))[:-keep]:
+        delete_path(spark, f"{out_dir.rstrip('/')}/{old}")
+    return version
+
+
+def read_published(spark: SparkSession, out_dir: str, table: str, fmt: str = "parquet") -> DataFrame:
+    """A table of the current version of a folder that :func:`publish_company_register` writes."""
+    version, *tables = read_text(spark, f"{out_dir.rstrip('/')}/{CURRENT}").split("\n")
+    if table not in tables:
+        raise KeyError(f"{table!r} is not in version {version}: {tables}")
+    return spark.read.format(fmt).load(f"{out_dir.rstrip('/')}/version={version}/{table}")
+
+
 def read_codebooks(spark: SparkSession, level_dir: str, level: str, strict: bool = False) -> dict[str, DataFrame | None]:
     """Codebooks of a level from ``<level_dir>/aux_tables/<name>.csv``; a missing file maps to ``None``."""
     books: dict[str, DataFrame | None] = {}

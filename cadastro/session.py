@@ -100,3 +100,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
+
+
+def _storage(spark: SparkSession, path: str):
+    """(Hadoop path, its file system) of a path in any storage the session knows."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly in ``path``."""
+    hpath, fs = _storage(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The whole content of a small UTF-8 file."""
+    hpath, fs = _storage(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that readers see the old content or the new, never a part: it is written beside
+    and renamed over the old one in one step of the storage."""
+    jvm = spark.sparkContext._jvm
+    hpath, fs = _storage(spark, path)
+    beside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(beside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(beside.toUri() if beside.toUri().getScheme() else fs.getUri(),
+                                                                  spark.sparkContext._jsc.hadoopConfiguration())
+    rename = jvm.java.lang.reflect.Array.newInstance(jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
+    rename[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(beside), fs.makeQualified(hpath), rename)

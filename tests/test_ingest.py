@@ -196,3 +196,23 @@ def test_newest_paths_to_any_depth(spark):
     assert ingest.newest_paths(deep).first().depth == 40
     with pytest.raises(RuntimeError, match="nest deeper"):
         ingest.newest_paths(deep, max_depth=10)
+
+
+def test_an_archive_is_opened_once_a_task(spark, tmp_dir, monkeypatch):
+    """Many members cost in proportion: the directory is read by every task, not for every member."""
+    import zipfile
+
+    import pandas as pd
+
+    for name in ("a", "b"):
+        with zipfile.ZipFile(f"{tmp_dir}/{name}.zip", "w") as zf:
+            for i in range(300):
+                zf.writestr(f"m{i}", f"{name}{i}\nend")
+    members = pd.DataFrame([(f"{tmp_dir}/{n}.zip", i) for n in "ab" for i in range(300)], columns=["archive", "entry"])
+    opened = []
+    real = archives._open_storage
+    monkeypatch.setattr(archives, "_open_storage", lambda uri: opened.append(uri) or real(uri))
+    got = pd.concat(archives._stream_members("UTF-8", 100)(iter([members[:250], members[250:]])))
+    assert len(opened) == 2 and len(got) == 1200 and set(got.line[got.line_number == 0]) == {f"{n}{i}" for n in "ab" for i in range(300)}
+    monkeypatch.undo()
+    assert archives.expand_archives(spark, f"{tmp_dir}/*.zip").count() == 1200

@@ -188,3 +188,29 @@ def test_labour_run_passes_writer_options(spark, tmp_dir):
         paths = run_labour_flows(spark, f"{tmp_dir}/w", f"{tmp_dir}/w_out", levels=("estab",), max_records_per_file=3)
     parts = [f for f in os.listdir(paths["estabelecimentos"]) if f.endswith(".parquet")]
     assert len(parts) >= 4
+
+
+def test_a_run_is_published_whole_or_not_at_all(spark, tmp_dir):
+    """A run that fails midway leaves the old tables visible, all of them, and nothing of its own."""
+    import os
+
+    from cadastro.plans import catalog
+    from cadastro.plans.runner import publish_company_register, read_published
+    from tests.conftest import SF001
+
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/out"
+    catalog._register_dumps(spark, SF001, raw, ("lookups", "simples", "socios"))
+    tables = ("lookups", "simples", "socios")
+    first = publish_company_register(spark, raw, out, tables=tables, staged=True)
+    pais, socios = (read_published(spark, out, f"df_{t}").count() for t in ("pais", "socios"))
+    assert pais and socios
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        publish_company_register(spark, raw, out, tables=(*tables, "estab"), staged=True)
+    assert [f for f in os.listdir(out) if f.startswith("version=")] == [f"version={first}"]
+    assert read_published(spark, out, "df_pais").count() == pais
+    second = publish_company_register(spark, raw, out, tables=("lookups",))
+    with pytest.raises(KeyError):
+        read_published(spark, out, "df_socios")
+    third = publish_company_register(spark, raw, out, tables=tables)
+    assert read_published(spark, out, "df_socios").count() == socios
+    assert sorted(f for f in os.listdir(out) if f.startswith("version=")) == [f"version={second}", f"version={third}"]
