@@ -5,9 +5,10 @@ count is the sum over its pre-tokens of their token counts. Tier one is a compac
 pre-tokens and their counts, broadcast to all tasks; tier two is each worker's bounded cache, filled by
 encoding what the table lacks with the library. The documents are mapped where they lie: no shuffle.
 
-The table is fitted on a bounded sample of documents (``fit_documents``, a seeded Bernoulli draw)
-and holds at most ``table_size`` entries; it decides only how often a worker has to encode, never a
-count. Every text is counted whole.
+The table comes from all documents: every task counts the pre-tokens of its texts in a bounded summary
+(when it is full, the rarest half go and are counted anew if they return), tasks send their ``table_size``
+most frequent, and sums by pre-token pick those of the corpus. It decides only how often a worker has to
+encode, never a count. Every text is counted whole.
 """
 
 from __future__ import annotations
@@ -22,14 +23,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._common import append_columns, slices
-from .tokens import _segments, encoder
+from .tokens import Encoder, _segments, encoder
 
-# Pre-tokens of texts made of these characters are cut by a plain regular expression; the library cuts
-# and encodes every other text, so no difference between Unicode tables can matter.
+# Pre-tokens of texts made of these characters are cut by a plain regular expression; the library's own
+# pre-tokenizer cuts every other text, so no difference between Unicode tables can matter.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN_TEXT = re.compile(rf"[ \n\t\r!-~{_LETTER}]*\Z")
 _PRETOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\s0-9{_LETTER}]+|\s+(?!\S)|\s+")
 _PART_CHARS = 1 << 16
+_LONGEST = 64  # characters of a pre-token in the table, which bounds its size
+
+
+def pretokens_of(text: str, codec: Encoder) -> list[str]:
+    """The pre-tokens of a text without special strings, as the library cuts them."""
+    if _PLAIN_TEXT.match(text):
+        return _PRETOKEN.findall(text)
+    return [text[a:b] for _, (a, b) in codec.library.pre_tokenizer.pre_tokenize_str(text)]
+
+
+def _mapped(pretoken: str, codec: Encoder) -> str:
+    """A pre-token in the characters that stand for its bytes."""
+    return pretoken.translate(codec.mapping) if pretoken.isascii() else "".join([codec.chars[b] for b in pretoken.encode()])
 
 
 class _Counter:
@@ -39,7 +53,7 @@ class _Counter:
 
     def _length(self, pretoken: str) -> int:
         # A lone pre-token is a text of its own: the library gives its tokens.
-        return len(self.codec.library.model.tokenize(pretoken.translate(self.codec.mapping)))
+        return len(self.codec.library.model.tokenize(_mapped(pretoken, self.codec)))
 
     def count(self, text: str | None) -> int:
         text = text or ""
@@ -48,9 +62,9 @@ class _Counter:
         return sum(map(self._part, _segments(text, _PART_CHARS) if len(text) > _PART_CHARS else [text]))
 
     def _part(self, text: str) -> int:
-        if (self.codec.special and self.codec.special.search(text)) or not _PLAIN_TEXT.match(text):
+        if self.codec.special and self.codec.special.search(text):
             return len(self.codec._whole(text)) // self.codec.dtype.itemsize
-        pretokens = _PRETOKEN.findall(text)
+        pretokens = pretokens_of(text, self.codec)
         found = list(map(self.frequent.get, pretokens))
         if None not in found:
             return sum(found)
@@ -66,38 +80,34 @@ class _Counter:
         return total
 
 
-def fit_table(
-    docs: DataFrame, tokenizer_json: str, *, text_col: str = "text", fit_documents: int = 4_000, table_size: int = 1 << 15,
-) -> dict[str, int]:
-    """Counts of the most frequent pre-tokens of at most about ``fit_documents`` documents.
+def fit_table(docs: DataFrame, tokenizer_json: str, *, text_col: str = "text", table_size: int = 1 << 15) -> dict[str, int]:
+    """Token counts of the most frequent pre-tokens of all documents, at most ``table_size`` of them.
 
-    Eight tasks each reduce their share of the sample to its ``table_size`` most frequent pre-tokens, so
-    the driver merges eight bounded lists whatever the size of the corpus.
+    A task holds at most four times as many pre-tokens; sums and their order are worked out by Spark, and only
+    the table itself reaches the driver. Ties go by the pre-token; an empty table gives an empty one.
     """
-    total = docs.count()
+    codec = encoder(tokenizer_json)
+    if codec.kind != "byte_level":
+        return {}
     shipped = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
-    share = min(1.0, fit_documents / max(1, total))
-    picked = docs.select(F.col(text_col).alias("text")).sample(fraction=share, seed=17)
 
     def run(batches):
-        counts = Counter()
+        own, counts = encoder(shipped.value), Counter()
         for batch in batches:
             for _, texts in slices(batch, 0):
                 for text in texts:
-                    if text and _PLAIN_TEXT.match(text):
-                        counts.update(_PRETOKEN.findall(text))
-        top = counts.most_common(table_size)
+                    for part in _segments(text or "", _PART_CHARS):
+                        if not (own.special and own.special.search(part)):
+                            counts.update(pretokens_of(part, own))
+                if len(counts) > 4 * table_size:
+                    counts = Counter(dict(counts.most_common(2 * table_size)))
+        top = [(w, n) for w, n in counts.most_common(table_size) if len(w) <= _LONGEST]
         yield pa.RecordBatch.from_arrays(
             [pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["w", "n"])
 
-    merged = Counter()
-    codec = encoder(shipped.value)
-    if codec.kind != "byte_level":
-        return {}
-    for row in picked.coalesce(8).mapInArrow(run, "w string, n long").toLocalIterator():
-        merged[row["w"]] += row["n"]
-    tokenize = codec.library.model.tokenize
-    return {w: len(tokenize(w.translate(codec.mapping))) for w, _ in merged.most_common(table_size)}
+    found = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "w string, n long")
+    most = found.groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "w").limit(table_size)
+    return {r.w: len(codec.library.model.tokenize(_mapped(r.w, codec))) for r in most.collect()}
 
 
 def count_tokens(

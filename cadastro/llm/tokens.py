@@ -79,7 +79,7 @@ class Encoder:
         self.kind = _kind(json.loads(tokenizer_json))
         special = [t["content"] for t in json.loads(tokenizer_json).get("added_tokens") or []]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        chars = _byte_chars()
+        self.chars = chars = _byte_chars()
         self.mapping = {c: "".join(chars[b] for b in chr(c).encode()) for c in range(256)}
         self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self.marks: dict[str, bytes] = {}

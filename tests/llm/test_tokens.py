@@ -1,7 +1,7 @@
 """Token output, counting and packing against the libraries and by round trip."""
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cadastro.llm import arrow_sequences, packing, token_counts, tokens
-from tests.llm.conftest import TEXTS, by_id
+from tests.llm.conftest import DOCS, TEXTS, by_id
 
 FILES = ("byte_bpe_50k.json", "word_bpe_49k.json")
 LIBRARY = {f: Tokenizer.from_file(public_tokenizers.path(f)) for f in FILES}
@@ -92,6 +92,28 @@ def test_counts_equal_the_library(spark, odd_docs, no_docs):
     assert token_counts.count_tokens(no_docs, SPEC[FILES[0]]).count() == 0
 
 
+def test_table_holds_the_most_frequent_pretokens_of_all_documents(spark, odd_docs, no_docs):
+    """Against the library's own pre-tokenizer and counts, over texts of every script."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(FILES[0]))
+    more = spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(["“curly” quotes – and – dashes…", "日本語 のテキスト", "слово и слово"] * 9)], DOCS)
+    docs = odd_docs.unionByName(more)
+    counts = Counter()
+    for r in docs.collect():
+        if r.text and "<|" not in r.text:
+            counts.update(r.text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(r.text))
+    want = sorted((x for x in counts.items()), key=lambda x: (-x[1], x[0].encode()))
+    table = token_counts.fit_table(docs, SPEC[FILES[0]], table_size=1 << 15)
+    assert set(table) == {w for w, _ in want if len(w) <= 64}
+    assert all(n == len(tokenizer.encode(w, add_special_tokens=False).ids) for w, n in table.items())
+    small = token_counts.fit_table(docs, SPEC[FILES[0]], table_size=40)
+    assert len(small) == 40 and min(counts[w] for w in small) >= want[60][1]
+    for fitted in (table, small):
+        for r in token_counts.count_tokens(docs, SPEC[FILES[0]], table=fitted).collect():
+            assert r.n_tokens == len(library_ids(FILES[0], r.text))
+    assert token_counts.fit_table(no_docs, SPEC[FILES[0]]) == {}
+    assert token_counts.fit_table(docs, SPEC[FILES[1]]) == {}
+
+
 def test_counts_by_a_sentencepiece_model(odd_docs):
     import sentencepiece
 
