@@ -24,7 +24,7 @@ from ..operators.losses import report as losses_report
 from ..operators.rename import rename_map
 from ..session import scratch_path, set_modified
 from ..sources import delimited, sinks
-from ..streaming import ingest_new_files
+from ..streaming import ingest_new_content, ingest_new_files
 from . import company_register as cr
 from . import fixtures as fx
 from . import labour_flows as lf
@@ -454,6 +454,13 @@ def q_sink_partition_count(spark, sf):
     return spark.read.parquet(path)
 
 
+def q_sink_clustered(spark, sf):
+    """Lines clustered by supplier, part and ship date at once; read back."""
+    path = scratch_path(spark, "sink_clustered")
+    sinks.write_clustered(table(spark, sf, "lineitem"), path, ["l_suppkey", "l_partkey", "l_shipdate"])
+    return spark.read.parquet(path)
+
+
 def q_staged_consolidation(spark, sf):
     """Raw text -> staged parquet -> consolidated establishments (the staging layer kept for re-reads)."""
     root = scratch_path(spark, "staged")
@@ -590,6 +597,31 @@ def q_incremental_ingest(spark, sf):
     return spark.read.parquet(target)
 
 
+def q_incremental_dedup(spark, sf):
+    """Two drops of raw regime rows, the first delivered again under new names: within a later run, and beside the
+    second drop. The output must equal the whole table."""
+    root = scratch_path(spark, "incremental_dedup")
+    cols = [c for c, _ in fx.raw_regime(fx.SPARK)]
+    raw = raw_regime(spark, sf).withColumn("_drop", F.abs(F.xxhash64("cnpj", "data_inclusao_simples")) % 2)
+
+    def deliver(drop: int, name: str) -> None:
+        rows = raw.filter(F.col("_drop") == drop).select(cols)
+        _write_positional(rows.repartition(4, "cnpj"), f"{root}/landing/{name}")
+
+    def run() -> None:
+        ingest_new_content(spark, f"{root}/landing/*", delimited.string_schema(cols), f"{root}/out", f"{root}/checkpoint",
+                           transform=cr.consolidate_regime)
+
+    deliver(0, "drop0")
+    run()
+    deliver(1, "drop1")
+    deliver(0, "again")
+    run()
+    deliver(1, "late")
+    run()
+    return spark.read.parquet(f"{root}/out").drop("batch")
+
+
 # ---- whole-source runs --------------------------------------------------------------------------------
 
 REGISTER_LOOKUP_SOURCES = {"CNAE": "part", "MUNIC": "nation", "NATJU": "nation", "PAIS": "region",

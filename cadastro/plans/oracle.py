@@ -675,3 +675,6 @@ _PUBLISHED = {name: SQL[f"register_run_{name}"] for name in ("simples", "socios"
 SQL["register_publish"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, concat_ws('|', *COLUMNS(*{' EXCLUDE (capital_social)' if name == 'empresas' else ''})) AS content FROM ({sql})"
     for name, sql in _PUBLISHED.items())
+
+SQL["sink_clustered"] = "SELECT * FROM lineitem"
+SQL["incremental_dedup"] = SQL["incremental_ingest"]

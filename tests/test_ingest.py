@@ -216,3 +216,53 @@ def test_an_archive_is_opened_once_a_task(spark, tmp_dir, monkeypatch):
     assert len(opened) == 2 and len(got) == 1200 and set(got.line[got.line_number == 0]) == {f"{n}{i}" for n in "ab" for i in range(300)}
     monkeypatch.undo()
     assert archives.expand_archives(spark, f"{tmp_dir}/*.zip").count() == 1200
+
+
+def test_content_delivered_again_adds_nothing(spark, tmp_dir):
+    """Renamed, reordered and batched copies; a file with one row more; rows that repeat count; nulls are no texts."""
+    from cadastro.streaming import ingest_new_content
+
+    landing, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    os.makedirs(landing)
+
+    def land(name, lines):
+        with open(f"{landing}/{name}.csv", "w", encoding="latin-1") as f:
+            f.write("\n".join(lines) + "\n")
+
+    def run(**kw):
+        ingest_new_content(spark, landing, string_schema(["a", "b"]), out, ckpt, **kw)
+        return sorted((r.a or "", r.b or "") for r in spark.read.parquet(out).collect())
+
+    land("one", ["1;x", "2;y", "2;y"])
+    land("same", ["2;y", "1;x", "2;y"])  # alike in one batch
+    assert run() == [("1", "x"), ("2", "y"), ("2", "y")]
+    land("renamed", ["2;y", "2;y", "1;x"])
+    land("fewer", ["1;x", "2;y"])
+    land("null", [";x"])
+    land("other_null", ["x;"])
+    want = sorted([("1", "x"), ("2", "y"), ("2", "y"), ("1", "x"), ("2", "y"), ("", "x"), ("x", "")])
+    assert run(max_files_per_trigger=1) == want
+    assert run() == want  # nothing new
+    land("late", ["1;x", "2;y", "2;y"])
+    assert run() == want
+
+
+def test_a_batch_that_runs_again_writes_its_rows_once(spark, tmp_dir):
+    from cadastro.streaming import ingest_new_content
+
+    landing, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    os.makedirs(landing)
+    with open(f"{landing}/a.csv", "w") as f:
+        f.write("1;x\n2;y\n")
+    calls = []
+
+    def flaky(df):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+        return df
+
+    with pytest.raises(Exception, match="lost"):
+        ingest_new_content(spark, landing, string_schema(["a", "b"]), out, ckpt, transform=flaky)
+    ingest_new_content(spark, landing, string_schema(["a", "b"]), out, ckpt, transform=flaky)
+    assert sorted(r.a for r in spark.read.parquet(out).collect()) == ["1", "2"]

@@ -8,7 +8,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from cadastro.sources import read_checked, read_headered, read_lookup_set, read_positional, stage, write_split, write_table
+from cadastro.sources import read_checked, read_headered, read_lookup_set, read_positional, stage, write_clustered, write_split, write_table
 from cadastro.sources.delimited import RAW_LINE, ROW_STATUS, headers_of
 from cadastro.session import path_exists
 
@@ -167,3 +167,37 @@ def test_good_rows_are_read_as_without_the_check(spark, tmp_dir):
     names = ["a", "b", "c"]
     checked = read_checked(spark, f"{tmp_dir}/in", names).where(f"{ROW_STATUS} = 'ok'").select(names)
     assert sorted(map(tuple, checked.collect()), key=str)[:3] == sorted(map(tuple, read_positional(spark, f"{tmp_dir}/in", names).collect()), key=str)[:3]
+
+
+def test_clustered_files_are_skipped_by_filters_on_any_column(spark, tmp_dir):
+    """Row groups whose ranges meet a filter: a fraction on either column, where a plain write has to read all."""
+    import datetime as dt
+
+    import pyarrow.parquet as pq
+
+    df = spark.range(0, 40_000, 1, 8).selectExpr(
+        "int(pmod(xxhash64(id), 1000)) AS mun", "concat('c', lpad(pmod(xxhash64(id, 1), 500), 4, '0')) AS cnae",
+        "date_add(DATE'2020-01-01', int(pmod(xxhash64(id, 2), 900))) AS day", "CASE WHEN id % 3 = 0 THEN 7 ELSE int(id) END AS hot",
+        "CASE WHEN id % 11 > 0 THEN id / 7.0D END AS part", "array(id) AS many", "map('k', id) AS pairs")
+    write_clustered(df, f"{tmp_dir}/z", ["mun", "cnae", "day"], n_partitions=256)
+    write_table(df, f"{tmp_dir}/plain", n_partitions=32)
+    assert spark.read.parquet(f"{tmp_dir}/z").schema.simpleString() == df.schema.simpleString()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, spark.read.parquet(f"{tmp_dir}/z").collect())) == sorted(map(key, df.collect()))
+
+    def groups(folder, column, value):
+        hit = total = 0
+        for f in glob.glob(f"{folder}/*.parquet"):
+            meta = pq.ParquetFile(f).metadata
+            for g in range(meta.num_row_groups):
+                s = next(meta.row_group(g).column(i).statistics for i in range(meta.num_columns) if meta.row_group(g).column(i).path_in_schema == column)
+                total, hit = total + 1, hit + (s.min <= value <= s.max)
+        return hit / total
+
+    for column, value in (("mun", 137), ("cnae", "c0250"), ("day", dt.date(2021, 5, 5))):
+        assert groups(f"{tmp_dir}/plain", column, value) == 1.0 and groups(f"{tmp_dir}/z", column, value) <= 0.35
+    write_clustered(df, f"{tmp_dir}/hot", ["hot", "part"], n_partitions=16)
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{tmp_dir}/hot/*.parquet")]
+    assert sum(sizes) == 40_000 and max(sizes) < 3 * 40_000 / 16
+    write_clustered(df.where("false"), f"{tmp_dir}/none", ["mun"])
+    assert spark.read.schema(df.schema).parquet(f"{tmp_dir}/none").count() == 0
