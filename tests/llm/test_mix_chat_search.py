@@ -152,14 +152,15 @@ def vectors_table(spark, rows):
                                                      T.StructField("Score", T.StringType())]))
 
 
-@pytest.mark.parametrize("blocks", [(8192, 2048), (40, 3)])
-def test_search_equals_brute_force(spark, blocks):
+@pytest.mark.parametrize("cells", [(topk_search.INDEX_CELLS, topk_search.QUERY_CELLS), (40 * 16, 3 * 16)])
+def test_search_equals_brute_force(spark, cells):
     rng = np.random.default_rng(3)
     rows = [(int(i), rng.normal(size=16).round(2).tolist()) for i in rng.permutation(600)]
+    rows += [(3000, [0.25]), (3050, [0.25, 0.0, 0.0]), (3051, [0.25] + [0.0] * 15)]  # equal, written unlike
     rows += [(1000 + i, [0.5] * 16) for i in range(150)] + [(2000, [0.0] * 16), (2050, None), (2100, [None] * 16), (2150, [float("nan")] * 16),
              (2200, [float("inf")] + [0.0] * 15), (2250, [0.25, -0.5]), (2251, []), (None, [1.0] * 16), (2300, [-1.0] * 16)]
     got = topk_search.search(vectors_table(spark, [(*r, "x") for r in rows]).repartition(4), F.col("vec_id") % 50 == 0,
-                             index_rows=blocks[0], query_rows=blocks[1])
+                             index_cells=cells[0], query_cells=cells[1])
     assert {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()} == brute_force(rows, 5)
 
 
@@ -175,9 +176,22 @@ def test_index_stops_early_and_stays_exact():
     rng = np.random.default_rng(9)
     x = rng.integers(-100, 100, (2000, 32)).astype(float)
     q = rng.integers(-100, 100, (20, 32)).astype(float)
+    x[5], x[6, ::2] = 0, 0
     index = topk_search.ImpactIndex(x)
-    assert len(index.parts) > 2 and (sum(index.parts) == x).all()
-    for i, at, scores in index.top(q, 6, np.arange(2000)):
+    posted = np.zeros_like(x)
+    posted[index.place, index.component] = index.value
+    assert (posted == x).all() and len(index.value) == np.count_nonzero(x) and len(index.edges) > 4
+    weakest = [np.abs(index.value[lo:hi]).min() for lo, hi in zip(index.edges, index.edges[1:]) if hi > lo]
+    assert weakest == sorted(weakest, reverse=True) and (index.rest[-1] == 0).all()
+    for i, at, scores in index.top(x, q, 6, np.arange(2000)):
         exact = x @ q[i]
         want = np.lexsort((np.arange(2000), -exact))[:6]
         assert at.tolist() == want.tolist() and scores.tolist() == exact[want].tolist()
+
+
+def test_the_index_is_built_once_a_block_and_never_shuffled_for_a_query(spark):
+    rows = [(i, [float((i * j) % 7) for j in range(8)], "") for i in range(300)]
+    plan = topk_search.index_table(spark.createDataFrame([([i, i + 1], [i]) for i in range(100)], "w array<long>, ids array<long>"), 2, 5)
+    assert plan.count() <= 5 and sum(r.n for r in plan.collect()) == 100
+    got = topk_search.search(vectors_table(spark, rows), F.col("vec_id") % 50 == 0, index_cells=80, query_cells=16)
+    assert {tuple(r) for r in got.collect()} == brute_force([r[:2] for r in rows], 5)
