@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadastro.llm import language_id, packing, quality, queries, simhash_dedup, source_mix
 from cadastro.llm._common import small_batches
-from cadastro.session import scratch_path
+from cadastro.session import delete_path, scratch_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``: the packed pieces of the kept and mixed documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (_, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if k == len(STAGES) - 1:
@@ -66,4 +66,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, "pipeline", f"stage{k}")
         out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
+        if before:  # the input of the stage just written
+            delete_path(spark, before)
+        before = path
     return docs
