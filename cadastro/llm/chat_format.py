@@ -37,9 +37,9 @@ def _escape_role(role: Column) -> Column:
 
 
 def _unescape_role(role: Column) -> Column:
-    # Backslash pairs are set aside first, so that the n after one is not taken for a line feed.
-    aside = F.replace(unescape(role), F.lit("\\\\"), F.lit("\x00"))
-    return F.replace(F.replace(aside, F.lit("\\n"), F.lit("\n")), F.lit("\x00"), F.lit("\\"))
+    # Between pairs of backslashes, so that the n after one is not taken for a line feed.
+    parts = F.split(unescape(role), r"\\\\", -1)
+    return F.array_join(F.transform(parts, lambda p: F.replace(p, F.lit("\\n"), F.lit("\n"))), "\\")
 
 
 def format_chats(
@@ -50,8 +50,7 @@ def format_chats(
 
     Turns are ordered by turn number (null first), then role and text, so ties and repeated rows have one
     order and are all kept. Null text or role counts as empty; rows with a null conversation id form one
-    conversation; an empty table gives an empty one; extra columns are not read. (A role holding the
-    character U+0000 is not given back exactly.)
+    conversation; an empty table gives an empty one; extra columns are not read.
     """
     sorted_turns = turns.select(
         F.col(conv_col).alias("conv"),

@@ -123,6 +123,14 @@ def test_chats_round_trip(spark):
         assert d.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in want).encode()).hexdigest()
 
 
+def test_odd_roles_read_back(spark):
+    roles = ["a\x00n", "\\", "\\n", "\n", "\\\\n\n\\", "x\\\x00\ny", "<|im_end|>", "<\\|\n", "\x00", ""]
+    rows = [(c, 0, r, "text") for c, r in enumerate(roles)]
+    out = chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    read = {r.conv_id: [t.role for t in r.read] for r in out.withColumn("read", chat_format.read_turns(F.col("formatted"))).collect()}
+    assert read == {c: [r] for c, r in enumerate(roles)}
+
+
 def test_chats_of_an_empty_table(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_format.digest(chat_format.format_chats(none)).count() == 0
