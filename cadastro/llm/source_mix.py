@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import _col, materialise
+from ._common import _col, discard, materialise
 
 log = logging.getLogger(__name__)
 
@@ -76,7 +76,8 @@ def _rate(tilt: Column, x: Column, m: int) -> Column:
 
 
 def fit_tilts(sizes: DataFrame, targets: DataFrame, *, max_copies: int = 3, tolerance: float = 1e-7, max_iterations: int = 40) -> DataFrame:
-    """``targets`` plus ``scale`` (mean size), ``tilt`` and ``full`` (every document max_copies times).
+    """``targets`` plus ``scale`` (mean size), ``tilt`` and ``full`` (every document max_copies times), and how
+    the search for the tilt ended (``low``, ``high``, ``miss``).
 
     Newton iterations on the dual, all sources in one aggregate each. The step is kept inside a bracket
     of the root; where it would leave it, the bracket is halved. Iterations end when every source meets
@@ -111,13 +112,15 @@ def fit_tilts(sizes: DataFrame, targets: DataFrame, *, max_copies: int = 3, tole
             (F.col("low") + F.col("high")) / 2)
         # Sums of doubles depend on the order of their parts in the last digits; rounded, reruns agree.
         tilt = F.round(tilt, 12)
-        state = materialise(moved.select("source", "source_size", "target", "scale", "full", tilt.alias("tilt"), "low", "high", "miss"), "mix_state")
+        before, state = state, materialise(
+            moved.select("source", "source_size", "target", "scale", "full", tilt.alias("tilt"), "low", "high", "miss"), "mix_state")
+        discard(before)
         worst = state.agg(F.max("miss")).first()[0] or 0.0
         if worst <= tolerance:
             break
     else:
         log.warning("after %d iterations the rates of a source still miss its target by a share of %.2g", max_iterations, worst)
-    return state.select("source", "source_size", "target", "scale", "tilt", "full")
+    return state
 
 
 def _prepared(docs: DataFrame, state: DataFrame, max_copies: int) -> DataFrame:
@@ -126,7 +129,7 @@ def _prepared(docs: DataFrame, state: DataFrame, max_copies: int) -> DataFrame:
     ``state`` has one row per source. It is reread from a table, so Catalyst knows its size: it is
     broadcast below Spark's own threshold and joined by a shuffle (with skew splitting) above it.
     """
-    rate = F.when(F.col("_full"), F.lit(float(max_copies))).otherwise(_rate(F.col("_tilt"), F.col("_size") / F.col("_scale"), max_copies))
+    rate = F.when(F.col("_size") == 0, F.lit(1.0)).when(F.col("_full"), F.lit(float(max_copies))).otherwise(_rate(F.col("_tilt"), F.col("_size") / F.col("_scale"), max_copies))
     number = F.shiftrightunsigned(F.xxhash64("_id", "_size"), 11) / F.lit(float(1 << 53))
     named = state.select(*[F.col(c).alias(f"_{c}" if c != "source" else "_s") for c in state.columns])
     joined = docs.join(named, F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
@@ -186,6 +189,7 @@ def fit_rounding(rows: DataFrame, state: DataFrame, *, max_copies: int = 3, roun
     Each round makes one change in every source that is off its target by more than a share of ``close``
     and that a change brings nearer; rounds end when none is left.
     """
+    state = state.select("source", "source_size", "target", "scale", "tilt", "full")
     prepared = materialise(_prepared(rows, state, max_copies).select("_id", "_source", "_size", "_base", "_slack", "_target"), "mix_rates")
     taken = prepared.groupBy("_source").agg(
         F.sum(F.col("_base") * F.col("_size")).alias("whole"), F.max("_target").alias("goal"))
@@ -198,10 +202,10 @@ def fit_rounding(rows: DataFrame, state: DataFrame, *, max_copies: int = 3, roun
         extra, F.col("_source").eqNullSafe(F.col("e"))).withColumn("left", F.col("extra") - F.col("_coarse_before"))
     second = _cut(fine, "fine", "left").withColumnRenamed("s", "s2")
     # A source whose candidates all fit has no cut: every one of them gets its copy.
-    cuts = extra.join(first, F.col("e").eqNullSafe(F.col("s")), "left").join(second, F.col("e").eqNullSafe(F.col("s2")), "left").select(
-        "e", "goal", "extra", F.coalesce("_coarse", F.lit(BINS)).alias("_coarse"), F.coalesce("_fine", F.lit(BINS)).alias("_fine"))
+    cuts = materialise(extra.join(first, F.col("e").eqNullSafe(F.col("s")), "left").join(second, F.col("e").eqNullSafe(F.col("s2")), "left").select(
+        "e", "goal", "extra", F.coalesce("_coarse", F.lit(BINS)).alias("_coarse"), F.coalesce("_fine", F.lit(BINS)).alias("_fine")), "mix_cuts")
     # The words within the cut, added up anew: without a cut they are all of the source's candidates.
-    marked = candidates.join(materialise(cuts, "mix_cuts").withColumnRenamed("extra", "wanted"), F.col("_source").eqNullSafe(F.col("e"))).select(
+    marked = candidates.join(cuts, F.col("_source").eqNullSafe(F.col("e"))).select(
         "_source", "_size", _below(F.col("coarse"), F.col("fine")).alias("out"), F.xxhash64("_id", "_size").alias("pick"))
     menu = materialise(marked.groupBy("_source", "out", "_size").agg(F.min("pick").alias("pick"), F.count("*").alias("n")), "mix_menu")
     within = menu.where("out").groupBy(F.col("_source").alias("w")).agg(F.sum(F.col("_size") * F.col("n")).alias("within"))
@@ -214,15 +218,18 @@ def fit_rounding(rows: DataFrame, state: DataFrame, *, max_copies: int = 3, roun
             break
         better = F.coalesce(F.col("miss") < F.abs("_gap"), F.lit(False))
         gap = F.when(better, F.col("_gap") - F.col("words")).otherwise(F.col("_gap"))
-        plan = materialise(plan.join(_nearest_change(menu, plan), F.col("e").eqNullSafe(F.col("m")), "left").select(
+        before, plan = plan, materialise(plan.join(_nearest_change(menu, plan), F.col("e").eqNullSafe(F.col("m")), "left").select(
             "e", "goal", "_coarse", "_fine", gap.alias("_gap"),
             F.when(better, F.concat("flips", "picks")).otherwise(F.col("flips")).alias("flips"),
             (better & (F.abs(gap) > close * F.col("goal"))).alias("_open")), "mix_flips")
+        discard(before)
     off = plan.where(F.abs("_gap") > 0.01 * F.col("goal")).count()
     if off:
         log.warning("%d sources miss their target by more than 1%%: no few documents of theirs make it up", off)
     done = state.join(plan, F.col("source").eqNullSafe(F.col("e")), "left")
-    return materialise(done.select(*state.columns, F.col("_coarse").alias("coarse"), F.col("_fine").alias("fine"), "flips"), "mix_plan")
+    rounded = materialise(done.select(*state.columns, F.col("_coarse").alias("coarse"), F.col("_fine").alias("fine"), "flips"), "mix_plan")
+    discard(prepared, first, cuts, menu, plan)
+    return rounded
 
 
 def _below(coarse: Column, fine: Column) -> Column:
@@ -248,7 +255,9 @@ def plan_mix(
     sizes = materialise(rows.groupBy(F.col("_source").alias("source"), F.col("_size").alias("size")).agg(F.count("*").alias("n")), "mix_sizes")
     targets = materialise(source_targets(sizes, weights, max_copies), "mix_targets")
     state = fit_tilts(sizes, targets, max_copies=max_copies)
-    return rows, fit_rounding(rows, state, max_copies=max_copies)
+    plan = fit_rounding(rows, state, max_copies=max_copies)
+    discard(sizes, targets, state)
+    return rows, plan
 
 
 def mix_table(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -272,7 +281,8 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     """The mixed corpus: rows of ``docs`` (same columns, whatever their names), each as often as the mix takes
     it (0 to max_copies)."""
     names = docs.columns
-    _, plan = plan_mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, weights=weights, max_copies=max_copies)
+    narrow, plan = plan_mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, weights=weights, max_copies=max_copies)
+    discard(narrow)
     # The columns go by their places, so that none meets a column of the plan.
     rows = docs.select(*[_col(c).alias(f"column{i}") for i, c in enumerate(names)], F.col(id_col).alias("_id"),
                        F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_size"))
