@@ -13,17 +13,34 @@ from pyspark.sql import functions as F
 from .._cols import as_col
 
 
+DIGITS = "0123456789"
+# What may stand in a number beside its digits (a cast ignores blanks and control characters around it).
+_BESIDE_DIGITS = ".+- " + "".join(chr(x) for x in (*range(0x20), 0x7F))
+
+
+def _only(c: Column, chars: str) -> Column:
+    """Whether a text has no other characters than ``chars`` (no regex, no copy of the text)."""
+    return F.octet_length(F.ltrim(c, F.lit(chars))) == 0
+
+
+def _lenient_whole(c: Column, dtype: str) -> Column:
+    # A try_cast that fails throws and catches an exception, at the cost of some hundred casts: texts that
+    # cannot be numbers never reach it. The regex runs on texts with a point only.
+    number = F.when(F.contains(c, F.lit(".")), F.regexp_replace(F.trim(c), r"\.[0-9]*$", "")).otherwise(c)
+    return F.when(_only(c, DIGITS + _BESIDE_DIGITS) & ~_only(c, _BESIDE_DIGITS), number.try_cast(dtype))
+
+
 def lenient_int(c) -> Column:
     """Text -> int. ``' 7 '`` -> 7, ``'12.7'`` -> 12, ``'-3.9'`` -> -3; blank, ``'x'``, ``'44,00'``, overflow -> null.
 
     A fractional part is dropped (truncation toward zero, as a non-ANSI cast does) before a ``try_cast``.
     """
-    return F.regexp_replace(F.trim(as_col(c)), r"\.[0-9]*$", "").try_cast("int")
+    return _lenient_whole(as_col(c), "int")
 
 
 def lenient_long(c) -> Column:
     """As :func:`lenient_int`, to bigint."""
-    return F.regexp_replace(F.trim(as_col(c)), r"\.[0-9]*$", "").try_cast("bigint")
+    return _lenient_whole(as_col(c), "bigint")
 
 
 def lenient_double(c, decimal_comma: bool = False) -> Column:
@@ -40,8 +57,17 @@ def decimal_comma(c, dtype: str = "float") -> Column:
 
 
 def lenient_date(c, fmt: str = "yyyyMMdd") -> Column:
-    """``'20210228'`` -> 2021-02-28; ``'00000000'``, ``'20210230'``, ``''``, short text -> null."""
-    return F.try_to_date(as_col(c), fmt)
+    """``'20210228'`` -> 2021-02-28; ``'00000000'``, ``'20210230'``, ``''``, short text -> null.
+
+    In the default format, eight digits are cut into year, month and day and cast, and zero dates, months and days
+    out of range and shorter texts are null at once: the formatter throws an exception for each of them.
+    """
+    c = as_col(c)
+    if fmt != "yyyyMMdd":
+        return F.try_to_date(c, fmt)
+    year, month, day = F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2)
+    cast = F.when(month.between("01", "12") & day.between("01", "31"), F.concat(year, F.lit("-"), month, F.lit("-"), day).try_cast("date"))
+    return F.when(F.octet_length(c) < 8, F.lit(None)).when((F.octet_length(c) == 8) & _only(c, DIGITS), cast).otherwise(F.try_to_date(c, fmt))
 
 
 def year_month(c, fmt: str = "yyyyMM") -> Column:

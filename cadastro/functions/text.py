@@ -76,16 +76,20 @@ def _sql_literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _rare_sql(expr: str) -> str:
+    """The rare replacements, in order, as one fold over a literal list of them: a chain of calls per column would
+    make the generated code of a wide table longer than the JVM compiles (it then interprets it, row by row)."""
+    pairs = ", ".join(f"struct({_sql_literal(ch)} AS f, {_sql_literal(rep)} AS t)" for ch, rep in _RARE_MULTI)
+    return f"aggregate(array({pairs}), {expr}, (done, p) -> replace(done, p.f, p.t))"
+
+
 def ascii_fold_sql(expr: str) -> str:
     """The :func:`ascii_fold` expression as Spark SQL text over the SQL expression ``expr``."""
     out = f"translate({expr}, {_sql_literal(_FOLD_SRC)}, {_sql_literal(_FOLD_DST)})"
     for ch, rep in _COMMON_MULTI:
         out = f"replace({out}, {_sql_literal(ch)}, {_sql_literal(rep)})"
-    rare = out
-    for ch, rep in _RARE_MULTI:
-        rare = f"replace({rare}, {_sql_literal(ch)}, {_sql_literal(rep)})"
     return (f"CASE WHEN octet_length({expr}) = length({expr}) THEN {expr} "
-            f"WHEN octet_length({out}) = length({out}) THEN {out} ELSE {rare} END")
+            f"WHEN octet_length({out}) = length({out}) THEN {out} ELSE {_rare_sql(out)} END")
 
 
 def _quoted(name: str) -> str:
@@ -106,9 +110,8 @@ def ascii_fold(c) -> Column:
     out = F.translate(c, _FOLD_SRC, _FOLD_DST)
     for ch, rep in _COMMON_MULTI:
         out = F.replace(out, F.lit(ch), F.lit(rep))
-    rare = out
-    for ch, rep in _RARE_MULTI:
-        rare = F.replace(rare, F.lit(ch), F.lit(rep))
+    pairs = F.array(*[F.struct(F.lit(ch).alias("f"), F.lit(rep).alias("t")) for ch, rep in _RARE_MULTI])
+    rare = F.aggregate(pairs, out, lambda done, p: F.replace(done, p["f"], p["t"]))
     # after translate and 'ß', only rare characters (or other scripts) can still be non-ASCII
     folded = F.when(_is_ascii(out), out).otherwise(rare)
     return F.when(_is_ascii(c), c).otherwise(folded)

@@ -129,3 +129,17 @@ def test_every_printable_latin1_character_folds_to_ascii(spark):
     assert "".join(got[0x0A:0x0B] + got[0x1A:0x1B]) == "ao"  # the ordinals of everyday addresses
     row = one_col(spark, ["1º andar 2ª casa, D´Oeste ½"]).select(cf.clean_text("x")).first()[0]
     assert row == "1o Andar 2a Casa, D'oeste  1/2"
+
+
+def test_texts_that_are_no_numbers_or_dates_keep_their_meaning(spark):
+    """The cheap guards of the lenient parsers against the plain parsers, on texts around every guard."""
+    from pyspark.sql import functions as F
+
+    texts = ["", " ", "x", "12", "12.", "12.7", "12.\n", ".5", "+", "-", "+7", "-3.9", "- 3", "1-2", " 7 ", "\t7\x7f", "7 ", "٣", "1..2", "12.7.8",
+             "2147483647", "2147483648", "-2147483648", "00000000", "00000101", "20210228", "20210230", "20200229", "19000229", "20211301", "20210100",
+             "20210132", "2021022", "202102281", "+20210228", "20210228 ", "2021022x", "2021-02-28", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    whole = F.regexp_replace(F.trim("t"), r"\.[0-9]*$", "")
+    for new, plain in ((cf.lenient_int("t"), whole.try_cast("int")), (cf.lenient_long("t"), whole.try_cast("bigint")),
+                       (cf.lenient_date("t").cast("string"), F.try_to_date("t", "yyyyMMdd").cast("string"))):
+        assert [tuple(r) for r in df.select("t", new).collect()] == [tuple(r) for r in df.select("t", plain).collect()]

@@ -92,3 +92,24 @@ def test_partition_pruning_on_a_partitioned_sink(spark, tmp_dir):
     plan = physical(spark.read.parquet(f"{tmp_dir}/by_status").filter(F.col("o_orderstatus") == "F"))
     plan = re.sub(r"#\d+L?", "", plan)
     assert "PartitionFilters: [isnotnull(o_orderstatus), (o_orderstatus = F)]" in plan
+
+
+def test_typing_of_a_wide_table_stays_below_the_size_the_jvm_compiles(spark, tmp_dir):
+    """A generated method above 8000 bytes is interpreted, not compiled, unless a JVM flag is set."""
+    import contextlib
+    import io
+    import re
+
+    catalog.raw_establishments(spark, SF001).write.parquet(f"{tmp_dir}/raw")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    shown = io.StringIO()
+    try:
+        out = cr.consolidate_establishments(spark.read.parquet(f"{tmp_dir}/raw"), catalog.lookup_dim(spark, SF001, "nation", "mun"),
+                                            catalog.lookup_dim(spark, SF001, "region", "pais"), with_full_id=True)
+        with contextlib.redirect_stdout(shown):
+            out.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue())]
+    assert sizes and max(sizes) < 8000
