@@ -50,7 +50,8 @@ class Losses:
         if not watched:
             return raw.transform(clean_types(kinds))
         typed = raw.withColumns({copy: F.col(c) for c, copy in watched.items()}).transform(clean_types(kinds))
-        counts = {("typing", c): has_value(F.col(copy), kinds[c]) & F.col(c).isNull() for c, copy in watched.items()}
+        # Null first: the raw text is looked at only where typing left nothing.
+        counts = {("typing", c): F.col(c).isNull() & has_value(F.col(copy), kinds[c]) for c, copy in watched.items()}
         return self._observe(typed, counts).drop(*watched.values())
 
     def lookup(self, fact: DataFrame, dim: DataFrame, key: str, how: str = "left", **options) -> DataFrame:

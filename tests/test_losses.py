@@ -53,3 +53,17 @@ def test_one_scan_counts_and_writes(spark, tmp_dir):
     got = {(r.step, r.column_name): (r.lost, r.seen) for r in report(spark, [losses]).collect()}
     assert got["inner lookup", "cod_mun"] == (20, 100) and got["left lookup", "cod_pais"] == (80, 80)
     assert got["typing", "situacao_cadastral"] == (100, 100) and got["typing", "cod_mun"] == (0, 100)
+
+
+def test_raw_texts_of_typed_values_are_not_looked_at_again(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from cadastro.operators import losses as module
+
+    def only_of_lost_values(raw, kind):
+        return F.when(raw == "x", F.lit(True)).otherwise(F.raise_error(F.lit("looked at a typed value")).cast("boolean"))
+
+    monkeypatch.setattr(module, "has_value", only_of_lost_values)
+    losses = module.Losses("t")
+    losses.typing(spark.createDataFrame([("1",), ("x",), ("3",)], "cod string"), {"cod": "int"}).write.format("noop").mode("overwrite").save()
+    assert losses.rows() == [("t", "typing", "cod", 1, 3)]
