@@ -450,7 +450,7 @@ def q_sink_partitioned(spark, sf):
 
 def q_sink_partition_count(spark, sf):
     path = scratch_path(spark, "sink_partition_count")
-    sinks.write_table(table(spark, sf, "lineitem"), path, mode="overwrite", n_partitions=4)
+    sinks.write_table(table(spark, sf, "lineitem"), path, mode="overwrite", n_partitions=4, shuffle=False)
     return spark.read.parquet(path)
 
 

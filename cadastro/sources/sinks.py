@@ -7,6 +7,9 @@ the plan, even runs the query once more just to count). Output file count is con
 * ``n_partitions=n``: exactly ``n`` partitions by a ``repartition`` (round-robin, or by the ``partition_by``
   columns; a shuffle that keeps the upstream stages fully parallel, unlike ``coalesce``, which would run
   the whole job in ``n`` tasks);
+* ``n_partitions=n, shuffle=False`` (for a table read straight from its files): the reading tasks are merged into
+  ``n`` where that gives ``n`` evenly filled partitions, so each reads its part of the files and nothing is
+  shuffled; elsewhere as above;
 * ``rebalance=True`` (the default with ``partition_by``): the ``REBALANCE`` hint (by the ``partition_by``
   columns when given), so AQE cuts evenly sized output partitions and splits a skewed partition value over
   several tasks;
@@ -31,6 +34,9 @@ SAVE_MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 # Options that only make sense for text formats; harmless but noisy on parquet/orc.
 _TEXT_ONLY_OPTIONS = {"encoding", "sep", "delimiter", "quote", "escape", "header", "lineSep"}
 
+# A merged task may hold this many times its even share of the rows; beyond it the rows are shuffled.
+MERGED_SHARE = 1.5
+
 
 def write_table(
     df: DataFrame,
@@ -41,13 +47,16 @@ def write_table(
     n_partitions: int | None = None,
     rebalance: bool | None = None,
     max_records_per_file: int | None = None,
+    shuffle: bool = True,
     **options,
 ) -> None:
     """Write ``df`` to ``path`` (any Hadoop URI). ``mode``: append, overwrite, ignore, error.
 
     With ``partition_by`` the rows are rebalanced by those columns unless ``rebalance=False``: otherwise
     every task would write a file into every output folder. ``n_partitions`` and ``rebalance=True``
-    exclude each other.
+    exclude each other. ``shuffle=False`` lets ``n_partitions`` merge the tasks that read ``df`` where they fill
+    ``n`` evenly (:func:`_merged`, which counts ``df`` once: cheap for a stored table only); with
+    ``partition_by`` it changes nothing.
     """
     if mode not in SAVE_MODES:
         raise ValueError(f"mode must be one of {SAVE_MODES}")
@@ -61,7 +70,8 @@ def write_table(
     if n_partitions and rebalance:
         raise ValueError("n_partitions and rebalance=True exclude each other")
     if n_partitions:
-        df = df.repartition(int(n_partitions), *cols)
+        merged = None if shuffle or cols else _merged(df, int(n_partitions))
+        df = df.repartition(int(n_partitions), *cols) if merged is None else merged
     elif rebalance or (rebalance is None and cols):
         # REBALANCE clusters rows by the partition columns (few files per output folder) and lets AQE
         # split any partition over the advisory size, so one value holding a third of the rows is
@@ -77,6 +87,18 @@ def write_table(
     writer.save(path)
 
 
+def _merged(df: DataFrame, n: int) -> DataFrame | None:
+    """``df`` in ``n`` partitions without a shuffle, or None if they would not be ``n`` evenly filled ones.
+
+    The rows of each merged task are counted first; no column is needed for it, so a stored parquet or ORC table is
+    not read but for its footers.
+    """
+    merged = df.coalesce(n)
+    tasks = merged.groupBy(F.spark_partition_id().alias("task")).count()
+    filled, most, rows = tasks.agg(F.count("*"), F.max("count"), F.sum("count")).first()
+    return merged if filled == n and most * n <= MERGED_SHARE * rows else None
+
+
 def write_split(df: DataFrame, path: str, status_col: str, ok: str = "ok", mode: str = "error") -> tuple[DataFrame, DataFrame]:
     """Write ``df`` once, a folder per value of ``status_col``; return (accepted, rejected) frames of what was written.
 

@@ -144,6 +144,40 @@ def test_partitioned_writes_cluster_their_rows(spark, tmp_dir):
         write_table(df, f"{tmp_dir}/both", n_partitions=2, rebalance=True)
 
 
+def test_a_stored_table_is_merged_into_its_files_without_a_shuffle(spark, tmp_dir):
+    """Every file read goes whole into one file written, where a shuffle would deal its rows to all four."""
+    from cadastro.plans.catalog import QUERIES
+
+    def written(df):
+        held = df.select("l_orderkey", F.input_file_name().alias("f")).groupBy("f").agg(F.collect_list("l_orderkey").alias("k"))
+        return [sorted(r.k) for r in held.collect()]
+
+    spark.range(0, 8000, 1, 8).selectExpr("id AS l_orderkey", "id % 7 AS l_partkey").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    open_cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1g")  # a reading task for each file
+    try:
+        files = written(QUERIES["sink_partition_count"](spark, tmp_dir))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", open_cost)
+    assert len(files) == 4 and sorted(k for f in files for k in f) == list(range(8000))
+    assert all(len({k // 1000 for k in f}) == 2 == len(f) / 1000 for f in files)
+
+
+def test_uneven_or_few_tasks_are_shuffled_into_even_files(spark, tmp_dir):
+    few, none = spark.range(0, 400, 1, 2), spark.range(0, 400, 1, 8).where("id < 0")
+    uneven = spark.range(0, 4000, 1, 8).where("id < 1000 OR id % 500 < 20")
+    gone = spark.range(0, 4000, 1, 8).where("id >= 1000")  # a merged task without a row
+    for name, df in (("few", few), ("uneven", uneven), ("gone", gone), ("none", none)):
+        write_table(df, f"{tmp_dir}/{name}", n_partitions=4, shuffle=False)
+        back, rows = spark.read.parquet(f"{tmp_dir}/{name}"), sorted(r.id for r in df.collect())
+        assert sorted(r.id for r in back.collect()) == rows
+        sizes = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+        assert not rows or len(sizes) == 4 and max(sizes) <= 1.1 * len(rows) / 4
+    df = spark.range(0, 4000, 1, 8).withColumn("p", F.col("id") % 3)
+    write_table(df, f"{tmp_dir}/by", partition_by="p", n_partitions=2, shuffle=False)
+    assert len(glob.glob(f"{tmp_dir}/by/p=*/*.parquet")) == 3 and spark.read.parquet(f"{tmp_dir}/by").count() == 4000
+
+
 def test_rows_are_judged_and_split_in_one_write(spark, tmp_dir):
     lines = ['1;"a;b";x', "2;y", "3;a;b;c", '4;"open;x', '5;"say ""hi"";";z', '"6";"";""', "", "  ", "7;;", ';"q"r;s', "8;ção;x\r"]
     os.makedirs(f"{tmp_dir}/in")
