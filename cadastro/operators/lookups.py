@@ -108,6 +108,16 @@ def profile_dimensions(dims: Mapping[str, tuple[DataFrame, str]]) -> dict[str, D
     return {name: by_rep.get(rep_name, EMPTY_PROFILE) for rep_name, _, members in groups for name in members}
 
 
+def broadcast_within_bound(sides: Mapping[str, tuple[DataFrame, str]]) -> dict[str, DataFrame]:
+    """The sides ``{name: (df, key_column)}`` of plain joins, marked for a broadcast where its size is within the bound.
+
+    For joins whose keys may repeat, which a checked lookup rejects: the rows are the same either way.
+    """
+    profiles = profile_dimensions(sides)
+    return {name: F.broadcast(df) if profiles[name].broadcastable(broadcast_max_bytes(df.sparkSession)) else df
+            for name, (df, _) in sides.items()}
+
+
 def _check_unique(name: str, profile: DimensionProfile) -> None:
     if profile.max_rows_per_key > 1:
         raise DuplicateKeyError(

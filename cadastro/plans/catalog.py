@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from .. import functions as cf
 from ..operators import archives, ingest, links, matching
 from ..operators.cleaning import clean_types, kinds_by_rule
-from ..operators.lookups import inner_lookup, left_lookup, role_lookup, star_lookup
+from ..operators.lookups import broadcast_within_bound, inner_lookup, left_lookup, role_lookup, star_lookup
 from ..operators.losses import Losses
 from ..operators.losses import report as losses_report
 from ..operators.rename import rename_map
-from ..session import scratch_path, set_modified
+from ..session import delete_path, scratch_path, set_modified, shuffles_deleted
 from ..sources import delimited, sinks
 from ..streaming import ingest_new_content, ingest_new_files
 from . import company_register as cr
@@ -53,8 +53,13 @@ def lookup_dim(spark, sf, source: str, name: str) -> DataFrame:
     return cr.consolidate_lookup(raw_lookup(spark, sf, source, name), name)
 
 
-def raw_establishments(spark, sf) -> DataFrame:
+def raw_establishments(spark, sf, bounded: bool = False) -> DataFrame:
+    """``bounded`` broadcasts parts and suppliers while their size is within the library's bound, so that the lines
+    are shuffled for neither of them or for one only."""
     li, p, s = table(spark, sf, "lineitem"), table(spark, sf, "part"), table(spark, sf, "supplier")
+    if bounded:
+        p, s = p.select("p_partkey", "p_name", "p_brand", "p_type"), s.select("s_suppkey", "s_name", "s_nationkey")
+        p, s = broadcast_within_bound({"part": (p, "p_partkey"), "supplier": (s, "s_suppkey")}).values()
     joined = li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
     return derive(joined, fx.raw_establishments(fx.SPARK))
 
@@ -350,9 +355,9 @@ def q_loss_report(spark, sf):
 
 # ---- scans --------------------------------------------------------------------------------------------
 
-def _write_positional(df: DataFrame, path: str, encoding: str = "ISO-8859-1", header: bool = False, sep: str = ";"):
+def _write_positional(df: DataFrame, path: str, encoding: str = "ISO-8859-1", header: bool = False, sep: str = ";", **options):
     sinks.write_table(df, path, mode="overwrite", fmt="csv", sep=sep, encoding=encoding, header=str(header).lower(),
-                      quote='"', escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+                      quote='"', escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", **options)
 
 
 def q_scan_positional(spark, sf):
@@ -632,16 +637,24 @@ REGISTER_LOOKUP_SOURCES = {"CNAE": "part", "MUNIC": "nation", "NATJU": "nation",
 REGISTER_RUNS = {"simples": ("simples",), "socios": ("lookups", "socios"), "empresas": ("lookups", "empresas"), "estab": ("lookups", "estab")}
 
 
+# The register's dumps as files: gzip text (level 5 takes a fifth of the plain text's disk for little time), and as a
+# gzip file is read by one task, few rows in each.
+DUMP_FILES = {"compression": "gzip", "zlib.compress.level": "FIVE", "max_records_per_file": 200_000}
+
+
 def _register_dumps(spark, sf, raw_dir: str, tables) -> None:
-    """The dumps that these tables of the register are made of, as they land (Latin-1, ';')."""
-    if "lookups" in tables:
-        for file_id, src in REGISTER_LOOKUP_SOURCES.items():
-            _write_positional(raw_lookup(spark, sf, src, cr.LOOKUP_IDS[file_id]), f"{raw_dir}/F.K03200$Z.D40113.{file_id}CSV")
-    dumps = {"simples": ("K3241.K03200Y0.D40113.SIMPLES.CSV.D40113", raw_regime), "socios": ("K3241.K03200Y0.D40113.SOCIOCSV", raw_partners),
-             "empresas": ("K3241.K03200Y0.D40113.EMPRECSV", raw_companies), "estab": ("K3241.K03200Y0.D40113.ESTABELE", raw_establishments)}
-    for key, (name, raw) in dumps.items():
-        if key in tables:
-            _write_positional(raw(spark, sf), f"{raw_dir}/{name}")
+    """The dumps that these tables of the register are made of, as they land (Latin-1, ';', compressed).
+
+    What a dump's joins shuffled is deleted once it is written; the one that shuffles most comes first, beside no other."""
+    dumps = {"estab": ("K3241.K03200Y0.D40113.ESTABELE", partial(raw_establishments, bounded=True)), "simples": ("K3241.K03200Y0.D40113.SIMPLES.CSV.D40113", raw_regime),
+             "socios": ("K3241.K03200Y0.D40113.SOCIOCSV", raw_partners), "empresas": ("K3241.K03200Y0.D40113.EMPRECSV", raw_companies)}
+    with shuffles_deleted(spark):
+        for key, (name, raw) in dumps.items():
+            if key in tables:
+                _write_positional(raw(spark, sf), f"{raw_dir}/{name}", **DUMP_FILES)
+        if "lookups" in tables:
+            for file_id, src in REGISTER_LOOKUP_SOURCES.items():
+                _write_positional(raw_lookup(spark, sf, src, cr.LOOKUP_IDS[file_id]), f"{raw_dir}/F.K03200$Z.D40113.{file_id}CSV", **DUMP_FILES)
 
 
 def _register_run(spark, sf, output: str) -> DataFrame:
@@ -663,19 +676,22 @@ def q_register_run(spark, sf):
 
 def q_register_publish(spark, sf):
     """Two whole runs of the register published one after the other, the second cut short by a dump that is
-    not there: what readers see is the first, all ten tables of it, as rows (table, key, content)."""
+    not there: what readers see is the first, all ten tables of it, as rows (table, key, content). A run's dumps
+    are deleted when the run has ended."""
     from .runner import publish_company_register, read_published
 
     root = scratch_path(spark, "register_publish")
     _register_dumps(spark, sf, f"{root}/raw", ("lookups", *REGISTER_RUNS))
+    publish_company_register(spark, f"{root}/raw", f"{root}/out", with_full_id=True, compression="zstd")
+    delete_path(spark, f"{root}/raw")
     _register_dumps(spark, sf, f"{root}/later", ("lookups", "simples"))
-    publish_company_register(spark, f"{root}/raw", f"{root}/out", with_full_id=True)
     try:
-        publish_company_register(spark, f"{root}/later", f"{root}/out", with_full_id=True)
+        publish_company_register(spark, f"{root}/later", f"{root}/out", with_full_id=True, compression="zstd")
     except Exception:  # noqa: BLE001 - the expected missing dump
         pass
     else:
         raise AssertionError("a run without its dumps was published")
+    delete_path(spark, f"{root}/later")
     names = ["simples", "socios", "empresas", "estab", *cr.LOOKUP_IDS.values()]
     parts = []
     for name in names:

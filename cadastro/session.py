@@ -12,6 +12,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -86,6 +87,25 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hpath, True))
 
 
+# Since Spark 4.1; an older session ignores it.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_deleted(spark: SparkSession):
+    """Within it, what a write or an action shuffled is deleted when it has ended. Spark alone deletes it once the
+    driver's garbage collector finds it unused, which takes long where the driver has memory to spare."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def set_modified(spark: SparkSession, path: str, epoch_ms: int) -> None:
     """Set the modification time of every file directly in the folder ``path``."""
     jvm = spark.sparkContext._jvm
